@@ -1,0 +1,4 @@
+from opsflow.catalog import documents, extracts, functions, groups  # noqa: F401
+from opsflow.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -163,7 +163,7 @@ def timeseries_report(
     days = (
         measured.select(*dims)
         .distinct()
-        .withColumn("day", F.explode(calendar(since, until)).cast("date"))
+        .withColumn("day", F.explode(calendar(since, until)))
     )
     return days.join(measured, [*dims, "day"], "left").fillna(0, subset=list(measures))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsflow.functions import text
 from opsflow.operators.joins import Lookup, enrich
-from opsflow.operators.skew import DEFAULT, Skew, spread_join
+from opsflow.operators.skew import DEFAULT, Skew, group_pieces, spread_join
 
 
 def full_diff_join(
@@ -142,9 +142,10 @@ def delete_by_keys(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that stay and rows that go, by keys of a tombstone table."""
     keys = tombstones.select(*on).distinct()
+    hot = group_pieces(target, on, skew)
     return (
-        spread_join(target, keys, on, "left_anti", skew=skew),
-        spread_join(target, keys, on, "left_semi", skew=skew),
+        spread_join(target, keys, on, "left_anti", hot),
+        spread_join(target, keys, on, "left_semi", hot),
     )
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opsflow.operators.skew import DEFAULT, Skew, spread_join
+from opsflow.operators.skew import DEFAULT, Skew, group_pieces, spread_join
 from opsflow.operators.windows import top_n_per_key, with_group_total
 
 
@@ -82,16 +82,26 @@ def attach_agg(
     on: Sequence[str],
     aggregates: Sequence[Column],
     skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
-    """Correlated scalar aggregates: ``other`` is aggregated per key, then joined."""
-    return spread_join(df, other.groupBy(*on).agg(*aggregates), on, "left", skew=skew)
+    """Correlated scalar aggregates: ``other`` is aggregated per key, then joined.
+
+    Hot keys are looked for in ``basis``, by default ``df`` itself.
+    """
+    hot = group_pieces(df if basis is None else basis, on, skew)
+    return spread_join(df, other.groupBy(*on).agg(*aggregates), on, "left", hot)
 
 
 def not_in_ledger(
-    df: DataFrame, ledger: DataFrame, on: Sequence[str], skew: Skew = DEFAULT
+    df: DataFrame,
+    ledger: DataFrame,
+    on: Sequence[str],
+    skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose key the ledger lacks. Null keys are never in the ledger."""
-    return spread_join(df, ledger.select(*on).distinct(), on, "left_anti", skew=skew)
+    hot = group_pieces(df if basis is None else basis, on, skew)
+    return spread_join(df, ledger.select(*on).distinct(), on, "left_anti", hot)
 
 
 def not_in_ledgers(
@@ -100,16 +110,22 @@ def not_in_ledgers(
     skew: Skew = DEFAULT,
 ) -> DataFrame:
     """Rows that none of several ledgers holds, each with its own key."""
+    basis = df
     for ledger, on in ledgers:
-        df = not_in_ledger(df, ledger, on, skew)
+        df = not_in_ledger(df, ledger, on, skew, basis)
     return df
 
 
 def restrict_to(
-    df: DataFrame, keys: DataFrame, on: Sequence[str], skew: Skew = DEFAULT
+    df: DataFrame,
+    keys: DataFrame,
+    on: Sequence[str],
+    skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys``."""
-    return spread_join(df, keys.select(*on).distinct(), on, "left_semi", skew=skew)
+    hot = group_pieces(df if basis is None else basis, on, skew)
+    return spread_join(df, keys.select(*on).distinct(), on, "left_semi", hot)
 
 
 def keys_having(df: DataFrame, keys: Sequence[str], agg: Column, condition: str) -> DataFrame:
@@ -132,10 +148,8 @@ def conflicting_rows(
     A key conflicts when its lowest and highest value differ, so the pairs of a
     self join are never formed.
     """
-    spread = with_group_total(
-        df, [key], [F.min(col).alias("_lowest"), F.max(col).alias("_highest")], skew
-    )
-    return spread.where(
+    bounds = {"_lowest": F.min(col), "_highest": F.max(col)}
+    return with_group_total(df, [key], bounds, skew).where(
         F.col(key).isNotNull()
         & F.col(col).isNotNull()
         & (F.col("_lowest") != F.col("_highest"))
@@ -176,11 +190,11 @@ def exists_other(
     counted = with_group_total(
         df,
         on,
-        [
-            F.count_if(among & F.col(col).isNull()).alias("_unknown"),
-            F.min(value).alias("_lowest"),
-            F.max(value).alias("_highest"),
-        ],
+        {
+            "_unknown": F.count_if(among & F.col(col).isNull()),
+            "_lowest": F.min(value),
+            "_highest": F.max(value),
+        },
         skew,
     )
     differs = F.coalesce(
@@ -198,9 +212,9 @@ def differs_from_first(
 
     Where row 1 is missing or has no value, the others are dropped.
     """
-    first = F.max(F.when(F.col(seq) == 1, F.col(col))).alias("_first")
+    first = F.max(F.when(F.col(seq) == 1, F.col(col)))
     return (
-        with_group_total(df, keys, [first], skew)
+        with_group_total(df, keys, {"_first": first}, skew)
         .where((F.col(seq) == 1) | (F.col(col) != F.col("_first")))
         .drop("_first")
     )

@@ -7,7 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opsflow.operators.skew import DEFAULT, Order, Skew, spread_join
+from opsflow.operators.joins import not_in_ledger
+from opsflow.operators.skew import DEFAULT, Order, Skew, group_pieces, spread_join
 from opsflow.operators.windows import top1
 
 
@@ -28,9 +29,11 @@ def match_first(
     on: Sequence[str],
     order_by: Sequence[Order],
     skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Each left row with the first right row of its key; none, no output row."""
-    return spread_join(left, top1(right, on, order_by), on, "inner", skew=skew)
+    hot = group_pieces(left if basis is None else basis, on, skew)
+    return spread_join(left, top1(right, on, order_by), on, "inner", hot)
 
 
 def match_precedence(
@@ -48,10 +51,10 @@ def match_precedence(
     """
     parts = []
     open_rows = base
-    for name, source, on in ranked:
+    for number, (name, source, on) in enumerate(ranked):
         parts.append(match_all(open_rows, source, on).withColumn(tag, F.lit(name)))
-        seen = source.select(*on).distinct()
-        open_rows = spread_join(open_rows, seen, on, "left_anti", skew=skew)
+        if number + 1 < len(ranked):
+            open_rows = not_in_ledger(open_rows, source, on, skew, basis=base)
     for name, source, on in extra:
         parts.append(match_all(base, source, on).withColumn(tag, F.lit(name)))
     return reduce(DataFrame.unionByName, parts)

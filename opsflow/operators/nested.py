@@ -12,10 +12,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsflow.functions import dates, nested as nf, numbers, predicates, text
-from opsflow.operators.skew import DEFAULT, Order, Skew, range_pieces, sort_columns, spread_join
+from opsflow.operators.skew import (
+    DEFAULT,
+    Order,
+    Skew,
+    group_pieces,
+    range_pieces,
+    sort_columns,
+    spread_join,
+)
 from opsflow.operators.windows import last_unless_default
 
 PART_ROWS = 10_000
+LINE_COLUMNS = ["order_nbr", "line_nbr", "inventory_cd", "line_qty", "warehouse"]
+SHIPMENT_COLUMNS = [
+    "order_nbr", "line_nbr", "shipment_nbr", "ship_line_nbr", "ship_date", "ship_status", "ship_line_qty",
+]
 
 
 def collect_parts(
@@ -28,26 +40,31 @@ def collect_parts(
     carry: Sequence[Column] = (),
     weight: Column | None = None,
     skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
+    cut_by: Sequence[Order] | None = None,
 ) -> DataFrame:
     """Rows of each group as an array along ``order_by``.
 
     Output: ``keys, piece, part, carry..., out, weight``. A group of up to
     ``part_rows`` rows (or that much ``weight``) gives one row. The one shuffle
-    on (keys, piece) serves both the running sum and the collect.
+    on (keys, piece) serves both the running sum and the collect. Hot groups are
+    cut along ``cut_by``, leading columns of ``order_by`` that ``basis`` has.
     """
     keys = list(keys)
-    pieces, _ = range_pieces(df, keys, order_by, skew)
-    along = Window.partitionBy(*keys, "_piece").orderBy(*sort_columns(order_by))
+    rows, bounds = range_pieces(df, keys, cut_by or order_by, skew, basis)
+    cut = [] if bounds is None else ["_piece"]
+    piece = F.lit(0) if bounds is None else F.col("_piece")
+    along = Window.partitionBy(*keys, *cut).orderBy(*sort_columns(order_by))
     running = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = F.lit(1) if weight is None else weight
     return (
-        pieces.withColumn("_weight", own.cast("bigint"))
+        rows.withColumn("_weight", own.cast("bigint"))
         .withColumn("_at", F.row_number().over(along))
         .withColumn(
             "_part",
             F.floor((F.sum("_weight").over(running) - F.col("_weight")) / part_rows),
         )
-        .groupBy(*keys, F.col("_piece").alias("piece"), F.col("_part").alias("part"))
+        .groupBy(*keys, piece.alias("piece"), F.col("_part").alias("part"))
         .agg(
             *carry,
             F.array_sort(F.collect_list(F.struct("_at", element.alias("_element")))).alias("_rows"),
@@ -58,11 +75,6 @@ def collect_parts(
     )
 
 
-def document_skew(skew: Skew, part_rows: int) -> Skew:
-    """Document rows are ``part_rows`` times as heavy as plain ones."""
-    return Skew(skew.pieces, max(1, skew.min_rows // part_rows))
-
-
 # -- flattening ------------------------------------------------------------
 
 
@@ -287,59 +299,68 @@ def nest_orders(
     belong to (order, shipment), so all lines of a shipment repeat them.
     Orders without detail keep an empty list.
     """
-    docs = document_skew(skew, part_rows)
+    ship_key, line_key = ["order_nbr", "shipment_nbr"], ["order_nbr", "line_nbr"]
     packages = collect_parts(
         detail.where(F.col("shipment_nbr").isNotNull())
-        .select("order_nbr", "shipment_nbr", "tracking", "tracking_created")
+        .select(*ship_key, "tracking", "tracking_created")
         .distinct(),
-        ["order_nbr", "shipment_nbr"],
+        ship_key,
         ["tracking", "tracking_created"],
         F.struct("tracking", "tracking_created"),
         "packages",
         part_rows,
         skew=skew,
-    )
+        basis=detail,
+    ).drop("weight")
     package_type = packages.schema["packages"].dataType.simpleString()
     shipments = spread_join(
-        detail.select(
-            "order_nbr", "line_nbr", "shipment_nbr", "ship_line_nbr", "ship_date",
-            "ship_status", "ship_line_qty",
-        ).distinct(),
+        detail.select(*SHIPMENT_COLUMNS).distinct(),
         packages,
-        ["order_nbr", "shipment_nbr"],
+        ship_key,
         "left",
-        skew=skew,
-    ).withColumn("packages", F.coalesce("packages", F.array().cast(package_type)))
+        group_pieces(detail, ship_key, skew),
+    ).withColumns(
+        {
+            "packages": F.coalesce("packages", F.array().cast(package_type)),
+            "_piece_of": F.col("piece"),
+            "_part_of": F.col("part"),
+        }
+    ).drop("piece", "part")
     by_line = collect_parts(
         shipments,
-        ["order_nbr", "line_nbr"],
-        ["shipment_nbr", "ship_line_nbr", "ship_date", "ship_status", "ship_line_qty", "piece", "part"],
-        F.struct("shipment_nbr", "ship_line_nbr", "ship_date", "ship_status", "ship_line_qty", "packages"),
+        line_key,
+        [*SHIPMENT_COLUMNS[2:], "_piece_of", "_part_of"],
+        F.struct(*SHIPMENT_COLUMNS[2:], "packages"),
         "shipments",
         part_rows,
         weight=F.lit(1) + F.size("packages"),
-        skew=docs,
-    )
+        skew=skew,
+        basis=detail,
+        cut_by=SHIPMENT_COLUMNS[2:],
+    ).withColumnsRenamed({"piece": "_piece_of", "part": "_part_of", "weight": "_leaves"})
     lines = spread_join(
-        detail.select("order_nbr", "line_nbr", "inventory_cd", "line_qty", "warehouse").distinct(),
+        detail.select(*LINE_COLUMNS).distinct(),
         by_line,
-        ["order_nbr", "line_nbr"],
+        line_key,
         "left",
-        skew=skew,
+        group_pieces(detail, line_key, skew),
     )
     by_order = collect_parts(
         lines,
         ["order_nbr"],
-        ["line_nbr", "inventory_cd", "line_qty", "warehouse", "piece", "part"],
-        F.struct("line_nbr", "inventory_cd", "line_qty", "warehouse", "shipments"),
+        [*LINE_COLUMNS[1:], "_piece_of", "_part_of"],
+        F.struct(*LINE_COLUMNS[1:], "shipments"),
         "line_items",
         part_rows,
-        weight=F.lit(1) + F.coalesce("weight", F.lit(0)),
-        skew=docs,
+        weight=F.lit(1) + F.coalesce("_leaves", F.lit(0)),
+        skew=skew,
+        basis=detail,
+        cut_by=LINE_COLUMNS[1:],
     ).drop("weight")
     line_type = by_order.schema["line_items"].dataType.simpleString()
-    filled = spread_join(by_order, orders, ["order_nbr"], "inner", skew=docs)
-    empty = orders.join(by_order.select("order_nbr").distinct(), "order_nbr", "left_anti").withColumns(
+    hot = group_pieces(detail, ["order_nbr"], skew)
+    filled = spread_join(by_order, orders, ["order_nbr"], "inner", hot)
+    empty = orders.join(detail.select("order_nbr").distinct(), "order_nbr", "left_anti").withColumns(
         {
             "piece": F.lit(0),
             "part": F.lit(0).cast("bigint"),
@@ -391,7 +412,9 @@ def package_documents(
         "packages",
         part_rows,
         weight=F.col("weight"),
-        skew=document_skew(skew, part_rows),
+        skew=skew,
+        basis=matched,
+        cut_by=["tracking"],
     ).drop("weight")
 
 
@@ -434,7 +457,8 @@ def order_documents(
         lines, key, order_by, F.struct("item", "qty", "level"), "_lines", part_rows,
         carry=[first.alias("_head")], skew=skew,
     )
-    docs = spread_join(docs, level, key, "left", skew=document_skew(skew, part_rows))
+    hot = group_pieces(lines, key, skew)
+    docs = spread_join(docs, level, key, "left", hot)
     one, two = F.get("_lines", F.lit(0)), F.get("_lines", F.lit(1))
     whole_group = (F.col("piece") == 0) & (F.col("part") == 0)
     merges = whole_group & (F.size("_lines") == 2) & (one["item"] == two["item"])

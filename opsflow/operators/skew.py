@@ -2,15 +2,21 @@
 
 A group (an order, a tracking number, a blank reference ...) may hold a third
 of a table. A window, a join or a collect on its key would then put a third of
-the data in one task. The helpers here cut such groups into pieces:
+the data in one task. The helpers here find such groups and cut them into pieces:
 
 * ``group_pieces``  finds the groups to cut and into how many pieces;
-* ``spread_join``   joins a fact with a one-row-per-key side, salting only them;
+* ``spread_join``   joins a fact with a small-per-key side, salting only them;
 * ``range_pieces``  cuts them along an order, so sequence numbers stay exact.
 
 A group is cut once it holds more than ``1 / Skew.pieces`` of all rows, so there
 are at most ``Skew.pieces`` of them, and at most twice as many pieces in total.
 That bound, not a guess, is what lets their list be broadcast.
+
+The search is a job of its own: a count, then a map-side combined count per key
+over the key columns. Only its tiny result is kept, as a written table. Where it
+finds nothing, the operators use the plain Spark plan (one window, one join).
+Where the frame at hand is costly, operators take a ``basis``: a plain scan with
+the same keys to search in.
 """
 
 from __future__ import annotations
@@ -20,6 +26,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from opsflow.session import settle
+
 Order = str | tuple[str, str]
 SAMPLES_PER_PIECE = 32
 
@@ -54,14 +62,6 @@ def sort_columns(order_by: Sequence[Order]) -> list[Column]:
     ]
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all keys: groups, unlike joins, include nulls."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on null-safe keys, keeping one copy of them (the left one)."""
     renamed = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
@@ -71,21 +71,26 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "l
     return left.join(renamed, condition, how).drop(*[f"_r_{key}" for key in keys])
 
 
-def pieces_of(counts: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT) -> DataFrame:
-    """``keys, _rows, _pieces`` of the groups to cut, from ``keys, _rows``.
-
-    The threshold is a scalar subquery over the counts, whose shuffle is reused.
-    """
-    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
-    limit = F.greatest(F.lit(float(skew.min_rows)), total / F.lit(float(skew.pieces)))
-    return counts.where(F.col("_rows") > limit).select(
-        *keys, "_rows", F.ceil(F.col("_rows") / limit).cast("int").alias("_pieces")
-    )
+FIND = object()
 
 
-def group_pieces(df: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT) -> DataFrame:
-    """As ``pieces_of``, counting the rows of ``df`` (map-side, keys only)."""
-    return pieces_of(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys, skew)
+def group_pieces(
+    df: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT
+) -> DataFrame | None:
+    """``keys, _rows, _pieces`` of the groups to cut, or None if there are none."""
+    narrow = df.select(*keys)
+    total = narrow.count()
+    limit = max(float(skew.min_rows), total / skew.pieces)
+    if total <= limit:
+        return None
+    hot = (
+        narrow.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > limit)
+        .withColumn("_pieces", F.ceil(F.col("_rows") / F.lit(limit)).cast("int"))
+    )
+    settled = settle(hot, "hot")
+    return None if settled.isEmpty() else settled
 
 
 def spread_join(
@@ -93,25 +98,28 @@ def spread_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    pieces: DataFrame | None = None,
+    hot: DataFrame | None | object = FIND,
     null_safe: bool = False,
     skew: Skew = DEFAULT,
 ) -> DataFrame:
-    """Join ``left``, whose keys may be hot, with ``right``, unique per key.
+    """Join ``left``, whose keys may be hot, with ``right``, few rows per key.
 
+    ``hot`` is the result of ``group_pieces``, searched in ``left`` if not given.
     Rows of hot keys get a salt; the matching right rows are repeated once per
     salt, all others once. The salt depends only on the row and its partition,
     so a rerun task sends every row to the same place again.
     """
     keys = list(keys)
-    if pieces is None:
-        pieces = group_pieces(left, keys, skew)
-    hot = F.broadcast(pieces.select(*keys, "_pieces"))
+    if hot is FIND:
+        hot = group_pieces(left, keys, skew)
+    if hot is None:
+        return attach(left, right, keys, how) if null_safe else left.join(right, keys, how)
+    few = F.broadcast(hot.select(*keys, "_pieces"))
     spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.col("_pieces"))
-    salted = attach(left, hot, keys).withColumn(
+    salted = attach(left, few, keys).withColumn(
         "_salt", F.coalesce(spread.cast("int"), F.lit(0))
     ).drop("_pieces")
-    repeated = attach(right, hot, keys).withColumn(
+    repeated = attach(right, few, keys).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
     ).drop("_pieces")
     if null_safe:
@@ -147,22 +155,27 @@ def _piece_number(order_by: Sequence[Order], skew: Skew) -> Column:
 
 
 def range_pieces(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Order], skew: Skew = DEFAULT
-) -> tuple[DataFrame, DataFrame]:
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[Order],
+    skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
     """Cut hot groups into consecutive ranges of ``order_by``.
 
-    Returns ``df`` with a ``_piece`` number (0 in every ordinary group) and the
-    ``keys, _piece, _count`` of the pieces of hot groups. ``order_by`` must tell
+    Returns ``df`` with a ``_piece`` number, and the ``keys, _bounds`` used, or
+    ``df`` as it is and None if no group needs cutting. ``order_by`` must tell
     the rows of one group apart; equal rows stay in one piece.
 
-    Bounds come from a hash-selected sample of the hot rows. They depend only
-    on the data, so both results agree wherever they are computed, and they
-    steer balance only: any bounds give the same sequence numbers.
+    Bounds come from a hash-selected sample of the hot rows of ``basis`` (by
+    default ``df``). They steer balance only: any bounds give the same result.
     """
     keys = list(keys)
     names = [name for name, _ in order_terms(order_by)]
-    hot = group_pieces(df, keys, skew)
-    narrow = df.select(*dict.fromkeys([*keys, *names]))
+    narrow = (df if basis is None else basis).select(*dict.fromkeys([*keys, *names]))
+    hot = group_pieces(narrow, keys, skew)
+    if hot is None:
+        return df, None
     every = F.greatest(
         F.lit(1), F.floor(F.col("_rows") / (F.col("_pieces") * SAMPLES_PER_PIECE))
     )
@@ -179,15 +192,16 @@ def range_pieces(
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(F.struct("_rank", *names))).alias("_bounds"))
     )
-    with_piece = (
+    bounds = settle(bounds, "bounds")
+    return with_piece(df, keys, order_by, bounds, skew), bounds
+
+
+def with_piece(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Order], bounds: DataFrame, skew: Skew
+) -> DataFrame:
+    """The ``_piece`` of every row, 0 in groups without bounds."""
+    return (
         attach(df, F.broadcast(bounds), keys)
         .withColumn("_piece", _piece_number(order_by, skew))
         .drop("_bounds")
     )
-    counts = (
-        attach(narrow, F.broadcast(bounds), keys, "inner")
-        .withColumn("_piece", _piece_number(order_by, skew))
-        .groupBy(*keys, "_piece")
-        .agg(F.count(F.lit(1)).alias("_count"))
-    )
-    return with_piece, counts

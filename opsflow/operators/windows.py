@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -11,10 +11,11 @@ from opsflow.operators.skew import (
     Order,
     Skew,
     attach,
-    pieces_of,
+    group_pieces,
     range_pieces,
     sort_columns,
     spread_join,
+    with_piece,
 )
 
 
@@ -43,24 +44,36 @@ def with_sequence(
     order_by: Sequence[Order],
     out: str = "seq",
     skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1 along ``order_by``.
 
     Hot groups are numbered piece by piece, plus the rows of the pieces before.
     """
     keys = list(keys)
-    pieces, counts = range_pieces(df, keys, order_by, skew)
+    rows, bounds = range_pieces(df, keys, order_by, skew, basis)
+    number = F.row_number()
+    if bounds is None:
+        plain = Window.partitionBy(*keys).orderBy(*sort_columns(order_by))
+        return rows.withColumn(out, number.over(plain).cast("bigint"))
+    local = Window.partitionBy(*keys, "_piece").orderBy(*sort_columns(order_by))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = counts.select(
-        *keys, "_piece", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_before")
+    # rows per piece of the hot groups: at most two pieces per Skew.pieces
+    source = attach(df if basis is None else basis, F.broadcast(bounds.select(*keys)), keys, "inner")
+    offsets = (
+        with_piece(source, keys, order_by, bounds, skew)
+        .groupBy(*keys, "_piece")
+        .agg(F.count(F.lit(1)).alias("_count"))
+        .select(*keys, "_piece", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_before"))
     )
-    local = Window.partitionBy(*keys, "_piece").orderBy(*sort_columns(order_by))
-    numbered = pieces.withColumn(out, F.row_number().over(local).cast("bigint"))
-    # at most two pieces per Skew.pieces: bounded, see the module text of skew
     return (
-        attach(numbered, F.broadcast(offsets), [*keys, "_piece"])
+        attach(
+            rows.withColumn(out, number.over(local).cast("bigint")),
+            F.broadcast(offsets),
+            [*keys, "_piece"],
+        )
         .withColumn(out, F.col(out) + F.coalesce(F.col("_before"), F.lit(0)))
         .drop("_piece", "_before")
     )
@@ -69,17 +82,24 @@ def with_sequence(
 def with_group_total(
     df: DataFrame,
     keys: Sequence[str],
-    aggregates: Sequence[Column],
+    aggregates: Mapping[str, Column],
     skew: Skew = DEFAULT,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
-    """Add whole-group aggregates to every row, like a window without order.
+    """Add whole-group aggregates ``{name: aggregate}`` to every row.
 
-    Aggregated first (map-side partials) and joined back with salted hot keys.
+    Without hot groups a plain window. Else aggregated first (map-side partials)
+    and joined back with salted hot keys; ``basis`` then stands for ``df`` in the
+    aggregation.
     """
     keys = list(keys)
-    totals = df.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("_rows"))
-    pieces = pieces_of(totals.select(*keys, "_rows"), keys, skew)
-    return spread_join(df, totals.drop("_rows"), keys, "left", pieces, null_safe=True)
+    narrow = df if basis is None else basis
+    hot = group_pieces(narrow, keys, skew)
+    if hot is None:
+        over = Window.partitionBy(*keys)
+        return df.withColumns({name: agg.over(over) for name, agg in aggregates.items()})
+    totals = narrow.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggregates.items()])
+    return spread_join(df, totals, keys, "left", hot, null_safe=True)
 
 
 def last_unless_default(
@@ -134,18 +154,17 @@ def completion_label(
     """
     pending = F.col(pending_status).isNull()
     status = F.when(pending, F.col(source_status))
-    with_total = with_group_total(
-        df, [group, item], [F.sum(qty).alias("_item_total")], skew
-    )
+    with_total = with_group_total(df, [group, item], {"_item_total": F.sum(qty)}, skew)
     with_pending = with_group_total(
         with_total,
         [group],
-        [
-            F.count_if(pending & F.col(source_status).isNull()).alias("_unknown"),
-            F.min(status).alias("_lowest"),
-            F.max(status).alias("_highest"),
-        ],
+        {
+            "_unknown": F.count_if(pending & F.col(source_status).isNull()),
+            "_lowest": F.min(status),
+            "_highest": F.max(status),
+        },
         skew,
+        basis=df,
     )
     own = F.col(source_status)
     other = (F.col("_unknown") > 0) | F.coalesce(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. They tune, they never change a result, apart
 # from the zone: wall-clock text is read and written in UTC.
@@ -38,3 +38,15 @@ def scratch(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="opsflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/opsflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back.
+
+    Cuts the lineage of results that several plans use, so they are computed
+    once, are the same everywhere, and survive the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
