@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from opsflow.operators.skew import Order
 from opsflow.operators.tables import TableSpec, conform, fold
@@ -64,7 +64,7 @@ def sync_stream(
 
 def current_state(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """The table behind a folder of changes: later batches win."""
-    schema = spec.schema.add("batch", "bigint")
+    schema = spec.schema.add("batch", LongType())
     return fold(spark.read.schema(schema).parquet(path), spec, ["batch"])
 
 
