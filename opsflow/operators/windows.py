@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsflow.operators.skew import (
     DEFAULT,
+    FIND,
     Order,
     Skew,
     attach,
@@ -85,16 +86,18 @@ def with_group_total(
     aggregates: Mapping[str, Column],
     skew: Skew = DEFAULT,
     basis: DataFrame | None = None,
+    hot: DataFrame | None | object = FIND,
 ) -> DataFrame:
     """Add whole-group aggregates ``{name: aggregate}`` to every row.
 
     Without hot groups a plain window. Else aggregated first (map-side partials)
     and joined back with salted hot keys; ``basis`` then stands for ``df`` in the
-    aggregation.
+    aggregation. ``hot`` is the result of ``group_pieces`` if already known.
     """
     keys = list(keys)
     narrow = df if basis is None else basis
-    hot = group_pieces(narrow, keys, skew)
+    if hot is FIND:
+        hot = group_pieces(narrow, keys, skew)
     if hot is None:
         over = Window.partitionBy(*keys)
         return df.withColumns({name: agg.over(over) for name, agg in aggregates.items()})

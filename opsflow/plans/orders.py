@@ -16,6 +16,7 @@ from opsflow.functions import fixed, numbers, predicates as p, text
 from opsflow.operators import aggregates, joins, rows
 from opsflow.operators.joins import Lookup, enrich
 from opsflow.operators.nested import collect_parts
+from opsflow.operators.skew import FIND, group_pieces
 from opsflow.operators.windows import with_group_total
 
 Erp = Mapping[str, DataFrame]
@@ -304,8 +305,10 @@ def tracked_shipments(
         },
     )
     wide = joins.lookup_code(wide, erp["status_lookup"], "SOShipment", "status", "ship_status", "inner")
+    # packages are parts of shipments: without a hot shipment no package is hot
+    hot = None if group_pieces(erp["shipment_line"], ["shipment_nbr"]) is None else FIND
     valued = with_group_total(
-        wide, ["shipment_nbr", "orig_order_nbr", "track_number"], {"_value": F.sum("line_amt")}
+        wide, ["shipment_nbr", "orig_order_nbr", "track_number"], {"_value": F.sum("line_amt")}, hot=hot
     )
     customer = p.prefer_filled(F.col("s_attention"), F.col("s_full_name"))
     tracking = text.clean_tracking(F.col("track_number"), fixed.TRACKING_PREFIXES)
@@ -627,7 +630,8 @@ def orders_with_lines(
     )
     docs = collect_parts(
         line_rows, ["order_nbr"], ["line_nbr", "inventory_cd", "qty", "item_descr"],
-        F.struct("line_nbr", "inventory_cd", "item_descr", "qty"), "_lines", basis=None,
+        F.struct("line_nbr", "inventory_cd", "item_descr", "qty"), "_lines", basis=erp["order_line"],
+        cut_by=["line_nbr"],
     )
     wide = enrich(wide, [Lookup(docs, {"order_nbr": "order_nbr"}, {"_lines": "_lines", "piece": "piece", "part": "part"})])
     by_person = (F.col("order_type") == return_type) | F.col("_sp_cd").isNotNull()
