@@ -1,4 +1,4 @@
-from opsflow.catalog import datasets, documents, extracts, functions, groups, updates  # noqa: F401
+from opsflow.catalog import datasets, documents, extracts, functions, groups, partners, updates  # noqa: F401
 from opsflow.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
