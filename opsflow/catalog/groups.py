@@ -10,6 +10,7 @@ from opsflow.catalog.base import LINE_KEY, Tables, cents, day_text, flag, query
 from opsflow.functions import dates, predicates as p, text
 from opsflow.operators import aggregates, joins, matching, windows
 from opsflow.operators.joins import Lookup
+from opsflow.operators.skew import group_pieces
 
 AS_OF = datetime(2024, 1, 31)
 
@@ -158,14 +159,14 @@ def exists_other(t: Tables) -> DataFrame:
 def package_numbers(t: Tables) -> DataFrame:
     order = ["l_linenumber", "l_partkey", "l_suppkey"]
     lines = t.lineitem.select(*LINE_KEY, "l_linestatus")
-    numbered = windows.with_sequence(lines, ["l_orderkey", "l_linestatus"], order, "num")
-    numbered = windows.with_sequence(numbered, ["l_orderkey"], order, "package_num", basis=lines)
-    counted = joins.attach_agg(
-        numbered, lines, ["l_orderkey", "l_linestatus"], [F.count(F.lit(1)).alias("items_on_package")], basis=lines
-    )
-    return joins.attach_agg(
-        counted, lines, ["l_orderkey"], [F.count(F.lit(1)).alias("max_package_num")], basis=lines
-    )
+    package, shipment = ["l_orderkey", "l_linestatus"], ["l_orderkey"]
+    hot = group_pieces(lines, shipment)
+    hot_package = None if hot is None else group_pieces(lines, package)
+    count = F.count(F.lit(1))
+    result = windows.with_sequence(lines, package, order, "num", hot=hot_package)
+    result = windows.with_group_total(result, package, {"items_on_package": count}, basis=lines, hot=hot_package)
+    result = windows.with_sequence(result, shipment, order, "package_num", basis=lines, hot=hot)
+    return windows.with_group_total(result, shipment, {"max_package_num": count}, basis=lines, hot=hot)
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsflow.functions import text
 from opsflow.operators.joins import Lookup, enrich
-from opsflow.operators.skew import DEFAULT, Skew, group_pieces, spread_join
+from opsflow.operators.skew import DEFAULT, FIND, Skew, group_pieces, spread_join
 
 
 def full_diff_join(
@@ -80,13 +80,18 @@ def changed_blocks(
 
 
 def changed_payloads(
-    df: DataFrame, ledger: DataFrame, keys: Sequence[str], payload: str, skew: Skew = DEFAULT
+    df: DataFrame,
+    ledger: DataFrame,
+    keys: Sequence[str],
+    payload: str,
+    skew: Skew = DEFAULT,
+    hot: DataFrame | None | object = FIND,
 ) -> DataFrame:
     """Rows never sent, or sent with another payload. Digests are compared, so
     the ledger's payload text never crosses the network.
 
     Without a ledger row everything is sent. With several, one that differs is
-    enough to send.
+    enough to send. Pass ``hot=None`` where ``keys`` are unique in ``df``.
     """
     digests = (
         ledger.select(*keys, F.sha2(payload, 256).alias("_sent"))
@@ -96,7 +101,7 @@ def changed_payloads(
     own = F.sha2(payload, 256)
     differs = (own != F.col("_low")) | (own != F.col("_high"))
     return (
-        spread_join(df, digests, keys, "left", skew=skew)
+        spread_join(df, digests, keys, "left", hot, skew=skew)
         .where(F.col("_known").isNull() | differs)
         .drop("_low", "_high", "_known")
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opsflow.operators.skew import DEFAULT, Skew, group_pieces, spread_join
+from opsflow.operators.skew import DEFAULT, FIND, Skew, group_pieces, spread_join
 from opsflow.operators.windows import top_n_per_key, with_group_total
 
 
@@ -83,12 +83,14 @@ def attach_agg(
     aggregates: Sequence[Column],
     skew: Skew = DEFAULT,
     basis: DataFrame | None = None,
+    hot: DataFrame | None | object = FIND,
 ) -> DataFrame:
     """Correlated scalar aggregates: ``other`` is aggregated per key, then joined.
 
     Hot keys are looked for in ``basis``, by default ``df`` itself.
     """
-    hot = group_pieces(df if basis is None else basis, on, skew)
+    if hot is FIND:
+        hot = group_pieces(df if basis is None else basis, on, skew)
     return spread_join(df, other.groupBy(*on).agg(*aggregates), on, "left", hot)
 
 
@@ -98,9 +100,11 @@ def not_in_ledger(
     on: Sequence[str],
     skew: Skew = DEFAULT,
     basis: DataFrame | None = None,
+    hot: DataFrame | None | object = FIND,
 ) -> DataFrame:
     """Rows whose key the ledger lacks. Null keys are never in the ledger."""
-    hot = group_pieces(df if basis is None else basis, on, skew)
+    if hot is FIND:
+        hot = group_pieces(df if basis is None else basis, on, skew)
     return spread_join(df, ledger.select(*on).distinct(), on, "left_anti", hot)
 
 
@@ -122,9 +126,11 @@ def restrict_to(
     on: Sequence[str],
     skew: Skew = DEFAULT,
     basis: DataFrame | None = None,
+    hot: DataFrame | None | object = FIND,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys``."""
-    hot = group_pieces(df if basis is None else basis, on, skew)
+    if hot is FIND:
+        hot = group_pieces(df if basis is None else basis, on, skew)
     return spread_join(df, keys.select(*on).distinct(), on, "left_semi", hot)
 
 

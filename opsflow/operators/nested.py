@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from opsflow.functions import dates, nested as nf, numbers, predicates, text
 from opsflow.operators.skew import (
     DEFAULT,
+    FIND,
     Order,
     Skew,
+    finer,
     group_pieces,
     range_pieces,
     sort_columns,
@@ -42,6 +44,7 @@ def collect_parts(
     skew: Skew = DEFAULT,
     basis: DataFrame | None = None,
     cut_by: Sequence[Order] | None = None,
+    hot: DataFrame | None | object = FIND,
 ) -> DataFrame:
     """Rows of each group as an array along ``order_by``.
 
@@ -51,7 +54,7 @@ def collect_parts(
     cut along ``cut_by``, leading columns of ``order_by`` that ``basis`` has.
     """
     keys = list(keys)
-    rows, bounds = range_pieces(df, keys, cut_by or order_by, skew, basis)
+    rows, bounds = range_pieces(df, keys, cut_by or order_by, skew, basis, hot)
     cut = [] if bounds is None else ["_piece"]
     piece = F.lit(0) if bounds is None else F.col("_piece")
     along = Window.partitionBy(*keys, *cut).orderBy(*sort_columns(order_by))
@@ -300,6 +303,9 @@ def nest_orders(
     Orders without detail keep an empty list.
     """
     ship_key, line_key = ["order_nbr", "shipment_nbr"], ["order_nbr", "line_nbr"]
+    hot = group_pieces(detail, ["order_nbr"], skew)
+    hot_shipments = hot if hot is None else group_pieces(detail, ship_key, skew)
+    hot_lines = hot if hot is None else group_pieces(detail, line_key, skew)
     packages = collect_parts(
         detail.where(F.col("shipment_nbr").isNotNull())
         .select(*ship_key, "tracking", "tracking_created")
@@ -311,6 +317,7 @@ def nest_orders(
         part_rows,
         skew=skew,
         basis=detail,
+        hot=hot_shipments,
     ).drop("weight")
     package_type = packages.schema["packages"].dataType.simpleString()
     shipments = spread_join(
@@ -318,7 +325,7 @@ def nest_orders(
         packages,
         ship_key,
         "left",
-        group_pieces(detail, ship_key, skew),
+        hot_shipments,
     ).withColumns(
         {
             "packages": F.coalesce("packages", F.array().cast(package_type)),
@@ -337,13 +344,14 @@ def nest_orders(
         skew=skew,
         basis=detail,
         cut_by=SHIPMENT_COLUMNS[2:],
+        hot=hot_lines,
     ).withColumnsRenamed({"piece": "_piece_of", "part": "_part_of", "weight": "_leaves"})
     lines = spread_join(
         detail.select(*LINE_COLUMNS).distinct(),
         by_line,
         line_key,
         "left",
-        group_pieces(detail, line_key, skew),
+        hot_lines,
     )
     by_order = collect_parts(
         lines,
@@ -356,9 +364,9 @@ def nest_orders(
         skew=skew,
         basis=detail,
         cut_by=LINE_COLUMNS[1:],
+        hot=hot,
     ).drop("weight")
     line_type = by_order.schema["line_items"].dataType.simpleString()
-    hot = group_pieces(detail, ["order_nbr"], skew)
     filled = spread_join(by_order, orders, ["order_nbr"], "inner", hot)
     empty = orders.join(detail.select("order_nbr").distinct(), "order_nbr", "left_anti").withColumns(
         {
@@ -382,6 +390,7 @@ def package_documents(
 
     ``matched`` has ``shipment_nbr, tracking, inventory_cd, qty, split_line_nbr``.
     """
+    hot = group_pieces(matched, ["shipment_nbr"], skew)
     contents = collect_parts(
         matched,
         ["shipment_nbr", "tracking"],
@@ -395,6 +404,7 @@ def package_documents(
         "contents",
         part_rows,
         skew=skew,
+        hot=finer(hot),
     )
     package = F.struct(
         nf.wrapped(F.lit(box)).alias("BoxID"),
@@ -415,6 +425,7 @@ def package_documents(
         skew=skew,
         basis=matched,
         cut_by=["tracking"],
+        hot=hot,
     ).drop("weight")
 
 
@@ -451,13 +462,13 @@ def order_documents(
     summed quantity. The reference is kept for ``reference_type`` only.
     """
     key = ["shipment_nbr"]
+    hot = group_pieces(lines, key, skew)
     level = last_unless_default(lines, key, order_by, "level", default_level, "_chosen")
     first = F.min_by(F.struct("order_type", "customer_ref"), F.struct(*sort_key(order_by)))
     docs = collect_parts(
         lines, key, order_by, F.struct("item", "qty", "level"), "_lines", part_rows,
-        carry=[first.alias("_head")], skew=skew,
+        carry=[first.alias("_head")], skew=skew, hot=hot,
     )
-    hot = group_pieces(lines, key, skew)
     docs = spread_join(docs, level, key, "left", hot)
     one, two = F.get("_lines", F.lit(0)), F.get("_lines", F.lit(1))
     whole_group = (F.col("piece") == 0) & (F.col("part") == 0)

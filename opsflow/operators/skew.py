@@ -16,7 +16,7 @@ The search is a job of its own: a count, then a map-side combined count per key
 over the key columns. Only its tiny result is kept, as a written table. Where it
 finds nothing, the operators use the plain Spark plan (one window, one join).
 Where the frame at hand is costly, operators take a ``basis``: a plain scan with
-the same keys to search in.
+the same keys to search in, or ``hot``, the result of an earlier search.
 """
 
 from __future__ import annotations
@@ -93,6 +93,12 @@ def group_pieces(
     return None if settled.isEmpty() else settled
 
 
+def finer(hot: DataFrame | None) -> DataFrame | None | object:
+    """What a search result says about keys that refine the searched ones: where
+    no coarse group is hot, no finer one is, else they have to be searched."""
+    return None if hot is None else FIND
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -160,6 +166,7 @@ def range_pieces(
     order_by: Sequence[Order],
     skew: Skew = DEFAULT,
     basis: DataFrame | None = None,
+    hot: DataFrame | None | object = FIND,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Cut hot groups into consecutive ranges of ``order_by``.
 
@@ -173,7 +180,8 @@ def range_pieces(
     keys = list(keys)
     names = [name for name, _ in order_terms(order_by)]
     narrow = (df if basis is None else basis).select(*dict.fromkeys([*keys, *names]))
-    hot = group_pieces(narrow, keys, skew)
+    if hot is FIND:
+        hot = group_pieces(narrow, keys, skew)
     if hot is None:
         return df, None
     every = F.greatest(

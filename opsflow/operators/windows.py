@@ -12,6 +12,7 @@ from opsflow.operators.skew import (
     Order,
     Skew,
     attach,
+    finer,
     group_pieces,
     range_pieces,
     sort_columns,
@@ -46,13 +47,14 @@ def with_sequence(
     out: str = "seq",
     skew: Skew = DEFAULT,
     basis: DataFrame | None = None,
+    hot: DataFrame | None | object = FIND,
 ) -> DataFrame:
     """Number the rows of each group from 1 along ``order_by``.
 
     Hot groups are numbered piece by piece, plus the rows of the pieces before.
     """
     keys = list(keys)
-    rows, bounds = range_pieces(df, keys, order_by, skew, basis)
+    rows, bounds = range_pieces(df, keys, order_by, skew, basis, hot)
     number = F.row_number()
     if bounds is None:
         plain = Window.partitionBy(*keys).orderBy(*sort_columns(order_by))
@@ -155,9 +157,12 @@ def completion_label(
     The existence test needs only the count of null statuses and the lowest and
     highest status of pending rows: no pair of rows is ever formed.
     """
+    hot = group_pieces(df, [group], skew)
     pending = F.col(pending_status).isNull()
     status = F.when(pending, F.col(source_status))
-    with_total = with_group_total(df, [group, item], {"_item_total": F.sum(qty)}, skew)
+    with_total = with_group_total(
+        df, [group, item], {"_item_total": F.sum(qty)}, skew, hot=finer(hot)
+    )
     with_pending = with_group_total(
         with_total,
         [group],
@@ -168,6 +173,7 @@ def completion_label(
         },
         skew,
         basis=df,
+        hot=hot,
     )
     own = F.col(source_status)
     other = (F.col("_unknown") > 0) | F.coalesce(

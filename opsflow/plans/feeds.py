@@ -151,7 +151,7 @@ def order_documents(orders: DataFrame, detail: DataFrame, ledger: DataFrame, par
     payload = F.to_json(F.struct(*[c for c in docs.columns if c not in ("piece", "part")]))
     return changes.changed_payloads(
         docs.withColumn("payload", payload).withColumn("decoded_status", F.col("order_status")),
-        ledger, ["order_nbr", "decoded_status", "piece", "part"], "payload",
+        ledger, ["order_nbr", "decoded_status", "piece", "part"], "payload", hot=None,
     )
 
 

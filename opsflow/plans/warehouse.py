@@ -13,6 +13,7 @@ from opsflow.operators.joins import Lookup, enrich
 from opsflow.operators.skew import Order, group_pieces
 from opsflow.operators.tables import TableSpec
 from opsflow.operators.windows import completion_label, with_group_total, with_sequence
+from opsflow.session import settle
 
 
 def tracked_shipments_view(
@@ -145,24 +146,22 @@ def ready_shipments(
         fulfil, "shipment_nbr", "inventory_cd", "rs_qty", "ship_qty", "rs_status", "ff_status", "complete"
     )
     order: list[Order] = ["ship_line_nbr", "split_line_nbr", "inventory_cd"]
-    in_scope = fulfil.where(F.col("ff_status") == ready)
+    in_scope = fulfil.where((F.col("ff_status") == ready) & (F.col("ff_status") != done))
     listed = labelled.where((F.col("ff_status") == ready) & (F.col("ff_status") != done))
-    package = ["shipment_nbr", "tracking"]
-    numbered = with_sequence(listed, package, order, "num", basis=in_scope)
-    numbered = with_sequence(numbered, ["shipment_nbr"], order, "package_num", basis=in_scope)
-    hot = group_pieces(in_scope, ["shipment_nbr"])
-    counted = with_group_total(
-        numbered, package, {"items_on_package": F.count(F.lit(1))}, basis=in_scope
-    )
-    counted = with_group_total(
-        counted, ["shipment_nbr"], {"max_package_num": F.count(F.lit(1))}, basis=in_scope, hot=hot
-    )
-    largest = (
-        in_scope.groupBy(*package).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("shipment_nbr").agg(F.max("n").alias("n"))
+    package, shipment = ["shipment_nbr", "tracking"], ["shipment_nbr"]
+    hot = group_pieces(in_scope, shipment)
+    hot_package = None if hot is None else group_pieces(in_scope, package)
+    count = F.count(F.lit(1))
+    numbered = with_sequence(listed, package, order, "num", basis=in_scope, hot=hot_package)
+    counted = with_group_total(numbered, package, {"items_on_package": count}, basis=in_scope, hot=hot_package)
+    numbered = with_sequence(counted, shipment, order, "package_num", basis=in_scope, hot=hot)
+    counted = with_group_total(numbered, shipment, {"max_package_num": count}, basis=in_scope, hot=hot)
+    small = (
+        in_scope.groupBy(*package).agg(count.alias("n"))
+        .groupBy(*shipment).agg(F.max("n").alias("n"))
         .where(F.col("n") <= max_items)
     )
-    kept = joins.restrict_to(counted, largest, ["shipment_nbr"], basis=in_scope)
+    kept = joins.restrict_to(counted, small, shipment, hot=hot)
     return enrich(
         kept,
         [
@@ -280,6 +279,8 @@ def packages_to_add(
         [("events", from_events, item_key), ("ready", from_ready, ["shipment_nbr", "ship_line_nbr", "split_line_nbr", "inventory_cd"])],
         [("closed", from_closed, item_key)],
     ).select("shipment_nbr", "ship_line_nbr", "split_line_nbr", "inventory_cd", "ship_qty", "order_qty", *payload, "source")
+    # the matched rows are a result of their own and feed the documents: computed once
+    matched = settle(matched, "matched")
     docs = nested.package_documents(
         matched.withColumnRenamed("qty_3pl", "qty"),
         ["ship_line_nbr", "split_line_nbr", "inventory_cd", "source", "qty", "courier", "items_on_package", "instructions"],
