@@ -65,7 +65,8 @@ def whole(expression: str) -> str:
       coalesce(sa.postal_code, ba.postal_code) AS zip, coalesce(sa.country, ba.country) AS country, {money('l.line_amt')} AS line_amount,
       r.class_id AS replenishment_class, CAST(i.is_stock AS INT) AS is_stock, rtrim(si.site_cd) AS line_warehouse, {time('sh.ship_date')} AS ship_date,
       shl.shipment_nbr, jsh.status AS ship_status, rtrim(shi.site_cd) AS ship_warehouse, CAST(l.completed AS INT) AS completed,
-      l.orig_order_type AS original_order_type, l.orig_order_nbr AS original_order_nbr, {money('s.freight_amt')} AS freight_price,
+      l.orig_order_type AS original_order_type, l.orig_order_nbr AS original_order_nbr, {money('s.freight_amt')} AS freight_price, {money('s.premium_freight_amt')} AS premium_freight_price,
+      {money('s.freight_total')} AS freight_total,
       {time('s.created_at')} AS created_at, replace(uc.user_name, 'corp\\', '') AS created_by, replace(um.user_name, 'corp\\', '') AS modified_by
     FROM erp_order_header s JOIN erp_order_line l ON s.order_nbr = l.order_nbr AND s.order_type = l.order_type
     LEFT JOIN erp_site si ON l.site_id = si.site_id JOIN erp_item i ON l.inventory_id = i.inventory_id
@@ -103,7 +104,7 @@ def sales_orders(t: Tables) -> DataFrame:
       rtrim(o.acct_cd) AS owner_cd, o.acct_name AS owner_name, CAST(NULL AS VARCHAR) AS owner_email, rtrim(sp.sales_person_cd) AS sales_person_cd,
       l.discount_id, {money('l.disc_amt')} AS disc_amt, {money('l.ext_cost')} AS line_cost, {money('s.paid_amt')} AS total_paid, sc.phone1 AS phone,
       sc.email, sa.line1 AS address_line1, nullif(sa.line2, '') AS address_line2, sa.city, sa.state, sa.postal_code AS zip, sa.country,
-      r.class_id AS replenishment_class, CAST(i.is_stock AS INT) AS is_stock, rtrim(si.site_cd) AS line_warehouse, {time('s.modified_at')} AS modified_at,
+      {money('l.line_amt')} AS line_amount, r.class_id AS replenishment_class, CAST(i.is_stock AS INT) AS is_stock, rtrim(si.site_cd) AS line_warehouse, {time('s.modified_at')} AS modified_at,
       {time('s.created_at')} AS created_at, ph.order_type AS attached_order_type, ph.order_nbr AS attached_order_nbr
     FROM erp_order_header s JOIN erp_account b ON s.customer_id = b.account_id JOIN erp_customer c ON b.account_id = c.account_id
     LEFT JOIN erp_address sa ON s.ship_address_id = sa.address_id LEFT JOIN erp_contact sc ON s.ship_contact_id = sc.contact_id

@@ -624,6 +624,7 @@ def tracking_reports(t: Tables) -> DataFrame:
         F.concat(F.lit("2026-01-01T0"), (F.col("turn") % 10).cast("string"), F.lit(":30:00")).alias("created_at"),
         F.left("text", F.lit(10)).alias("message"), F.col("role").alias("tag"), F.lit("c").alias("city"),
         F.lit("s").alias("state"), F.lit("ups").alias("slug"),
+        *[F.lit("x").alias(c) for c in ("subtag", "subtag_message", "postal_code", "raw_tag", "source")],
     )
     points = nested.collect_parts(t.conversations, ["conv_id"], ["turn", "role", "text"], point, "checkpoints")
     key = F.col("conv_id").cast("string")
@@ -633,6 +634,14 @@ def tracking_reports(t: Tables) -> DataFrame:
         key.alias("tracking_number"), stamp.alias("created_at"), stamp.alias("updated_at"), F.lit("t").alias("tag"),
         F.lit("s").alias("subtag"), F.array(F.struct(phone.alias("phone_number"))).alias("customers"),
         F.struct(F.lit(1.5).alias("value")).alias("shipment_weight"), "checkpoints",
+        F.struct(F.lit("p").alias("product_title")).alias("custom_fields"),
+        *[
+            F.lit("x").alias(c)
+            for c in (
+                "shipment_type", "courier_tracking_link", "destination_raw_location", "destination_city", "destination_state",
+                "destination_postal_code", "subtag_message",
+            )
+        ],
     )
 
 

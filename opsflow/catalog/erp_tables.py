@@ -26,6 +26,7 @@ ERP = {
           o_custkey AS ship_contact_id, o_custkey + 1 AS bill_contact_id, {VIA} AS ship_via,
           o_orderdate AS order_date, CAST(o_totalprice AS DECIMAL(18,2)) AS order_total,
           CAST(o_totalprice AS DECIMAL(18,2)) AS paid_amt, CAST(o_orderkey % 100 AS DECIMAL(18,2)) AS freight_amt,
+          CAST(o_orderkey % 10 AS DECIMAL(18,2)) AS premium_freight_amt, CAST(o_orderkey % 100 + o_orderkey % 10 AS DECIMAL(18,2)) AS freight_total,
           CASE WHEN o_orderkey % 3 = 0 THEN 'REF' || CAST(o_custkey AS STRING) END AS customer_order_nbr,
           CASE WHEN o_orderkey % 2 = 1 THEN 'QT' END AS orig_order_type,
           CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_orderkey - 1 AS STRING) END AS orig_order_nbr,

@@ -33,8 +33,8 @@ def conflicting_status(t: Tables) -> DataFrame:
 @query(
     "conflicting_rows",
     """
-    SELECT DISTINCT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey, a.l_returnflag
-    FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_returnflag <> b.l_returnflag
+    SELECT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey, a.l_returnflag FROM lineitem a
+    WHERE EXISTS (SELECT 1 FROM lineitem b WHERE a.l_orderkey = b.l_orderkey AND a.l_returnflag <> b.l_returnflag)
     """,
 )
 def conflicting_rows(t: Tables) -> DataFrame:
@@ -149,15 +149,15 @@ def exists_other(t: Tables) -> DataFrame:
     """
     WITH r AS (
       SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus,
-        row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey) AS num,
-        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS package_num
+        row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus) AS num,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus) AS package_num
       FROM lineitem)
     SELECT r.*, max(num) OVER (PARTITION BY l_orderkey, l_linestatus) AS items_on_package,
            max(package_num) OVER (PARTITION BY l_orderkey) AS max_package_num FROM r
     """,
 )
 def package_numbers(t: Tables) -> DataFrame:
-    order = ["l_linenumber", "l_partkey", "l_suppkey"]
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_linestatus"]
     lines = t.lineitem.select(*LINE_KEY, "l_linestatus")
     package, shipment = ["l_orderkey", "l_linestatus"], ["l_orderkey"]
     hot = group_pieces(lines, shipment)
@@ -242,7 +242,7 @@ def match_precedence(t: Tables) -> DataFrame:
 @query(
     "match_first_duplicate",
     """
-    WITH s AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn FROM lineitem)
+    WITH s AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS rn FROM lineitem)
     SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS qty FROM s
     JOIN orders ON l_orderkey = o_orderkey WHERE rn = 1 AND o_orderstatus = 'O'
     """,
@@ -252,7 +252,7 @@ def match_first_duplicate(t: Tables) -> DataFrame:
     open_orders = t.orders.where(F.col("o_orderstatus") == "O").select(F.col("o_orderkey").alias("l_orderkey"))
     base = joins.restrict_to(base, open_orders, ["l_orderkey"])
     reports = t.lineitem.select(*LINE_KEY, F.col("l_quantity").cast("bigint").alias("qty"))
-    return matching.match_first(base, reports, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]).drop("l_suppkey")
+    return matching.match_first(base, reports, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "qty"]).drop("l_suppkey")
 
 
 TODATE = """

@@ -447,7 +447,8 @@ def closed_shipment_lines(t: Tables) -> DataFrame:
         "shipLines",
     ).select(
         ship_nbr().alias("rmaNumber"), F.col("l_orderkey").alias("rmaId"), F.lit("W").alias("rmaType"), stamp.alias("createDate"), stamp.alias("shipDate"),
-        F.lit("c").alias("carrier"), F.lit("cc").alias("carrierCode"), F.lit("t").alias("trackingNum"), F.lit(1.0).alias("freightCost"), "shipLines",
+        F.lit("c").alias("carrier"), F.lit("cc").alias("carrierCode"), F.lit("t").alias("trackingNum"), F.lit("p").alias("priority"),
+        F.lit(1.0).alias("freightCost"), F.lit("o").alias("outboundShipMethod"), "shipLines",
     )
     return feeds.closed_shipments(reports).select("rma_number", "rma_line_id", day_text("ship_date").alias("line_day"), "qty_shipped")
 

@@ -172,6 +172,11 @@ def inventory_levels(
     return summary, detail
 
 
+CHECKPOINT_FIELDS = (
+    "checkpoint_time", "created_at", "message", "tag", "subtag", "subtag_message", "city", "state", "slug", "raw_tag", "source",
+)
+
+
 def tracking_export(df: DataFrame, zone: str) -> tuple[DataFrame, DataFrame]:
     """Tracked parcels and their checkpoints in local time.
 
@@ -188,9 +193,17 @@ def tracking_export(df: DataFrame, zone: str) -> tuple[DataFrame, DataFrame]:
     header = {
         **keys,
         "phone": text.plain_phone(phone),
+        "product": F.col("custom_fields.product_title"),
+        "shipment_type": F.col("shipment_type"),
         "weight": F.col("shipment_weight.value"),
+        "link": F.col("courier_tracking_link"),
+        "dest_line1": F.col("destination_raw_location"),
+        "dest_city": F.col("destination_city"),
+        "dest_state": F.col("destination_state"),
+        "dest_zip": F.col("destination_postal_code"),
         "tag": F.col("tag"),
         "subtag": F.col("subtag"),
+        "subtag_message": F.col("subtag_message"),
         "last_update": dates.wall_clock(F.col("updated_at"), zone),
         "created": dates.wall_clock(F.col("created_at"), zone),
     }
@@ -199,7 +212,7 @@ def tracking_export(df: DataFrame, zone: str) -> tuple[DataFrame, DataFrame]:
         kept,
         "checkpoints",
         keys,
-        {n: n for n in ("checkpoint_time", "created_at", "message", "tag", "city", "state", "slug")},
+        {**{n: n for n in CHECKPOINT_FIELDS}, "zip": "postal_code"},
     )
     detail = points.withColumns(
         {

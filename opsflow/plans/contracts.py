@@ -97,7 +97,7 @@ _SPECS = (
         "inventory_cd STRING, item_descr STRING, quantity INT, line_price DECIMAL(18,2), order_total DECIMAL(18,2), order_status STRING, "
         "customer_order_nbr STRING, owner_cd STRING, owner_name STRING, owner_email STRING, sales_person_cd STRING, discount_id STRING, "
         "disc_amt DECIMAL(18,2), line_cost DECIMAL(18,2), phone STRING, email STRING, address_line1 STRING, address_line2 STRING, "
-        "city STRING, state STRING, zip STRING, country STRING, replenishment_class STRING, is_stock BOOLEAN, line_warehouse STRING, "
+        "city STRING, state STRING, zip STRING, country STRING, line_amount DECIMAL(18,2), replenishment_class STRING, is_stock BOOLEAN, line_warehouse STRING, "
         "modified_at TIMESTAMP_NTZ, created_at TIMESTAMP_NTZ, attached_order_type STRING, attached_order_nbr STRING, "
         "last_checked TIMESTAMP_NTZ",
         ("order_type", "quote_nbr", "line_nbr"),
@@ -111,7 +111,7 @@ _SPECS = (
         "address_line1 STRING, address_line2 STRING, city STRING, state STRING, zip STRING, country STRING, line_amount DECIMAL(18,2), "
         "replenishment_class STRING, is_stock BOOLEAN, line_warehouse STRING, ship_date TIMESTAMP_NTZ, shipment_nbr STRING, "
         "ship_status STRING, ship_warehouse STRING, completed BOOLEAN, original_order_type STRING, original_order_nbr STRING, "
-        "freight_price DECIMAL(18,2), created_at TIMESTAMP_NTZ, created_by STRING, modified_by STRING, last_checked TIMESTAMP_NTZ",
+        "freight_price DECIMAL(18,2), premium_freight_price DECIMAL(18,2), freight_total DECIMAL(18,2), created_at TIMESTAMP_NTZ, created_by STRING, modified_by STRING, last_checked TIMESTAMP_NTZ",
         ("order_type", "order_nbr", "line_nbr"),
         insert_only=("disc_amt", "line_cost"),
     ),

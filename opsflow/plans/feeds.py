@@ -34,7 +34,8 @@ def closed_shipments(reports: DataFrame) -> DataFrame:
             "rma_number": F.col("rmaNumber"), "rma_id": F.col("rmaId"), "rma_type": F.col("rmaType"),
             "created_at": dates.parse_utc(F.col("createDate")), "ship_date": dates.parse_utc(F.col("shipDate")),
             "carrier": F.col("carrier"), "carrier_code": F.col("carrierCode"), "tracking": F.col("trackingNum"),
-            "freight_cost": F.col("freightCost"),
+            "priority": F.col("priority"), "freight_cost": F.col("freightCost"),
+            "outbound_ship_method": F.col("outboundShipMethod"),
         },
         {
             "rma_line_id": "rmaLineId", "inventory_cd": "itemNum", "qty_shipped": "qtyShipped", "qty_to_ship": "qtytoShip",
@@ -258,16 +259,26 @@ def activity_snapshot(activities: Mapping[str, DataFrame], owners: DataFrame, te
     )
 
 
-PROPERTY_FIELDS = (
-    "name", "label", "groupName", "description", "type", "fieldType", "createdUserId", "updatedUserId",
-    "displayOrder", "calculated", "archived", "hidden", "createdAt", "updatedAt",
-)
+# Fields of a property definition and their column names (fixed values).
+PROPERTY_FIELDS = {
+    "name": "name", "label": "label", "groupName": "group_name", "description": "description", "type": "type",
+    "fieldType": "field_type", "createdUserId": "created_user_id", "updatedUserId": "updated_user_id",
+    "displayOrder": "display_order", "calculated": "calculated", "archived": "archived", "hidden": "hidden",
+    "vendorDefined": "vendor_defined", "createdAt": "created_at", "updatedAt": "updated_at",
+}
 
 
 def property_catalogue(by_object: Mapping[str, DataFrame]) -> DataFrame:
-    """Property definitions of all object types in one table."""
+    """Property definitions of all object types in one table; absent fields are null."""
+
+    def fields(df: DataFrame) -> list[Column]:
+        return [
+            (F.col(field) if field in df.columns else F.lit(None).cast("string")).alias(out)
+            for field, out in PROPERTY_FIELDS.items()
+        ]
+
     return rows.concat_rows(
-        *[df.select(F.lit(kind).alias("object_type"), *PROPERTY_FIELDS) for kind, df in by_object.items()]
+        *[df.select(F.lit(kind).alias("object_type"), *fields(df)) for kind, df in by_object.items()]
     )
 
 

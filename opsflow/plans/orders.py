@@ -164,7 +164,9 @@ def sales_orders(
         "replenishment_class", "is_stock", *trimmed("line_warehouse"), "ship_date", "shipment_nbr",
         "ship_status", *trimmed("ship_warehouse"), "completed",
         F.col("line_orig_type").alias("original_order_type"), F.col("line_orig_nbr").alias("original_order_nbr"),
-        numbers.money(F.col("freight_amt")).alias("freight_price"), "created_at",
+        numbers.money(F.col("freight_amt")).alias("freight_price"),
+        numbers.money(F.col("premium_freight_amt")).alias("premium_freight_price"),
+        numbers.money(F.col("freight_total")).alias("freight_total"), "created_at",
         text.user_name(F.col("_created"), domain).alias("created_by"),
         text.user_name(F.col("_modified"), domain).alias("modified_by"),
     )
@@ -210,7 +212,7 @@ def quotes(erp: Erp, as_of: datetime, lookback: str = "1 DAY", quote_type: str =
         F.col("s_phone1").alias("phone"), F.col("s_email").alias("email"), F.col("s_line1").alias("address_line1"),
         text.blank_to_null(F.col("s_line2")).alias("address_line2"), F.col("s_city").alias("city"),
         F.col("s_state").alias("state"), F.col("s_postal_code").alias("zip"), F.col("s_country").alias("country"),
-        "replenishment_class", "is_stock", *trimmed("line_warehouse"), "modified_at", "created_at",
+        numbers.money(F.col("line_amt")).alias("line_amount"), "replenishment_class", "is_stock", *trimmed("line_warehouse"), "modified_at", "created_at",
         "attached_order_type", "attached_order_nbr",
     )
     return rows.fill_key(result, "line_nbr", 99)
