@@ -21,6 +21,7 @@ the same keys to search in, or ``hot``, the result of an earlier search.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -146,18 +147,23 @@ def _not_after(bound: Column, order_by: Sequence[Order]) -> Column:
     return result
 
 
-def _piece_number(order_by: Sequence[Order], skew: Skew) -> Column:
-    """How many of the sorted ``_bounds`` are at or before the row: binary search."""
-    steps = [F.lit(1 << i) for i in reversed(range(skew.pieces.bit_length() + 1))]
-    size = F.size("_bounds")
+def _fan(skew: Skew) -> int:
+    """Bounds per group of bounds: about as many groups as bounds in each."""
+    return max(2, math.isqrt(2 * skew.pieces) + 1)
+
+
+def _count_before(bounds: Column, order_by: Sequence[Order], most: int) -> Column:
+    """How many of the sorted ``bounds`` are at or before the row: binary search."""
+    steps = [F.lit(1 << i) for i in reversed(range(most.bit_length()))]
 
     def advance(position: Column, step: Column) -> Column:
         target = position + step
-        inside = (target <= size) & _not_after(F.get(F.col("_bounds"), target - 1), order_by)
+        inside = (target <= F.size(bounds)) & _not_after(F.get(bounds, target - 1), order_by)
         return F.when(F.coalesce(inside, F.lit(False)), target).otherwise(position)
 
-    found = F.aggregate(F.array(*steps), F.lit(0), advance)
-    return F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(found)
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(
+        F.aggregate(F.array(*steps), F.lit(0), advance)
+    )
 
 
 def range_pieces(
@@ -170,8 +176,8 @@ def range_pieces(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Cut hot groups into consecutive ranges of ``order_by``.
 
-    Returns ``df`` with a ``_piece`` number, and the ``keys, _bounds`` used, or
-    ``df`` as it is and None if no group needs cutting. ``order_by`` must tell
+    Returns ``df`` with a ``_piece`` number, and the bounds used (``keys, _group,
+    _bounds``), or ``df`` as it is and None if no group needs cutting. ``order_by`` must tell
     the rows of one group apart; equal rows stay in one piece.
 
     Bounds come from a hash-selected sample of the hot rows of ``basis`` (by
@@ -193,12 +199,15 @@ def range_pieces(
         .distinct()
     )
     by_key = Window.partitionBy(*keys)
-    bounds = (
+    ranked = (
         sample.withColumn("_rank", F.row_number().over(by_key.orderBy(*sort_columns(order_by))))
         .withColumn("_step", F.ceil(F.count(F.lit(1)).over(by_key) / F.col("_pieces")))
         .where(F.col("_rank") % F.col("_step") == 0)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", *names))).alias("_bounds"))
+        .withColumn("_at", (F.col("_rank") / F.col("_step")).cast("int") - 1)
+    )
+    bounds = (
+        ranked.groupBy(*keys, F.floor(F.col("_at") / _fan(skew)).cast("int").alias("_group"))
+        .agg(F.array_sort(F.collect_list(F.struct("_at", *names))).alias("_bounds"))
     )
     bounds = settle(bounds, "bounds")
     return with_piece(df, keys, order_by, bounds, skew), bounds
@@ -207,9 +216,26 @@ def range_pieces(
 def with_piece(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Order], bounds: DataFrame, skew: Skew
 ) -> DataFrame:
-    """The ``_piece`` of every row, 0 in groups without bounds."""
+    """The ``_piece`` of every row, 0 in groups without bounds.
+
+    Looked up in two steps, first the group of bounds, then the bound, so that a
+    row meets two short arrays instead of one that grows with its group.
+    """
+    fan = _fan(skew)
+    firsts = bounds.groupBy(*keys).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("_group", F.get("_bounds", F.lit(0)).alias("first")))),
+            lambda group: group["first"],
+        ).alias("_firsts")
+    )
+    grouped = (
+        attach(df, F.broadcast(firsts), keys)
+        .withColumn("_group", _count_before(F.col("_firsts"), order_by, 2 * fan) - 1)
+        .drop("_firsts")
+    )
+    found = _count_before(F.col("_bounds"), order_by, fan)
     return (
-        attach(df, F.broadcast(bounds), keys)
-        .withColumn("_piece", _piece_number(order_by, skew))
-        .drop("_bounds")
+        attach(grouped, F.broadcast(bounds), [*keys, "_group"])
+        .withColumn("_piece", F.when(F.col("_group") < 0, 0).otherwise(F.col("_group") * fan + found))
+        .drop("_bounds", "_group")
     )

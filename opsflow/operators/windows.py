@@ -64,7 +64,7 @@ def with_sequence(
         Window.unboundedPreceding, -1
     )
     # rows per piece of the hot groups: at most two pieces per Skew.pieces
-    source = attach(df if basis is None else basis, F.broadcast(bounds.select(*keys)), keys, "inner")
+    source = attach(df if basis is None else basis, F.broadcast(bounds.select(*keys).distinct()), keys, "inner")
     offsets = (
         with_piece(source, keys, order_by, bounds, skew)
         .groupBy(*keys, "_piece")
