@@ -622,7 +622,7 @@ def open_deals(t: Tables) -> DataFrame:
 def deal_snapshot(t: Tables) -> DataFrame:
     text_of = {
         "dealname": F.lit("d"), "dealstage": F.col("o_orderstatus"), "dealtype": F.lit("t"), "product": F.lit("p"),
-        "amount": F.col("o_custkey").cast("string"), "hubspot_owner_id": F.col("o_custkey").cast("string"), "createdate": F.date_format("o_orderdate", UTC),
+        "amount": F.col("o_custkey").cast("string"), "owner_id": F.col("o_custkey").cast("string"), "createdate": F.date_format("o_orderdate", UTC),
     }
     bag = F.create_map(*[c for name, value in text_of.items() for c in (F.lit(name), value)])
     deals = t.orders.select(F.col("o_orderkey").alias("id"), bag.alias("properties"))
@@ -649,7 +649,7 @@ def deal_snapshot(t: Tables) -> DataFrame:
 def activity_snapshot(t: Tables) -> DataFrame:
     stamp = F.when(F.col("event_id") % 9 != 0, F.date_format("ts", UTC))
     bags = t.events.select(
-        "event_type", F.struct(stamp.alias("hs_timestamp"), F.col("user_id").cast("string").alias("hubspot_owner_id")).alias("properties")
+        "event_type", F.struct(stamp.alias("timestamp"), F.col("user_id").cast("string").alias("owner_id")).alias("properties")
     )
     owners = t.supplier.select(F.col("s_suppkey").cast("string").alias("owner_id"), F.col("s_name").alias("rep_name"))
     teams = t.supplier.where(F.col("s_suppkey") % 2 == 0).select(F.col("s_name").alias("rep_name"), F.lit("inside").alias("team"))

@@ -333,8 +333,8 @@ def snapshot_and_state(t: Tables) -> DataFrame:
     for condition, at in parts:
         shot = t.events.where(condition).groupBy(F.col("user_id").alias("rep")).agg(
             F.count(F.lit(1)).alias("n")
-        ).withColumn("snapshot_at", F.lit(at).cast("timestamp_ntz"))
-        state = tables.write_snapshot(shot, history, state, SNAPSHOT, ["snapshot_at"])
+        )
+        state = tables.write_snapshot(shot, at, history, state, SNAPSHOT, ["snapshot_at"])
     kept = t.spark.read.schema(SNAPSHOT.schema).parquet(history)
     return kept.select(F.lit("history").alias("kind"), "rep", "n").unionByName(
         state.select(F.lit("state").alias("kind"), "rep", "n")

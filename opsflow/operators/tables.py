@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -113,18 +114,22 @@ def upsert(
 
 
 def write_snapshot(
-    df: DataFrame, history_path: str, current: DataFrame, spec: TableSpec, order_by: Sequence[Order]
+    df: DataFrame,
+    at: datetime,
+    history_path: str,
+    current: DataFrame,
+    spec: TableSpec,
+    order_by: Sequence[Order],
 ) -> DataFrame:
-    """Append the snapshot to its history and return the new current state.
+    """Append a snapshot to its history and return the new current state.
 
-    The snapshot is written once and read back for the second use, so it is
-    not computed twice.
+    The snapshot gets its time ``at``, is written once, and is read back for the
+    second use, so it is not computed twice.
     """
-    df.write.mode("append").parquet(history_path)
-    stamps = [r[0] for r in df.select("snapshot_at").distinct().limit(2).collect()]
-    if len(stamps) != 1:
-        raise ValueError("a snapshot holds exactly one snapshot time")
-    written = df.sparkSession.read.schema(df.schema).parquet(history_path).where(
-        F.col("snapshot_at") == F.lit(stamps[0])
+    stamp = F.lit(at).cast("timestamp_ntz")
+    stamped = df.withColumn("snapshot_at", stamp)
+    stamped.write.mode("append").parquet(history_path)
+    written = df.sparkSession.read.schema(stamped.schema).parquet(history_path).where(
+        F.col("snapshot_at") == stamp
     )
     return upsert(current, conform(written, spec), spec, order_by)

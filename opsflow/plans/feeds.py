@@ -207,17 +207,25 @@ def open_deals(deals: DataFrame, pipeline: str, closed: Sequence[str], two_years
     return deals.where(p.filter_groups(groups)).dropDuplicates(["id"])
 
 
-def deal_snapshot(deals: DataFrame, owners: DataFrame, teams: DataFrame, stages: DataFrame, as_of: datetime, won: str = "Closed/Won") -> DataFrame:
+# Property of each deal column; pass another map where a CRM names them otherwise.
+DEAL_PROPERTIES = {
+    "deal_name": "dealname", "stage": "dealstage", "deal_type": "dealtype", "product": "product", "lead_source": "lead_source",
+    "order_number": "order_number", "is_stalled": "deal_is_stalled", "closed_lost_reason": "closed_lost_reason",
+    "primary_competitor": "primary_competitor", "_owner": "owner_id", "amount": "amount", "created_at": "createdate",
+    "closed_at": "closedate", "last_activity_at": "notes_last_updated",
+}
+
+
+def deal_snapshot(
+    deals: DataFrame, owners: DataFrame, teams: DataFrame, stages: DataFrame, as_of: datetime,
+    won: str = "Closed/Won", properties: Mapping[str, str] = DEAL_PROPERTIES,
+) -> DataFrame:
     """Deals (``id, properties map``) as typed snapshot rows with rep, team and ages."""
-    names = {
-        "deal_name": "dealname", "stage": "dealstage", "deal_type": "dealtype", "product": "product", "lead_source": "lead_source",
-        "order_number": "order_number", "is_stalled": "hs_deal_is_stalled", "closed_lost_reason": "closed_lost_reason",
-        "primary_competitor": "primary_competitor", "_owner": "hubspot_owner_id",
-    }
+    names = dict(properties)
     spec = {out: (name, None) for out, name in names.items()}
-    spec["amount"] = ("amount", F.col("_p_amount").try_cast("double"))
-    for out, name in (("created_at", "createdate"), ("closed_at", "closedate"), ("last_activity_at", "notes_last_updated")):
-        spec[out] = (name, dates.parse_first(F.col(f"_p_{out}")))
+    spec["amount"] = (names["amount"], F.col("_p_amount").try_cast("double"))
+    for out in ("created_at", "closed_at", "last_activity_at"):
+        spec[out] = (names[out], dates.parse_first(F.col(f"_p_{out}")))
     flat = nested.flatten_properties(deals, "properties", spec)
     wide = enrich(
         flat,
@@ -240,16 +248,19 @@ def deal_snapshot(deals: DataFrame, owners: DataFrame, teams: DataFrame, stages:
     )
 
 
-def activity_snapshot(activities: Mapping[str, DataFrame], owners: DataFrame, teams: DataFrame, as_of: datetime) -> DataFrame:
+def activity_snapshot(
+    activities: Mapping[str, DataFrame], owners: DataFrame, teams: DataFrame, as_of: datetime,
+    time_property: str = "timestamp", owner_property: str = "owner_id",
+) -> DataFrame:
     """Activity counts per rep and to-date window, one column per kind.
 
-    Each activity frame has ``id, properties struct<hs_timestamp, hubspot_owner_id>``.
+    Each activity frame has a ``properties`` struct or map with time and owner.
     Known reps (those with a team) always appear.
     """
     counts = {}
     for kind, frame in activities.items():
         timed = frame.select(
-            dates.parse_first(F.col("properties.hs_timestamp")).alias("ts"), F.col("properties.hubspot_owner_id").alias("_owner")
+            dates.parse_first(F.col("properties")[time_property]).alias("ts"), F.col("properties")[owner_property].alias("_owner")
         )
         named = enrich(timed, [Lookup(owners, {"_owner": "owner_id"}, {"rep_name": "rep_name"}, "inner")])
         counts[f"{kind}_count"] = aggregates.todate_counts(named, "rep_name", "ts", as_of, teams)

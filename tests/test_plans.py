@@ -67,8 +67,8 @@ def test_crm_snapshots_fit(spark):
     teams = spark.createDataFrame([("Ann", "inside")], "rep_name string, team string")
     stages = spark.createDataFrame([("s9", "Closed/Won")], "stage_id string, label string")
     deals = spark.createDataFrame(
-        [("d1", {"dealstage": "s9", "hubspot_owner_id": "1", "amount": "1.5", "createdate": "2001-07-01T00:00:00Z", "dealname": "x"}),
-         ("d2", {"dealstage": "s1", "hubspot_owner_id": "9", "amount": None})],
+        [("d1", {"dealstage": "s9", "owner_id": "1", "amount": "1.5", "createdate": "2001-07-01T00:00:00Z", "dealname": "x"}),
+         ("d2", {"dealstage": "s1", "owner_id": "9", "amount": None})],
         "id string, properties map<string,string>",
     )
     snapshot = feeds.deal_snapshot(deals, owners, teams, stages, AS_OF)
@@ -77,7 +77,7 @@ def test_crm_snapshots_fit(spark):
     ]
     event = spark.createDataFrame(
         [(("2001-07-30T01:00:00Z", "2"),), (("bad", "1"),), ((None, "1"),), (("2001-07-30T01:00:00.5Z", None),)],
-        "properties struct<hs_timestamp: string, hubspot_owner_id: string>",
+        "properties struct<timestamp: string, owner_id: string>",
     )
     counts = feeds.activity_snapshot({k: event for k in ("call", "email", "meeting", "task")}, owners, teams, AS_OF)
     fits(counts, "activity_snapshots")

@@ -63,11 +63,15 @@ def test_create_table(spark):
     spark.sql("DROP TABLE made_here")
 
 
-def test_write_snapshot_wants_one_time(spark):
+def test_write_snapshot(spark):
     spec = TableSpec("s", "k STRING, snapshot_at TIMESTAMP_NTZ", keys=("k",))
-    frame = spark.createDataFrame([("a", datetime(2026, 1, 1)), ("b", datetime(2026, 1, 2))], spec.schema)
-    with pytest.raises(ValueError):
-        tables.write_snapshot(frame, scratch(spark, "h"), frame, spec, ["snapshot_at"])
+    history = scratch(spark, "history")
+    state = spark.createDataFrame([], spec.schema)
+    for day, keys in ((1, "ab"), (2, "bc")):
+        shot = spark.createDataFrame([(k,) for k in keys], "k string")
+        state = tables.write_snapshot(shot, datetime(2026, 1, day), history, state, spec, ["snapshot_at"])
+    assert [(k, at.day) for k, at in rows(state)] == [("a", 1), ("b", 2), ("c", 2)]
+    assert spark.read.parquet(history).count() == 4
 
 
 def test_metric_diff(spark):
