@@ -35,7 +35,7 @@ def metric_diff(
     Rows in both states are logged with old and new metrics and a flag; new rows
     and flagged ones are to be written; rows only in the old state are ignored.
     """
-    joined = full_diff_join(old, new, keys)
+    joined = full_diff_join(old.select(*keys, *metrics, stamp), new, keys)
     in_both = F.col("old").isNotNull() & F.col("new").isNotNull()
     differs = F.lit(False)
     for metric in metrics:
@@ -63,7 +63,7 @@ def changed_blocks(
     """Records whose blocks (nested columns) differ apart from case, with only
     the changed blocks filled. A null new block is not compared."""
     renamed = new.select(*on, *[F.col(b).alias(f"_new_{b}") for b in blocks])
-    joined = old.join(renamed, list(on))
+    joined = old.select(*on, *blocks).join(renamed, list(on))
     changed = {
         block: F.col(f"_new_{block}").isNotNull()
         & ~text.comparable(F.struct(F.col(block).alias("v"))).eqNullSafe(

@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from opsflow.session import settle
 
@@ -122,9 +123,10 @@ def spread_join(
     if hot is None:
         return attach(left, right, keys, how) if null_safe else left.join(right, keys, how)
     few = F.broadcast(hot.select(*keys, "_pieces"))
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.col("_pieces"))
+    plain = [f.name for f in left.schema if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    spread = F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), F.col("_pieces"))
     salted = attach(left, few, keys).withColumn(
-        "_salt", F.coalesce(spread.cast("int"), F.lit(0))
+        "_salt", F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(spread.cast("int"))
     ).drop("_pieces")
     repeated = attach(right, few, keys).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))

@@ -26,6 +26,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Set the shuffle partition count so that one holds ``partition_bytes``.
+
+    Never lower than it was: AQE joins small partitions, it does not cut large
+    ones outside skewed joins.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = max(now, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint folder that the cluster names.
 

@@ -147,3 +147,20 @@ def test_nest_orders_splits_a_hot_order(spark):
     assert whole.where("order_nbr = 'empty'").first()["line_items"] == []
     assert split.where("order_nbr = 'A'").count() > 3
     assert lines(split) == lines(whole)
+
+
+def test_spread_join_takes_nested_columns(spark, skewed):
+    nested_columns = skewed.withColumns({"m": F.create_map(F.lit("a"), "v"), "xs": F.array("id"), "st": F.struct("id")})
+    side = spark.createDataFrame([("hot", 1)], "k string, w int")
+    assert spread_join(nested_columns, side, ["k"], "inner", skew=SKEW).count() == 200
+
+
+def test_size_shuffles_never_lowers(spark):
+    from opsflow.session import size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1) == int(before)
+        assert size_shuffles(spark, 100 << 30) == 800
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
