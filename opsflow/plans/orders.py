@@ -2,7 +2,7 @@
 
 Each function takes the tables it reads as a mapping of frames. Frames hold one
 company: apply ``of_company`` to the scans first, so that the filter reaches
-them. Column names are those of the fixtures in ``tests/erp_fixtures.py``.
+them. Column names are those of ``catalog/erp_tables.py``.
 """
 
 from __future__ import annotations
