@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,16 +44,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint folder that the cluster names.
 
     Written intermediate tables and streaming checkpoints live there, so they
-    outlive any one executor. Only where the setting is absent (tests on one
-    machine) a local temporary folder takes its place.
+    outlive any one executor. The session's setting is only read, never changed.
+    Without it a cluster gets an error, as its machines share no other folder; on
+    a single machine (``local`` masters) a temporary folder takes its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="opsflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = _on_one_machine()
     return f"{base.rstrip('/')}/opsflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@cache
+def _on_one_machine() -> str:
+    return tempfile.mkdtemp(prefix="opsflow-")
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 

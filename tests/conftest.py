@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from opsflow.session import configure
 
     session = (
@@ -16,6 +16,7 @@ def spark():
         .appName("opsflow-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
