@@ -1,6 +1,17 @@
 """Operators of a training-data pipeline and their registered queries."""
 
-from opsflow.llm import exact_dedup, mixing, quality_rules, sharding, url_filters  # noqa: F401
+from opsflow.llm import (  # noqa: F401
+    exact_dedup,
+    language_id,
+    mixing,
+    ngram_join,
+    packing,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    url_filters,
+)
 from opsflow.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from opsflow.llm.base import SPACE, query, table
 from opsflow.session import settle
@@ -29,7 +29,8 @@ from opsflow.session import settle
 SEGMENT_BITS = 1 << 18
 DROP = SPACE.encode()
 
-HASHED = "doc_id long, text_sha256 string, n_points long, hash long"
+HASHED = "doc_id long, text_sha256 string, n_points long, hash long, text_hash long"
+KEY = ["_id", "_null", "_text"]
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,14 +46,16 @@ def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 pa.array([d.hex() for d in digests], pa.string()),
                 points,
                 pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
+                batch.column(2),
             ],
-            names=["doc_id", "text_sha256", "n_points", "hash"],
+            names=["doc_id", "text_sha256", "n_points", "hash", "text_hash"],
         )
 
 
 def hashed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_sha256, n_points, hash`` per row; null text counts as empty."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_hash_batches, HASHED)
+    """``doc_id, text_sha256, n_points, hash, text_hash`` per row; null text counts as empty."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text)).mapInArrow(_hash_batches, HASHED)
 
 
 def _positions(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -75,24 +78,29 @@ def _segments(bits: int):
     return run
 
 
-def _twice(group: pa.Table) -> pa.Table:
-    """The bitmap of positions set by two rows or more, for one segment."""
-    count = np.zeros(SEGMENT_BITS, np.uint8)
-    for packed in group.column("bits"):
-        at, n = np.unique(np.frombuffer(packed.as_buffer(), np.uint32), return_counts=True)
-        count[at] = np.minimum(2, count[at] + np.minimum(n, 2))
-    bitmap = zlib.compress(np.packbits(count >= 2).tobytes(), 1)
-    return pa.table({"segment": group.column("segment").slice(0, 1), "bitmap": pa.array([bitmap], pa.binary())})
+def _bitmap(times: int):
+    def run(group: pa.Table) -> pa.Table:
+        """The bitmap of positions set by ``times`` rows (1 or 2) or more, for one segment."""
+        count = np.zeros(SEGMENT_BITS, np.uint8)
+        for packed in group.column("bits"):
+            at, n = np.unique(np.frombuffer(packed.as_buffer(), np.uint32), return_counts=True)
+            count[at] = np.minimum(2, count[at] + np.minimum(n, 2))
+        bitmap = zlib.compress(np.packbits(count >= times).tobytes(), 1)
+        return pa.table({"segment": group.column("segment").slice(0, 1), "bitmap": pa.array([bitmap], pa.binary())})
+
+    return run
 
 
-def repeat_filter(hashes: DataFrame, rows: int, bits_per_row: int = 32, max_bits: int = 1 << 28) -> np.ndarray:
-    """Bitmap of the positions that two or more rows of ``hashes`` (one long column) set."""
+def hash_filter(
+    hashes: DataFrame, rows: int, times: int = 2, bits_per_row: int = 32, max_bits: int = 1 << 28
+) -> np.ndarray:
+    """Bitmap of the positions that ``times`` or more rows of ``hashes`` (one long column) set."""
     segments = max(1, -(-min(max_bits, rows * bits_per_row) // SEGMENT_BITS))
     bits = segments * SEGMENT_BITS
     found = (
         hashes.mapInArrow(_segments(bits), "segment long, bits binary")
         .groupBy("segment")
-        .applyInArrow(_twice, "segment long, bitmap binary")
+        .applyInArrow(_bitmap(times), "segment long, bitmap binary")
     )
     bitmap = np.zeros(bits // 8, np.uint8)
     width = SEGMENT_BITS // 8
@@ -103,8 +111,8 @@ def repeat_filter(hashes: DataFrame, rows: int, bits_per_row: int = 32, max_bits
     return bitmap
 
 
-def maybe_repeated(df: DataFrame, bitmap: np.ndarray, out: str = "maybe") -> DataFrame:
-    """``df`` (with a long ``hash``) and whether its hash may occur in another row."""
+def passes(df: DataFrame, bitmap: np.ndarray, out: str = "maybe") -> DataFrame:
+    """``df`` (with a long ``hash``) and whether the filter has its hash."""
     shared = df.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
@@ -118,8 +126,42 @@ def maybe_repeated(df: DataFrame, bitmap: np.ndarray, out: str = "maybe") -> Dat
     return df.withColumn(out, test("hash"))
 
 
+def with_key(df: DataFrame, text_hash=None) -> DataFrame:
+    """``df`` with the key of a row: its id, whether that is null, and its text's hash."""
+    known = F.xxhash64(F.col("text").cast("string")) if text_hash is None else F.col(text_hash)
+    number = F.col("doc_id").cast("long")
+    return df.withColumns({"_id": F.coalesce(number, F.lit(0)), "_null": number.isNull(), "_text": known})
+
+
+def split_by_keys(keyed: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``keyed`` whose ``KEY`` may be among ``keys``, and all others.
+
+    A filter of bounded size tells them apart, so the others need no shuffle.
+    """
+    hashes = keys.select(F.xxhash64(*KEY).alias("hash"))
+    bitmap = hash_filter(hashes, hashes.count(), times=1, bits_per_row=16)
+    tested = passes(keyed.withColumn("hash", F.xxhash64(*KEY)), bitmap).drop("hash")
+    return tested.where("maybe").drop("maybe"), tested.where(~F.col("maybe")).drop("maybe")
+
+
+def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``verdicts`` (``doc_id, text_hash, kept`` per row) keeps.
+
+    Of rows that agree in id and text as many stay as verdicts say. Rows that nothing
+    speaks against pass straight through.
+    """
+    counted = with_key(verdicts, "text_hash").groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("_all"), F.sum(F.col("kept").cast("int")).alias("_stay")
+    )
+    fewer = settle(counted.where("_stay < _all").drop("_all"), "fewer")
+    touched, free = split_by_keys(with_key(docs), fewer)
+    turn = F.row_number().over(Window.partitionBy(*KEY).orderBy("_text"))
+    stay = touched.withColumn("_turn", turn).join(fewer, KEY, "left").where("_stay IS NULL OR _turn <= _stay")
+    return stay.select(*docs.columns).unionByName(free.select(*docs.columns))
+
+
 def exact_duplicates(docs: DataFrame, bits_per_row: int = 32, max_bits: int = 1 << 28) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256, text_hash``.
 
     Texts are equal when they agree after all white space is deleted; null counts as
     empty. Of equal texts the row with the most code points stays, then the smallest
@@ -128,10 +170,10 @@ def exact_duplicates(docs: DataFrame, bits_per_row: int = 32, max_bits: int = 1
     """
     rows = settle(hashed(docs).withColumn("row", F.monotonically_increasing_id()), "hashed")
     total = rows.count()
-    marked = settle(maybe_repeated(rows, repeat_filter(rows.select("hash"), total, bits_per_row, max_bits)), "marked")
+    marked = settle(passes(rows, hash_filter(rows.select("hash"), total, 2, bits_per_row, max_bits)), "marked")
     single = marked.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"), "text_sha256",
+        F.lit(True).alias("kept"), "text_sha256", "text_hash",
     )
     several = marked.where("maybe")
     best = several.groupBy("text_sha256").agg(
@@ -140,7 +182,7 @@ def exact_duplicates(docs: DataFrame, bits_per_row: int = 32, max_bits: int = 1
     )
     grouped = several.join(best, "text_sha256").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256",
+        (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256", "text_hash",
     )
     return single.unionByName(grouped)
 
@@ -159,4 +201,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 
 @query("op4_exact_dedup", SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_duplicates(table(spark, folder, "documents"))
+    return exact_duplicates(table(spark, folder, "documents")).drop("text_hash")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType
 
-from opsflow.llm.base import WORD, group_key, hex_unit, query, running_sums, table
+from opsflow.llm.base import SPACE_CLASS, WORD, group_key, hex_unit, query, running_sums, table
 from opsflow.session import settle
 
 SLOT_RUN = 1 << 14
@@ -211,16 +211,22 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     columns = docs.columns
     text = F.col("text").cast("string")
     known = docs.withColumns({"_id": group_key("doc_id"), "_text": F.xxhash64(text), "_source": group_key("source")})
-    chosen = (
+    tokens = F.regexp_extract_all("text", F.lit(f"({WORD}{SPACE_CLASS}*)"), F.lit(1))
+
+    def stretch(parts, run):
+        part = F.slice(parts, run["from_word"].cast("int") + 1, (run["to_word"] - run["from_word"]).cast("int"))
+        whole = (run["from_word"] == 0) & (run["to_word"] == F.col("_take.size"))
+        return F.when(whole, F.col("text")).otherwise(F.array_join(part, ""))
+
+    # words are found once per document, however many stretches it gives
+    stretches = F.transform(F.array(tokens), lambda parts: F.transform("_take._runs", lambda run: stretch(parts, run)))[0]
+    out = (
         known.withColumn("_copy", F.row_number().over(same.orderBy("_source")))
         .join(copies, ["_id", "_text"])
         .withColumn("_take", F.element_at("_copies", F.col("_copy")))
         .where(F.col("_take").isNotNull())
-        .withColumn("_run", F.explode("_take._runs"))
-        .withColumn("_whole", (F.col("_run.from_word") == 0) & (F.col("_run.to_word") == F.col("_take.size")))
+        .withColumn("text", F.explode(stretches))
     )
-    part = _words_between("text", "_run.from_word", "_run.to_word")
-    out = chosen.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(part))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*columns)
@@ -230,12 +236,6 @@ def _along():
     return Window.partitionBy("_source", "start", "epoch").orderBy("from_word")
 
 
-def _words_between(text: str, first: str, last: str):
-    """Words ``first`` to ``last`` (exclusive) with the white space that follows each."""
-    tokens = F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
-    return F.array_join(F.slice(tokens, F.col(first).cast("int") + 1, (F.col(last) - F.col(first)).cast("int")), "")
-
-
 @query("op10_mixing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"), seed=11).taken().select(
