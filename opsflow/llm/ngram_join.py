@@ -14,9 +14,10 @@ fragment and summed per pair.
    repeated ones is out. Only the survivors' repeated shingles are kept, as segments.
 4. *Candidates.* Two linked sets share a shingle among the first of the global order
    (prefix filter), are of similar size, and have enough repeated shingles to reach
-   the overlap they need. In each group of a prefix shingle every member is first
-   compared with one leader; pairs are formed only between members that are still in
-   different components, so a large group of copies never gives its square.
+   the overlap they need. For a few rounds every class asks one partner only, of
+   another component. After these, all pairs are formed between members of a prefix
+   shingle's group that are still in different components and share enough of their
+   first shingles, so a large group of copies never gives its square.
 5. *Count.* Candidate pairs meet their segments by (class, fragment); partial overlaps
    are summed per pair.
 
@@ -42,8 +43,8 @@ BUFFER = 2_000_000
 OFTEN = 32
 FREQUENT = 63
 RANGE_SHINGLES = 1_500_000
-#: Hash ranges per frequency class in a fragment's number.
-CUTS = 4
+#: Rounds in which every class asks one partner of another component.
+ROUNDS = 3
 
 
 def class_of(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -221,7 +222,7 @@ def _segments(percent: int):
         repeated = count[where]
         kept = 100 * repeated >= percent * size.astype(np.int64)
         own, size, level, value, repeated = own[kept], size[kept], level[kept], value[kept], repeated[kept]
-        fragment = level.astype(np.int32) * CUTS + (value >> U(HASH_BITS - 2)).astype(np.int32)
+        fragment = level.astype(np.int32)  # hashes order a fragment, fragments the whole
         order = np.lexsort((value, fragment, own))
         own, size, value, repeated, fragment = own[order], size[order], value[order], repeated[order], fragment[order]
         first = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (fragment[1:] != fragment[:-1])))) if len(own) else np.zeros(0, int)
@@ -279,26 +280,75 @@ def class_links(
         .select(F.col("class").alias("y"), F.col("n").alias("ny"), F.col("repeated").alias("ry"), F.explode(F.slice("hashes", F.lit(1), first)).alias("shingle")),
         "prefix",
     )
-    leaders = prefix.groupBy("shingle").agg(F.min(F.struct("y", "ny", "ry")).alias("lead"), F.count(F.lit(1)).alias("members"))
-    led = (
-        prefix.join(leaders.where("members > 1"), "shingle")
-        .select(F.col("lead.y").alias("x"), F.col("lead.ny").alias("nx"), F.col("lead.ry").alias("rx"), "y", "ny", "ry")
-        .where(F.col("x") != F.col("y")).where(_possible(percent)).select("x", "y").distinct()
-    )
-    links = settle(_overlaps(led, segments, percent), "links")
-    if links.isEmpty():
+    links, tried = None, None
+    for _ in range(ROUNDS):
+        open_ = _open_groups(prefix, links)
+        if open_.isEmpty():
+            return links
+        pairs = _one_partner(open_, percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["x", "y"], "left_anti")
+        pairs = settle(pairs, "pairs")
+        found = settle(_overlaps(pairs, segments, percent), "links")
+        fresh = not found.isEmpty()
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        if not fresh:
+            break
+    rest = _all_partners(_open_groups(prefix, links), percent).join(tried, ["x", "y"], "left_anti")
+    return links.unionByName(settle(_overlaps(settle(rest, "pairs"), segments, percent), "links"))
+
+
+def _open_groups(prefix: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Rows of ``prefix`` with their component ``c``, in groups of more than one component."""
+    if links is None or links.isEmpty():
         joined = prefix.withColumn("c", F.col("y"))
     else:
-        known = components(links)
-        joined = prefix.join(known.withColumnRenamed("node", "y"), "y", "left").withColumn("c", F.coalesce("component", "y")).drop("component")
-    mixed = joined.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("shingle")
-    open_ = settle(joined.join(mixed, "shingle"), "open-groups")
+        known = components(links.select("x", "y")).withColumnRenamed("node", "y")
+        joined = prefix.join(known, "y", "left").withColumn("c", F.coalesce("component", "y")).drop("component")
+    mixed = joined.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    return settle(joined.join(mixed.select("shingle"), "shingle"), "open-groups")
+
+
+def _one_partner(open_: DataFrame, percent: int) -> DataFrame:
+    """For every class one other of another component to be compared with.
+
+    A group's leader is the member with the largest share of repeated shingles, which
+    of a text and its edited copies is the text; members of the leader's component ask
+    the best of another one. Of all its groups' leaders a class takes the most frequent.
+    """
+    rank = F.struct(
+        (F.col("ry") / F.col("ny")).alias("share"), (-F.col("y")).alias("_y"),
+        "c", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"),
+    )
+    first = open_.groupBy("shingle").agg(F.max(rank).alias("low"))
+    led = open_.join(first, "shingle")
+    second = led.where(F.col("c") != F.col("low.c")).groupBy("shingle").agg(F.max(rank).alias("high"))
+    other = F.when(F.col("c") == F.col("low.c"), F.col("high")).otherwise(F.col("low"))
+    asked = led.join(second, "shingle").select("y", "ny", "ry", other.alias("o")).select("y", "ny", "ry", "o.x", "o.nx", "o.rx")
+    counted = asked.where(_possible(percent)).groupBy("y", "x").agg(F.count(F.lit(1)).alias("times"))
+    best = counted.groupBy("y").agg(F.max(F.struct("times", -F.col("x"), "x")).alias("best"))
+    return best.select(F.least("y", "best.x").alias("x"), F.greatest("y", "best.x").alias("y")).distinct()
+
+
+def _all_partners(open_: DataFrame, percent: int) -> DataFrame:
+    """Every pair of different components that shares enough of its first shingles.
+
+    Two sets share at most what they share among their first shingles and, beyond
+    these, what the one whose first shingles end earlier still has.
+    """
     other = open_.select("shingle", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"), F.col("c").alias("cx"))
-    rest = (
-        open_.join(other, "shingle").where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("c"))).where(_possible(percent))
-        .select("x", "y").distinct()
+    later = lambda n: F.ceil(percent * F.col(n) / 100) - 1
+    need = percent * (F.col("nx") + F.col("ny")) / (100 + percent)
+    return (
+        open_.join(other, "shingle")
+        .where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("c")))
+        .where(_possible(percent))
+        .groupBy("x", "y", "nx", "ny")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .where(F.col("shared") + F.greatest(later("nx"), later("ny")) >= need)
+        .select("x", "y")
     )
-    return settle(links.unionByName(_overlaps(rest, segments, percent)), "all-links")
 
 
 def similar_documents(
