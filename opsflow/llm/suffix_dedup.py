@@ -39,8 +39,10 @@ from opsflow.llm.exact_dedup import KEY, split_by_keys, with_key
 from opsflow.llm.textbytes import U, byte_slices, mix64, pack_ascending, unpack_ascending
 from opsflow.session import settle
 
-BUFFER = 1_000_000
-RANGE_PHRASES = 1_000_000
+BUFFER = 300_000
+RANGE_PHRASES = 400_000
+#: Phrases whose bytes are handed on at once.
+FETCH = 20_000
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SPAN = np.dtype([("start", "<u4"), ("windows", "<u4")])
 NEED = np.dtype([("start", "<u4"), ("windows", "<u4"), ("trigger", "<u8")])
@@ -264,19 +266,26 @@ FETCHED_NAMES = [f.split()[0] for f in FETCHED.split(", ")]
 
 
 def _fetch(length: int, bits: int):
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [[]] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=FETCHED_NAMES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
         for batch in batches:
-            out = []
             for id_, null, hash_, text, lists in zip(*(batch.column(i) for i in range(5))):
-                data = (text.as_py() or "").encode()
+                own, data = (id_.as_py(), null.as_py(), hash_.as_py()), (text.as_py() or "").encode()
                 for needs in lists.as_py():
                     for start, windows, gram in np.frombuffer(needs, NEED).tolist():
                         part = gram >> (64 - bits) if bits else 0
                         signed = gram - (1 << 64) if gram >> 63 else gram
-                        out.append((part, signed, id_.as_py(), null.as_py(), hash_.as_py(), start, windows, data[start : start + windows + length - 1]))
-            columns = list(zip(*out)) or [[]] * 8
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=FETCHED_NAMES)
+                        out.append((part, signed, *own, start, windows, data[start : start + windows + length - 1]))
+                    if len(out) >= FETCH:
+                        yield rows(out)
+                        out = []
+        yield rows(out)
 
     return run
 
