@@ -18,6 +18,8 @@ SETTINGS = {
     # split a skewed join even where that costs one more shuffle afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # texts are long: fewer rows in a batch that goes to a Python worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
