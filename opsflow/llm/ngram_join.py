@@ -275,27 +275,24 @@ def class_links(
     ordered = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("fragment", "hashes"))), lambda s: s["hashes"]))
     # n - ceil(percent n / 100) + 1 shingles come first; the unrepeated ones before all others
     first = F.expr(f"cast(n - ceil({percent} * n / 100.0) + 1 - (n - repeated) as int)")
-    prefix = settle(
-        segments.groupBy("class", "n", "repeated").agg(ordered.alias("hashes"))
-        .select(F.col("class").alias("y"), F.col("n").alias("ny"), F.col("repeated").alias("ry"), F.explode(F.slice("hashes", F.lit(1), first)).alias("shingle")),
-        "prefix",
+    firsts = settle(
+        segments.groupBy("class", "n", "repeated").agg(ordered.alias("hashes")).withColumn("hashes", F.slice("hashes", F.lit(1), first)),
+        "first-shingles",
     )
+    prefix = firsts.select(
+        F.col("class").alias("y"), F.col("n").alias("ny"), F.col("repeated").alias("ry"), F.posexplode("hashes").alias("_i", "shingle")
+    ).withColumn("py", F.col("ny") - F.col("ry") + F.col("_i") + 1).drop("_i")
     links, tried = None, None
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         open_ = _open_groups(prefix, links)
         if open_.isEmpty():
             return links
-        pairs = _one_partner(open_, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = settle(pairs, "pairs")
+        pairs = settle(_one_partner(open_, tried, turn, percent), "pairs")
         found = settle(_overlaps(pairs, segments, percent), "links")
-        fresh = not found.isEmpty()
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        if not fresh:
-            break
-    rest = _all_partners(_open_groups(prefix, links), percent).join(tried, ["x", "y"], "left_anti")
+    open_ = _still_possible(_open_groups(prefix, links), segments, percent)
+    rest = _all_partners(open_, firsts, percent).join(tried, ["x", "y"], "left_anti")
     return links.unionByName(settle(_overlaps(settle(rest, "pairs"), segments, percent), "links"))
 
 
@@ -310,15 +307,31 @@ def _open_groups(prefix: DataFrame, links: DataFrame | None) -> DataFrame:
     return settle(joined.join(mixed.select("shingle"), "shingle"), "open-groups")
 
 
-def _one_partner(open_: DataFrame, percent: int) -> DataFrame:
-    """For every class one other of another component to be compared with.
+def _still_possible(open_: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``open_`` whose class shares enough shingles with other components.
 
-    A group's leader is the member with the largest share of repeated shingles, which
-    of a text and its edited copies is the text; members of the leader's component ask
-    the best of another one. Of all its groups' leaders a class takes the most frequent.
+    Counted over whole sets, among the classes that are in open groups at all; ``ry``
+    becomes that count.
     """
+    nodes = open_.select(F.col("y").alias("class"), "c").distinct()
+    each = segments.join(nodes, "class").select("class", "n", "c", F.explode("hashes").alias("shingle"))
+    mixed = each.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    shared = each.join(mixed.select("shingle"), "shingle").groupBy("class", "n").agg(F.count(F.lit(1)).alias("ry"))
+    enough = shared.where(100 * F.col("ry") >= percent * F.col("n")).select(F.col("class").alias("y"), "ry")
+    return settle(open_.drop("ry").join(enough, "y"), "still-possible")
+
+
+def _one_partner(open_: DataFrame, tried: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """For every class one other of another component to be compared with, not in ``tried``.
+
+    First a group's leader is the member with the largest share of repeated shingles,
+    which of a text and its edited copies is the text; in later turns it is drawn by
+    hash. Members of the leader's component ask the best of another one. Of all its
+    groups' leaders a class takes the most frequent.
+    """
+    share = F.col("ry") / F.col("ny") if turn == 0 else F.xxhash64("y", F.lit(turn))
     rank = F.struct(
-        (F.col("ry") / F.col("ny")).alias("share"), (-F.col("y")).alias("_y"),
+        share.alias("share"), (-F.col("y")).alias("_y"),
         "c", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"),
     )
     first = open_.groupBy("shingle").agg(F.max(rank).alias("low"))
@@ -327,27 +340,41 @@ def _one_partner(open_: DataFrame, percent: int) -> DataFrame:
     other = F.when(F.col("c") == F.col("low.c"), F.col("high")).otherwise(F.col("low"))
     asked = led.join(second, "shingle").select("y", "ny", "ry", other.alias("o")).select("y", "ny", "ry", "o.x", "o.nx", "o.rx")
     counted = asked.where(_possible(percent)).groupBy("y", "x").agg(F.count(F.lit(1)).alias("times"))
+    if tried is not None:
+        both = tried.unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        counted = counted.join(both, ["x", "y"], "left_anti")
     best = counted.groupBy("y").agg(F.max(F.struct("times", -F.col("x"), "x")).alias("best"))
     return best.select(F.least("y", "best.x").alias("x"), F.greatest("y", "best.x").alias("y")).distinct()
 
 
-def _all_partners(open_: DataFrame, percent: int) -> DataFrame:
+def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """Every pair of different components that shares enough of its first shingles.
 
-    Two sets share at most what they share among their first shingles and, beyond
-    these, what the one whose first shingles end earlier still has.
+    For the overlap that two sizes need, a pair must share a shingle among the first
+    ``size - need + 1`` of either. The smaller set's place can be bounded by its own
+    size alone, so few of its rows are joined at all. Two sets share at most what they
+    share among their first shingles and, beyond these, what the one whose first
+    shingles end earlier still has.
     """
-    other = open_.select("shingle", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"), F.col("c").alias("cx"))
+    need = F.ceil(percent * (F.col("nx") + F.col("ny")) / (100 + percent))
+    smaller = open_.where(F.col("py") <= F.col("ny") - F.ceil(2 * percent * F.col("ny") / (100 + percent)) + 1)
+    larger = open_.select(
+        "shingle", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"), F.col("c").alias("cx"), F.col("py").alias("px")
+    )
+    pairs = (
+        smaller.join(larger, "shingle")
+        .where((F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x"))))
+        .where(_possible(percent) & (F.col("c") != F.col("cx")))
+        .where((F.col("py") <= F.col("ny") - need + 1) & (F.col("px") <= F.col("nx") - need + 1))
+        .select("x", "y", "nx", "ny")
+        .distinct()
+    )
+    of = lambda name: firsts.select(F.col("class").alias(name), F.col("hashes").alias(f"h{name}"))
     later = lambda n: F.ceil(percent * F.col(n) / 100) - 1
-    need = percent * (F.col("nx") + F.col("ny")) / (100 + percent)
     return (
-        open_.join(other, "shingle")
-        .where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("c")))
-        .where(_possible(percent))
-        .groupBy("x", "y", "nx", "ny")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(F.col("shared") + F.greatest(later("nx"), later("ny")) >= need)
-        .select("x", "y")
+        pairs.join(of("x"), "x").join(of("y"), "y")
+        .where(F.size(F.array_intersect("hx", "hy")) + F.greatest(later("nx"), later("ny")) >= need)
+        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     )
 
 
