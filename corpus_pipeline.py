@@ -14,7 +14,7 @@ from opsflow.llm.language_id import identify, train, vocabulary_path
 from opsflow.llm.mixing import mixed_texts
 from opsflow.llm.ngram_join import one_of_each, similar_documents
 from opsflow.llm.packing import pack
-from opsflow.session import settle
+from opsflow.session import configure, settle
 
 #: Share of the posterior below which a document's language counts as unknown.
 SURE = 0.5
@@ -23,6 +23,7 @@ END_ID = 2
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; texts without a letter and doubtful ones go."""
+    configure(spark)
     found = identify(docs, train(docs, vocabulary_path()))
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*docs.columns)
 

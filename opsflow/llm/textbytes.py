@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes handled at once; longer texts are handled alone.
-SLICE = 1 << 20
+SLICE = 1 << 18
 U = np.uint64
 
 
