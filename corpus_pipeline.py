@@ -24,8 +24,8 @@ END_ID = 2
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; texts without a letter and doubtful ones go."""
     configure(spark)
-    found = identify(docs, train(docs, vocabulary_path()))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*docs.columns)
+    found = identify(docs, train(docs, vocabulary_path()), "_lang", "_score")
+    return found.where((F.col("_lang") != "und") & (F.col("_score") >= SURE)).select(*docs.columns)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

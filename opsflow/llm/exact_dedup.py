@@ -111,8 +111,8 @@ def hash_filter(
     return bitmap
 
 
-def passes(df: DataFrame, bitmap: np.ndarray, out: str = "maybe") -> DataFrame:
-    """``df`` (with a long ``hash``) and whether the filter has its hash."""
+def passes(df: DataFrame, bitmap: np.ndarray, column: str, out: str) -> DataFrame:
+    """``df`` and whether the filter has the hash in ``column`` (a long)."""
     shared = df.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
@@ -123,7 +123,7 @@ def passes(df: DataFrame, bitmap: np.ndarray, out: str = "maybe") -> DataFrame:
         at = _positions(hashes.to_numpy(np.int64), len(bits) * 8)
         return pd.Series((bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1)
 
-    return df.withColumn(out, test("hash"))
+    return df.withColumn(out, test(column))
 
 
 def with_key(df: DataFrame, text_hash=None) -> DataFrame:
@@ -140,8 +140,8 @@ def split_by_keys(keyed: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFra
     """
     hashes = keys.select(F.xxhash64(*KEY).alias("hash"))
     bitmap = hash_filter(hashes, hashes.count(), times=1, bits_per_row=16)
-    tested = passes(keyed.withColumn("hash", F.xxhash64(*KEY)), bitmap).drop("hash")
-    return tested.where("maybe").drop("maybe"), tested.where(~F.col("maybe")).drop("maybe")
+    tested = passes(keyed.withColumn("_hash", F.xxhash64(*KEY)), bitmap, "_hash", "_maybe").drop("_hash")
+    return tested.where("_maybe").drop("_maybe"), tested.where(~F.col("_maybe")).drop("_maybe")
 
 
 def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def exact_duplicates(docs: DataFrame, bits_per_row: int = 32, max_bits: int = 1
     """
     rows = settle(hashed(docs).withColumn("row", F.monotonically_increasing_id()), "hashed")
     total = rows.count()
-    marked = settle(passes(rows, hash_filter(rows.select("hash"), total, 2, bits_per_row, max_bits)), "marked")
+    marked = settle(passes(rows, hash_filter(rows.select("hash"), total, 2, bits_per_row, max_bits), "hash", "maybe"), "marked")
     single = marked.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256", "text_hash",

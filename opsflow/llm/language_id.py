@@ -246,12 +246,12 @@ def train(docs: DataFrame, vocabulary: str, sample: int = 400, rounds: int = 2)
     return model
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from ``text`` alone.
+def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with the predicted language and its score (0 to 1), from ``text`` alone.
 
-    ``lang_pred`` is ``und`` with score 0 for a text that is null, empty or without a
-    letter, or if the model knows no language. Columns of these names are replaced;
-    all others stay as they are. Repeated rows give a row each.
+    The language is ``und`` with score 0 for a text that is null, empty or without a
+    letter, or if the model knows no language. Columns of the
+    names ``lang`` and ``score`` are replaced; all others stay as they are. Repeated rows give a row each.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -261,13 +261,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in texts:
             yield pd.DataFrame(now.score(batch.tolist()), columns=["lang", "score"])
 
-    kept = docs.drop("lang_pred", "score", "_found")
-    text = F.col("text").cast("string")
-    return (
-        kept.withColumn("_found", predict(text))
-        .withColumns({"lang_pred": F.col("_found.lang"), "score": F.col("_found.score")})
-        .drop("_found")
-    )
+    found = docs.withColumn("_found", predict(F.col("text").cast("string")))
+    return found.withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")
 
 
 def held_out(docs: DataFrame) -> DataFrame:

@@ -282,23 +282,22 @@ def class_links(
     prefix = firsts.select(
         F.col("class").alias("y"), F.col("n").alias("ny"), F.col("repeated").alias("ry"), F.posexplode("hashes").alias("_i", "shingle")
     ).withColumn("py", F.col("ny") - F.col("ry") + F.col("_i") + 1).drop("_i")
-    links, tried = None, None
+    links = tried = docs.sparkSession.createDataFrame([], "x long, y long")
     for turn in range(ROUNDS):
         open_ = _open_groups(prefix, links)
         if open_.isEmpty():
             return links
         pairs = settle(_one_partner(open_, tried, turn, percent), "pairs")
         found = settle(_overlaps(pairs, segments, percent), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
+        tried, links = tried.unionByName(pairs), links.unionByName(found)
     open_ = _still_possible(_open_groups(prefix, links), segments, percent)
     rest = _all_partners(open_, firsts, percent).join(tried, ["x", "y"], "left_anti")
     return links.unionByName(settle(_overlaps(settle(rest, "pairs"), segments, percent), "links"))
 
 
-def _open_groups(prefix: DataFrame, links: DataFrame | None) -> DataFrame:
+def _open_groups(prefix: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of ``prefix`` with their component ``c``, in groups of more than one component."""
-    if links is None or links.isEmpty():
+    if links.isEmpty():
         joined = prefix.withColumn("c", F.col("y"))
     else:
         known = components(links.select("x", "y")).withColumnRenamed("node", "y")
@@ -321,7 +320,7 @@ def _still_possible(open_: DataFrame, segments: DataFrame, percent: int) -> Data
     return settle(open_.drop("ry").join(enough, "y"), "still-possible")
 
 
-def _one_partner(open_: DataFrame, tried: DataFrame | None, turn: int, percent: int) -> DataFrame:
+def _one_partner(open_: DataFrame, tried: DataFrame, turn: int, percent: int) -> DataFrame:
     """For every class one other of another component to be compared with, not in ``tried``.
 
     First a group's leader is the member with the largest share of repeated shingles,
@@ -340,10 +339,8 @@ def _one_partner(open_: DataFrame, tried: DataFrame | None, turn: int, percent:
     other = F.when(F.col("c") == F.col("low.c"), F.col("high")).otherwise(F.col("low"))
     asked = led.join(second, "shingle").select("y", "ny", "ry", other.alias("o")).select("y", "ny", "ry", "o.x", "o.nx", "o.rx")
     counted = asked.where(_possible(percent)).groupBy("y", "x").agg(F.count(F.lit(1)).alias("times"))
-    if tried is not None:
-        both = tried.unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        counted = counted.join(both, ["x", "y"], "left_anti")
-    best = counted.groupBy("y").agg(F.max(F.struct("times", -F.col("x"), "x")).alias("best"))
+    both = tried.unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    best = counted.join(both, ["x", "y"], "left_anti").groupBy("y").agg(F.max(F.struct("times", -F.col("x"), "x")).alias("best"))
     return best.select(F.least("y", "best.x").alias("x"), F.greatest("y", "best.x").alias("y")).distinct()
 
 
