@@ -106,7 +106,8 @@ def phrases(data: np.ndarray, offsets: np.ndarray, length: int, trigger: int, ro
     count = np.diff(np.append(first, len(window)))
     start = window[first]
     content = two.of(other, start, start + count + length - 1)
-    return row[first], start - offsets[row[first]], count, grams[anchor[first]], content
+    # least hashes crowd at the low end: scrambled again, triggers spread over all ranges
+    return row[first], start - offsets[row[first]], count, mix64(~grams[anchor[first]]), content
 
 
 class Places:
