@@ -181,28 +181,54 @@ def _parse(length: int, trigger: int, bits: int, buffer: int):
     return run
 
 
-FOUND = "id long, null boolean, hash long, repeats binary, needs binary"
+FOUND = "bucket long, places binary, n_repeats binary, repeats binary, n_needs binary, needs binary"
 FOUND_SCHEMA = pa.schema(
+    [("bucket", pa.int64())] + [(c, pa.binary()) for c in ("places", "n_repeats", "repeats", "n_needs", "needs")]
+)
+MARKED = "id long, null boolean, hash long, repeats binary, needs binary"
+MARKED_SCHEMA = pa.schema(
     [("id", pa.int64()), ("null", pa.bool_()), ("hash", pa.int64()), ("repeats", pa.binary()), ("needs", pa.binary())]
 )
 
 
-def _by_place(places: np.ndarray, repeats: tuple, needs: tuple) -> pa.Table:
-    """One row per document: its repeated spans and the phrases whose bytes are needed."""
-    out: dict[int, list[bytes]] = {}
-    for column, (at, records) in enumerate((repeats, needs)):
-        order = np.argsort(at, kind="stable")
-        at, records = at[order], records[order]
-        docs, first = np.unique(at, return_index=True)
-        for doc, part in zip(docs.tolist(), np.split(records, first[1:]) if len(docs) else []):
-            out.setdefault(doc, [b"", b""])[column] = part.tobytes()
-    own = places[list(out)] if out else places[:0]
+def _by_bucket(places: np.ndarray, repeats: tuple, needs: tuple, bits: int) -> pa.Table:
+    """Repeated spans and needed phrases of documents, packed per bucket of documents."""
+    bucket = mix64(places["hash"].view(np.uint64) ^ places["id"].astype(np.uint64)) >> U(64 - bits) if bits else np.zeros(len(places), np.uint64)
+    counts, sorted_ = [], []
+    for at, records in (repeats, needs):
+        counts.append(np.bincount(at, minlength=len(places)).astype(np.uint32))
+        sorted_.append((records[np.argsort(at, kind="stable")], np.concatenate(([0], np.cumsum(counts[-1], dtype=np.int64)))))
+    has = np.flatnonzero((counts[0] > 0) | (counts[1] > 0))
+    out = []
+    for b in np.unique(bucket[has]):
+        docs = has[bucket[has] == b]
+        row = {"bucket": int(b), "places": places[docs].tobytes()}
+        for name, count, (records, first) in zip(("repeats", "needs"), counts, sorted_):
+            row[f"n_{name}"] = count[docs].tobytes()
+            row[name] = b"".join(records[first[d] : first[d + 1]].tobytes() for d in docs.tolist())
+        out.append(row)
+    return pa.Table.from_pylist(out, FOUND_SCHEMA)
+
+
+def _by_place(group: pa.Table) -> pa.Table:
+    """One row per document of a bucket: its repeated spans and the phrases needed."""
+    out: dict[bytes, list[list[bytes]]] = {}
+    width = Places.DTYPE.itemsize
+    for r in group.to_pylist():
+        places = r["places"]
+        keys = [places[i : i + width] for i in range(0, len(places), width)]
+        for column, (name, kind) in enumerate((("repeats", SPAN), ("needs", NEED))):
+            at = 0
+            for key, n in zip(keys, np.frombuffer(r[f"n_{name}"], np.uint32).tolist()):
+                out.setdefault(key, [[], []])[column].append(r[name][at : at + n * kind.itemsize])
+                at += n * kind.itemsize
+    own = np.frombuffer(b"".join(out), Places.DTYPE)
     return pa.Table.from_arrays(
         [
             pa.array(own["id"]), pa.array(own["null"]), pa.array(own["hash"]),
-            pa.array([v[0] for v in out.values()], pa.binary()), pa.array([v[1] for v in out.values()], pa.binary()),
+            pa.array([b"".join(v[0]) for v in out.values()], pa.binary()), pa.array([b"".join(v[1]) for v in out.values()], pa.binary()),
         ],
-        schema=FOUND_SCHEMA,
+        schema=MARKED_SCHEMA,
     )
 
 
@@ -212,8 +238,12 @@ def _spans(start: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _dictionary(group: pa.Table) -> pa.Table:
+def _dictionary(bits: int):
     """First and further places of the phrases of one trigger range."""
+    return lambda group: _sorted_phrases(group, bits)
+
+
+def _sorted_phrases(group: pa.Table, bits: int) -> pa.Table:
     rows = group.to_pylist()
     opened, base, all_places = {True: [], False: []}, 0, []
     for r in rows:
@@ -259,7 +289,7 @@ def _dictionary(group: pa.Table) -> pa.Table:
     needs["start"], needs["windows"], needs["trigger"] = start[need], windows[need], gram[need]
     more_at, more_start, more_windows, _, _ = joined(True)
     repeats = _spans(np.concatenate((start[again], more_start)), np.concatenate((windows[again], more_windows)))
-    return _by_place(places, (np.concatenate((at[again], more_at)), repeats), (at[need], needs))
+    return _by_bucket(places, (np.concatenate((at[again], more_at)), repeats), (at[need], needs), bits)
 
 
 FETCHED = "part long, trigger long, id long, null boolean, hash long, start long, windows long, bytes binary"
@@ -291,7 +321,7 @@ def _fetch(length: int, bits: int):
     return run
 
 
-def _sorted_windows(length: int):
+def _sorted_windows(length: int, bits: int):
     """Windows of the phrases of one range that stand earlier in another phrase."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -322,7 +352,7 @@ def _sorted_windows(length: int):
         doc, where = doc[order], where[order]
         edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (where[1:] != where[:-1] + 1)))) if len(doc) else np.zeros(0, int)
         spans = _spans(where[edge], np.diff(np.append(edge, len(doc))))
-        return _by_place(places, (doc[edge], spans), (np.zeros(0, np.int64), np.zeros(0, NEED)))
+        return _by_bucket(places, (doc[edge], spans), (np.zeros(0, np.int64), np.zeros(0, NEED)), bits)
 
     return run
 
@@ -382,13 +412,15 @@ def remove_repeats(
     parts = max(1, total * 2 // (length - trigger + 2) // RANGE_PHRASES)
     bits = (parts - 1).bit_length()
     parsed = keyed.select("doc_id", "text", "_text").mapInArrow(_parse(length, trigger, bits, buffer), PACKET)
-    found = settle(parsed.groupBy("part").applyInArrow(_dictionary, FOUND), "phrases").withColumnsRenamed(places)
+    found = parsed.groupBy("part").applyInArrow(_dictionary(bits), FOUND).groupBy("bucket").applyInArrow(_by_place, MARKED)
+    found = settle(found, "phrases").withColumnsRenamed(places)
 
     needs = found.where(F.length("needs") > 0).groupBy(*KEY).agg(F.collect_list("needs").alias("needs"))
     needs = settle(needs, "needed")
     some, _ = split_by_keys(keyed, needs)
     fetched = some.join(needs, KEY).select(*KEY, "text", "needs").mapInArrow(_fetch(length, bits), FETCHED)
-    shared = fetched.groupBy("part").applyInArrow(_sorted_windows(length), FOUND).withColumnsRenamed(places)
+    shared = fetched.groupBy("part").applyInArrow(_sorted_windows(length, bits), FOUND).groupBy("bucket")
+    shared = shared.applyInArrow(_by_place, MARKED).withColumnsRenamed(places)
     spans = found.where(F.length("repeats") > 0).select(*KEY, "repeats").unionByName(shared.select(*KEY, "repeats"))
     spans = settle(spans.groupBy(*KEY).agg(F.collect_list("repeats").alias("repeats")), "repeats")
     twice = keyed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*KEY)
