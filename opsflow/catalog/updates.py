@@ -451,7 +451,11 @@ LAST_EVENT_SQL = """
 
 
 def event_stream(t: Tables) -> DataFrame:
-    stream = file_stream(t.spark, t.folder, t.events.schema, "events.parquet")
+    files = t.events.inputFiles()
+    if all(f.endswith("/events.parquet") for f in files):  # the table is one file, not a folder of files
+        stream = file_stream(t.spark, t.folder, t.events.schema, "events.parquet")
+    else:
+        stream = file_stream(t.spark, f"{t.folder}/events.parquet", t.events.schema)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
