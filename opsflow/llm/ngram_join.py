@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsflow.llm.base import query, table
 from opsflow.llm.components import components
+from opsflow.llm.exact_dedup import hash_filter, passes
 from opsflow.llm.textbytes import U, mix64, pack_ascending, shingle_sets, sums_by_run, unpack_ascending
 from opsflow.session import settle
 
@@ -190,9 +191,10 @@ def _repeated(bits: int):
     return run
 
 
-SEGMENT = "class long, n long, repeated long, fragment int, hashes array<long>"
+#: ``before``: the class's shingles in earlier fragments.
+SEGMENT = "class long, n long, repeated long, before long, fragment int, hashes array<long>"
 SEGMENT_SCHEMA = pa.schema(
-    [("class", pa.int64()), ("n", pa.int64()), ("repeated", pa.int64()), ("fragment", pa.int32()), ("hashes", pa.list_(pa.int64()))]
+    [(c, pa.int64()) for c in ("class", "n", "repeated", "before")] + [("fragment", pa.int32()), ("hashes", pa.list_(pa.int64()))]
 )
 
 
@@ -226,11 +228,13 @@ def _segments(percent: int):
         order = np.lexsort((value, fragment, own))
         own, size, value, repeated, fragment = own[order], size[order], value[order], repeated[order], fragment[order]
         first = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (fragment[1:] != fragment[:-1])))) if len(own) else np.zeros(0, int)
+        opens = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, int)
+        before = first - opens[np.searchsorted(opens, first, "right") - 1] if len(own) else first
         lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(own)).astype(np.int32)), pa.array(value.view(np.int64)))
         return pa.Table.from_arrays(
             [
                 pa.array(own[first].view(np.int64)), pa.array(size[first].astype(np.int64)), pa.array(repeated[first].astype(np.int64)),
-                pa.array(fragment[first]), lists,
+                pa.array(before.astype(np.int64)), pa.array(fragment[first]), lists,
             ],
             schema=SEGMENT_SCHEMA,
         )
@@ -238,8 +242,19 @@ def _segments(percent: int):
     return run
 
 
+def _only(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` whose class may be in ``classes`` (one column).
+
+    A filter of bounded size keeps most others out of the shuffles that follow; those
+    that it lets through find no partner in the joins.
+    """
+    bitmap = hash_filter(classes, classes.count(), times=1, bits_per_row=16)
+    return passes(rows, bitmap, "class", "_maybe").where("_maybe").drop("_maybe")
+
+
 def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Links among candidate ``pairs`` (x, y): overlaps per fragment, summed per pair."""
+    segments = _only(segments, pairs.select(F.explode(F.array("x", "y"))))
     left = segments.select(F.col("class").alias("x"), "fragment", F.col("n").alias("nx"), F.col("hashes").alias("hx"))
     right = segments.select(F.col("class").alias("y"), "fragment", F.col("n").alias("ny"), F.col("hashes").alias("hy"))
     common = F.size(F.array_intersect("hx", "hy"))
@@ -272,16 +287,15 @@ def class_links(
     repeated = dealt.groupBy("part").applyInArrow(_repeated(bits), REPEATED)
     segments = settle(repeated.groupBy("bucket").applyInArrow(_segments(percent), SEGMENT), "segments")
 
-    ordered = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("fragment", "hashes"))), lambda s: s["hashes"]))
     # n - ceil(percent n / 100) + 1 shingles come first; the unrepeated ones before all others
-    first = F.expr(f"cast(n - ceil({percent} * n / 100.0) + 1 - (n - repeated) as int)")
+    first = F.expr(f"cast(greatest(0, repeated - ceil({percent} * n / 100.0) + 1 - before) as int)")
     firsts = settle(
-        segments.groupBy("class", "n", "repeated").agg(ordered.alias("hashes")).withColumn("hashes", F.slice("hashes", F.lit(1), first)),
-        "first-shingles",
+        segments.withColumn("hashes", F.slice("hashes", F.lit(1), first)).where(F.size("hashes") > 0), "first-shingles"
     )
     prefix = firsts.select(
-        F.col("class").alias("y"), F.col("n").alias("ny"), F.col("repeated").alias("ry"), F.posexplode("hashes").alias("_i", "shingle")
-    ).withColumn("py", F.col("ny") - F.col("ry") + F.col("_i") + 1).drop("_i")
+        F.col("class").alias("y"), F.col("n").alias("ny"), F.col("repeated").alias("ry"), "before",
+        F.posexplode("hashes").alias("_i", "shingle"),
+    ).withColumn("py", F.col("ny") - F.col("ry") + F.col("before") + F.col("_i") + 1).drop("_i", "before")
     links = tried = docs.sparkSession.createDataFrame([], "x long, y long")
     for turn in range(ROUNDS):
         open_ = _open_groups(prefix, links)
@@ -290,6 +304,7 @@ def class_links(
         pairs = settle(_one_partner(open_, tried, turn, percent), "pairs")
         found = settle(_overlaps(pairs, segments, percent), "links")
         tried, links = tried.unionByName(pairs), links.unionByName(found)
+        prefix = open_.drop("c")  # a group within one component stays so
     open_ = _still_possible(_open_groups(prefix, links), segments, percent)
     rest = _all_partners(open_, firsts, percent).join(tried, ["x", "y"], "left_anti")
     return links.unionByName(settle(_overlaps(settle(rest, "pairs"), segments, percent), "links"))
@@ -313,7 +328,8 @@ def _still_possible(open_: DataFrame, segments: DataFrame, percent: int) -> Data
     becomes that count.
     """
     nodes = open_.select(F.col("y").alias("class"), "c").distinct()
-    each = segments.join(nodes, "class").select("class", "n", "c", F.explode("hashes").alias("shingle"))
+    known = settle(_only(segments, nodes.select("class")).join(nodes, "class"), "open-segments")
+    each = known.select("class", "n", "c", F.explode("hashes").alias("shingle"))
     mixed = each.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     shared = each.join(mixed.select("shingle"), "shingle").groupBy("class", "n").agg(F.count(F.lit(1)).alias("ry"))
     enough = shared.where(100 * F.col("ry") >= percent * F.col("n")).select(F.col("class").alias("y"), "ry")
@@ -366,7 +382,9 @@ def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int) -> DataFram
         .select("x", "y", "nx", "ny")
         .distinct()
     )
-    of = lambda name: firsts.select(F.col("class").alias(name), F.col("hashes").alias(f"h{name}"))
+    pairs = settle(pairs, "prefix-pairs")
+    whole = _only(firsts, pairs.select(F.explode(F.array("x", "y")))).groupBy("class").agg(F.flatten(F.collect_list("hashes")).alias("hashes"))
+    of = lambda name: whole.select(F.col("class").alias(name), F.col("hashes").alias(f"h{name}"))
     later = lambda n: F.ceil(percent * F.col(n) / 100) - 1
     return (
         pairs.join(of("x"), "x").join(of("y"), "y")
