@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from opsflow.catalog.base import Tables, day_text, query, time_text
 from opsflow.catalog.erp_tables import erp, with_erp
+from opsflow.catalog.order_twins import TWINS, day, time
 from opsflow.plans import orders, warehouse
 
 AS_OF = datetime(2001, 8, 1)
@@ -31,186 +32,27 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 
-
-def day(expression: str) -> str:
-    return f"strftime({expression}, '%Y-%m-%d')"
-
-
-def time(expression: str) -> str:
-    return f"strftime({expression}, '%Y-%m-%d %H:%M:%S')"
-
-
-def money(expression: str) -> str:
-    return f"CAST(CAST({expression} AS DECIMAL(18,2)) AS DOUBLE)"
-
-
-def whole(expression: str) -> str:
-    return f"CAST(trunc({expression}) AS INT)"
-
-
-@query(
-    "sales_orders",
-    with_erp(
-        "order_header", "order_line", "site", "item", "item_replenishment", "shipment_line", "shipment", "account", "customer",
-        "contact", "address", "customer_sales_person", "sales_person", "users", "status_lookup",
-    )
-    + f"""
-    SELECT s.order_type, s.order_nbr, l.line_nbr, {day('s.order_date')} AS date_placed, rtrim(b.acct_cd) AS acct_cd, b.acct_name,
-      c.class_id AS customer_class, rtrim(i.inventory_cd) AS inventory_cd, rtrim(i.descr) AS item_descr, {whole('l.order_qty')} AS quantity,
-      {money('l.line_amt + l.disc_amt')} AS line_price, {money('s.order_total')} AS order_total, js.status AS order_status, s.customer_order_nbr,
-      rtrim(o.acct_cd) AS owner_cd, o.acct_name AS owner_name, oc.email AS owner_email, rtrim(sp.sales_person_cd) AS sales_person_cd,
-      rtrim(l.discount_id) AS discount_id, {time('s.modified_at')} AS modified_at, {money('l.disc_amt')} AS disc_amt, {money('l.ext_cost')} AS line_cost,
-      left(coalesce(sc.phone1, bc.phone1), 20) AS phone, coalesce(sc.email, bc.email) AS email, coalesce(sa.line1, ba.line1) AS address_line1,
-      nullif(coalesce(sa.line2, ba.line2), '') AS address_line2, coalesce(sa.city, ba.city) AS city, coalesce(sa.state, ba.state) AS state,
-      coalesce(sa.postal_code, ba.postal_code) AS zip, coalesce(sa.country, ba.country) AS country, {money('l.line_amt')} AS line_amount,
-      r.class_id AS replenishment_class, CAST(i.is_stock AS INT) AS is_stock, rtrim(si.site_cd) AS line_warehouse, {time('sh.ship_date')} AS ship_date,
-      shl.shipment_nbr, jsh.status AS ship_status, rtrim(shi.site_cd) AS ship_warehouse, CAST(l.completed AS INT) AS completed,
-      l.orig_order_type AS original_order_type, l.orig_order_nbr AS original_order_nbr, {money('s.freight_amt')} AS freight_price, {money('s.premium_freight_amt')} AS premium_freight_price,
-      {money('s.freight_total')} AS freight_total,
-      {time('s.created_at')} AS created_at, replace(uc.user_name, 'corp\\', '') AS created_by, replace(um.user_name, 'corp\\', '') AS modified_by
-    FROM erp_order_header s JOIN erp_order_line l ON s.order_nbr = l.order_nbr AND s.order_type = l.order_type
-    LEFT JOIN erp_site si ON l.site_id = si.site_id JOIN erp_item i ON l.inventory_id = i.inventory_id
-    LEFT JOIN erp_item_replenishment r ON i.inventory_id = r.inventory_id
-    LEFT JOIN erp_shipment_line shl ON s.order_type = shl.orig_order_type AND s.order_nbr = shl.orig_order_nbr
-      AND l.line_nbr = shl.orig_line_nbr AND l.inventory_id = shl.inventory_id
-    LEFT JOIN erp_shipment sh ON shl.shipment_nbr = sh.shipment_nbr AND shl.shipment_type = sh.shipment_type
-    LEFT JOIN erp_site shi ON shl.site_id = shi.site_id
-    JOIN erp_account b ON s.customer_id = b.account_id JOIN erp_customer c ON b.account_id = c.account_id
-    LEFT JOIN erp_contact sc ON s.ship_contact_id = sc.contact_id LEFT JOIN erp_address sa ON s.ship_address_id = sa.address_id
-    LEFT JOIN erp_contact bc ON s.bill_contact_id = bc.contact_id LEFT JOIN erp_address ba ON s.bill_address_id = ba.address_id
-    LEFT JOIN erp_account o ON s.owner_id = o.contact_id LEFT JOIN erp_contact oc ON s.owner_id = oc.contact_id
-    LEFT JOIN erp_customer_sales_person csp ON s.customer_id = csp.customer_id
-    LEFT JOIN erp_sales_person sp ON csp.sales_person_id = sp.sales_person_id
-    LEFT JOIN erp_users uc ON s.created_by_id = uc.user_id LEFT JOIN erp_users um ON s.modified_by_id = um.user_id
-    JOIN erp_status_lookup js ON s.status = js.code AND js.tbl = 'SOOrder'
-    LEFT JOIN erp_status_lookup jsh ON sh.status = jsh.code AND jsh.tbl = 'SOShipment'
-    WHERE s.order_type NOT IN ('QT', 'RA', 'RC', 'RR', 'RM') AND s.modified_at >= TIMESTAMP '2001-08-01' - INTERVAL 500 DAY
-    """,
-)
+@query("sales_orders", TWINS["sales_orders"])
 def sales_orders(t: Tables) -> DataFrame:
     return plain(orders.sales_orders(erp(t), AS_OF, "500 DAYS"))
 
 
-@query(
-    "quotes",
-    with_erp(
-        "order_header", "order_line", "site", "item", "item_replenishment", "account", "customer", "contact", "address",
-        "customer_sales_person", "sales_person", "status_lookup",
-    )
-    + f"""
-    SELECT s.order_type, s.order_nbr AS quote_nbr, coalesce(l.line_nbr, 99) AS line_nbr, {day('s.order_date')} AS date_placed, rtrim(b.acct_cd) AS acct_cd,
-      b.acct_name, c.class_id AS customer_class, rtrim(i.inventory_cd) AS inventory_cd, rtrim(i.descr) AS item_descr, {whole('l.order_qty')} AS quantity,
-      {money('l.line_amt')} AS line_price, {money('s.order_total')} AS order_total, js.status AS order_status, s.customer_order_nbr,
-      rtrim(o.acct_cd) AS owner_cd, o.acct_name AS owner_name, CAST(NULL AS VARCHAR) AS owner_email, rtrim(sp.sales_person_cd) AS sales_person_cd,
-      l.discount_id, {money('l.disc_amt')} AS disc_amt, {money('l.ext_cost')} AS line_cost, {money('s.paid_amt')} AS total_paid, sc.phone1 AS phone,
-      sc.email, sa.line1 AS address_line1, nullif(sa.line2, '') AS address_line2, sa.city, sa.state, sa.postal_code AS zip, sa.country,
-      {money('l.line_amt')} AS line_amount, r.class_id AS replenishment_class, CAST(i.is_stock AS INT) AS is_stock, rtrim(si.site_cd) AS line_warehouse, {time('s.modified_at')} AS modified_at,
-      {time('s.created_at')} AS created_at, ph.order_type AS attached_order_type, ph.order_nbr AS attached_order_nbr
-    FROM erp_order_header s JOIN erp_account b ON s.customer_id = b.account_id JOIN erp_customer c ON b.account_id = c.account_id
-    LEFT JOIN erp_address sa ON s.ship_address_id = sa.address_id LEFT JOIN erp_contact sc ON s.ship_contact_id = sc.contact_id
-    LEFT JOIN erp_order_line l ON s.order_nbr = l.order_nbr AND s.order_type = l.order_type LEFT JOIN erp_item i ON l.inventory_id = i.inventory_id
-    LEFT JOIN erp_item_replenishment r ON i.inventory_id = r.inventory_id LEFT JOIN erp_site si ON l.site_id = si.site_id
-    LEFT JOIN erp_customer_sales_person csp ON s.customer_id = csp.customer_id LEFT JOIN erp_sales_person sp ON csp.sales_person_id = sp.sales_person_id
-    LEFT JOIN erp_account o ON s.owner_id = o.contact_id JOIN erp_status_lookup js ON s.status = js.code AND js.tbl = 'SOOrder'
-    LEFT JOIN erp_order_header ph ON s.order_type = ph.orig_order_type AND s.order_nbr = ph.orig_order_nbr
-    WHERE s.order_type = 'QT' AND s.modified_at >= date_trunc('day', TIMESTAMP '2001-08-01' - INTERVAL 900 DAY)
-    """,
-)
+@query("quotes", TWINS["quotes"])
 def quotes(t: Tables) -> DataFrame:
     return plain(orders.quotes(erp(t), AS_OF, "900 DAYS"))
 
 
-@query(
-    "phone_order_lines",
-    with_erp("order_header", "order_line", "item", "account", "contact", "status_lookup")
-    + f"""
-    SELECT DISTINCT rtrim(b.acct_cd) AS acct_cd, CASE WHEN sc.full_name IS NOT NULL THEN ltrim(sc.full_name)
-        WHEN sc.attention IS NOT NULL THEN ltrim(sc.attention) ELSE b.acct_name END AS name, sc.phone1 AS phone, s.order_nbr, l.line_nbr,
-      {day('s.order_date')} AS order_date, j.status AS order_status, rtrim(i.inventory_cd) AS inventory_cd, i.descr AS item_descr,
-      {money('l.line_amt')} AS line_amt, o.acct_name AS agent
-    FROM erp_order_header s JOIN erp_order_line l ON s.order_nbr = l.order_nbr AND s.order_type = l.order_type JOIN erp_item i ON l.inventory_id = i.inventory_id
-    JOIN erp_account b ON s.customer_id = b.account_id JOIN erp_contact sc ON s.ship_contact_id = sc.contact_id
-    JOIN erp_account o ON s.owner_id = o.contact_id LEFT JOIN erp_status_lookup j ON s.status = j.code AND j.tbl = 'SOOrder'
-    WHERE s.order_type IN ('PH', 'BF') AND sc.phone1 IS NOT NULL AND i.inventory_cd NOT LIKE '%11%'
-      AND (s.order_date >= TIMESTAMP '2001-08-01' - INTERVAL 800 DAY OR s.modified_at >= TIMESTAMP '2001-08-01' - INTERVAL 800 DAY)
-    """,
-)
+@query("phone_order_lines", TWINS["phone_order_lines"])
 def phone_order_lines(t: Tables) -> DataFrame:
     return plain(orders.phone_order_lines(erp(t), AS_OF, "800 DAYS", excluded_items="11"))
 
 
-@query(
-    "tracked_shipments",
-    with_erp(
-        "shipment", "shipment_line", "order_line", "order_header", "package_split", "package", "item", "item_class", "account", "customer",
-        "contact", "address", "site", "shipment_attributes", "status_lookup",
-    )
-    + f""",
-    top AS (
-      SELECT sh.shipment_nbr, sl.line_nbr AS ship_line_nbr, j.status, sl.orig_order_nbr AS order_nbr, sl.orig_line_nbr AS order_line_nbr,
-        sl.orig_order_type AS order_type, rtrim(ii.inventory_cd) AS inventory_cd, ii.descr AS product_title, {whole('ll.order_qty')} AS order_qty,
-        {whole('ll.shipped_qty')} AS ship_qty, trim(replace(pd.track_number, 'PRO ' || chr(9), '')) AS raw, pd.created_at, sh.ship_date,
-        rtrim(ba.acct_cd) AS customer_id, CASE WHEN sc.attention <> '' THEN sc.attention ELSE sc.full_name END AS customer,
-        CASE WHEN sa.country IN ('US', 'CA') AND sc.phone1 NOT LIKE '%+%' THEN '+1' || sc.phone1 ELSE sc.phone1 END AS phone_number, sc.email,
-        sa.line1 AS dest_line1, sa.line2 AS dest_line2, sa.city AS dest_city, sa.state AS dest_state, sa.postal_code AS dest_postal_code, sa.country AS dest_country,
-        wa.line1 AS origin_line1, wa.line2 AS origin_line2, wa.city AS origin_city, wa.state AS origin_state, wa.postal_code AS origin_postal_code, wa.country AS origin_country,
-        rtrim(si.site_cd) AS warehouse, sh.package_count, {money('ll.unit_price * sl.shipped_qty')} AS line_price, {money('ll.line_amt')} AS line_amt,
-        {money('so.freight_amt')} AS freight_amt, CAST(kw.value_numeric AS INT) AS sent_to_warehouse, {money('so.order_total')} AS order_total,
-        kc.value_string AS courier_code, CAST(NULL AS VARCHAR) AS courier_name, CAST(NULL AS VARCHAR) AS carrier_name, so.order_date,
-        rtrim(cu.class_id) AS customer_class, rtrim(ic.item_class_cd) AS item_class_cd, ic.descr AS item_class_descr,
-        sum(ll.line_amt) OVER (PARTITION BY sh.shipment_nbr, so.order_nbr, pd.track_number) AS package_sum
-      FROM erp_shipment sh JOIN erp_shipment_line sl ON sh.shipment_nbr = sl.shipment_nbr AND sh.shipment_type = sl.shipment_type
-      JOIN erp_order_line ll ON sl.orig_order_nbr = ll.order_nbr AND sl.inventory_id = ll.inventory_id AND sl.orig_order_type = ll.order_type
-      JOIN erp_order_header so ON ll.order_type = so.order_type AND ll.order_nbr = so.order_nbr
-      LEFT JOIN erp_package_split sp ON sh.shipment_nbr = sp.shipment_nbr AND sl.line_nbr = sp.shipment_line_nbr AND sl.inventory_id = sp.inventory_id
-      LEFT JOIN erp_package pd ON sh.shipment_nbr = pd.shipment_nbr AND sp.package_line_nbr = pd.line_nbr
-      JOIN erp_item ii ON sl.inventory_id = ii.inventory_id JOIN erp_item_class ic ON ii.item_class_id = ic.item_class_id
-      JOIN erp_account ba ON sh.customer_id = ba.account_id JOIN erp_customer cu ON sh.customer_id = cu.account_id
-      JOIN erp_contact sc ON sh.ship_contact_id = sc.contact_id JOIN erp_address sa ON sh.ship_address_id = sa.address_id
-      JOIN erp_site si ON sl.site_id = si.site_id JOIN erp_address wa ON si.address_id = wa.address_id
-      LEFT JOIN erp_shipment_attributes kc ON sh.note_id = kc.record_id AND kc.field_name = 'AttributeCOURCODE'
-      LEFT JOIN erp_shipment_attributes kw ON sh.note_id = kw.record_id AND kw.field_name = 'AttributeSHP2WH'
-      JOIN erp_status_lookup j ON sh.status = j.code AND j.tbl = 'SOShipment'
-      WHERE sh.ship_date >= TIMESTAMP '1999-01-01' AND pd.track_number IS NOT NULL AND rtrim(si.site_cd) <> 'OWN5' AND so.order_nbr <> '101'),
-    second AS (SELECT *, CASE WHEN NOT regexp_matches(left(raw, 1), '[0-9]') AND length(raw) > 0 THEN substr(raw, 2) ELSE raw END AS tracking FROM top)
-    SELECT * EXCLUDE (raw, created_at, ship_date, order_date, package_sum), {day('created_at')} AS tracking_created, {day('ship_date')} AS ship_date,
-      {day('order_date')} AS order_date, split_part(customer, ' ', 1) AS first_name,
-      CASE WHEN position(' ' IN customer) > 0 THEN substr(customer, position(' ' IN customer) + 1) END AS last_name,
-      CASE WHEN left(tracking, 1) = '9' THEN 'usps' WHEN left(tracking, 1) = '8' OR left(tracking, 2) IN ('38', '39', '87') THEN 'fedex'
-           WHEN left(tracking, 2) = '1Z' THEN 'ups' END AS slug,
-      CASE WHEN package_sum < 500 THEN '$0-499.99' WHEN package_sum < 1000 THEN '$500-999.99' WHEN package_sum < 2000 THEN '$1000-1999.99'
-           WHEN package_sum < 5000 THEN '$2000-4999.99' ELSE '$5000+' END AS package_value
-    FROM second
-    """,
-)
+@query("tracked_shipments", TWINS["tracked_shipments"])
 def tracked_shipments(t: Tables) -> DataFrame:
     return plain(orders.tracked_shipments(erp(t), date(1999, 1, 1), ["OWN5"], ["101"]))
 
 
-@query(
-    "order_shipment_detail",
-    with_erp(
-        "order_header", "order_line", "order_line_split", "item", "shipment_line", "shipment", "shipment_split", "package_split", "package",
-        "site", "status_lookup",
-    )
-    + f"""
-    SELECT DISTINCT {day('s.order_date')} AS order_date, s.order_type, s.order_nbr, jo.status AS order_status, l.line_nbr, {whole('l.order_qty')} AS line_qty,
-      rtrim(i.inventory_cd) AS inventory_cd, i.descr AS item_descr, rtrim(o.site_cd) AS warehouse, sh.shipment_nbr, sl.line_nbr AS ship_line_nbr,
-      {day('sh.ship_date')} AS ship_date, {whole('sl.shipped_qty')} AS ship_line_qty, js.status AS ship_status, d.track_number AS tracking,
-      {time('slp.created_at')} AS tracking_created, 'ship/' || sh.shipment_nbr AS ship_link
-    FROM erp_order_header s JOIN erp_order_line l ON s.order_type = l.order_type AND s.order_nbr = l.order_nbr
-    JOIN erp_order_line_split lp ON s.order_type = lp.order_type AND s.order_nbr = lp.order_nbr AND l.line_nbr = lp.line_nbr
-    JOIN erp_item i ON l.inventory_id = i.inventory_id
-    JOIN erp_shipment_line sl ON l.line_nbr = sl.orig_line_nbr AND l.order_nbr = sl.orig_order_nbr AND lp.split_line_nbr = sl.orig_split_line_nbr
-    JOIN erp_shipment sh ON sl.shipment_type = sh.shipment_type AND sl.shipment_nbr = sh.shipment_nbr
-    LEFT JOIN erp_shipment_split sp ON sh.shipment_nbr = sp.shipment_nbr AND sl.line_nbr = sp.line_nbr AND i.inventory_id = sp.inventory_id
-    LEFT JOIN erp_package_split slp ON sh.shipment_nbr = slp.shipment_nbr AND sl.line_nbr = slp.shipment_line_nbr AND sp.split_line_nbr = slp.shipment_split_line_nbr
-    LEFT JOIN erp_package d ON sh.shipment_nbr = d.shipment_nbr AND slp.package_line_nbr = d.line_nbr
-    LEFT JOIN erp_site o ON l.site_id = o.site_id JOIN erp_status_lookup jo ON s.status = jo.code AND jo.tbl = 'SOOrder'
-    JOIN erp_status_lookup js ON sh.status = js.code AND js.tbl = 'SOShipment'
-    WHERE s.order_type NOT IN ('QT', 'CM', 'ZA') AND s.order_nbr IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
-    """,
-)
+@query("order_shipment_detail", TWINS["order_shipment_detail"])
 def order_shipment_detail(t: Tables) -> DataFrame:
     chosen = t.orders.where(F.col("o_orderdate") >= F.lit(datetime(1998, 1, 1))).select(
         F.col("o_orderkey").cast("string").alias("order_nbr")
@@ -218,145 +60,32 @@ def order_shipment_detail(t: Tables) -> DataFrame:
     return plain(orders.order_shipment_detail(erp(t), "ship/", orders=chosen))
 
 
-@query(
-    "open_shipments_to_pack",
-    with_erp("shipment", "shipment_line", "shipment_split", "item", "site", "package_split", "package", "account")
-    + f"""
-    SELECT s.shipment_nbr, sl.line_nbr AS ship_line_nbr, 'DEFAULT BOX' AS box_id, spl.split_line_nbr, i.inventory_id, rtrim(i.inventory_cd) AS inventory_cd,
-      rtrim(b.acct_cd) AS acct_cd, {whole('sl.shipped_qty')} AS ship_qty, {whole('sl.orig_order_qty')} AS order_qty, p.track_number AS tracking,
-      rtrim(si.site_cd) AS site_cd, s.shipment_nbr || '-' || rtrim(i.inventory_cd) AS ship_item, 'Open' AS ship_status, k.package_line_nbr,
-      CASE WHEN k.package_line_nbr IS NOT NULL THEN 'Has Package' ELSE 'No Package' END AS package
-    FROM erp_shipment s JOIN erp_shipment_line sl ON s.shipment_nbr = sl.shipment_nbr
-    JOIN erp_shipment_split spl ON s.shipment_nbr = spl.shipment_nbr AND sl.line_nbr = spl.line_nbr AND sl.inventory_id = spl.inventory_id
-    JOIN erp_item i ON sl.inventory_id = i.inventory_id JOIN erp_site si ON s.site_id = si.site_id
-    LEFT JOIN erp_package_split k ON s.shipment_nbr = k.shipment_nbr AND spl.split_line_nbr = k.shipment_split_line_nbr AND k.shipment_line_nbr = sl.line_nbr
-    LEFT JOIN erp_package p ON s.shipment_nbr = p.shipment_nbr AND k.package_line_nbr = p.line_nbr
-    JOIN erp_account b ON s.customer_id = b.account_id
-    WHERE (left(si.site_cd, 8) = 'PARTNERA' OR rtrim(si.site_cd) = 'PB') AND s.status = 'N' AND p.track_number IS NULL
-      AND (s.modified_at >= TIMESTAMP '2001-08-01' - INTERVAL 1500 DAY OR sl.modified_at >= TIMESTAMP '2001-08-01' - INTERVAL 1500 DAY
-           OR k.modified_at >= TIMESTAMP '2001-08-01' - INTERVAL 1500 DAY)
-    """,
-)
+@query("open_shipments_to_pack", TWINS["open_shipments_to_pack"])
 def open_shipments_to_pack(t: Tables) -> DataFrame:
     return plain(orders.open_shipments_to_pack(erp(t), AS_OF, "1500 DAYS", "PARTNERA", ["PB"]))
 
 
-@query(
-    "shipments_ready_to_confirm",
-    with_erp("shipment", "shipment_line", "package_split", "package")
-    + """,
-    top AS (
-      SELECT s.shipment_nbr, count(sl.line_nbr) AS lines, CAST(sum(sl.shipped_qty) AS BIGINT) AS line_qty, CAST(sum(k.packed_qty) AS BIGINT) AS package_qty,
-             count(DISTINCT p.track_number) AS packages
-      FROM erp_shipment s JOIN erp_shipment_line sl ON s.shipment_nbr = sl.shipment_nbr
-      JOIN erp_package_split k ON s.shipment_nbr = k.shipment_nbr AND sl.line_nbr = k.shipment_line_nbr AND sl.inventory_id = k.inventory_id
-      JOIN erp_package p ON s.shipment_nbr = p.shipment_nbr AND k.package_line_nbr = p.line_nbr
-      WHERE s.status = 'N' AND p.track_number IS NOT NULL GROUP BY s.shipment_nbr),
-    second AS (SELECT *, (SELECT CAST(sum(shipped_qty) AS BIGINT) FROM erp_shipment_line l WHERE l.shipment_nbr = top.shipment_nbr) AS shipped_qty,
-                 (SELECT CAST(sum(packed_qty) AS BIGINT) FROM erp_package_split k WHERE k.shipment_nbr = top.shipment_nbr) AS packed_qty
-               FROM top WHERE line_qty = package_qty)
-    SELECT * FROM second WHERE shipped_qty = packed_qty
-    """,
-)
+@query("shipments_ready_to_confirm", TWINS["shipments_ready_to_confirm"])
 def shipments_ready_to_confirm(t: Tables) -> DataFrame:
     return orders.shipments_ready_to_confirm(erp(t))
 
 
-SHIP_TO = """CASE WHEN {0}.ship_via IS NULL OR {0}.ship_via = 'GROUND' THEN 'FDXG' WHEN {0}.ship_via = '2DAY' THEN 'FED2' END AS ship_code,
-      {0}.ship_via, 'Fedex' AS ship_priority, left(sc.full_name, {1}) AS ship_to_name, left(c.acct_name, {1}) AS company_name, coalesce(sc.email, 'x@y') AS ship_to_email,
-      coalesce(sc.phone1, sc.phone2) AS ship_to_phone, sa.line1 AS ship_to_line1, sa.line2 AS ship_to_line2, sa.city AS ship_to_city, sa.state AS ship_to_state,
-      sa.postal_code AS ship_to_postal_code, sa.country AS ship_to_country"""
-RETURN_TABLES = (
-    "order_header", "order_line", "contact", "address", "account", "item", "item_class", "site", "order_attributes", "status_lookup", "shipment_line",
-)
-RETURN_FROM = """
-    FROM erp_order_header s JOIN erp_order_line sl ON s.order_type = sl.order_type AND s.order_nbr = sl.order_nbr
-    JOIN erp_contact sc ON s.ship_contact_id = sc.contact_id JOIN erp_address sa ON s.ship_address_id = sa.address_id
-    JOIN erp_account c ON s.customer_id = c.account_id JOIN erp_item i ON sl.inventory_id = i.inventory_id
-    JOIN erp_item_class ic ON i.item_class_id = ic.item_class_id JOIN erp_site isi ON sl.site_id = isi.site_id
-    LEFT JOIN erp_order_attributes k ON s.note_id = k.record_id AND k.field_name = 'AttributeRCSHP2WH'
-    LEFT JOIN erp_status_lookup j ON s.status = j.code AND j.tbl = 'SOOrder'
-"""
-LOCATION = """CASE WHEN {0} THEN 'CPO' WHEN ic.descr ILIKE '%part%' OR ic.descr = 'Misc. Other' THEN 'Parts'
-      WHEN ic.descr ILIKE '%Product%' OR rtrim(i.inventory_cd) = '77' THEN 'NEW-RESTCK' END AS location"""
-
-
-@query(
-    "returns_to_send",
-    with_erp(*RETURN_TABLES)
-    + f"""
-    SELECT s.order_nbr AS rma_number, j.status AS order_status, coalesce(sl.orig_order_nbr, s.customer_order_nbr) AS original_order_nbr, '3' AS rma_type,
-      {SHIP_TO.format('s', 25)}, sl.line_nbr, rtrim(i.inventory_cd) AS inventory_cd, {whole('sl.order_qty')} AS qty, rtrim(c.acct_cd) AS acct_cd,
-      sl.orig_order_type, i.descr AS item_descr, {LOCATION.format("i.descr ILIKE '%cpo%'")}, ic.descr AS item_class_descr,
-      CAST(k.value_numeric AS INT) AS sent_to_warehouse, s.order_type, {time('s.order_date')} AS order_date
-    {RETURN_FROM}
-    WHERE rtrim(isi.site_cd) = 'PB' AND s.status = 'N' AND s.order_type = 'RC' AND s.order_nbr <> '55' AND (k.value_numeric IS NULL OR k.value_numeric <> 1)
-    """,
-)
+@query("returns_to_send", TWINS["returns_to_send"])
 def returns_to_send(t: Tables) -> DataFrame:
     return plain(orders.returns_to_send(erp(t), "PB", "x@y", ["55"], ["77"]))
 
 
-@query(
-    "returns_without_receipt",
-    with_erp(*RETURN_TABLES)
-    + f"""
-    SELECT s.order_nbr AS return_nbr, sl.line_nbr, s.order_type, rtrim(i.inventory_cd) AS inventory_cd, {whole('sl.order_qty')} AS qty, rtrim(c.acct_cd) AS acct_cd,
-      i.descr AS item_descr, ic.descr AS item_class_descr, CAST(k.value_numeric AS INT) AS sent_to_warehouse, {time('s.order_date')} AS order_date,
-      j.status AS order_status, coalesce(sl.orig_order_nbr, s.customer_order_nbr) AS original_order_nbr, {SHIP_TO.format('s', 25)}
-    {RETURN_FROM}
-    LEFT JOIN erp_shipment_line shl ON shl.orig_order_nbr = s.order_nbr AND shl.orig_line_nbr = sl.line_nbr AND sl.inventory_id = shl.inventory_id
-    WHERE rtrim(isi.site_cd) = 'PB' AND s.status = 'N' AND s.order_type = 'RC' AND k.value_numeric = 1 AND shl.shipment_nbr IS NULL
-    """,
-)
+@query("returns_without_receipt", TWINS["returns_without_receipt"])
 def returns_without_receipt(t: Tables) -> DataFrame:
     return plain(orders.returns_without_receipt(erp(t), "PB", "x@y"))
 
 
-SEND_TABLES = (
-    "shipment", "shipment_line", "contact", "address", "account", "item", "item_class", "site", "shipment_attributes", "status_lookup",
-)
-SEND_FROM = """
-    FROM erp_shipment s JOIN erp_shipment_line sl ON s.shipment_type = sl.shipment_type AND s.shipment_nbr = sl.shipment_nbr
-    JOIN erp_contact sc ON s.ship_contact_id = sc.contact_id JOIN erp_address sa ON s.ship_address_id = sa.address_id
-    JOIN erp_account c ON s.customer_id = c.account_id JOIN erp_item i ON sl.inventory_id = i.inventory_id
-    JOIN erp_item_class ic ON i.item_class_id = ic.item_class_id JOIN erp_site isi ON s.site_id = isi.site_id
-    LEFT JOIN erp_shipment_attributes k ON s.note_id = k.record_id AND k.field_name = 'AttributeSHP2WH'
-    LEFT JOIN erp_shipment_attributes kr ON s.note_id = kr.record_id AND kr.field_name = 'AttributeRSORDERID'
-    LEFT JOIN erp_status_lookup j ON s.status = j.code AND j.tbl = 'SOShipment'
-    WHERE sl.orig_order_type <> 'RC' AND s.status NOT IN ('C', 'L', 'F', 'I') AND k.value_numeric = 0
-"""
-
-
-@query(
-    "shipments_to_send",
-    with_erp(*SEND_TABLES)
-    + f"""
-    SELECT s.shipment_nbr AS rma_number, j.status AS ship_status, sl.orig_order_nbr AS order_nbr, 'W' AS rma_type, {SHIP_TO.format('s', 35)}, sl.line_nbr,
-      rtrim(i.inventory_cd) AS inventory_cd, {whole('sl.shipped_qty')} AS qty, rtrim(c.acct_cd) AS acct_cd, sl.orig_order_type, i.descr AS item_descr,
-      {LOCATION.format("i.descr ILIKE '%cpo%' OR i.descr ILIKE '%pre own%' OR i.descr ILIKE '%pre-own%'")}, ic.descr AS item_class_descr,
-      CAST(k.value_numeric AS INT) AS sent_to_warehouse
-    {SEND_FROM} AND rtrim(isi.site_cd) = 'PB'
-    """,
-)
+@query("shipments_to_send", TWINS["shipments_to_send"])
 def shipments_to_send(t: Tables) -> DataFrame:
     return plain(orders.shipments_to_send(erp(t), "PB", "x@y", ["77"]))
 
 
-@query(
-    "shipments_to_send_with_level",
-    with_erp(*SEND_TABLES)
-    + f"""
-    SELECT s.shipment_nbr, j.status AS ship_status, CAST(k.value_numeric AS INT) AS sent_to_warehouse, kr.value_string AS partner_order_id,
-      sl.orig_order_nbr, sl.orig_order_type, sl.line_nbr, {whole('sl.shipped_qty')} AS qty, rtrim(i.inventory_cd) AS inventory_cd, i.descr AS item_descr,
-      ic.descr AS item_class_descr, rtrim(c.acct_cd) AS acct_cd, {SHIP_TO.format('s', 35)},
-      CASE WHEN rtrim(i.inventory_cd) IN ('5', '105', '205') THEN 'cheapest_GROUND'
-           WHEN s.ship_via IN ('GROUND', 'WHITEGLOVE399') AND i.descr ILIKE '%battery%' THEN 'cheapest_UPS'
-           WHEN s.ship_via IN ('GROUND', 'WHITEGLOVE399') THEN 'cheapest_ALL' WHEN s.ship_via = '2DAY' THEN 'cheapest_TWO_DAY'
-           WHEN s.ship_via = 'LTL' THEN 'external_ltl' ELSE 'cheapest_ALL' END AS level
-    {SEND_FROM} AND left(isi.site_cd, 8) = 'PARTNERA'
-    """,
-)
+@query("shipments_to_send_with_level", TWINS["shipments_to_send_with_level"])
 def shipments_to_send_with_level(t: Tables) -> DataFrame:
     return plain(orders.shipments_to_send_with_level(erp(t), "PartnerA", "x@y", ["5", "105", "205"]))
 
@@ -418,30 +147,6 @@ def link_per_return(t: Tables) -> DataFrame:
     return warehouse.link_per_return(return_status(t), "rma/")
 
 
-SEND_ORDER_TABLES = (
-    "order_header", "order_line", "item", "account", "customer", "address", "contact", "sales_person", "account_answers", "invoice", "pay_link",
-    "status_lookup", "order_ledger",
-)
-SEND_ORDER_SELECT = f"""
-    SELECT {day('s.order_date')} AS date, s.order_type, s.order_nbr,
-      (SELECT '[' || string_agg('{{"line_nbr":' || CAST(line_nbr AS VARCHAR) || ',"inventory_cd":"' || rtrim(inventory_cd) || '","item_descr":"' || rtrim(descr) ||
-         '","qty":' || CAST(CAST(trunc(order_qty) AS INT) AS VARCHAR) || '}}', ',' ORDER BY line_nbr, rtrim(inventory_cd), CAST(trunc(order_qty) AS INT)) || ']'
-       FROM erp_order_line l JOIN erp_item i ON l.inventory_id = i.inventory_id WHERE l.order_nbr = s.order_nbr) AS line_items,
-      j.status AS order_status, s.status, rtrim(b.acct_cd) AS acct_cd, rtrim(b.acct_name) AS acct_name, c.class_id AS customer_class, cc.url AS payment_link,
-      ba.line1 AS billing_line1, ba.city AS billing_city, sa.line1 AS shipping_line1, sa.country AS shipping_country,
-      concat('+1', bc.phone1) AS billing_phone, bc.email AS billing_email, concat('+1', sc.phone1) AS shipping_phone, sc.email AS shipping_email,
-      CASE WHEN s.order_type = 'RT' OR sp.sales_person_cd IS NOT NULL THEN rtrim(sp.sales_person_cd) ELSE rtrim(o.acct_cd) END AS sales_person_cd,
-      CASE WHEN s.order_type = 'RT' OR sp.sales_person_cd IS NOT NULL THEN rtrim(sp.descr) ELSE o.acct_name END AS sales_person,
-      'cust/' || rtrim(b.acct_cd) AS customer_link, 'order/' || s.order_type || '/' || s.order_nbr AS order_link, hs.value AS crm_link,
-      {day('b.created_at')} AS customer_since
-    FROM erp_order_header s JOIN erp_account b ON s.customer_id = b.account_id JOIN erp_customer c ON b.account_id = c.account_id
-    JOIN erp_address ba ON s.bill_address_id = ba.address_id JOIN erp_address sa ON s.ship_address_id = sa.address_id
-    JOIN erp_contact bc ON s.bill_contact_id = bc.contact_id JOIN erp_contact sc ON s.ship_contact_id = sc.contact_id
-    LEFT JOIN erp_account o ON s.owner_id = o.contact_id LEFT JOIN erp_sales_person sp ON s.sales_person_id = sp.sales_person_id
-    LEFT JOIN erp_account_answers hs ON b.note_id = hs.note_id AND hs.attribute_id = 'CRMID'
-    LEFT JOIN erp_invoice si ON s.order_nbr = si.order_nbr AND s.order_type = si.order_type LEFT JOIN erp_pay_link cc ON si.ref_nbr = cc.ref_nbr
-    JOIN erp_status_lookup j ON s.status = j.code AND j.tbl = 'SOOrder'
-"""
 SEND_ORDER_COLUMNS = [
     "date", "order_type", "order_nbr", "line_items", "order_status", "status", "acct_cd", "acct_name", "customer_class", "payment_link", "billing_line1",
     "billing_city", "shipping_line1", "shipping_country", "billing_phone", "billing_email", "shipping_phone", "shipping_email", "sales_person_cd",
@@ -449,17 +154,7 @@ SEND_ORDER_COLUMNS = [
 ]
 
 
-@query(
-    "orders_to_send",
-    with_erp(*SEND_ORDER_TABLES)
-    + SEND_ORDER_SELECT
-    + """
-    WHERE (s.order_nbr, s.status) IN (
-      SELECT (h.order_nbr, h.status) FROM erp_order_header h
-      LEFT JOIN erp_order_ledger k ON h.order_nbr = k.order_nbr AND h.status = k.status
-      WHERE h.order_type NOT IN ('QT', 'CM', 'ZA') AND k.order_nbr IS NULL ORDER BY h.modified_at DESC, h.order_nbr LIMIT 120)
-    """,
-)
+@query("orders_to_send", TWINS["orders_to_send"])
 def orders_to_send(t: Tables) -> DataFrame:
     tables = erp(t)
     return plain(
@@ -467,12 +162,7 @@ def orders_to_send(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "orders_to_resend",
-    with_erp(*SEND_ORDER_TABLES)
-    + SEND_ORDER_SELECT
-    + "WHERE s.order_type NOT IN ('QT', 'CM', 'ZA') AND s.modified_at >= TIMESTAMP '2001-08-01' - INTERVAL 600 DAY",
-)
+@query("orders_to_resend", TWINS["orders_to_resend"])
 def orders_to_resend(t: Tables) -> DataFrame:
     return plain(
         orders.orders_to_resend(erp(t), AS_OF, "600 DAYS", "cust/", "order/", "CRMID").select(*SEND_ORDER_COLUMNS)
