@@ -158,7 +158,7 @@ SEND_ORDER_COLUMNS = [
 def orders_to_send(t: Tables) -> DataFrame:
     tables = erp(t)
     return plain(
-        orders.orders_to_send(tables, tables["order_ledger"], "cust/", "order/", "CRMID").select(*SEND_ORDER_COLUMNS)
+        orders.orders_to_send(tables, tables["order_ledger"], "cust/", "order/", "CRMID", 120).select(*SEND_ORDER_COLUMNS)
     )
 
 

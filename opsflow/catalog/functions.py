@@ -86,7 +86,7 @@ def strings_names(t: Tables) -> DataFrame:
 @query(
     "strings_markup",
     """
-    SELECT page_id, replace(replace(replace(left(html, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped,
+    SELECT page_id, replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped,
            length(html) AS n, CASE WHEN url ILIKE '%/FR/%' THEN 1 ELSE 0 END AS french
     FROM pages
     """,
@@ -94,7 +94,7 @@ def strings_names(t: Tables) -> DataFrame:
 def strings_markup(t: Tables) -> DataFrame:
     return t.pages.select(
         "page_id",
-        text.markup_text(F.col("html"), 200).alias("escaped"),
+        text.markup_text(F.col("html")).alias("escaped"),
         F.length("html").alias("n"),
         F.when(F.col("url").ilike("%/FR/%"), 1).otherwise(0).alias("french"),
     )

@@ -106,14 +106,14 @@ def ready_to_confirm(t: Tables) -> DataFrame:
 @query(
     "completion_label",
     """
-    WITH b AS (SELECT *, nullif(l_returnflag, 'N') AS pending, nullif(l_linestatus, 'X') AS src FROM lineitem)
+    WITH item AS (SELECT l_orderkey, l_linenumber, sum(l_quantity) AS total FROM lineitem GROUP BY ALL),
+    waiting AS (SELECT l_orderkey, count(*) AS rows_, count(l_linestatus) AS known FROM lineitem
+                WHERE l_returnflag IS NULL OR l_returnflag = 'N' GROUP BY ALL),
+    alike AS (SELECT l_orderkey, l_linestatus, count(*) AS same FROM lineitem WHERE l_returnflag IS NULL OR l_returnflag = 'N' GROUP BY ALL)
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-      CASE WHEN l_quantity = sum(l_quantity) OVER (PARTITION BY l_orderkey, l_linenumber)
-            AND EXISTS (SELECT 1 FROM b f WHERE f.l_orderkey = b.l_orderkey
-                        AND (f.src IS NULL OR b.src <> f.src) AND f.pending IS NULL) THEN 'Partially Complete'
-           WHEN l_quantity = sum(l_quantity) OVER (PARTITION BY l_orderkey, l_linenumber) THEN 'Complete'
-           ELSE 'Not' END AS complete
-    FROM b
+      CASE WHEN l_quantity <> total THEN 'Not'
+           WHEN rows_ > known OR (l_linestatus IS NOT NULL AND known > coalesce(same, 0)) THEN 'Partially Complete' ELSE 'Complete' END AS complete
+    FROM lineitem JOIN item USING (l_orderkey, l_linenumber) LEFT JOIN waiting USING (l_orderkey) LEFT JOIN alike USING (l_orderkey, l_linestatus)
     """,
 )
 def completion_label(t: Tables) -> DataFrame:

@@ -195,18 +195,26 @@ def closed_shipments_with_lines(t: Tables) -> DataFrame:
 
 
 READY = f"""
-    f AS (SELECT {SHIP} AS shipment_nbr, l_linenumber AS ship_line_nbr, l_suppkey AS split_line_nbr, CAST(l_partkey AS VARCHAR) AS inventory_cd,
-        CAST(l_quantity AS INT) AS ship_qty, CAST(l_quantity AS INT) - CASE WHEN l_tax > 0.06 THEN 1 ELSE 0 END AS rs_qty,
-        'T' || CAST(l_suppkey % 3 AS VARCHAR) AS tracking, nullif(l_linestatus, 'F') AS rs_status,
-        CASE l_returnflag WHEN 'R' THEN 'Ready' WHEN 'A' THEN 'Complete' END AS ff_status, 'P' || CAST(l_orderkey AS VARCHAR) AS shipment_id FROM lineitem),
-    r AS (SELECT *, row_number() OVER (PARTITION BY shipment_nbr, tracking ORDER BY ship_line_nbr, split_line_nbr, inventory_cd) AS num,
-            row_number() OVER (PARTITION BY shipment_nbr ORDER BY ship_line_nbr, split_line_nbr, inventory_cd) AS package_num FROM f WHERE ff_status = 'Ready'),
-    ready AS (SELECT r.*, 'c' || tracking AS courier_code, 'n' || tracking AS courier_name,
-      CASE WHEN rs_qty = (SELECT sum(ship_qty) FROM f ff WHERE r.shipment_nbr = ff.shipment_nbr AND r.inventory_cd = ff.inventory_cd)
-            AND EXISTS (SELECT 1 FROM f x WHERE x.shipment_nbr = r.shipment_nbr AND (x.rs_status IS NULL OR r.rs_status <> x.rs_status) AND x.ff_status IS NULL) THEN 'Partially Complete'
-           WHEN rs_qty = (SELECT sum(ship_qty) FROM f ff WHERE r.shipment_nbr = ff.shipment_nbr AND r.inventory_cd = ff.inventory_cd) THEN 'Complete' ELSE 'Not' END AS complete,
-      max(num) OVER (PARTITION BY shipment_nbr, tracking) AS items_on_package, max(package_num) OVER (PARTITION BY shipment_nbr) AS max_package_num
-      FROM r WHERE shipment_nbr IN (SELECT shipment_nbr FROM r GROUP BY 1 HAVING max(num) <= 2))
+    ff AS (SELECT {SHIP} AS shipment_nbr, l_linenumber AS ship_line_nbr, l_suppkey AS split_line_nbr, CAST(l_partkey AS VARCHAR) AS inventory_cd,
+        CAST(l_quantity AS INT) AS ship_qty, CAST(l_quantity AS INT) - CAST(l_tax > 0.06 AS INT) AS rs_qty, concat('T', l_suppkey % 3) AS tracking,
+        nullif(l_linestatus, 'F') AS rs_status, CASE l_returnflag WHEN 'R' THEN 'Ready' WHEN 'A' THEN 'Complete' END AS ff_status,
+        concat('P', l_orderkey) AS shipment_id FROM lineitem),
+    -- one row per shipment and item, per shipment, per shipment and status, per package
+    wanted AS (SELECT shipment_nbr, inventory_cd, sum(ship_qty) AS total FROM ff GROUP BY ALL),
+    pending AS (SELECT shipment_nbr, count(*) AS pending, count(rs_status) AS known FROM ff WHERE ff_status IS NULL GROUP BY ALL),
+    alike AS (SELECT shipment_nbr, rs_status, count(*) AS same FROM ff WHERE ff_status IS NULL GROUP BY ALL),
+    package AS (SELECT shipment_nbr, tracking, count(*) AS items_on_package FROM ff WHERE ff_status = 'Ready' GROUP BY ALL),
+    load AS (SELECT shipment_nbr, sum(items_on_package) AS max_package_num FROM package GROUP BY ALL HAVING max(items_on_package) < 3),
+    ready AS (
+      SELECT ff.*, row_number() OVER along_package AS num, row_number() OVER along_shipment AS package_num, concat('c', tracking) AS courier_code,
+        concat('n', tracking) AS courier_name, items_on_package, CAST(max_package_num AS BIGINT) AS max_package_num,
+        CASE WHEN rs_qty <> total THEN 'Not' WHEN pending > known OR (rs_status IS NOT NULL AND known > coalesce(same, 0)) THEN 'Partially Complete'
+             ELSE 'Complete' END AS complete
+      FROM ff JOIN load USING (shipment_nbr) JOIN package USING (shipment_nbr, tracking) JOIN wanted USING (shipment_nbr, inventory_cd)
+      LEFT JOIN pending USING (shipment_nbr) LEFT JOIN alike USING (shipment_nbr, rs_status)
+      WHERE ff_status = 'Ready'
+      WINDOW along_package AS (PARTITION BY shipment_nbr, tracking ORDER BY ship_line_nbr, split_line_nbr, inventory_cd),
+             along_shipment AS (PARTITION BY shipment_nbr ORDER BY ship_line_nbr, split_line_nbr, inventory_cd))
 """
 
 
@@ -503,20 +511,21 @@ def campaign_performance(t: Tables) -> DataFrame:
 @query(
     "sales_by_campaign",
     """
-    WITH m AS (SELECT event_type AS utm_source, CAST(ts AS DATE) AS day, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS gross_sales FROM events
-               WHERE user_id % 5 <> 0 AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY ALL)
-    SELECT k.utm_source, strftime(d.day, '%Y-%m-%d') AS day, coalesce(gross_sales, 0) AS gross_sales
-    FROM (SELECT DISTINCT utm_source FROM m) k CROSS JOIN (SELECT CAST(range AS DATE) AS day FROM range(DATE '2024-01-10', DATE '2024-01-21', INTERVAL 1 DAY)) d
-    LEFT JOIN m ON m.utm_source = k.utm_source AND m.day = d.day
+    SELECT concat('#', user_id) AS order_name, event_type AS utm_source, strftime(ts, '%Y-%m-%d') AS day,
+      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS gross_sales, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS net_sales
+    FROM events WHERE user_id % 5 <> 0 AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+    GROUP BY ALL HAVING gross_sales <> 0
     """,
 )
 def sales_by_campaign(t: Tables) -> DataFrame:
     sales = t.events.select(
-        F.lit("all").alias("order_name"), F.col("event_type").alias("utm_source"), F.lit("").alias("order_utm_source"), F.col("ts").alias("day"),
+        F.concat(F.lit("#"), F.col("user_id").cast("string")).alias("order_name"), F.col("event_type").alias("utm_source"),
+        F.lit("").alias("order_utm_source"), F.col("ts").alias("day"),
         (F.col("user_id") % 5 == 0).alias("is_canceled_order"), cents(F.col("value")).alias("gross_sales"), cents(F.col("value")).alias("net_sales"),
     )
     report = feeds.sales_by_campaign(sales, date(2024, 1, 10), date(2024, 1, 20))
-    return report.select("utm_source", day_text("day").alias("day"), F.col("gross_sales").cast("double").alias("gross_sales"))
+    amounts = [F.col(c).cast("double").alias(c) for c in ("gross_sales", "net_sales")]
+    return report.select("order_name", "utm_source", day_text("day").alias("day"), *amounts)
 
 
 @query(

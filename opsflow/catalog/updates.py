@@ -19,9 +19,11 @@ from opsflow.streaming import (
     current_state,
     dedupe_stream,
     file_stream,
+    fold_windows,
     session_counts,
     sync_stream,
     unseen,
+    window_state,
 )
 
 AS_OF = datetime(2024, 1, 31)
@@ -517,22 +519,37 @@ def unseen_events(t: Tables) -> DataFrame:
     return unseen(batch, ledger, ["event_id"]).select("event_id", "user_id")
 
 
-@query(
-    "activity_windows_tumbling",
-    """
+TUMBLING_SQL = """
     SELECT event_type, strftime(time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01'), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n
-    FROM events WHERE time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events)
-    GROUP BY ALL
-    """,
-)
-def activity_windows_tumbling(t: Tables) -> DataFrame:
-    """As a stream: windows that the watermark has closed."""
-    windows = activity_windows(event_stream(t), ["event_type"], "ts", "tumbling", "6 hours")
-    return drained(t, windows, "append", "tumbling").select(
+    FROM events GROUP BY ALL
+"""
+
+
+def folded(t: Tables, stream: DataFrame) -> DataFrame:
+    path = scratch(t.spark, "windows")
+    fold_windows(
+        stream, ["event_type"], "ts", "tumbling", "6 hours", path, scratch(t.spark, "checkpoint")
+    ).awaitTermination()
+    return window_state(t.spark, ["event_type"], path).select(
         "event_type", time_text("window_start").alias("window_start"), "n"
     )
 
 
+@query("activity_windows_tumbling", TUMBLING_SQL)
+def activity_windows_tumbling(t: Tables) -> DataFrame:
+    """As a stream, all windows."""
+    return folded(t, event_stream(t))
+
+
+@query("late_events", TUMBLING_SQL)
+def late_events(t: Tables) -> DataFrame:
+    """Events in four files out of order, one file per micro-batch: no row is lost."""
+    path = scratch(t.spark, "shuffled-events")
+    events = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    events.repartition(4, F.xxhash64("event_id")).write.parquet(path)
+    return folded(t, file_stream(t.spark, path, events.schema, max_files=1))
+
+
 @query(
     "activity_windows_sliding",
     """

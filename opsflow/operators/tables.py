@@ -121,14 +121,20 @@ def write_snapshot(
     spec: TableSpec,
     order_by: Sequence[Order],
 ) -> DataFrame:
-    """Append a snapshot to its history and return the new current state.
+    """Add a snapshot to its history and return the new current state.
 
-    The snapshot gets its time ``at``, is written once, and is read back for the
-    second use, so it is not computed twice.
+    The snapshot gets its time ``at``, is written once as that time's partition, and
+    is read back for the second use, so it is not computed twice. A snapshot that
+    runs again replaces its own partition only.
     """
     stamp = F.lit(at).cast("timestamp_ntz")
     stamped = df.withColumn("snapshot_at", stamp)
-    stamped.write.mode("append").parquet(history_path)
+    (
+        stamped.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("snapshot_at")
+        .parquet(history_path)
+    )
     written = df.sparkSession.read.schema(stamped.schema).parquet(history_path).where(
         F.col("snapshot_at") == stamp
     )

@@ -123,16 +123,15 @@ def campaign_diff(stored: DataFrame, loaded: DataFrame) -> tuple[DataFrame, Data
 
 
 def sales_by_campaign(sales: DataFrame, since: date, until: date) -> DataFrame:
-    """Gross and net sales per order, sources and day, canceled orders left out."""
-    return aggregates.timeseries_report(
-        sales.where(~F.col("is_canceled_order")),
-        ["order_name", "order_utm_source", "utm_source"],
-        F.col("day"),
-        {"gross_sales": F.sum("gross_sales"), "net_sales": F.sum("net_sales")},
-        since,
-        until,
-        "gross_sales <> 0",
-    ).orderBy("day", "order_name")
+    """Gross and net sales per order, sources and day with sales, canceled orders left out."""
+    day = F.col("day").cast("date")
+    return (
+        sales.where(~F.col("is_canceled_order") & day.between(F.lit(since), F.lit(until)))
+        .groupBy("order_name", "order_utm_source", "utm_source", day.alias("day"))
+        .agg(F.sum("gross_sales").alias("gross_sales"), F.sum("net_sales").alias("net_sales"))
+        .where("gross_sales <> 0")
+        .orderBy("day", "order_name")
+    )
 
 
 # -- orders to the helpdesk ------------------------------------------------

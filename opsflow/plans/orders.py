@@ -653,12 +653,23 @@ def orders_with_lines(
 
 def orders_to_send(
     erp: Erp, ledger: DataFrame, customer_link: str, order_link: str, answer: str,
-    n: int = 120, excluded: Sequence[str] = ("QT", "CM", "ZA"),
+    n: int, excluded: Sequence[str] = ("QT", "CM", "ZA"),
 ) -> DataFrame:
-    """Newest ``n`` orders whose (order, status) the send ledger lacks."""
+    """Newest ``n`` orders whose (order, status) the send ledger lacks.
+
+    Orders that lack a party or a known status can't be sent and take no place
+    among the ``n``.
+    """
     headers = erp["order_header"].where(~F.col("order_type").isin(*excluded))
     unsent = joins.not_in_ledger(headers, ledger, ["order_nbr", "status"])
-    chosen = rows.newest(unsent, n, [("modified_at", "desc"), "order_nbr"])
+    needed = [
+        ("account", "account_id", "customer_id"), ("customer", "account_id", "customer_id"), ("address", "address_id", "bill_address_id"),
+        ("address", "address_id", "ship_address_id"), ("contact", "contact_id", "bill_contact_id"), ("contact", "contact_id", "ship_contact_id"),
+    ]
+    for table, key, own in needed:
+        unsent = unsent.join(erp[table].select(F.col(key).alias(own)), own, "left_semi")
+    known = erp["status_lookup"].where(F.col("tbl") == "SOOrder").select(F.col("code").alias("status"))
+    chosen = rows.newest(unsent.join(known, "status", "left_semi"), n, [("modified_at", "desc"), "order_nbr"])
     return orders_with_lines(erp, chosen, customer_link, order_link, answer)
 
 

@@ -4,12 +4,14 @@ from opsflow.streaming.jobs import (
     current_state,
     dedupe_stream,
     file_stream,
+    fold_windows,
     session_counts,
     sync_stream,
     unseen,
+    window_state,
 )
 
 __all__ = [
     "activity_windows", "compact", "current_state", "dedupe_stream", "file_stream",
-    "session_counts", "sync_stream", "unseen",
+    "fold_windows", "session_counts", "sync_stream", "unseen", "window_state",
 ]

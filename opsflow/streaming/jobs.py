@@ -96,14 +96,17 @@ def activity_windows(
     kind: str,
     size: str,
     slide: str | None = None,
-    delay: str = "0 seconds",
+    delay: str | None = None,
     aggregates: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Counts per key in tumbling, sliding or session windows.
 
-    Works on batch frames and on streams; there ``delay`` is the lookback within
-    which late rows still count.
+    Works on batch frames and on streams. A stream needs ``delay``, the lookback
+    within which late rows still count; it gives windows once they are closed. Where
+    no row may be left out, use ``fold_windows``.
     """
+    if stream.isStreaming and delay is None:
+        raise ValueError("a stream needs the delay within which late rows still count")
     timed = stream.withWatermark(ts, delay) if stream.isStreaming else stream
     if kind == "session":
         window = F.session_window(ts, size)
@@ -126,6 +129,43 @@ def activity_windows(
     )
 
 
+def _window_changes(
+    batch: DataFrame, batch_id: int, keys: Sequence[str], ts: str, kind: str, size: str, slide: str | None, path: str
+) -> None:
+    counted = activity_windows(batch, keys, ts, kind, size, slide).withColumn("batch", F.lit(batch_id).cast("bigint"))
+    (
+        counted.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(path)
+    )
+
+
+def fold_windows(
+    stream: DataFrame, keys: Sequence[str], ts: str, kind: str, size: str, path: str, checkpoint: str, slide: str | None = None
+) -> StreamingQuery:
+    """Tumbling or sliding counts of a stream, however late its rows are.
+
+    Each micro-batch adds its own counts as a partition and replaces only that when it
+    runs again. Read the sums with ``window_state``: open windows are in it as well.
+    """
+    if kind == "session":
+        raise ValueError("sessions cannot be summed; use session_counts")
+    return (
+        stream.writeStream.foreachBatch(
+            lambda batch, batch_id: _window_changes(batch, batch_id, keys, ts, kind, size, slide, path)
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def window_state(spark: SparkSession, keys: Sequence[str], path: str) -> DataFrame:
+    """Counts per key and window over all batches that ``fold_windows`` wrote."""
+    return spark.read.parquet(path).groupBy(*keys, "window_start", "window_end").agg(F.sum("n").alias("n"))
+
+
 def session_counts(
     df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int
 ) -> DataFrame:

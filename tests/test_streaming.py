@@ -7,7 +7,7 @@ from opsflow.operators import tables
 from opsflow.operators.tables import TableSpec
 from opsflow.session import scratch
 from opsflow.streaming import (
-    activity_windows, compact, current_state, dedupe_stream, file_stream, session_counts, sync_stream, unseen,
+    activity_windows, compact, current_state, dedupe_stream, file_stream, fold_windows, session_counts, sync_stream, unseen, window_state,
 )
 from opsflow.streaming.jobs import write_changes
 from tests.conftest import rows
@@ -73,11 +73,27 @@ def test_unseen(spark):
 def test_windows_stream_equals_batch(spark, landed):
     frame = spark.read.parquet(landed)
     stream = file_stream(spark, landed, frame.schema)
-    got = drain(spark, activity_windows(stream, ["k"], "ts", "tumbling", "30 minutes"), "append")
+    got = drain(spark, activity_windows(stream, ["k"], "ts", "tumbling", "30 minutes", delay="0 seconds"), "append")
     want = activity_windows(frame, ["k"], "ts", "tumbling", "30 minutes").where(F.col("window_end") <= F.lit(START + timedelta(minutes=125)))
     assert rows(got) == rows(want)
     with pytest.raises(ValueError):
         activity_windows(frame, ["k"], "ts", "hopping", "1 hour")
+    with pytest.raises(ValueError):
+        activity_windows(stream, ["k"], "ts", "tumbling", "30 minutes")
+
+
+def test_fold_windows_keeps_late_rows(spark, landed):
+    frame = spark.read.parquet(landed)
+    # latest rows first, one file per micro-batch
+    path = scratch(spark, "late")
+    for part in (F.col("ts") >= F.lit(START + timedelta(minutes=60)), F.col("ts") < F.lit(START + timedelta(minutes=60))):
+        frame.where(part).coalesce(1).write.mode("append").parquet(path)
+    stream = file_stream(spark, path, frame.schema, max_files=1)
+    out, checkpoint = scratch(spark, "folded"), scratch(spark, "checkpoint")
+    for _ in range(2):  # the second run has nothing to add
+        fold_windows(stream, ["k"], "ts", "sliding", "1 hour", out, checkpoint, slide="30 minutes").awaitTermination()
+    want = activity_windows(frame, ["k"], "ts", "sliding", "1 hour", "30 minutes")
+    assert rows(window_state(spark, ["k"], out)) == rows(want)
 
 
 def test_session_counts_equal_session_windows(spark):

@@ -67,7 +67,7 @@ def test_write_snapshot(spark):
     spec = TableSpec("s", "k STRING, snapshot_at TIMESTAMP_NTZ", keys=("k",))
     history = scratch(spark, "history")
     state = spark.createDataFrame([], spec.schema)
-    for day, keys in ((1, "ab"), (2, "bc")):
+    for day, keys in ((1, "ab"), (2, "bc"), (2, "bc")):  # the second one runs again
         shot = spark.createDataFrame([(k,) for k in keys], "k string")
         state = tables.write_snapshot(shot, datetime(2026, 1, day), history, state, spec, ["snapshot_at"])
     assert [(k, at.day) for k, at in rows(state)] == [("a", 1), ("b", 2), ("c", 2)]
