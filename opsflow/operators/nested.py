@@ -2,7 +2,9 @@
 
 Documents are built with ``collect_parts``: a group becomes one document row,
 and a group too large for one row becomes several, numbered by ``piece`` and
-``part`` (both 0 for an ordinary group), that together hold all of it.
+``part`` (both 0 for an ordinary group), that together hold all of it. What is true
+of a whole group (its head, level, count of lines) comes from aggregates over its
+lines, never from one of these rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from opsflow.operators.skew import (
     sort_columns,
     spread_join,
 )
-from opsflow.operators.windows import last_unless_default
+from opsflow.operators.windows import last_unless_default, with_sequence
 
 PART_ROWS = 10_000
 LINE_COLUMNS = ["order_nbr", "line_nbr", "inventory_cd", "line_qty", "warehouse"]
@@ -49,19 +51,31 @@ def collect_parts(
     """Rows of each group as an array along ``order_by``.
 
     Output: ``keys, piece, part, carry..., out, weight``. A group of up to
-    ``part_rows`` rows (or that much ``weight``) gives one row. The one shuffle
-    on (keys, piece) serves both the running sum and the collect. Hot groups are
-    cut along ``cut_by``, leading columns of ``order_by`` that ``basis`` has.
+    ``part_rows`` rows (or that much ``weight``) gives one row. Without ``weight``
+    the cuts are at the exact place of a row in its group, so they depend on that
+    group alone. With it, hot groups are cut along ``cut_by`` first, leading columns
+    of ``order_by`` that ``basis`` has.
     """
     keys = list(keys)
+    if weight is None:
+        numbered = with_sequence(df, keys, order_by, "_at", skew, None if cut_by else basis, hot)
+        return (
+            numbered.groupBy(*keys, F.lit(0).alias("piece"), F.floor((F.col("_at") - 1) / part_rows).alias("part"))
+            .agg(
+                *carry,
+                F.array_sort(F.collect_list(F.struct("_at", element.alias("_element")))).alias("_rows"),
+                F.count(F.lit(1)).alias("weight"),
+            )
+            .withColumn("_rows", F.transform("_rows", lambda row: row["_element"]))
+            .withColumnRenamed("_rows", out)
+        )
     rows, bounds = range_pieces(df, keys, cut_by or order_by, skew, basis, hot)
     cut = [] if bounds is None else ["_piece"]
     piece = F.lit(0) if bounds is None else F.col("_piece")
     along = Window.partitionBy(*keys, *cut).orderBy(*sort_columns(order_by))
     running = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = F.lit(1) if weight is None else weight
     return (
-        rows.withColumn("_weight", own.cast("bigint"))
+        rows.withColumn("_weight", weight.cast("bigint"))
         .withColumn("_at", F.row_number().over(along))
         .withColumn(
             "_part",
@@ -477,20 +491,23 @@ def order_documents(
     key = ["shipment_nbr"]
     hot = group_pieces(lines, key, skew)
     level = last_unless_default(lines, key, order_by, "level", default_level, "_chosen")
-    first = F.min_by(F.struct("order_type", "customer_ref"), F.struct(*sort_key(order_by)))
-    docs = collect_parts(
-        lines, key, order_by, F.struct("item", "qty", "level"), "_lines", part_rows,
-        carry=[first.alias("_head")], skew=skew, hot=hot,
+    along = F.struct(*sort_key(order_by))
+    whole = lines.groupBy(*key).agg(
+        F.min_by(F.struct("order_type", "customer_ref", "level"), along).alias("_head"),
+        F.count(F.lit(1)).alias("_n"), F.count("item").alias("_items"),
+        F.min("item").alias("_low"), F.max("item").alias("_high"), F.min("qty").alias("_q1"), F.max("qty").alias("_q2"),
+        F.count("qty").alias("_qtys"),
     )
-    docs = spread_join(docs, level, key, "left", hot)
-    one, two = F.get("_lines", F.lit(0)), F.get("_lines", F.lit(1))
-    whole_group = (F.col("piece") == 0) & (F.col("part") == 0)
-    merges = whole_group & (F.size("_lines") == 2) & (one["item"] == two["item"])
-    merged = F.array(
-        F.struct(one["item"].alias("item"), (one["qty"] + two["qty"]).alias("qty"), one["level"].alias("level"))
+    docs = collect_parts(
+        lines, key, order_by, F.struct("item", "qty", "level"), "_lines", part_rows, skew=skew, hot=hot
     )
+    docs = spread_join(spread_join(docs, level, key, "left", hot), whole, key, "inner", hot)
+    merges = (F.col("_n") == 2) & (F.col("_items") == 2) & (F.col("_low") == F.col("_high"))
+    both = F.when(F.col("_qtys") == 2, F.col("_q1") + F.col("_q2"))
+    merged = F.array(F.struct(F.col("_low").alias("item"), both.alias("qty"), F.col("_head.level").alias("level")))
     return (
-        docs.withColumn("shipping_method", F.when(merges, one["level"]).otherwise(F.col("_chosen")))
+        docs.where(~merges | (F.col("part") == 0))
+        .withColumn("shipping_method", F.when(merges, F.col("_head.level")).otherwise(F.col("_chosen")))
         .withColumn("_lines", F.when(merges, merged).otherwise(F.col("_lines")))
         .select(
             "shipment_nbr",
@@ -597,7 +614,8 @@ def render_xml(
 ) -> DataFrame:
     """XML text per key: head fields of its first row, then one block per line.
 
-    Fields are text columns, already escaped. Output: ``key, piece, part, xml``.
+    Fields are text columns, already escaped. Output: ``key, piece, part, xml``. All
+    parts of a key carry the head of its first row.
     """
 
     def tag(name: str, value: Column) -> Column:
@@ -605,10 +623,10 @@ def render_xml(
 
     block = F.concat(F.lit(f"<{row}>"), *[tag(n, c) for n, c in line.items()], F.lit(f"</{row}>"))
     first = F.min_by(F.concat(*[tag(n, c) for n, c in head.items()]), F.struct(*sort_key(order_by)))
-    docs = collect_parts(
-        lines, [key], order_by, block, "_blocks", part_rows, carry=[first.alias("_head")], skew=skew
-    )
-    return docs.select(
+    hot = group_pieces(lines, [key], skew)
+    docs = collect_parts(lines, [key], order_by, block, "_blocks", part_rows, skew=skew, hot=hot)
+    heads = lines.groupBy(key).agg(first.alias("_head"))
+    return spread_join(docs, heads, [key], "inner", hot).select(
         key,
         "piece",
         "part",

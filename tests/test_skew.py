@@ -92,6 +92,39 @@ def test_collect_parts_hold_every_row_in_order(skewed):
     assert seen == want
 
 
+def test_cuts_depend_on_the_group_alone(spark, skewed):
+    def of_hot(frame):
+        parts = nested.collect_parts(frame, ["k"], ["id"], F.col("id"), "ids", part_rows=30, skew=SKEW)
+        return rows(parts.where("k = 'hot'"), "piece", "part", "ids")
+
+    more = skewed.where("k <> 'hot'")
+    grown = skewed.unionByName(more.withColumn("id", F.col("id") + 10_000)).unionByName(more.withColumn("id", F.col("id") + 20_000))
+    assert of_hot(grown) == of_hot(skewed)
+
+
+def test_order_documents_in_parts_keep_facts_of_the_whole(spark):
+    data = [("S1", n, "a", 1, "x" if n < 4 else "y", "PO", "r") for n in range(5)] + [
+        ("S2", 1, "a", 2, "x", "PO", "r"), ("S2", 2, "a", 3, "y", "PO", "r"), ("S3", 1, "a", 2, "x", "SO", "r"), ("S3", 2, "b", 3, "x", "SO", "r"),
+    ]
+    lines = spark.createDataFrame(data, "shipment_nbr string, n int, item string, qty int, level string, order_type string, customer_ref string")
+
+    def found(**page):
+        docs = nested.order_documents(lines, ["n"], "y", "PO", **page)
+        flat = docs.select("shipment_nbr", "shipping_method", "reference", F.posexplode("lines").alias("at", "line"), "part")
+        return rows(flat.select("shipment_nbr", "shipping_method", "reference", "line.sku", "line.qty"))
+
+    whole = found()
+    assert [r for r in whole if r[0] == "S2"] == [("S2", "x", "r", "a", 5)]
+    for size in (1, 2, 3):
+        assert found(part_rows=size) == whole
+
+
+def test_xml_parts_carry_the_first_head(spark):
+    lines = spark.createDataFrame([("k", n, f"h{n}") for n in range(5)], "k string, n int, h string")
+    xml = nested.render_xml(lines, "k", ["n"], {"H": F.col("h")}, {"N": F.col("n").cast("string")}, "r", "row", part_rows=2)
+    assert [x[0].count("<H>h0</H>") for x in rows(xml, "xml")] == [1, 1, 1]
+
+
 def test_collect_parts_by_weight(skewed):
     parts = nested.collect_parts(
         skewed, ["k"], ["id"], F.col("id"), "ids", part_rows=50, weight=F.col("v").cast("int"), skew=SKEW

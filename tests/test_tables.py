@@ -66,10 +66,11 @@ def test_create_table(spark):
 def test_write_snapshot(spark):
     spec = TableSpec("s", "k STRING, snapshot_at TIMESTAMP_NTZ", keys=("k",))
     history = scratch(spark, "history")
-    state = spark.createDataFrame([], spec.schema)
-    for day, keys in ((1, "ab"), (2, "bc"), (2, "bc")):  # the second one runs again
-        shot = spark.createDataFrame([(k,) for k in keys], "k string")
-        state = tables.write_snapshot(shot, datetime(2026, 1, day), history, state, spec, ["snapshot_at"])
+    first = spark.createDataFrame([], spec.schema)
+    shots = [spark.createDataFrame([(k,) for k in keys], "k string") for keys in ("ab", "bc")]
+    before = tables.write_snapshot(shots[0], datetime(2026, 1, 1), history, first, spec, ["snapshot_at"])
+    for _ in range(2):  # the second snapshot runs again
+        state = tables.write_snapshot(shots[1], datetime(2026, 1, 2), history, before, spec, ["snapshot_at"])
     assert [(k, at.day) for k, at in rows(state)] == [("a", 1), ("b", 2), ("c", 2)]
     assert spark.read.parquet(history).count() == 4
 
