@@ -125,3 +125,21 @@ def test_purge_follows_all_three_tombstones(spark):
         lines, ships, lines.where("order_nbr = 'o1'"), lines.where("order_nbr = 'o2' and line_nbr = 2"), ships.where("shipment_nbr = 's2'")
     )
     assert rows(kept) == [("o2", 1)] and rows(left) == [("s1",)]
+
+
+def test_newest_orders_are_chosen_after_the_joins(spark, t):
+    source = {name: df for name, df in erp(t).items()}
+    header = source["order_header"].orderBy(F.col("modified_at").desc(), "order_nbr")
+    sent = source["order_ledger"].where("false")
+    args = ("cust/", "order/", "CRMID", 3)
+    want = [r[0] for r in rows(orders.orders_to_send(source, sent, *args), "order_nbr")]
+    # newer headers without a contact take no place
+    newer = header.where(F.col("order_type") == "SO").limit(5).withColumns(
+        {
+            "order_nbr": F.concat(F.lit("new"), "order_nbr"), "ship_contact_id": F.lit(-1).cast("bigint"),
+            "modified_at": F.col("modified_at") + F.expr("INTERVAL 900 DAYS"),
+        }
+    ).select(*source["order_header"].columns)
+    source["order_header"] = source["order_header"].unionByName(newer)
+    got = [r[0] for r in rows(orders.orders_to_send(source, sent, *args), "order_nbr")]
+    assert len(want) == 3 and got == want
