@@ -144,7 +144,7 @@ def fulfilment_audit(t: Tables) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "Confirmed").otherwise("Open").alias("shipment_status"), F.col("o_orderdate").alias("posted_at"),
     )
     deletions = t.lineitem.where(F.col("l_linenumber") == 7).select(F.col("l_orderkey").alias("shipment_nbr"), F.lit("SO").alias("order_type"))
-    return plain(warehouse.fulfilment_audit(fulfilment, deletions).select("id", "posted_at"))
+    return plain(warehouse.fulfilment_audit(fulfilment, deletions, 20).select("id", "posted_at"))
 
 
 @query(

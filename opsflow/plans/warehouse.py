@@ -94,7 +94,7 @@ def purge(
     return kept, left
 
 
-def fulfilment_audit(fulfilment: DataFrame, deletions: DataFrame, n: int = 20) -> DataFrame:
+def fulfilment_audit(fulfilment: DataFrame, deletions: DataFrame, n: int) -> DataFrame:
     """Newest unfinished fulfilments of shipments that still exist."""
     unfinished = fulfilment.where(
         ~F.col("ff_status").isin("DELETED", "COMPLETED", "ERROR", "TRANSMITTED")
@@ -132,7 +132,7 @@ def closed_shipments_with_lines(closed: DataFrame) -> DataFrame:
 
 
 def ready_shipments(
-    fulfil: DataFrame, partner_items: DataFrame, max_items: int = 4, ready: str = "Ready", done: str = "Complete"
+    fulfil: DataFrame, partner_items: DataFrame, max_items: int, ready: str = "Ready", done: str = "Complete"
 ) -> DataFrame:
     """Ready partner shipments with package numbers and a completion label.
 
