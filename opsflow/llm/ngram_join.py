@@ -17,7 +17,9 @@ fragment and summed per pair.
    the overlap they need. For a few rounds every class asks one partner only, of
    another component. After these, all pairs are formed between members of a prefix
    shingle's group that are still in different components and share enough of their
-   first shingles, so a large group of copies never gives its square.
+   first shingles, so a large group of copies never gives its square. This shortcut is
+   for components only: it leaves out links inside a component. ``linked_classes``
+   compares every pair that the filters let through, and gives all links.
 5. *Count.* Candidate pairs meet their segments by (class, fragment); partial overlaps
    are summed per pair.
 
@@ -253,7 +255,7 @@ def _only(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Links among candidate ``pairs`` (x, y): overlaps per fragment, summed per pair."""
+    """Links ``x, y, both`` among candidate ``pairs`` (x, y): overlaps per fragment, summed per pair."""
     segments = _only(segments, pairs.select(F.explode(F.array("x", "y"))))
     left = segments.select(F.col("class").alias("x"), "fragment", F.col("n").alias("nx"), F.col("hashes").alias("hx"))
     right = segments.select(F.col("class").alias("y"), "fragment", F.col("n").alias("ny"), F.col("hashes").alias("hy"))
@@ -264,7 +266,7 @@ def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         .groupBy("x", "y")
         .agg(F.sum(common).alias("both"), F.max("nx").alias("nx"), F.max("ny").alias("ny"))
         .where(100 * F.col("both") >= percent * (F.col("nx") + F.col("ny") - F.col("both")))
-        .select("x", "y")
+        .select("x", "y", "both")
     )
 
 
@@ -274,10 +276,10 @@ def _possible(percent: int):
     return (F.least("nx", "ny", "rx", "ry") >= need) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
 
 
-def class_links(
-    docs: DataFrame, total: int, width: int, percent: int, buffer: int = BUFFER, times_often: int = OFTEN
-) -> DataFrame:
-    """Links ``x, y`` between classes that connect every component of linked classes.
+def _ordered(
+    docs: DataFrame, total: int, width: int, percent: int, buffer: int, times_often: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Segments of the classes that can have a link, their first shingles, and these as rows.
 
     A shingle that one task spreads is on the highest level of the order everywhere:
     its range learns so from the announcement, and spread occurrences carry it.
@@ -296,18 +298,39 @@ def class_links(
         F.col("class").alias("y"), F.col("n").alias("ny"), F.col("repeated").alias("ry"), "before",
         F.posexplode("hashes").alias("_i", "shingle"),
     ).withColumn("py", F.col("ny") - F.col("ry") + F.col("before") + F.col("_i") + 1).drop("_i", "before")
+    return segments, firsts, prefix
+
+
+def class_links(
+    docs: DataFrame, total: int, width: int, percent: int, buffer: int = BUFFER, times_often: int = OFTEN
+) -> DataFrame:
+    """Links ``x, y`` between classes that connect every component of linked classes; not all links."""
+    segments, firsts, prefix = _ordered(docs, total, width, percent, buffer, times_often)
     links = tried = docs.sparkSession.createDataFrame([], "x long, y long")
     for turn in range(ROUNDS):
         open_ = _open_groups(prefix, links)
         if open_.isEmpty():
             return links
         pairs = settle(_one_partner(open_, tried, turn, percent), "pairs")
-        found = settle(_overlaps(pairs, segments, percent), "links")
+        found = settle(_overlaps(pairs, segments, percent).drop("both"), "links")
         tried, links = tried.unionByName(pairs), links.unionByName(found)
         prefix = open_.drop("c")  # a group within one component stays so
     open_ = _still_possible(_open_groups(prefix, links), segments, percent)
     rest = _all_partners(open_, firsts, percent).join(tried, ["x", "y"], "left_anti")
-    return links.unionByName(settle(_overlaps(settle(rest, "pairs"), segments, percent), "links"))
+    return links.unionByName(settle(_overlaps(settle(rest, "pairs"), segments, percent).drop("both"), "links"))
+
+
+def all_class_links(
+    docs: DataFrame, total: int, width: int, percent: int, buffer: int = BUFFER, times_often: int = OFTEN
+) -> DataFrame:
+    """All links ``x, y, both`` (``x < y``) between classes, with the shingles shared.
+
+    Only prefix, size and place filters decide which pairs are compared. The pairs of a
+    large group of similar texts are its square, as they are what is asked for.
+    """
+    segments, firsts, prefix = _ordered(docs, total, width, percent, buffer, times_often)
+    pairs = _all_partners(prefix, firsts, percent, apart=False)
+    return settle(_overlaps(settle(pairs, "pairs"), segments, percent), "all-links")
 
 
 def _open_groups(prefix: DataFrame, links: DataFrame) -> DataFrame:
@@ -360,8 +383,8 @@ def _one_partner(open_: DataFrame, tried: DataFrame, turn: int, percent: int) ->
     return best.select(F.least("y", "best.x").alias("x"), F.greatest("y", "best.x").alias("y")).distinct()
 
 
-def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
-    """Every pair of different components that shares enough of its first shingles.
+def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int, apart: bool = True) -> DataFrame:
+    """Every pair that shares enough of its first shingles; ``apart``: of different components ``c``.
 
     For the overlap that two sizes need, a pair must share a shingle among the first
     ``size - need + 1`` of either. The smaller set's place can be bounded by its own
@@ -372,12 +395,14 @@ def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int) -> DataFram
     need = F.ceil(percent * (F.col("nx") + F.col("ny")) / (100 + percent))
     smaller = open_.where(F.col("py") <= F.col("ny") - F.ceil(2 * percent * F.col("ny") / (100 + percent)) + 1)
     larger = open_.select(
-        "shingle", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"), F.col("c").alias("cx"), F.col("py").alias("px")
+        "shingle", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"), F.col("py").alias("px"),
+        *([F.col("c").alias("cx")] if apart else []),
     )
+    other = F.col("c") != F.col("cx") if apart else F.lit(True)
     pairs = (
         smaller.join(larger, "shingle")
         .where((F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x"))))
-        .where(_possible(percent) & (F.col("c") != F.col("cx")))
+        .where(_possible(percent) & other)
         .where((F.col("py") <= F.col("ny") - need + 1) & (F.col("px") <= F.col("nx") - need + 1))
         .select("x", "y", "nx", "ny")
         .distinct()
@@ -393,6 +418,14 @@ def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int) -> DataFram
     )
 
 
+def _classed(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, int]:
+    """``docs`` narrowed, a row with size and class of the set per row, and all sizes summed."""
+    text = F.col("text").cast("string")
+    narrow = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text))
+    sets = settle(narrow.mapInArrow(_sets(width), "doc_id long, n_shingles long, class long, text_hash long"), "sets")
+    return narrow, sets, sets.agg(F.sum("n_shingles")).first()[0] or 0
+
+
 def similar_documents(
     docs: DataFrame, width: int = 5, percent: int = 75, buffer: int = BUFFER, times_often: int = OFTEN
 ) -> DataFrame:
@@ -405,13 +438,11 @@ def similar_documents(
     ``component_id`` is the least doc_id reachable by links, itself included (nulls
     only if there is no other). Equal sets have one ``class_id``, linked ones one
     ``group_id`` (both null without words). Repeated rows give a
-    row each. An empty table gives an empty result; other columns are ignored.
+    row each. An empty table gives an empty result; other columns are ignored. Only links
+    that connect components are looked for; ``linked_documents`` has all of them.
     """
-    text = F.col("text").cast("string")
-    narrow = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text))
-    sets = settle(narrow.mapInArrow(_sets(width), "doc_id long, n_shingles long, class long, text_hash long"), "sets")
+    narrow, sets, total = _classed(docs, width)
     some = sets.where("n_shingles > 0")
-    total = some.agg(F.sum("n_shingles")).first()[0] or 0
     links = class_links(narrow, total, width, percent, buffer, times_often)
     known = components(links.select("x", "y"))
     classes = (
@@ -432,6 +463,38 @@ def similar_documents(
     return linked.unionByName(empty)
 
 
+def linked_documents(
+    docs: DataFrame, width: int = 5, percent: int = 75, buffer: int = BUFFER, times_often: int = OFTEN
+) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs of classes, and the number of links of every row of ``docs``.
+
+    Links are those of ``similar_documents``. Pairs ``class_x, class_y, n_x, n_y, n_shared``
+    (``class_x < class_y``) are of different sets; every row of one class links with every
+    row of the other. Counts ``doc_id, n_shingles, class_id, n_links, text_hash`` are summed
+    from the sizes of the linked classes and of the row's own, itself left out, so repeated
+    rows and equal sets are links too. Rows without words have no class and no links.
+    """
+    narrow, sets, total = _classed(docs, width)
+    links = all_class_links(narrow, total, width, percent, buffer, times_often)
+    some = sets.where("n_shingles > 0")
+    sizes = settle(some.groupBy("class").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n")), "class-sizes")
+    of = lambda name: sizes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"))
+    pairs = links.join(of("x"), "x").join(of("y"), "y").select(
+        F.col("x").alias("class_x"), F.col("y").alias("class_y"), "n_x", "n_y", F.col("both").alias("n_shared")
+    )
+    both = links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    others = both.join(sizes.select(F.col("class").alias("y"), "rows"), "y").groupBy(F.col("x").alias("class"))
+    others = others.agg(F.sum("rows").alias("others"))
+    linked = sizes.join(others, "class", "left").select(
+        "class", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links")
+    )
+    counts = some.join(linked, "class").select("doc_id", "n_shingles", F.col("class").alias("class_id"), "n_links", "text_hash")
+    empty = sets.where("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "text_hash"
+    )
+    return pairs, counts.unionByName(empty)
+
+
 def one_of_each(found: DataFrame) -> DataFrame:
     """Verdicts ``doc_id, text_hash, kept`` from ``similar_documents``: of each component the
     row with the least doc_id (null last, then the least hash of the text) stays. Rows
@@ -464,3 +527,25 @@ FROM r LEFT JOIN n ON n.doc_id = r.d GROUP BY r.d
 @query("op1_ngram_jaccard_join", SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+LINKS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ')
+                               ELSE array_to_string(words[i:i + 4], ' ') END AS sh
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, count(*) AS n FROM o JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+      WHERE 100 * o >= 75 * (nx.n + ny.n - o) GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(l.n, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN l ON l.x = d.doc_id
+"""
+
+
+@query("op1_ngram_jaccard_links", LINKS_SQL)
+def op1_links(spark: SparkSession, folder: str) -> DataFrame:
+    return linked_documents(table(spark, folder, "documents"))[1].select("doc_id", "n_shingles", "n_links")

@@ -8,7 +8,7 @@ import pytest
 from tests.llm.helpers import DOCS, awkward, frame, repeated
 
 from opsflow.llm.exact_dedup import exact_duplicates, keep_rows
-from opsflow.llm.ngram_join import one_of_each, similar_documents
+from opsflow.llm.ngram_join import linked_documents, one_of_each, similar_documents
 from opsflow.llm.suffix_dedup import remove_repeats
 
 BLANK = re.compile(r"[\x20\x09-\x0D]")
@@ -79,6 +79,28 @@ def test_similar_documents(spark, often):
     assert got == near(rows)
 
 
+@pytest.mark.parametrize("often", [2, 32])
+def test_all_links_are_found(spark, often):
+    """Also those inside a component: a group of near copies links pair by pair."""
+    rows = repeated(awkward(1))
+    sets = []
+    for _, text, *_ in rows:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", low)
+        sets.append(frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset())
+    linked = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    want = Counter((r[0], len(s), sum(linked(s, t) for t in sets) - bool(s)) for r, s in zip(rows, sets))
+    classes = sorted(set(sets) - {frozenset()}, key=sorted)
+    apart = Counter(
+        tuple(sorted((len(a), len(b)))) + (len(a & b),) for i, a in enumerate(classes) for b in classes[i + 1 :] if linked(a, b)
+    )
+    pairs, counts = linked_documents(frame(spark, rows), buffer=500 if often == 2 else 2_000_000, times_often=often)
+    got = pairs.collect()
+    assert Counter(tuple(sorted((p.n_x, p.n_y))) + (p.n_shared,) for p in got) == apart and sum(apart.values()) >= 28
+    assert len({(p.class_x, p.class_y) for p in got}) == len(got) and all(p.class_x < p.class_y for p in got)
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in counts.collect()) == want
+
+
 def test_one_of_each_component_stays(spark):
     rows = repeated(awkward(2))
     stay = keep_rows(frame(spark, rows), one_of_each(similar_documents(frame(spark, rows))))
