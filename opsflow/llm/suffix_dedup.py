@@ -129,14 +129,16 @@ def _parse(length: int, trigger: int, bits: int, buffer: int):
     def flush(held: list, places: np.ndarray, task_salt: int) -> Iterator[dict]:
         at, start, windows, gram, content = (np.concatenate(x) for x in zip(*held))
         content = content >> U(16)
+        # rows equal in id and text are one place, also where the buffer holds both
+        places, merged = np.unique(places, return_inverse=True)
+        at = merged[at]
         rank = np.empty(len(places), np.int64)
         rank[Places.order(places)] = np.arange(len(places))
         order = np.lexsort((start, rank[at], content, gram))
         at, start, windows, gram, content = at[order], start[order], windows[order], gram[order], content[order]
         new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])))
         # one row that stands twice in the corpus is no repeat of itself
-        here = places[at]
-        same = np.concatenate(([False], (here[1:] == here[:-1]) & (start[1:] == start[:-1]) & ~new[1:]))
+        same = np.concatenate(([False], (at[1:] == at[:-1]) & (start[1:] == start[:-1]) & ~new[1:]))
         part = (gram >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(gram), np.int64)
 
         def packet(key: int, repeats: bool, some: np.ndarray) -> dict:
@@ -321,6 +323,12 @@ def _fetch(length: int, bits: int):
     return run
 
 
+def _not_first(new: np.ndarray, at: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Rows of sorted runs (each begins at ``new``) at another place than the run's first row."""
+    head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return (at != at[head]) | (where != where[head])
+
+
 def _sorted_windows(length: int, bits: int):
     """Windows of the phrases of one range that stand earlier in another phrase."""
 
@@ -345,11 +353,12 @@ def _sorted_windows(length: int, bits: int):
         where = start[which] + inner
         order = np.lexsort((where, rank[at[which]], h2, h1, gram[which]))
         h1, h2, which, where, trig = h1[order], h2[order], which[order], where[order], gram[which[order]]
-        later = np.zeros(len(order), bool)
-        later[1:] = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1]) & (trig[1:] == trig[:-1])
+        new = np.ones(len(order), bool)
+        new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (trig[1:] != trig[:-1])
+        later = _not_first(new, at[which], where)
         doc, where = at[which[later]], where[later]
-        order = np.lexsort((where, doc))
-        doc, where = doc[order], where[order]
+        # a row that stands twice has each place twice
+        doc, where = np.unique(np.stack((doc, where.astype(np.int64))), axis=1) if len(doc) else (doc, where)
         edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (where[1:] != where[:-1] + 1)))) if len(doc) else np.zeros(0, int)
         spans = _spans(where[edge], np.diff(np.append(edge, len(doc))))
         return _by_bucket(places, (doc[edge], spans), (np.zeros(0, np.int64), np.zeros(0, NEED)), bits)

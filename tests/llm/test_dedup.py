@@ -1,11 +1,12 @@
 """Exact, near and substring deduplication against plain versions."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
-from tests.llm.helpers import DOCS, awkward, frame, repeated
+from tests.llm.helpers import DOCS, awkward, frame, prose, repeated
 
 from opsflow.llm.exact_dedup import exact_duplicates, keep_rows
 from opsflow.llm.ngram_join import linked_documents, one_of_each, similar_documents
@@ -143,6 +144,18 @@ def test_repeated_rows_are_repeats_of_the_first(spark):
         assert once[r[0]] in [g.n_removed for g in got if g.doc_id == r[0]]
 
 
+@pytest.mark.parametrize("buffer", [50, 300_000])
+def test_a_row_given_twice_loses_only_its_inner_repeats(spark, buffer):
+    """Both copies in one task; the passage stands twice in the text, in other surroundings each time."""
+    rng = random.Random(5)
+    passage = prose(rng, "en", 60)
+    row = (1, prose(rng, "en", 40) + passage + prose(rng, "fr", 40) + passage + prose(rng, "en", 40), "en", "a", 0, "9", "r", "s", "h")
+    got = remove_repeats(spark.createDataFrame([row, row], DOCS).coalesce(1), buffer=buffer).drop("kept").collect()
+    (once,) = cut([row], 100)
+    assert sorted(r.n_removed for r in got) == sorted([once[2], once[1]])
+    assert once in [tuple(r) for r in got] and 0 < once[2] < once[1]
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], DOCS)
     assert exact_duplicates(empty).count() == 0
