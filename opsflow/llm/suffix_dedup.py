@@ -18,8 +18,13 @@ windows that stand earlier elsewhere. For highly repetitive text the dictionary
 small against the corpus, and only it is ever sorted.
 
 Phrases travel as packed numbers by trigger range. Each task sends a phrase once, with
-its first place there; further places are repeats already, so a passage in a third of
-all documents gives one entry per task. Texts are shuffled only where phrases must be
+its first place there; further places are repeats already, so the inner phrases of a
+passage in a third of all documents give one entry per task. At its edges every document
+has an own phrase with the passage's first or last trigger. Such a trigger is split: a
+task that sees ``MANY`` phrases of one deals them by their content and tells the
+trigger's range, and windows of these phrases are compared by range of the window's hash,
+after each task has kept the first place of each. Equal windows have one trigger, so
+all that can be equal goes one way. Texts are shuffled only where phrases must be
 fetched or bytes removed, behind a filter of bounded size; the rest passes straight
 through. Phrases are told apart by 112 bits of hashes, windows by 128.
 """
@@ -43,9 +48,14 @@ BUFFER = 300_000
 RANGE_PHRASES = 400_000
 #: Phrases whose bytes are handed on at once.
 FETCH = 20_000
+#: Different phrases of one trigger, in a task's buffer or in the trigger's range, from which it is split.
+MANY, MANY_IN_RANGE = 64, 1000
+RANGE_WINDOWS = 1_000_000
+#: Windows of split triggers that a task holds at once.
+HELD_WINDOWS = 1_000_000
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SPAN = np.dtype([("start", "<u4"), ("windows", "<u4")])
-NEED = np.dtype([("start", "<u4"), ("windows", "<u4"), ("trigger", "<u8")])
+NEED = np.dtype([("start", "<u4"), ("windows", "<u2"), ("split", "<u2"), ("trigger", "<u8")])
 
 
 class Rolling:
@@ -120,12 +130,12 @@ class Places:
         return np.lexsort((places["hash"], places["id"], places["null"]))
 
 
-PACKET_NAMES = ("places", "at", "start", "windows", "trigger", "content")
+PACKET_NAMES = ("places", "at", "start", "windows", "trigger", "content", "told")
 PACKET = "part long, repeats boolean, " + ", ".join(f"{c} binary" for c in PACKET_NAMES)
 PACKET_SCHEMA = pa.schema([("part", pa.int64()), ("repeats", pa.bool_())] + [(c, pa.binary()) for c in PACKET_NAMES])
 
 
-def _parse(length: int, trigger: int, bits: int, buffer: int):
+def _parse(length: int, trigger: int, bits: int, buffer: int, many: int):
     def flush(held: list, places: np.ndarray, task_salt: int) -> Iterator[dict]:
         at, start, windows, gram, content = (np.concatenate(x) for x in zip(*held))
         content = content >> U(16)
@@ -141,19 +151,32 @@ def _parse(length: int, trigger: int, bits: int, buffer: int):
         same = np.concatenate(([False], (at[1:] == at[:-1]) & (start[1:] == start[:-1]) & ~new[1:]))
         part = (gram >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(gram), np.int64)
 
-        def packet(key: int, repeats: bool, some: np.ndarray) -> dict:
+        # triggers of many phrases: these are dealt by content, the trigger's range is told
+        first_of = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+        distinct = np.add.reduceat(new.astype(np.int64), first_of)
+        split = np.repeat(distinct >= many, np.diff(np.append(first_of, len(gram))))
+        told = gram[first_of[distinct >= many]]
+        told_part = (told >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(told), np.int64)
+        by_content = (content >> U(48 - bits)).astype(np.int64) if bits else np.zeros(len(gram), np.int64)
+
+        def packet(key: int, repeats: bool, some: np.ndarray, told: np.ndarray = gram[:0]) -> dict:
             used, local = np.unique(at[some], return_inverse=True)
             body = np.ascontiguousarray(content[some]).view(np.uint8).reshape(-1, 8)[:, :6]
             return {
                 "part": key, "repeats": repeats, "places": places[used].tobytes(), "at": local.astype(np.uint32 if len(used) >> 16 else np.uint16).tobytes(),
                 "start": start[some].astype(np.uint32).tobytes(), "windows": windows[some].astype(np.uint16).tobytes(),
                 "trigger": b"" if repeats else pack_ascending(gram[some]), "content": b"" if repeats else body.tobytes(),
+                "told": told.tobytes(),
             }
 
-        firsts = np.flatnonzero(new)
-        for p in np.unique(part[firsts]):
+        firsts = np.flatnonzero(new & ~split)
+        for p in np.union1d(part[firsts], told_part):
             low, high = np.searchsorted(part[firsts], [p, p + 1])
-            yield packet(int(p), False, firsts[low:high])
+            yield packet(int(p), False, firsts[low:high], told[told_part == p])
+        spread = np.flatnonzero(new & split)
+        for p in np.unique(by_content[spread]):
+            some = spread[by_content[spread] == p]
+            yield packet(int(p), False, some, np.unique(gram[some]))
         again = np.flatnonzero(~new & ~same)
         if len(again):
             yield packet(task_salt % (1 << bits), True, again)
@@ -187,9 +210,9 @@ FOUND = "bucket long, places binary, n_repeats binary, repeats binary, n_needs b
 FOUND_SCHEMA = pa.schema(
     [("bucket", pa.int64())] + [(c, pa.binary()) for c in ("places", "n_repeats", "repeats", "n_needs", "needs")]
 )
-MARKED = "id long, null boolean, hash long, repeats binary, needs binary"
+MARKED = "id long, null boolean, hash long, repeats binary, needs binary, n_split long"
 MARKED_SCHEMA = pa.schema(
-    [("id", pa.int64()), ("null", pa.bool_()), ("hash", pa.int64()), ("repeats", pa.binary()), ("needs", pa.binary())]
+    [("id", pa.int64()), ("null", pa.bool_()), ("hash", pa.int64()), ("repeats", pa.binary()), ("needs", pa.binary()), ("n_split", pa.int64())]
 )
 
 
@@ -225,10 +248,12 @@ def _by_place(group: pa.Table) -> pa.Table:
                 out.setdefault(key, [[], []])[column].append(r[name][at : at + n * kind.itemsize])
                 at += n * kind.itemsize
     own = np.frombuffer(b"".join(out), Places.DTYPE)
+    needed = [np.frombuffer(b"".join(v[1]), NEED) for v in out.values()]
     return pa.Table.from_arrays(
         [
             pa.array(own["id"]), pa.array(own["null"]), pa.array(own["hash"]),
             pa.array([b"".join(v[0]) for v in out.values()], pa.binary()), pa.array([b"".join(v[1]) for v in out.values()], pa.binary()),
+            pa.array([int(x["windows"][x["split"] > 0].sum(dtype=np.int64)) for x in needed], pa.int64()),
         ],
         schema=MARKED_SCHEMA,
     )
@@ -240,12 +265,12 @@ def _spans(start: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _dictionary(bits: int):
+def _dictionary(bits: int, many: int):
     """First and further places of the phrases of one trigger range."""
-    return lambda group: _sorted_phrases(group, bits)
+    return lambda group: _sorted_phrases(group, bits, many)
 
 
-def _sorted_phrases(group: pa.Table, bits: int) -> pa.Table:
+def _sorted_phrases(group: pa.Table, bits: int, many: int) -> pa.Table:
     rows = group.to_pylist()
     opened, base, all_places = {True: [], False: []}, 0, []
     for r in rows:
@@ -285,39 +310,110 @@ def _sorted_phrases(group: pa.Table, bits: int) -> pa.Table:
     same[1:] = ~first[1:] & (at[1:] == at[:-1]) & (start[1:] == start[:-1])
     again = ~first & ~same
     distinct = np.add.reduceat(first.astype(np.int64), np.flatnonzero(trigger_new)) if n else np.zeros(0, np.int64)
-    several = np.repeat(distinct > 1, np.diff(np.append(np.flatnonzero(trigger_new), n))) if n else np.zeros(0, bool)
-    need = first & several
+    times = np.diff(np.append(np.flatnonzero(trigger_new), n)) if n else distinct
+    # only a range that is dealt by trigger sees all its phrases that no task has split
+    told = np.isin(gram, np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["told"], np.uint64) for r in rows)]))
+    split = told | np.repeat(distinct >= many, times)
+    need = first & (split | np.repeat(distinct > 1, times))
     needs = np.zeros(int(need.sum()), NEED)
-    needs["start"], needs["windows"], needs["trigger"] = start[need], windows[need], gram[need]
+    needs["start"], needs["windows"], needs["split"], needs["trigger"] = start[need], windows[need], split[need], gram[need]
     more_at, more_start, more_windows, _, _ = joined(True)
     repeats = _spans(np.concatenate((start[again], more_start)), np.concatenate((windows[again], more_windows)))
     return _by_bucket(places, (np.concatenate((at[again], more_at)), repeats), (at[need], needs), bits)
 
 
-FETCHED = "part long, trigger long, id long, null boolean, hash long, start long, windows long, bytes binary"
+FETCHED = (
+    "part long, trigger long, id long, null boolean, hash long, start long, windows long, bytes binary, "
+    "places binary, at binary, where binary, high binary, low binary"
+)
 FETCHED_NAMES = [f.split()[0] for f in FETCHED.split(", ")]
+FETCHED_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
+
 
+def _window_hashes(data: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Phrase, place within it and two hashes of every window of phrases that stand in a row in ``data``."""
+    begin = np.concatenate(([0], np.cumsum(windows + length - 1)[:-1]))
+    which = np.repeat(np.arange(len(windows)), windows)
+    inner = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
+    position = begin[which] + inner
+    one, two = (Rolling(b) for b in BASES)
+    return which, inner, one.of(one.sums(data), position, position + length), two.of(two.sums(data), position, position + length)
+
+
+def _first_windows(high: np.ndarray, low: np.ndarray, at: np.ndarray, where: np.ndarray, places: np.ndarray):
+    """Order by hashes and place, whether a row begins a run of equal windows, and whether it stands elsewhere."""
+    rank = np.empty(len(places), np.int64)
+    rank[Places.order(places)] = np.arange(len(places))
+    order = np.lexsort((where, rank[at], low, high))
+    h, l = high[order], low[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (h[1:] != h[:-1]) | (l[1:] != l[:-1])
+    return order, new, _not_first(new, at[order], where[order])
 
-def _fetch(length: int, bits: int):
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+def _fetch(length: int, bits: int, window_bits: int):
+    """Phrases with their bytes by trigger range, and windows of split triggers by range of their hash.
+
+    Of equal windows of split triggers a task sends the first by hash; the others are
+    repeats already and go along without hashes.
+    """
 
     def rows(out: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*out)) or [[]] * len(types)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=FETCHED_NAMES)
+        columns = list(zip(*out)) or [[]] * len(FETCHED_TYPES)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, FETCHED_TYPES)], names=FETCHED_NAMES)
+
+    def packets(held: list[tuple]) -> list[tuple]:
+        keys, starts, windows, raw = zip(*held)
+        places = np.array(list(keys), Places.DTYPE)
+        places, own = np.unique(places, return_inverse=True)
+        which, inner, high, low = _window_hashes(np.frombuffer(b"".join(raw), np.uint8), np.array(windows), length)
+        at, where = own[which], np.array(starts)[which] + inner
+        order, new, later = _first_windows(high, low, at, where, places)
+        at, where, high, low = at[order], where[order], high[order], low[order]
+
+        def packet(part: int, some: np.ndarray, hashed: bool) -> tuple:
+            used, local = np.unique(at[some], return_inverse=True)
+            hashes = (high[some].tobytes(), low[some].tobytes()) if hashed else (b"", b"")
+            return (
+                (1 << bits) + part, 0, 0, False, 0, 0, 0, None,
+                places[used].tobytes(), local.astype(np.uint32).tobytes(), where[some].astype(np.uint32).tobytes(), *hashes,
+            )
+
+        firsts = np.flatnonzero(new)
+        part = (high[firsts] >> U(64 - window_bits)).astype(np.int64) if window_bits else np.zeros(len(firsts), np.int64)
+        edges = np.searchsorted(part, np.append(np.unique(part), part[-1] + 1))
+        out = [packet(int(part[a]), firsts[a:b], True) for a, b in zip(edges[:-1], edges[1:])]
+        again = np.flatnonzero(later)
+        if len(again):
+            spread = int(low[0] % U(1 << window_bits))
+            out.append(packet(spread, again[np.lexsort((where[again], at[again]))], False))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
+        held: list[tuple] = []
+        n_held = 0
         for batch in batches:
             for id_, null, hash_, text, lists in zip(*(batch.column(i) for i in range(5))):
                 own, data = (id_.as_py(), null.as_py(), hash_.as_py()), (text.as_py() or "").encode()
                 for needs in lists.as_py():
-                    for start, windows, gram in np.frombuffer(needs, NEED).tolist():
-                        part = gram >> (64 - bits) if bits else 0
-                        signed = gram - (1 << 64) if gram >> 63 else gram
-                        out.append((part, signed, *own, start, windows, data[start : start + windows + length - 1]))
+                    for start, windows, split, gram in np.frombuffer(needs, NEED).tolist():
+                        body = data[start : start + windows + length - 1]
+                        if split:
+                            held.append(((own[1], own[0], own[2]), start, windows, body))
+                            n_held += windows
+                        else:
+                            part = gram >> (64 - bits) if bits else 0
+                            signed = gram - (1 << 64) if gram >> 63 else gram
+                            out.append((part, signed, *own, start, windows, body, *[None] * 5))
                     if len(out) >= FETCH:
                         yield rows(out)
                         out = []
+                    if n_held >= HELD_WINDOWS:
+                        yield rows(packets(held))
+                        held, n_held = [], 0
+        if held:
+            yield rows(packets(held))
         yield rows(out)
 
     return run
@@ -330,40 +426,51 @@ def _not_first(new: np.ndarray, at: np.ndarray, where: np.ndarray) -> np.ndarray
 
 
 def _sorted_windows(length: int, bits: int):
-    """Windows of the phrases of one range that stand earlier in another phrase."""
+    """Windows of one trigger range, or of one range of window hashes, that stand earlier elsewhere."""
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        places = np.zeros(len(group), Places.DTYPE)
-        places["null"] = group.column("null").to_numpy()
-        places["id"], places["hash"] = group.column("id").to_numpy(), group.column("hash").to_numpy()
-        places, at = np.unique(places, return_inverse=True)
-        rank = np.empty(len(places), np.int64)
-        rank[Places.order(places)] = np.arange(len(places))
-        start, windows = group.column("start").to_numpy(), group.column("windows").to_numpy()
-        gram = group.column("trigger").to_numpy()
-        raw = b"".join(group.column("bytes").to_pylist())
-        data = np.frombuffer(raw, np.uint8)
-        begin = np.concatenate(([0], np.cumsum(windows + length - 1)[:-1]))
-        which = np.repeat(np.arange(len(start)), windows)
-        inner = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-        position = begin[which] + inner
-        one, two = (Rolling(b) for b in BASES)
-        h1, h2 = one.of(one.sums(data), position, position + length), two.of(two.sums(data), position, position + length)
-        where = start[which] + inner
-        order = np.lexsort((where, rank[at[which]], h2, h1, gram[which]))
-        h1, h2, which, where, trig = h1[order], h2[order], which[order], where[order], gram[which[order]]
-        new = np.ones(len(order), bool)
-        new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (trig[1:] != trig[:-1])
-        later = _not_first(new, at[which], where)
-        doc, where = at[which[later]], where[later]
+    def found(places: np.ndarray, doc: np.ndarray, where: np.ndarray) -> pa.Table:
         # a row that stands twice has each place twice
-        doc, where = np.unique(np.stack((doc, where.astype(np.int64))), axis=1) if len(doc) else (doc, where)
+        doc, where = np.unique(np.stack((doc.astype(np.int64), where.astype(np.int64))), axis=1) if len(doc) else (doc, where)
         edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (where[1:] != where[:-1] + 1)))) if len(doc) else np.zeros(0, int)
         spans = _spans(where[edge], np.diff(np.append(edge, len(doc))))
         return _by_bucket(places, (doc[edge], spans), (np.zeros(0, np.int64), np.zeros(0, NEED)), bits)
 
-    return run
+    def of_phrases(group: pa.Table) -> pa.Table:
+        places = np.zeros(len(group), Places.DTYPE)
+        places["null"] = group.column("null").to_numpy()
+        places["id"], places["hash"] = group.column("id").to_numpy(), group.column("hash").to_numpy()
+        places, at = np.unique(places, return_inverse=True)
+        start, windows = group.column("start").to_numpy(), group.column("windows").to_numpy()
+        data = np.frombuffer(b"".join(group.column("bytes").to_pylist()), np.uint8)
+        # equal windows have equal triggers
+        which, inner, high, low = _window_hashes(data, windows, length)
+        at, where = at[which], start[which] + inner
+        order, _, later = _first_windows(high, low, at, where, places)
+        return found(places, at[order][later], where[order][later])
+
+    def of_split(group: pa.Table) -> pa.Table:
+        hashed, again, all_places, base = [], [], [], 0
+        for r in group.select(FETCHED_NAMES[8:]).to_pylist():
+            places = np.frombuffer(r["places"], Places.DTYPE)
+            own = np.frombuffer(r["at"], np.uint32).astype(np.int64) + base, np.frombuffer(r["where"], np.uint32)
+            if r["high"]:
+                hashed.append((*own, np.frombuffer(r["high"], np.uint64), np.frombuffer(r["low"], np.uint64)))
+            else:
+                again.append(own)
+            all_places.append(places)
+            base += len(places)
+        places, merged = np.unique(np.concatenate(all_places), return_inverse=True)
+        none = np.zeros(0, np.int64)
+        doc, where = (np.concatenate(x) for x in zip(*again)) if again else (none, none)
+        doc = merged[doc]
+        if hashed:
+            at, starts, high, low = (np.concatenate(x) for x in zip(*hashed))
+            at = merged[at]
+            order, _, later = _first_windows(high, low, at, starts, places)
+            doc, where = np.concatenate((doc, at[order][later])), np.concatenate((where, starts[order][later]))
+        return found(places, doc, where)
+
+    return lambda group: (of_split if group.column("part")[0].as_py() >> bits else of_phrases)(group.combine_chunks())
 
 
 def _cut(data: np.ndarray, spans: np.ndarray, length: int) -> tuple[np.ndarray, int, int]:
@@ -402,7 +509,8 @@ def _remove(length: int, with_text: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 100, trigger: int = 40, buffer: int = BUFFER, with_text: bool = False
+    docs: DataFrame, length: int = 100, trigger: int = 40, buffer: int = BUFFER, with_text: bool = False,
+    many: int = MANY, many_in_range: int = MANY_IN_RANGE,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` per row of ``docs``.
 
@@ -420,14 +528,18 @@ def remove_repeats(
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, total * 2 // (length - trigger + 2) // RANGE_PHRASES)
     bits = (parts - 1).bit_length()
-    parsed = keyed.select("doc_id", "text", "_text").mapInArrow(_parse(length, trigger, bits, buffer), PACKET)
-    found = parsed.groupBy("part").applyInArrow(_dictionary(bits), FOUND).groupBy("bucket").applyInArrow(_by_place, MARKED)
+    parsed = keyed.select("doc_id", "text", "_text").mapInArrow(_parse(length, trigger, bits, buffer, many), PACKET)
+    found = parsed.groupBy("part").applyInArrow(_dictionary(bits, many_in_range), FOUND).groupBy("bucket").applyInArrow(_by_place, MARKED)
     found = settle(found, "phrases").withColumnsRenamed(places)
 
-    needs = found.where(F.length("needs") > 0).groupBy(*KEY).agg(F.collect_list("needs").alias("needs"))
+    needs = found.where(F.length("needs") > 0).groupBy(*KEY).agg(
+        F.collect_list("needs").alias("needs"), F.sum("n_split").alias("n_split")
+    )
     needs = settle(needs, "needed")
+    n_split = needs.agg(F.sum("n_split")).first()[0] or 0
+    window_bits = (max(1, n_split // RANGE_WINDOWS) - 1).bit_length()
     some, _ = split_by_keys(keyed, needs)
-    fetched = some.join(needs, KEY).select(*KEY, "text", "needs").mapInArrow(_fetch(length, bits), FETCHED)
+    fetched = some.join(needs, KEY).select(*KEY, "text", "needs").mapInArrow(_fetch(length, bits, window_bits), FETCHED)
     shared = fetched.groupBy("part").applyInArrow(_sorted_windows(length, bits), FOUND).groupBy("bucket")
     shared = shared.applyInArrow(_by_place, MARKED).withColumnsRenamed(places)
     spans = found.where(F.length("repeats") > 0).select(*KEY, "repeats").unionByName(shared.select(*KEY, "repeats"))

@@ -5,12 +5,14 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from tests.llm.helpers import DOCS, awkward, frame, prose, repeated
 
 from opsflow.llm.exact_dedup import exact_duplicates, keep_rows
 from opsflow.llm.ngram_join import linked_documents, one_of_each, similar_documents
-from opsflow.llm.suffix_dedup import remove_repeats
+from opsflow.llm.suffix_dedup import BASES, NEED, Rolling, _fetch, phrases, remove_repeats
 
 BLANK = re.compile(r"[\x20\x09-\x0D]")
 
@@ -144,6 +146,40 @@ def test_repeated_rows_are_repeats_of_the_first(spark):
         assert once[r[0]] in [g.n_removed for g in got if g.doc_id == r[0]]
 
 
+@pytest.mark.parametrize("buffer", [50, 300_000])
+def test_split_triggers_change_nothing(spark, buffer):
+    """A passage in most documents: edge phrases of one trigger, in few large or many small ranges."""
+    rng = random.Random(6)
+    passage = prose(rng, "en", 60)
+    rows = awkward(4) + [(500 + i, prose(rng, "en", 30) + passage + prose(rng, "fr", 30), *awkward(4)[0][2:]) for i in range(40)]
+    for many, in_range in ((2, 2), (3, 1000), (10_000, 2)):
+        found = remove_repeats(frame(spark, rows), buffer=buffer, many=many, many_in_range=in_range).drop("kept")
+        assert sorted(tuple(r) for r in found.collect()) == cut(rows, 100)
+
+
+@pytest.mark.parametrize("in_range", [1, 1000])
+def test_a_hot_trigger_does_not_stay_in_one_group(in_range):
+    """Windows of edge phrases go out by their hash, not by trigger."""
+    rng = random.Random(7)
+    passage = prose(rng, "en", 60)
+    texts = [f"{i} " + prose(rng, "en", 40) + passage for i in range(80)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    row, start, windows, gram, _ = phrases(data, offsets, 100, 40, tuple(Rolling(b) for b in BASES))
+    hot = max(set(gram.tolist()), key=gram.tolist().count)
+    needs = np.zeros(int((gram == hot).sum()), NEED)
+    needs["start"], needs["windows"], needs["split"], needs["trigger"] = start[gram == hot], windows[gram == hot], in_range == 1, hot
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(row[gram == hot]), pa.array([False] * len(needs)), pa.array(row[gram == hot]),
+            pa.array([texts[r] for r in row[gram == hot]]), pa.array([[n.tobytes()] for n in needs]),
+        ],
+        names=["id", "null", "hash", "text", "needs"],
+    )
+    parts = [p for out in _fetch(100, 4, 4)([batch]) for p in out.column(0).to_pylist()]
+    assert len(needs) >= 80 and len(set(parts)) == (16 if in_range == 1 else 1)
+
+
 @pytest.mark.parametrize("buffer", [50, 300_000])
 def test_a_row_given_twice_loses_only_its_inner_repeats(spark, buffer):
     """Both copies in one task; the passage stands twice in the text, in other surroundings each time."""
