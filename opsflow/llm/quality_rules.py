@@ -2,13 +2,14 @@
 
 Lines are normalised (ASCII lower case, runs of white space as one blank) and
 hashed together with their host. A line that more than ``max_docs`` documents of one
-host hold is boilerplate there and counts as removed; a document that loses more than
+host hold is boilerplate there and is removed from their texts; a document that loses more than
 ``max_lost`` of its words this way is depleted and rejected, as is one that fails the
 base rules. The limits are absolute and the same at every size.
 
-The text is read once, into a written table of counts and line hashes. Lines are
-counted once per document (distinct inside the row) with a map-side combine, so a
-line in a third of all documents costs one row per task.
+The text is read into a written table of counts and line hashes, and once more when
+the lines to remove are known: they are joined to the texts by two hashes of source and
+text, which decide both. Lines are counted once per document (distinct inside the row)
+with a map-side combine, so a line in a third of all documents costs one row per task.
 """
 
 from __future__ import annotations
@@ -66,77 +67,97 @@ def _repeated_words(words: Column) -> Column:
     return _let(_let(F.transform(words, lambda w: F.xxhash64(w)), windows), of)
 
 
+def _clean(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), SPACE_CLASS + "+", " "))
+
+
 def _lines(text: Column, host: Column) -> Column:
-    """Key and word count of each line that has a word."""
-    lines = F.split(text, "\n", -1)
-    clean = lambda line: F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), SPACE_CLASS + "+", " "))
-    some = F.filter(F.transform(lines, clean), lambda line: line != "")
-    return F.transform(
-        some,
-        lambda line: F.struct(
-            F.xxhash64(host, line).alias("key"),
-            (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("words"),
-        ),
+    """Key of each line that has a word."""
+    some = F.filter(F.transform(F.split(text, "\n", -1), _clean), lambda line: line != "")
+    return F.transform(some, lambda line: F.xxhash64(host, line))
+
+
+def _without(text: Column, host: Column, gone: Column) -> Column:
+    """``text`` without the lines whose key is in ``gone``; lines without a word stay."""
+    return F.array_join(
+        F.filter(F.split(text, "\n", -1), lambda line: ~F.array_contains(gone, F.xxhash64(host, _clean(line)))), "\n"
     )
 
 
+def _identity(text: Column, host: Column) -> list[Column]:
+    """Two hashes of text and host, by which a row is found again."""
+    return [F.xxhash64(host, text).alias("_one"), F.xxhash64(text, host).alias("_two")]
+
+
 def measured(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` with its counts and line keys; null text has none."""
+    """One row per row of ``docs`` with its counts, line keys and identity; null text has none."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     solid = F.filter(F.split(text, "\n", -1), lambda line: F.translate(line, SPACE, "") != "")
     return (
         docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
+            group_key("source").alias("_host"),
             text.alias("_text"),
             _words(text).alias("_words"),
             solid.alias("_solid"),
         )
         .select(
-            "doc_id",
-            "source",
             F.size("_words").cast("long").alias("n_words"),
             F.length(F.translate("_text", SPACE, "")).cast("long").alias("word_chars"),
             (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
             (F.size("_solid") - F.size(F.array_distinct("_solid"))).cast("long").alias("n_dup_lines"),
             _repeated_words(F.col("_words")).cast("long").alias("n_repeat_words"),
-            _lines(F.col("_text"), group_key("source")).alias("lines"),
+            _lines(F.col("_text"), F.col("_host")).alias("lines"),
+            *_identity(F.col("_text"), F.col("_host")),
         )
-        .withColumn("row", F.monotonically_increasing_id())
     )
 
 
-def quality(docs: DataFrame, max_docs: int = 20, max_lost: float = 0.5) -> DataFrame:
-    """Counts, base rules and the verdict for every row of ``docs``.
+def cleaned(docs: DataFrame, max_docs: int = 20, max_lost: float = 0.5) -> DataFrame:
+    """Counts, base rules, verdict and the text without frequent lines for every row of ``docs``.
 
-    ``n_removed_words`` are the words of lines held by more than ``max_docs``
-    documents of the row's host (``source``; null is a host of its own). A document
-    stays if the base rules pass and at most ``max_lost`` of its words are removed.
-    Null and empty texts have no words and fail. Repeated rows count as documents.
-    An empty table gives an empty result; other columns are ignored.
+    Lines held by more than ``max_docs`` documents of the row's host (``source``; null is
+    a host of its own) are removed from ``text``; the others stay as they are, in their
+    order, also those without a word. ``n_removed_words`` are the words that the text
+    lost by it. A document stays (``kept``) if the base rules pass, for its whole text,
+    and at most ``max_lost`` of its words are removed. Null and empty texts have no words
+    and fail. Repeated rows count as documents. An empty table gives an empty result;
+    other columns are ignored.
     """
     rows = settle(measured(docs), "quality-rows")
-    keys = rows.select(F.explode(F.array_distinct(F.transform("lines", lambda line: line["key"]))).alias("key"))
+    keys = rows.select(F.explode(F.array_distinct("lines")).alias("key"))
     frequent = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs).select("key")
     frequent = settle(frequent, "frequent-lines")
-    lost = (
-        rows.select("row", F.explode("lines").alias("line"))
-        .select("row", "line.key", "line.words")
+    identity = ["_one", "_two"]
+    gone = (
+        rows.select(*identity, F.explode(F.array_distinct("lines")).alias("key"))
         .join(frequent, "key", "left_semi")
-        .groupBy("row")
-        .agg(F.sum("words").cast("long").alias("n_removed_words"))
+        .groupBy(*identity)
+        .agg(F.collect_set("key").alias("_gone"))
+    )
+    counts = [c for c in rows.columns if c not in (*identity, "lines")]
+    facts = rows.groupBy(*identity).agg(*[F.max(c).alias(c) for c in counts]).join(gone, identity, "left")
+    text, host = F.col("text").cast("string"), group_key("source")
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text.alias("text"),
+        *_identity(F.coalesce(text, F.lit("")), host),
     )
+    lost = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.col("n_words") - F.size(_words(F.col("text"))))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
-        rows.drop("lines")
-        .join(lost, "row", "left")
-        .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
+        whole.join(facts, identity)
+        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(_without(F.col("text"), host, F.col("_gone"))))
+        .withColumn("n_removed_words", lost.cast("long"))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("n_removed_words") <= max_lost * F.col("n_words")))
-        .drop("row")
+        .select("doc_id", "source", *counts, "n_removed_words", "base_failed", "kept", "text")
     )
 
 
+def quality(docs: DataFrame, max_docs: int = 20, max_lost: float = 0.5) -> DataFrame:
+    """What ``cleaned`` says of every row of ``docs``, without the texts."""
+    return cleaned(docs, max_docs, max_lost).drop("text")
+
+
 SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),

@@ -16,7 +16,7 @@ import corpus_pipeline
 from check_oracle import TABLES, rows_of
 from opsflow.llm import ORACLES, QUERIES
 from opsflow.llm.mixing import mix, mixed_texts, permuted, targets
-from opsflow.llm.quality_rules import quality
+from opsflow.llm.quality_rules import cleaned, quality
 from opsflow.llm.sharding import interleave
 from opsflow.llm.url_filters import judge
 
@@ -108,6 +108,28 @@ def test_quality_rules(spark):
     assert quality(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_frequent_lines_leave_the_texts(spark):
+    """Against a plain version, with repeated rows, null hosts, other spacing and lines without words."""
+    rng = np.random.default_rng(3)
+    lines = ["All rights reserved here.", "all  RIGHTS\treserved here. ", "Back to top", "\u00c9cole", " ", ""]
+    rows = []
+    for i in range(60):
+        parts = [" ".join(f"w{i}x{k}" for k in range(8)) for _ in range(3)] + [lines[j] for j in rng.integers(0, len(lines), i % 4)]
+        rows.append((i, "\n".join(parts[j] for j in rng.permutation(len(parts))), "en", (None, "a", "a", "b")[i % 4], 0, "9", "r", "s", "h"))
+    rows += rows[:7] + [(100, None, "en", "a", 0, "9", "r", "s", "h"), (101, "", "en", None, 0, "9", "r", "s", "h")]
+
+    def plain(line):
+        return " ".join(WORD.findall("".join(c.lower() if c.isascii() else c for c in line)))
+
+    held = Counter((r[3], key) for r in rows for key in {plain(x) for x in (r[1] or "").split("\n")} - {""})
+    want = Counter()
+    for r in rows:
+        text = r[1] and "\n".join(x for x in r[1].split("\n") if held[(r[3], plain(x))] <= 5)
+        want[(r[0], text, len(WORD.findall(r[1] or "")) - len(WORD.findall(text or "")))] += 1
+    got = Counter((r.doc_id, r.text, r.n_removed_words) for r in cleaned(frame(spark, rows), max_docs=5).collect())
+    assert got == want and sum(n for (_, _, lost), n in got.items() if lost) > 10
+
+
 def test_url_filters(spark):
     day = lambda d: dt.date(2024, 1, d)
     entries = spark.createDataFrame(
