@@ -6,7 +6,7 @@ validity intervals ``[valid_from, valid_to)``, and every capture is judged again
 the intervals that hold at its own fetch time (an as-of join).
 
 A capture is looked up under a few candidate keys (its host, the host's parent
-domains, its host with leading path segments), each by equality. Intervals are cut
+domains, its host with leading path segments, as many as the URL has), each by equality. Intervals are cut
 into bins of ``bin_days`` and joined on (key, bin), so a host that holds a third of
 all captures, or an entry that changes every day, is spread over its bins; the join
 is an ordinary one that AQE can split further. Captures that agree in URL and time
@@ -33,32 +33,38 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\s]*([^?#\s]*)", 1)
 
 
-def candidates(host: Column, path: Column, path_depth: int = 2) -> Column:
-    """Keys under which a capture may be listed: host, its domains, host with path prefixes."""
+def candidates(host: Column, path: Column) -> Column:
+    """Keys under which a capture may be listed: host, its domains down to the last label, host with every path prefix."""
     labels = F.split(host, r"\.")
     count = F.size(labels)
     domains = F.transform(
-        F.sequence(F.lit(1), F.greatest(count - 1, F.lit(1))),
+        F.sequence(F.lit(1), count),
         lambda i: F.array_join(F.slice(labels, i, count), "."),
     )
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     paths = F.transform(
-        F.filter(F.sequence(F.lit(1), F.lit(path_depth)), lambda i: i <= F.size(segments)),
-        lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")),
+        segments, lambda _, i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i + 1), "/"))
     )
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(domains, paths)))
 
 
+def listed_key(key: Column) -> Column:
+    """A list's key with its host in lower case; paths keep their case, as in URLs."""
+    host = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(host), F.substr(key, F.length(host) + 1))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """Validity intervals ``list, key, valid_from, valid_to`` of dated entries.
 
     ``entries``: ``list, key, day, listed``. An entry holds until the next one of the
     same list and key; repeats of the same state are merged; of several on one day,
-    ``listed`` wins. Entries without list, key, day or state are ignored.
+    ``listed`` wins. Entries without list, key, day or state are ignored. Hosts compare
+    without case, paths with it.
     """
     daily = (
         entries.where("list IS NOT NULL AND key IS NOT NULL AND day IS NOT NULL AND listed IS NOT NULL")
-        .groupBy("list", F.lower("key").alias("key"), F.col("day").cast("date").alias("day"))
+        .groupBy("list", listed_key(F.col("key")).alias("key"), F.col("day").cast("date").alias("day"))
         .agg(F.max("listed").alias("listed"))
     )
     along = Window.partitionBy("list", "key").orderBy("day")
@@ -71,7 +77,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
-def judge(captures: DataFrame, entries: DataFrame, bin_days: int = 32, path_depth: int = 2) -> DataFrame:
+def judge(captures: DataFrame, entries: DataFrame, bin_days: int = 32) -> DataFrame:
     """One row per distinct capture: ``page_id, url, fetched_on, n_active, blocked, ...``.
 
     ``captures``: ``page_id, url, fetched_on`` (a date). ``n_active`` counts the list
@@ -85,7 +91,7 @@ def judge(captures: DataFrame, entries: DataFrame, bin_days: int = 32, path_dept
         F.count(F.lit(1)).alias("copies")
     )
     looked = each.withColumn("host", F.coalesce(host_of(F.col("url")), F.lit(""))).withColumn(
-        "_keys", candidates(F.col("host"), F.coalesce(path_of(F.col("url")), F.lit("")), path_depth)
+        "_keys", candidates(F.col("host"), F.coalesce(path_of(F.col("url")), F.lit("")))
     )
     day = lambda c: F.unix_date(F.col(c))
     span = looked.agg(

@@ -155,6 +155,28 @@ def test_url_filters(spark):
     assert not any(r.blocked for r in judge(captures, entries.limit(0)).collect())
 
 
+def test_url_filters_equal_brute_force(spark):
+    """Entries with capitals in host or path, of any depth, and of one label."""
+    keys = ["Bad.Org/Ads", "bad.org/ads", "x.org/a/b/c", "x.org/a/b/c/d/E", "org", "COM", "a.b.c.net", "net", "x.org", "localhost"]
+    hosts = ["bad.org", "BAD.org", "x.org", "z.a.b.c.net", "q.com", "localhost", "u.x.org"]
+    paths = ["", "/Ads", "/ads/", "/ads/X", "/Ads/x", "/a/b", "/a/b/c", "/a//b/c/d", "/a/b/c/d/E/f?q#t", "/a/b/c/d/e"]
+    day = dt.date(2024, 1, 2)
+    entries = spark.createDataFrame([(f"l{i}", k, day, True) for i, k in enumerate(keys)], "list string, key string, day date, listed boolean")
+    urls = [f"http://{h}{p}" for h in hosts for p in paths]
+    captures = spark.createDataFrame([(i, u, day) for i, u in enumerate(urls)], "page_id long, url string, fetched_on date")
+
+    def holds(key, host, path):
+        name, *want = key.split("/")
+        have = [s for s in re.split(r"[?#]", path)[0].split("/") if s]
+        if want:
+            return name.lower() == host.lower() and have[: len(want)] == want
+        return ("." + host.lower()).endswith("." + name.lower())
+
+    want = [",".join(f"l{i}" for i, k in enumerate(keys) if holds(k, h, p)) for h in hosts for p in paths]
+    got = {r.page_id: r.lists for r in judge(captures, entries).collect()}
+    assert [got[i] for i in range(len(urls))] == want
+
+
 def test_pipeline_on_awkward_rows(spark):
     """Each stage in turn, against what the stage must leave."""
     docs = frame(spark, repeated(awkward()))
