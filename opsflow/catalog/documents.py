@@ -133,10 +133,12 @@ def inventory_summary(t: Tables) -> DataFrame:
 
 
 def inventory(t: Tables) -> tuple[DataFrame, DataFrame]:
-    return nested.inventory_levels(
+    summary, detail = nested.inventory_levels(
         stock_reports(t), "sku", {"on_hand": "qty_on_hand"}, "detailed", "warehouse_id",
         {"6": "WEST", "7": "EAST"},
     )
+    # a large group has a report per part
+    return summary.groupBy("item").agg(F.sum("on_hand").alias("on_hand")), detail
 
 
 @query(
@@ -154,7 +156,8 @@ def header_detail(t: Tables) -> DataFrame:
         {"role": "role"},
     )
     by_role = lines.groupBy("conv_id", F.col("role").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
-    return heads.withColumn("kind", F.lit("head")).unionByName(by_role)
+    whole = heads.groupBy("conv_id").agg(F.sum("n").alias("n"))  # a large group has a head per part
+    return whole.withColumn("kind", F.lit("head")).unionByName(by_role)
 
 
 def packed_events(t: Tables) -> DataFrame:
@@ -548,7 +551,9 @@ def flatten_shipment_reply(t: Tables) -> DataFrame:
         nf.wrapped(F.col("l_orderkey")).alias("ShipmentNbr"), nf.wrapped(F.lit("Open")).alias("Status"),
         nf.wrapped(F.lit(1)).alias("PackageCount"), "Details",
     )
-    return nested.flatten_shipment_reply(docs).select(
+    # a large group has a reply per part
+    flat = nested.flatten_shipment_reply(docs).drop("line_count")
+    return windows.with_group_total(flat, ["shipment_nbr"], {"line_count": F.count(F.lit(1))}).select(
         "shipment_nbr", "line_nbr", "inventory_cd", "qty", "split_line_nbr", "line_count"
     )
 
@@ -604,15 +609,18 @@ def ledger_rows(t: Tables) -> DataFrame:
     """,
 )
 def current_shipment(t: Tables) -> DataFrame:
-    shipments = nested.collect_parts(
-        t.lineitem, ["l_orderkey"], LINE_ORDER,
-        F.struct(F.col("l_partkey").alias("shipment_nbr"), F.col("l_shipdate").alias("modified_at")), "shipments",
+    since = F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz")
+    line = F.struct(*LINE_ORDER, F.col("l_shipdate").alias("modified_at"), F.col("l_partkey").alias("shipment_nbr"))
+    # the lines that decide, whatever the size of the group: the first one and the first recent one
+    lines = t.lineitem.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.min(line).alias("first"), F.min(F.when(F.col("l_shipdate") >= since, line)).alias("recent")
     )
+    several = F.array("first", F.coalesce("recent", "first"))
+    shipments = lines.select("l_orderkey", F.when(F.col("n") > 1, several).otherwise(F.array("first")).alias("shipments"))
     orders = enrich(t.orders, [Lookup(shipments, {"o_orderkey": "l_orderkey"}, {"shipments": "shipments"})]).select(
         F.col("o_orderkey").alias("order_nbr"), F.col("o_orderstatus").alias("order_type"),
         F.col("o_custkey").alias("customer_id"), F.lit("d").alias("description"), F.lit("e").alias("ext_ref"), "shipments",
     )
-    since = F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz")
     return nested.current_shipment(orders, since).select("order_nbr", "shipment_nbr", "customer_id")
 
 
