@@ -8,14 +8,13 @@ phrase is a run of windows with one trigger; with its last window it reaches
 free. The dictionary is the set of distinct phrases, each with its first place; the
 parse is the list of phrases of every document.
 
-Corpus order is needed to a depth of ``length`` bytes only, and that depth lies within
-a phrase: the dictionary's suffixes alone sort it, and the parse says where the phrases
-stand. Every occurrence of a phrase but the first is a repeat as a whole, by the
-parse. The first occurrences of different phrases with one trigger may share some of
-their windows; their bytes are fetched, and their windows are sorted among each other
-with their places (the suffix array of that part of the dictionary), which gives the
-windows that stand earlier elsewhere. For highly repetitive text the dictionary is
-small against the corpus, and only it is ever sorted.
+No suffix array is built, neither of the dictionary nor of the parse: whether two windows
+are equal matters, not their order, and a window lies within one phrase. Every occurrence
+of a phrase but the first is a repeat as a whole, by the parse. The first occurrences of
+different phrases with one trigger may share some of their windows; their bytes are
+fetched, two hashes of each of their windows are sorted with their places, and equal
+neighbours are the windows that stand earlier elsewhere. For highly repetitive text the
+dictionary is small against the corpus, and only its windows are ever sorted.
 
 Phrases travel as packed numbers by trigger range. Each task sends a phrase once, with
 its first place there; further places are repeats already, so the inner phrases of a
