@@ -9,6 +9,7 @@ from opsflow.llm import (  # noqa: F401
     quality_rules,
     sharding,
     suffix_dedup,
+    tensor_minhash,
     token_counts,
     url_filters,
 )
