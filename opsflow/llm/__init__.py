@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline and their registered queries."""
 
 from opsflow.llm import (  # noqa: F401
+    ball_tree_search,
     exact_dedup,
     language_id,
     mixing,
@@ -10,6 +11,7 @@ from opsflow.llm import (  # noqa: F401
     sharding,
     suffix_dedup,
     tensor_minhash,
+    threshold_join,
     token_counts,
     url_filters,
 )
