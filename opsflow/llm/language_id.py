@@ -5,9 +5,10 @@ word's probability is the sum over all its segmentations into pieces, computed b
 the forward algorithm; a text's score is the product over its words. Piece
 probabilities are trained here by expectation-maximisation over the same sum, on a
 bounded sample of labelled documents (``sample`` per language, whole texts, chosen
-by the hash of their id).
+by the hash of id and text).
 
-Scores are sums over words, so each distinct word is scored once per task. The
+Scores are sums over words, so a word is scored once while its task remembers it. Words
+are runs of letters; long ones, as in scripts without blanks, are summed whole. The
 trained model (pieces x languages numbers) is the only thing that is broadcast, and
 its size is bounded by the vocabulary.
 """
@@ -15,9 +16,13 @@ its size is bounded by the vocabulary.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -28,23 +33,28 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from opsflow.llm.base import query, table
 from opsflow.session import settle
 
-LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
-#: Longer runs of letters are scored in stretches of this length.
-STRETCH = 48
 #: Probability of a letter that no piece has, the same in all languages.
 RARE = 1e-7
 #: Keeps products of piece probabilities within range; taken out of every score again.
 SCALE = 16.0
-REMEMBER = 300_000
+#: Words up to this length are scored side by side, longer ones one by one in logarithms.
+SHORT = 48
+#: Bytes of remembered words, about, after which a worker forgets them.
+REMEMBER = 64_000_000
+
+
+@cache
+def letter_runs() -> re.Pattern:
+    """Runs of letters by Unicode category. ``\\w`` has more: digits, and numbers such as ``½`` or ``Ⅷ``."""
+    kinds = ((c, unicodedata.category(c)) for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum())
+    more = [c for c, kind in kinds if kind[0] != "L" and kind != "Nd"]
+    return re.compile(f"[^\\W\\d_{''.join(more)}]+")
 
 
 def letters(text: str) -> list[str]:
-    """The runs of letters of a text, in lower case, long ones in stretches."""
-    words = LETTERS.findall(text.lower())
-    if max(map(len, words), default=0) <= STRETCH:
-        return words
-    return [word[i : i + STRETCH] for word in words for i in range(0, len(word), STRETCH)]
+    """The runs of letters of a text, in lower case."""
+    return letter_runs().findall(text.lower())
 
 
 def pieces_of(path: str) -> list[str]:
@@ -53,7 +63,8 @@ def pieces_of(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    return sorted({p for p in names if re.fullmatch(f"{MARK}?[^\\W\\d_]*", p) and p == p.lower() and p})
+    run = letter_runs()
+    return sorted({p for p in names if p and p == p.lower() and (p == MARK or run.fullmatch(p.removeprefix(MARK)))})
 
 
 class Lattice:
@@ -62,24 +73,31 @@ class Lattice:
     def __init__(self, pieces: list[str]):
         self.automaton = ahocorasick.Automaton()
         for number, piece in enumerate(pieces):
-            self.automaton.add_word(piece, (len(piece), number))
+            self.automaton.add_word(piece, number)
         self.automaton.make_automaton()
-        self.single = {piece for piece in pieces if len(piece) == 1}
+        self.lengths = np.array([len(piece) for piece in pieces], np.int64)
+        self.single = np.array([ord(piece) for piece in pieces if len(piece) == 1], np.uint32)
         self.rare = len(pieces)
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, ...]:
-        """``word, start, end, piece`` of every piece occurrence; positions count the mark."""
-        rows = []
-        for number, word in enumerate(words):
-            marked = MARK + word
-            for last, (length, piece) in self.automaton.iter(marked):
-                rows.append((number, last + 1 - length, last + 1, piece))
-            for at, char in enumerate(marked):
-                if char not in self.single:
-                    rows.append((number, at, at + 1, self.rare))
-        table_ = np.array(rows, np.int64).reshape(-1, 4)
-        order = np.argsort(table_[:, 2], kind="stable")
-        return tuple(table_[order].T)
+        """``word, start, end, piece`` of every piece occurrence; positions count the mark.
+
+        All words are searched as one text: a mark can only begin a piece, so none crosses.
+        """
+        sizes = np.array([len(w) + 1 for w in words], np.int64)
+        first = np.cumsum(sizes) - sizes
+        marked = MARK + MARK.join(words) if words else ""
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(marked)), np.int64).reshape(-1, 2)
+        end, piece = found[:, 0] + 1, found[:, 1]
+        start = end - self.lengths[piece]
+        chars = np.frombuffer(marked.encode("utf-32-le"), np.uint32)
+        alone = np.flatnonzero(~np.isin(chars, self.single))
+        start, end = np.concatenate((start, alone)), np.concatenate((end, alone + 1))
+        piece = np.concatenate((piece, np.full(len(alone), self.rare)))
+        word = np.searchsorted(first, start, "right") - 1
+        start, end = start - first[word], end - first[word]
+        order = np.lexsort((word, end))
+        return word[order], start[order], end[order], piece[order]
 
     @staticmethod
     def steps(positions: np.ndarray) -> Iterator[slice]:
@@ -92,7 +110,8 @@ class Lattice:
 def forward(lattice: tuple[np.ndarray, ...], words: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Scaled sums over segmentations: per word and position, and the log per word.
 
-    ``weights`` (pieces x languages) are probabilities times ``SCALE ** length``.
+    ``weights`` (pieces x languages) are probabilities times ``SCALE ** length``. For
+    words of up to ``SHORT`` letters; beyond that sums may leave the range of floats.
     """
     word, start, end, piece = lattice
     sizes = np.array([len(w) + 1 for w in words], np.int64)
@@ -107,6 +126,19 @@ def forward(lattice: tuple[np.ndarray, ...], words: list[str], weights: np.ndarr
     return alpha, np.log(np.maximum(total, 1e-280)) - (sizes * np.log(SCALE))[:, None]
 
 
+def long_forward(lattice: tuple[np.ndarray, ...], size: int, logs: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums over all segmentations of one word, per position; ``logs`` of probabilities.
+
+    A run of any length is summed whole.
+    """
+    _, start, end, piece = lattice
+    out = np.full((size + 1, logs.shape[1]), -np.inf)
+    out[0] = 0.0
+    for step in Lattice.steps(end):
+        out[end[step][0]] = np.logaddexp.reduce(out[start[step]] + logs[piece[step]], axis=0)
+    return out
+
+
 def expected(lattice, words: list[str], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in ``words`` (``counts``: times per language)."""
     word, start, end, piece = lattice
@@ -127,6 +159,20 @@ def expected(lattice, words: list[str], counts: np.ndarray, weights: np.ndarray)
     return uses
 
 
+def long_expected(lattice, size: int, counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """``expected`` of one word of any length."""
+    _, start, end, piece = lattice
+    before, after = long_forward(lattice, size, logs), np.full((size + 1, logs.shape[1]), -np.inf)
+    after[size] = 0.0
+    back = np.argsort(-start, kind="stable")
+    for step in Lattice.steps(-start[back] + start.max(initial=0)):
+        at = back[step]
+        after[start[at][0]] = np.logaddexp.reduce(after[end[at]] + logs[piece[at]], axis=0)
+    uses = np.zeros_like(logs)
+    np.add.at(uses, piece, np.exp(before[start] + logs[piece] + after[end] - before[size]) * counts)
+    return uses
+
+
 @dataclass
 class Model:
     """Piece log-probabilities per language. Ties go to the first language in code point order."""
@@ -134,57 +180,78 @@ class Model:
     pieces: list[str]
     langs: list[str]
     probs: np.ndarray  # (pieces + 1) x languages; the last row is a letter without a piece
-    lattice: Lattice | None = None
-    known: dict[str, int] = field(default_factory=dict)
-    scores: list[np.ndarray] = field(default_factory=list)
-
-    def __getstate__(self):
-        return {"pieces": self.pieces, "langs": self.langs, "probs": self.probs}
-
-    def __setstate__(self, state):
-        self.__init__(**state)
 
     def weights(self) -> np.ndarray:
         lengths = np.array([len(p) for p in self.pieces] + [1])
         return self.probs * (SCALE**lengths)[:, None]
 
-    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Predicted language and its share of the posterior, for a batch of texts."""
-        if self.lattice is None:
-            self.lattice = Lattice(self.pieces)
-            self._weights = self.weights()
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-            self.scores.clear()
+
+class Scorer(dict):
+    """A model at work in one task: the place of each known word's scores in ``scores``.
+
+    Bounded by bytes: when they are used up, all words are forgotten.
+    """
+
+    def __init__(self, model: Model, room: int = REMEMBER):
+        super().__init__()
+        self.langs, self.lattice, self.weights = model.langs, Lattice(model.pieces), model.weights()
+        with np.errstate(divide="ignore"):
+            self.logs = np.log(model.probs)
+        self.scores = np.zeros((1024, len(model.langs)))
+        self.room, self.used = room, 0
+
+    def _learn(self, words: list[str]) -> None:
+        short = sorted((w for w in words if len(w) <= SHORT), key=len)
+        parts = [short[i : i + 4000] for i in range(0, len(short), 4000)]
+        found = [forward(self.lattice(part), part, self.weights)[1] for part in parts]
+        for word in words:
+            if len(word) > SHORT:
+                parts.append([word])
+                found.append(long_forward(self.lattice([word]), len(word) + 1, self.logs)[-1:])
+        for part, logs in zip(parts, found):
+            size, after = len(self), len(self) + len(part)
+            if after > len(self.scores):
+                self.scores = np.concatenate((self.scores, np.zeros((max(len(self.scores), len(part)), len(self.langs)))))
+            self.scores[size:after] = logs
+            self.update(zip(part, range(size, after)))
+            self.used += sum(map(len, part)) + len(part) * (160 + 16 * len(self.langs))
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Predicted languages and their share of the posterior, for a batch of texts."""
+        if self.used > self.room:
+            self.clear()
+            self.scores, self.used = self.scores[:1024].copy(), 0
         split = [letters(text) if text else [] for text in texts]
-        fresh = sorted({w for words in split for w in words if w not in self.known}, key=len)
-        for i in range(0, len(fresh), 2000):
-            part = fresh[i : i + 2000]
-            _, logs = forward(self.lattice(part), part, self._weights)
-            self.known.update(zip(part, range(len(self.known), len(self.known) + len(part))))
-            self.scores.append(logs)
-        if len(self.scores) > 1:
-            self.scores[:] = [np.concatenate(self.scores)]
-        out = []
-        for words in split:
-            if not words or not self.langs:
-                out.append(("und", 0.0))
-                continue
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            logs = self.scores[0][at].sum(axis=0)
-            best = int(np.argmax(logs))
-            out.append((self.langs[best], float(1 / np.exp(logs - logs[best]).sum())))
-        return out
+        langs, shares = ["und"] * len(texts), np.zeros(len(texts))
+        counts = np.array([len(words) for words in split], np.int64)
+        full = np.flatnonzero(counts)
+        if not len(full) or not self.langs:
+            return langs, shares
+        self._learn(list(set(chain.from_iterable(split)).difference(self)))
+        at = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, counts.sum())
+        logs = np.add.reduceat(self.scores[at], np.cumsum(counts[full]) - counts[full], axis=0)
+        best = logs.argmax(axis=1)
+        shares[full] = 1 / np.exp(logs - logs[np.arange(len(full)), best][:, None]).sum(axis=1)
+        for i, lang in zip(full.tolist(), best.tolist()):
+            langs[i] = self.langs[lang]
+        return langs, shares
+
+
+#: Sampled rows up to which their keys are sent to all tasks.
+FEW = 20_000
 
 
 def _sampled(docs: DataFrame, sample: int) -> DataFrame:
-    """``lang, text`` of at most ``sample`` documents per language, by the hash of their id."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    keyed = known.select("doc_id", "lang", F.xxhash64("text").alias("text"))
-    chosen = keyed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
-    few = chosen.select("doc_id", "lang", F.col("text").alias("_text")).distinct()
-    return known.withColumn("_text", F.xxhash64("text")).join(few, ["doc_id", "lang", "_text"]).select("lang", "text")
+    """``lang, text`` of at most ``sample`` rows per language, by the hash of id and text.
+
+    Only keys travel; texts are read once more and picked by the chosen keys, which are
+    sent to all tasks while they are at most ``FEW``.
+    """
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("doc_id", "text").alias("_key"))
+    order = Window.partitionBy("lang").orderBy("_key")
+    chosen = known.select("lang", "_key").distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
+    few = settle(chosen.select("lang", "_key"), "sampled")
+    return known.join(F.broadcast(few) if few.count() <= FEW else few, ["lang", "_key"]).select("lang", "text")
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +270,8 @@ def train(docs: DataFrame, vocabulary: str, sample: int = 400, rounds: int = 2)
     """Piece probabilities of every ``lang`` that ``docs`` holds.
 
     ``sample`` bounds the documents per language that are learned from; a language
-    with fewer gives all. Rows without language or text are not used. Word counts
+    with fewer gives all. Rows without language or text are not used; rows without an id
+    are, and rows equal in id and text count once in the choice. Word counts
     and expected piece counts are summed on the executors; the driver gets pieces x
     languages numbers per round.
     """
@@ -226,10 +294,15 @@ def train(docs: DataFrame, vocabulary: str, sample: int = 400, rounds: int = 2)
         def uses(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             now = shared.value
             lattice, weights = Lattice(now.pieces), now.weights()
+            logs = np.log(np.maximum(now.probs, 1e-300))
             total = np.zeros_like(weights)
             for frame in frames:
                 wide = frame.pivot_table(index="word", columns="lang", values="n", aggfunc="sum", fill_value=0)
                 wide = wide.reindex(columns=now.langs, fill_value=0)
+                is_long = wide.index.str.len() > SHORT
+                for word, counts in zip(wide.index[is_long], wide[is_long].to_numpy(float)):
+                    total += long_expected(lattice([word]), len(word) + 1, counts, logs)
+                wide = wide[~is_long]
                 for i in range(0, len(wide), 2000):
                     part = wide.iloc[i : i + 2000]
                     some = list(part.index)
@@ -257,9 +330,10 @@ def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str
 
     @F.pandas_udf("lang string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        now = shared.value
+        scorer = Scorer(shared.value)  # a worker outlives its task, what it remembers does not
         for batch in texts:
-            yield pd.DataFrame(now.score(batch.tolist()), columns=["lang", "score"])
+            langs, scores = scorer(batch.tolist())
+            yield pd.DataFrame({"lang": langs, "score": scores})
 
     found = docs.withColumn("_found", predict(F.col("text").cast("string")))
     return found.withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")

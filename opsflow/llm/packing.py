@@ -12,7 +12,9 @@ corpus is. Only leftover pieces carry their ids along.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
@@ -26,7 +28,8 @@ from opsflow.llm.base import query, table
 from opsflow.session import settle
 
 MERGE = 32
-REMEMBER = 300_000
+#: Bytes of remembered words, about, after which a worker forgets them.
+REMEMBER = 96_000_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
@@ -44,49 +47,64 @@ PARTS = re.compile(
 )
 
 
+SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
+class Words(dict):
+    """Ids of words, and of the parts that the splitter makes of them, as little-endian
+    bytes, made when first asked for.
+
+    Bounded by bytes: when they are used up, all is forgotten.
+    """
+
+    def __init__(self, model, room: int = REMEMBER):
+        super().__init__()
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in printable]
+        self.shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
+        self.model, self.room, self.used = model, room, 0
+
+    def __missing__(self, word: str) -> bytes:
+        parts = [word] if word.isalpha() else PARTS.findall(word)
+        if len(parts) == 1:
+            ids = array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.shown))])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            found = ids.tobytes()
+        else:
+            found = b"".join(map(self.__getitem__, parts))
+        self.used += len(word) + len(found) + 160  # both objects and the entry
+        if self.used > self.room:
+            self.clear()
+            self.used = 0
+        self[word] = found
+        return found
+
+
 class WordBpe:
     """Ids of a ``tokenizers`` file, remembered word by word.
 
-    The vocabulary's rules see no further than white space, so a text's ids are
-    those of its words. Words of plain Latin text go to the merge model directly, as
-    the parts that its splitter makes; every other word, and every text that holds a
-    special token's string, takes the library's whole way.
+    The vocabulary's splitter cuts at white space and never looks beyond a part. Words of
+    plain Latin texts go to the merge model directly, as the parts that its splitter
+    makes; every other text, and every text that holds a special token's string, takes
+    the library's whole way. ``forget`` drops what is remembered; a worker outlives its tasks.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        other = [b for b in range(256) if b not in printable]
-        self.shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            shown = part.encode().decode("latin-1").translate(self.shown)
-            found = self.parts[part] = np.array([t.id for t in self.model.tokenize(shown)], np.uint32).tobytes()
-        return found
+        self.words = Words(self.whole.model)
 
-    def _all(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+    def forget(self) -> None:
+        self.words = Words(self.whole.model)
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if not PLAIN.fullmatch(text) or any(s in text for s in self.special) or re.search("[\x1c-\x1f]", text):
-            return self._all(text)
-        if len(self.words) > REMEMBER:
-            self.words.clear()
-        if len(self.parts) > REMEMBER:
-            self.parts.clear()
-        words, known = text.lower().split(), self.words
-        for word in set(words).difference(known):
-            known[word] = b"".join(map(self._part, PARTS.findall(word)))
-        return b"".join(map(known.__getitem__, words))
+        if not PLAIN.fullmatch(text) or any(s in text for s in self.special) or SEPARATORS.search(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
 @cache
@@ -160,6 +178,7 @@ def _pack(tokenizer: str, end_id: int, room: int, open_windows: int):
             if out:
                 yield _rows(out)
                 out.clear()
+        model.forget()
         rows = [row for held in windows.held.values() for row in held]
         for row in rows:
             row[5] += first
