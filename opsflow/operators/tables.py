@@ -41,15 +41,16 @@ class TableSpec:
         return [c for c in self.columns if c not in self.keys and c not in self.insert_only]
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Only the contracted columns, in contract order and type.
+def conform(df: DataFrame, spec: TableSpec, extra: Sequence[str] = ()) -> DataFrame:
+    """Only the contracted columns, in contract order and type, and ``extra`` ones as they are.
 
-    A missing column is an error; a null key fails the job when it runs.
+    A missing column is an error; a null key fails the job when it runs. Where bad rows
+    are to be set aside instead, see ``checked``.
     """
     missing = [c for c in spec.columns if c not in df.columns]
     if missing:
         raise ValueError(f"{spec.name}: missing columns {missing}")
-    cast = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
+    cast = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema], *extra)
     checked = {
         key: F.when(
             F.col(key).isNull(), F.raise_error(F.lit(f"{spec.name}: null in key {key}"))
@@ -59,6 +60,29 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return cast.withColumns(checked)
 
 
+def checked(df: DataFrame, spec: TableSpec, extra: Sequence[str] = ()) -> DataFrame:
+    """``conform`` without failing: contracted columns, ``extra``, ``_errors`` and ``_raw``.
+
+    ``_errors`` names what is wrong with a row (empty for a good one): a null key, a null
+    in a column that is NOT NULL, a value that is not of the column's type. ``_raw`` is
+    the row as it came, as JSON, for bad rows only.
+    """
+    missing = [c for c in spec.columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{spec.name}: missing columns {missing}")
+    found = []
+    for f in spec.schema:
+        value, cast = F.col(f.name), F.col(f.name).try_cast(f.dataType)
+        if f.name in spec.keys or not f.nullable:
+            kind = "key" if f.name in spec.keys else "column"
+            found.append(F.when(value.isNull(), F.lit(f"null in {kind} {f.name}")))
+        found.append(F.when(value.isNotNull() & cast.isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}")))
+    errors = F.filter(F.array(*found), lambda e: e.isNotNull())
+    raw = F.when(F.size("_errors") > 0, F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])))
+    marked = df.withColumn("_errors", errors).withColumn("_raw", raw)
+    return marked.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec.schema], *extra, "_errors", "_raw")
+
+
 def create_table(spark: SparkSession, spec: TableSpec, path: str) -> None:
     """Create the (external, parquet) table unless it exists."""
     spark.sql(

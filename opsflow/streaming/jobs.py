@@ -150,7 +150,7 @@ def fold_windows(
     runs again. Read the sums with ``window_state``: open windows are in it as well.
     """
     if kind == "session":
-        raise ValueError("sessions cannot be summed; use session_counts")
+        raise ValueError("sessions cannot be summed; use fold_sessions")
     return (
         stream.writeStream.foreachBatch(
             lambda batch, batch_id: _window_changes(batch, batch_id, keys, ts, kind, size, slide, path)
@@ -186,6 +186,11 @@ def session_counts(
             F.count(F.lit(1)).alias("_rows"),
         )
     )
+    return sessions_of_slots(slots, keys, gap_seconds)
+
+
+def sessions_of_slots(slots: DataFrame, keys: Sequence[str], gap_seconds: int) -> DataFrame:
+    """Sessions from ``_slot, _from, _to, _rows`` per key: slots less than a gap apart belong together."""
     gap = F.lit(gap_seconds * 1_000_000)
     along = Window.partitionBy(*keys).orderBy("_slot")
     starts = (F.col("_from") - F.lag("_to").over(along)) > gap
