@@ -6,22 +6,24 @@ fragment and summed per pair.
 
 1. *Classes.* Documents with equal sets form a class; all that follows is between
    classes, so copies cost nothing.
-2. *Order.* Shingles are dealt by hash range and counted over all classes. They
+2. *Hopeful classes.* Of every set only a first part of an order by hash is dealt, a
+   little over a quarter. Linked sets share a tenth of the smaller set's size there, so
+   a class with fewer repeated shingles in it can have no link. Only one document of
+   each other class goes on.
+3. *Order.* Shingles of these are dealt by hash range and counted over all classes. They
    travel as packed numbers (about 8 bytes each), not as rows. A shingle that occurs
    often within one task's buffer is known to be frequent; it is announced to its
    range once and its occurrences are spread, so no range grows with it.
-3. *Survivors.* A linked class shares 75 % of its shingles, so a class with fewer
-   repeated ones is out. Only the survivors' repeated shingles are kept, as segments.
-4. *Candidates.* Two linked sets share a shingle among the first of the global order
-   (prefix filter), are of similar size, and have enough repeated shingles to reach
-   the overlap they need. For a few rounds every class asks one partner only, of
-   another component. After these, all pairs are formed between members of a prefix
-   shingle's group that are still in different components and share enough of their
-   first shingles, so a large group of copies never gives its square. This shortcut is
-   for components only: it leaves out links inside a component. ``linked_classes``
-   compares every pair that the filters let through, and gives all links.
-5. *Count.* Candidate pairs meet their segments by (class, fragment); partial overlaps
-   are summed per pair.
+4. *Survivors.* A linked class shares 75 % of its shingles, so a class with fewer
+   repeated ones is out. Only the survivors' repeated shingles are kept, as segments,
+   one per fragment.
+5. *Candidates.* Two linked sets share a shingle among the first of the global order
+   (prefix filter). For components, every class of such a shingle is tied to the least
+   one, so a group of n gives n - 1 ties; linked classes lie in one component of ties.
+   ``all_class_links`` forms the pairs that size and place filters let through instead.
+6. *Count.* Partial overlaps are counted fragment by fragment and summed per pair:
+   within the tasks that hold the components of ties (``linking``), where pairs already
+   connected need no count, or, for all links, where pairs meet their segments.
 
 Sets are compared by 56-bit hashes of their shingles and classes by 64-bit sums.
 """
@@ -36,18 +38,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsflow.llm.base import query, table
 from opsflow.llm.components import components
-from opsflow.llm.exact_dedup import hash_filter, passes
+from opsflow.llm.exact_dedup import KEY, hash_filter, passes, split_by_keys, with_key
+from opsflow.llm.linking import BLOCK, links_within, overlaps_by_fragment
 from opsflow.llm.textbytes import U, mix64, pack_ascending, shingle_sets, sums_by_run, unpack_ascending
 from opsflow.session import settle
 
 HASH_BITS = 56
-BUFFER = 2_000_000
+BUFFER = 1_000_000
 #: Times in one buffer from which a shingle is spread over all ranges.
 OFTEN = 32
 FREQUENT = 63
 RANGE_SHINGLES = 1_500_000
-#: Rounds in which every class asks one partner of another component.
-ROUNDS = 3
+#: Work of a class's segment besides its shingles.
+SEGMENT_WEIGHT = 60
 
 
 def class_of(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -96,16 +99,30 @@ def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return unpack_ascending(row["hashes"]), classes[at], np.frombuffer(row["n"], np.uint32)[at]
 
 
-def _deal(width: int, bits: int, buffer: int, times_often: int):
-    """Every task's shingles, packed per range of the hash."""
+def hopeful_length(n: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles of a set of ``n`` that are dealt in the first place, see ``hopeful_repeats``."""
+    return n - -(-percent * n // 100) + np.maximum(1, n // 10)
 
-    def flush(counts: list, hashes: list) -> Iterator[dict]:
-        count, value = np.concatenate(counts), np.concatenate(hashes)
-        own = class_of(count, value)
+
+def hopeful_repeats(n: np.ndarray, percent: int) -> np.ndarray:
+    """Shared ones among them that a set of ``n`` with a link has at least.
+
+    Linked sets of sizes x <= y share o >= percent y / 100 shingles. The first x - o + k of
+    the one and y - o + k of the other, in any common order, share k. With k a tenth of x
+    both lie within the lengths above, and x is no less than percent y / 100.
+    """
+    return np.maximum(1, -(-percent * n // 100) // 10)
+
+
+def _deal(width: int, bits: int, buffer: int, times_often: int, percent: int | None = None):
+    """Every task's shingles, packed per range of the hash; with ``percent``, the hopeful length of each set."""
+
+    def flush(held: list) -> Iterator[dict]:
+        own, count, taken, value = (np.concatenate(x) for x in zip(*held))
         classes, first = np.unique(own, return_index=True)
-        keep = np.zeros(len(count), bool)
+        keep = np.zeros(len(own), bool)
         keep[first] = True  # one of each class
-        at = np.repeat(np.arange(len(count)), count)
+        at = np.repeat(np.arange(len(own)), taken)
         kept = keep[at]
         value, at = value[kept] >> U(64 - HASH_BITS), at[kept]
         order = np.argsort(value, kind="stable")
@@ -127,17 +144,21 @@ def _deal(width: int, bits: int, buffer: int, times_often: int):
             yield _packet(int(own[0] % U(1 << bits)), True, value[spread], at[spread], own, count, value[:0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, hashes, held = [], [], 0
+        held, size = [], 0
         for batch in batches:
             for _, count, value in shingle_sets(batch.column(0), width):
-                counts.append(count)
-                hashes.append(value)
-                held += len(value)
-                if held > buffer:
-                    yield pa.RecordBatch.from_pylist(list(flush(counts, hashes)), PACKET_SCHEMA)
-                    counts, hashes, held = [], [], 0
+                own, taken = class_of(count, value), count
+                if percent is not None:
+                    taken = np.minimum(count, hopeful_length(count, percent))
+                    place = np.arange(len(value)) - np.repeat(np.cumsum(count) - count, count)
+                    value = value[place < np.repeat(taken, count)]
+                held.append((own, count, taken, value))
+                size += len(value)
+                if size > buffer:
+                    yield pa.RecordBatch.from_pylist(list(flush(held)), PACKET_SCHEMA)
+                    held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_pylist(list(flush(counts, hashes)), PACKET_SCHEMA)
+            yield pa.RecordBatch.from_pylist(list(flush(held)), PACKET_SCHEMA)
 
     return run
 
@@ -148,31 +169,42 @@ REPEATED_SCHEMA = pa.schema(
 )
 
 
+def _repeated_here(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``hash, class, n, level`` of the shingles of one range that two classes or more have."""
+    rows = group.to_pylist()
+    plain = [_open(r) for r in rows if not r["often"]]
+    spread = [_open(r) for r in rows if r["often"]]
+    value, own, size = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (zip(*plain) if plain else ((), (), ())))
+    size = size.astype(np.uint32)
+    order = np.lexsort((own, value))
+    value, own, size = value[order], own[order], size[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (own[1:] != own[:-1])
+    value, own, size = value[new], own[new], size[new]
+    runs = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.zeros(0, int)
+    times = np.diff(np.append(runs, len(value)))
+    told = np.unique(np.concatenate([np.zeros(0, np.uint64), *(unpack_ascending(r["told"]) for r in rows)]))
+    frequent = np.isin(value[runs], told)
+    kept = np.repeat((times >= 2) | frequent, times)
+    level = np.floor(np.log2(np.maximum(times, 1))).astype(np.uint8)
+    level = np.repeat(np.where(frequent, np.uint8(FREQUENT), level), times)
+    parts = [(value[kept], own[kept], size[kept], level[kept])]
+    parts += [(v, o, n, np.full(len(v), FREQUENT, np.uint8)) for v, o, n in spread]
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _repeats(group: pa.Table) -> pa.Table:
+    """Per class, its repeated shingles in one hash range."""
+    _, own, size, _ = _repeated_here(group)
+    classes, first, times = np.unique(own, return_index=True, return_counts=True)
+    return pa.table({"class": pa.array(classes.view(np.int64)), "n": pa.array(size[first].astype(np.int64)), "times": pa.array(times)})
+
+
 def _repeated(bits: int):
     """The shingles of one hash range that two classes or more have, packed per class bucket."""
 
     def run(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        plain = [_open(r) for r in rows if not r["often"]]
-        spread = [_open(r) for r in rows if r["often"]]
-        value, own, size = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (zip(*plain) if plain else ((), (), ())))
-        size = size.astype(np.uint32)
-        order = np.lexsort((own, value))
-        value, own, size = value[order], own[order], size[order]
-        new = np.ones(len(value), bool)
-        new[1:] = (value[1:] != value[:-1]) | (own[1:] != own[:-1])
-        value, own, size = value[new], own[new], size[new]
-        runs = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.zeros(0, int)
-        times = np.diff(np.append(runs, len(value)))
-        told = np.unique(np.concatenate([np.zeros(0, np.uint64), *(unpack_ascending(r["told"]) for r in rows)]))
-        frequent = np.isin(value[runs], told)
-        kept = np.repeat((times >= 2) | frequent, times)
-        level = np.floor(np.log2(np.maximum(times, 1))).astype(np.uint8)
-        level = np.repeat(np.where(frequent, np.uint8(FREQUENT), level), times)
-        value, own, size, level = value[kept], own[kept], size[kept], level[kept]
-        for v, o, n in spread:
-            value, own, size = np.concatenate((value, v)), np.concatenate((own, o)), np.concatenate((size, n))
-            level = np.concatenate((level, np.full(len(v), FREQUENT, np.uint8)))
+        value, own, size, level = _repeated_here(group)
         order = np.argsort(own, kind="stable")
         value, own, size, level = value[order], own[order], size[order], level[order]
         bucket = (own >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(own), np.int64)
@@ -301,23 +333,41 @@ def _ordered(
     return segments, firsts, prefix
 
 
-def class_links(
-    docs: DataFrame, total: int, width: int, percent: int, buffer: int = BUFFER, times_often: int = OFTEN
+def hopeful(
+    narrow: DataFrame, sets: DataFrame, total: int, width: int, percent: int, buffer: int = BUFFER, times_often: int = OFTEN
+) -> tuple[DataFrame, int]:
+    """One row of ``narrow`` of each class that can have a link, and their sizes summed.
+
+    A filter of bounded size picks the rows, so a few others may be among them.
+    """
+    bits = max(0, (max(1, total * 2 // 5 // RANGE_SHINGLES) - 1).bit_length())
+    dealt = narrow.select("text").mapInArrow(_deal(width, bits, buffer, times_often, percent), PACKET)
+    repeats = dealt.groupBy("part").applyInArrow(_repeats, "class long, n long, times long")
+    least = F.greatest(F.lit(1), F.expr(f"(n * {percent} + 99) div 100 div 10"))
+    some = repeats.groupBy("class").agg(F.max("n").alias("n"), F.sum("times").alias("times")).where(F.col("times") >= least)
+    some = settle(some.select("class", "n"), "hopeful")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash"))
+    found = sets.join(some.select("class"), "class").groupBy("class").agg(first.alias("first"))
+    keys = settle(found.select(F.col("first.id").alias("_id"), F.col("first.none").alias("_null"), F.col("first.text_hash").alias("_text")), "hopeful-rows")
+    rows = split_by_keys(with_key(narrow), keys)[0].select("doc_id", "text")
+    return rows, some.agg(F.sum("n")).first()[0] or 0
+
+
+def connected_classes(
+    docs: DataFrame, total: int, width: int, percent: int, buffer: int = BUFFER, times_often: int = OFTEN, block: int = BLOCK
 ) -> DataFrame:
-    """Links ``x, y`` between classes that connect every component of linked classes; not all links."""
-    segments, firsts, prefix = _ordered(docs, total, width, percent, buffer, times_often)
-    links = tried = docs.sparkSession.createDataFrame([], "x long, y long")
-    for turn in range(ROUNDS):
-        open_ = _open_groups(prefix, links)
-        if open_.isEmpty():
-            return links
-        pairs = settle(_one_partner(open_, tried, turn, percent), "pairs")
-        found = settle(_overlaps(pairs, segments, percent).drop("both"), "links")
-        tried, links = tried.unionByName(pairs), links.unionByName(found)
-        prefix = open_.drop("c")  # a group within one component stays so
-    open_ = _still_possible(_open_groups(prefix, links), segments, percent)
-    rest = _all_partners(open_, firsts, percent).join(tried, ["x", "y"], "left_anti")
-    return links.unionByName(settle(_overlaps(settle(rest, "pairs"), segments, percent).drop("both"), "links"))
+    """``class, root`` of the classes with a candidate for a link: links connect those of one root."""
+    segments, _, prefix = _ordered(docs, total, width, percent, buffer, times_often)
+    ends = prefix.groupBy("shingle").agg(F.min("y").alias("low"), F.max("y").alias("high")).where("low <> high")
+    ties = prefix.join(ends.select("shingle", "low"), "shingle").where("y <> low").select("y", "low").distinct()
+    known = components(ties).withColumnRenamed("node", "class")
+    weight = F.size("hashes") + SEGMENT_WEIGHT
+    # of a text and its edited copies the text has the largest share of repeated shingles
+    score = F.expr("1000000 * repeated div n")
+    own = segments.join(known, "class").select("component", "class", "n", "fragment", "hashes", score.alias("score"), weight.alias("weight"))
+    own = settle(own, "tied-segments")
+    totals = own.groupBy("component").agg(F.sum("weight").alias("total"))
+    return links_within(settle(own.join(totals, "component"), "tied"), percent, block, overlaps_by_fragment)
 
 
 def all_class_links(
@@ -329,62 +379,12 @@ def all_class_links(
     large group of similar texts are its square, as they are what is asked for.
     """
     segments, firsts, prefix = _ordered(docs, total, width, percent, buffer, times_often)
-    pairs = _all_partners(prefix, firsts, percent, apart=False)
+    pairs = _all_partners(prefix, firsts, percent)
     return settle(_overlaps(settle(pairs, "pairs"), segments, percent), "all-links")
 
 
-def _open_groups(prefix: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of ``prefix`` with their component ``c``, in groups of more than one component."""
-    if links.isEmpty():
-        joined = prefix.withColumn("c", F.col("y"))
-    else:
-        known = components(links.select("x", "y")).withColumnRenamed("node", "y")
-        joined = prefix.join(known, "y", "left").withColumn("c", F.coalesce("component", "y")).drop("component")
-    mixed = joined.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    return settle(joined.join(mixed.select("shingle"), "shingle"), "open-groups")
-
-
-def _still_possible(open_: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Rows of ``open_`` whose class shares enough shingles with other components.
-
-    Counted over whole sets, among the classes that are in open groups at all; ``ry``
-    becomes that count.
-    """
-    nodes = open_.select(F.col("y").alias("class"), "c").distinct()
-    known = settle(_only(segments, nodes.select("class")).join(nodes, "class"), "open-segments")
-    each = known.select("class", "n", "c", F.explode("hashes").alias("shingle"))
-    mixed = each.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    shared = each.join(mixed.select("shingle"), "shingle").groupBy("class", "n").agg(F.count(F.lit(1)).alias("ry"))
-    enough = shared.where(100 * F.col("ry") >= percent * F.col("n")).select(F.col("class").alias("y"), "ry")
-    return settle(open_.drop("ry").join(enough, "y"), "still-possible")
-
-
-def _one_partner(open_: DataFrame, tried: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For every class one other of another component to be compared with, not in ``tried``.
-
-    First a group's leader is the member with the largest share of repeated shingles,
-    which of a text and its edited copies is the text; in later turns it is drawn by
-    hash. Members of the leader's component ask the best of another one. Of all its
-    groups' leaders a class takes the most frequent.
-    """
-    share = F.col("ry") / F.col("ny") if turn == 0 else F.xxhash64("y", F.lit(turn))
-    rank = F.struct(
-        share.alias("share"), (-F.col("y")).alias("_y"),
-        "c", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"),
-    )
-    first = open_.groupBy("shingle").agg(F.max(rank).alias("low"))
-    led = open_.join(first, "shingle")
-    second = led.where(F.col("c") != F.col("low.c")).groupBy("shingle").agg(F.max(rank).alias("high"))
-    other = F.when(F.col("c") == F.col("low.c"), F.col("high")).otherwise(F.col("low"))
-    asked = led.join(second, "shingle").select("y", "ny", "ry", other.alias("o")).select("y", "ny", "ry", "o.x", "o.nx", "o.rx")
-    counted = asked.where(_possible(percent)).groupBy("y", "x").agg(F.count(F.lit(1)).alias("times"))
-    both = tried.unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    best = counted.join(both, ["x", "y"], "left_anti").groupBy("y").agg(F.max(F.struct("times", -F.col("x"), "x")).alias("best"))
-    return best.select(F.least("y", "best.x").alias("x"), F.greatest("y", "best.x").alias("y")).distinct()
-
-
-def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int, apart: bool = True) -> DataFrame:
-    """Every pair that shares enough of its first shingles; ``apart``: of different components ``c``.
+def _all_partners(prefix: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """Every pair that shares enough of its first shingles.
 
     For the overlap that two sizes need, a pair must share a shingle among the first
     ``size - need + 1`` of either. The smaller set's place can be bounded by its own
@@ -393,16 +393,12 @@ def _all_partners(open_: DataFrame, firsts: DataFrame, percent: int, apart: bool
     shingles end earlier still has.
     """
     need = F.ceil(percent * (F.col("nx") + F.col("ny")) / (100 + percent))
-    smaller = open_.where(F.col("py") <= F.col("ny") - F.ceil(2 * percent * F.col("ny") / (100 + percent)) + 1)
-    larger = open_.select(
-        "shingle", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"), F.col("py").alias("px"),
-        *([F.col("c").alias("cx")] if apart else []),
-    )
-    other = F.col("c") != F.col("cx") if apart else F.lit(True)
+    smaller = prefix.where(F.col("py") <= F.col("ny") - F.ceil(2 * percent * F.col("ny") / (100 + percent)) + 1)
+    larger = prefix.select("shingle", F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("ry").alias("rx"), F.col("py").alias("px"))
     pairs = (
         smaller.join(larger, "shingle")
         .where((F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x"))))
-        .where(_possible(percent) & other)
+        .where(_possible(percent))
         .where((F.col("py") <= F.col("ny") - need + 1) & (F.col("px") <= F.col("nx") - need + 1))
         .select("x", "y", "nx", "ny")
         .distinct()
@@ -427,7 +423,7 @@ def _classed(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, int]:
 
 
 def similar_documents(
-    docs: DataFrame, width: int = 5, percent: int = 75, buffer: int = BUFFER, times_often: int = OFTEN
+    docs: DataFrame, width: int = 5, percent: int = 75, buffer: int = BUFFER, times_often: int = OFTEN, block: int = BLOCK
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id, group_id, text_hash`` per row of ``docs``.
 
@@ -443,11 +439,11 @@ def similar_documents(
     """
     narrow, sets, total = _classed(docs, width)
     some = sets.where("n_shingles > 0")
-    links = class_links(narrow, total, width, percent, buffer, times_often)
-    known = components(links.select("x", "y"))
+    few, some_total = hopeful(narrow, some, total, width, percent, buffer, times_often)
+    known = connected_classes(few, some_total, width, percent, buffer, times_often, block)
     classes = (
         some.groupBy("class").agg(F.min("doc_id").alias("least"))
-        .join(known.withColumnRenamed("node", "class"), "class", "left")
+        .join(known.withColumnRenamed("root", "component"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
     classes = settle(classes, "classes")
@@ -475,8 +471,9 @@ def linked_documents(
     rows and equal sets are links too. Rows without words have no class and no links.
     """
     narrow, sets, total = _classed(docs, width)
-    links = all_class_links(narrow, total, width, percent, buffer, times_often)
     some = sets.where("n_shingles > 0")
+    few, some_total = hopeful(narrow, some, total, width, percent, buffer, times_often)
+    links = all_class_links(few, some_total, width, percent, buffer, times_often)
     sizes = settle(some.groupBy("class").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n")), "class-sizes")
     of = lambda name: sizes.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"))
     pairs = links.join(of("x"), "x").join(of("y"), "y").select(

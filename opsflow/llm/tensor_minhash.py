@@ -35,15 +35,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opsflow.llm.base import query, table
 from opsflow.llm.components import components
 from opsflow.llm.exact_dedup import KEY, split_by_keys, with_key
+from opsflow.llm.linking import BLOCK, SET_WEIGHT, links_within
 from opsflow.llm.ngram_join import class_of
 from opsflow.llm.textbytes import U, factors, mix64, shingle_sets
 from opsflow.session import settle
 
 SIDE = 13
 ROWS = 3
-#: Shingles, and so many more for each class, that one task compares at once.
-BLOCK = 1_500_000
-CLASS_WEIGHT = 250
 
 SIGNED = "doc_id long, n_shingles long, class long, text_hash long, a array<long>, b array<int>"
 
@@ -106,94 +104,6 @@ def _whole_sets(width: int):
     return run
 
 
-def parity_sketches(sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """A bit row per set, each hash turning one bit over.
-
-    Two rows differ in no more bits than the sets have hashes of their own. The width
-    follows the largest set and is bounded for all sets together.
-    """
-    largest = 1 << (4 * int(sizes.max(initial=1)) - 1).bit_length()
-    room = 1 << max(6, ((1 << 24) // max(1, len(sizes))).bit_length() - 1)
-    bits = max(64, min(largest, room, 1 << 14))
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    odd = np.bincount(owner * bits + (mix64(hashes) % U(bits)).astype(np.int64), minlength=len(sizes) * bits) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(sizes), bits // 64)
-
-
-def linked_groups(
-    sets: list[np.ndarray], labels: np.ndarray, percent: int, asking: np.ndarray | None = None
-) -> np.ndarray:
-    """``labels`` after joining the groups of all sets that link.
-
-    ``asking``: places of the sets compared with all others, in this order (all of them,
-    if not given). Sets that share a label already are not compared.
-    """
-    labels = labels.copy()
-    sizes = np.array([len(s) for s in sets], np.int64)
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    sketch = parity_sketches(sizes, flat)
-    starts = np.cumsum(sizes) - sizes
-    for i in range(len(sets)) if asking is None else asking:
-        other = np.flatnonzero(labels != labels[i])
-        if not len(other):
-            continue
-        n, both = sizes[i], sizes[other] + sizes[i]
-        possible = 100 * np.minimum(sizes[other], n) >= percent * np.maximum(sizes[other], n)
-        other, both = other[possible], both[possible]
-        apart = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-        other = other[apart * (100 + percent) <= both * (100 - percent)]
-        if not len(other):
-            continue
-        lengths = sizes[other]
-        firsts = np.cumsum(lengths) - lengths
-        places = np.arange(int(lengths.sum())) - np.repeat(firsts - starts[other], lengths)
-        values = flat[places]
-        at = np.minimum(np.searchsorted(sets[i], values), n - 1)
-        shared = np.add.reduceat((sets[i][at] == values).astype(np.int64), firsts)
-        linked = other[100 * shared >= percent * (lengths + n - shared)]
-        if len(linked):
-            labels[np.isin(labels, labels[linked])] = labels[i]
-    return labels
-
-
-def _members(group: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], pa.Table]:
-    """``component, class, sets`` of a task's rows, by component, then score; one row per class."""
-    rows = group.sort_by([("component", "ascending"), ("score", "descending"), ("class", "ascending")])
-    _, first = np.unique(rows.column("class").to_numpy(), return_index=True)
-    rows = rows.take(pa.array(np.sort(first)))
-    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("hashes")]
-    return rows.column("component").to_numpy(), rows.column("class").to_numpy(), sets, rows
-
-
-def _linked_classes(percent: int):
-    """``class, root`` of all classes of a task's components: the links, as one star per linked group."""
-
-    def run(group: pa.Table) -> pa.Table:
-        component, own, sets, _ = _members(group)
-        root = own.copy()
-        edges = np.append(np.flatnonzero(np.diff(component, prepend=component[0] - 1)), len(own))
-        for low, high in zip(edges, edges[1:]):
-            labels = linked_groups(sets[low:high], np.arange(high - low), percent)
-            root[low:high] = own[low:high][labels]
-        return pa.table({"class": pa.array(own), "root": pa.array(root)})
-
-    return run
-
-
-def _linked_across(percent: int):
-    """``class, root`` of one piece of the unsettled (``asks``) against one block."""
-
-    def run(group: pa.Table) -> pa.Table:
-        _, own, sets, rows = _members(group)
-        known, labels = np.unique(rows.column("linked").to_numpy(), return_inverse=True)
-        asks = np.flatnonzero(rows.column("asks").to_numpy(zero_copy_only=False))
-        after = linked_groups(sets, labels, percent, asks)
-        moved = after != labels
-        return pa.table({"class": pa.array(known[labels[moved]]), "root": pa.array(known[after[moved]])})
-
-    return run
-
-
 def _candidates(one: DataFrame) -> DataFrame:
     """``class, component, score``: classes tied to another by a table; ``score``: shared A keys."""
     keys = one.select("class", F.explode("a").alias("key"))
@@ -237,7 +147,7 @@ def similar_documents(
     )
     one = settle(one, "classes")
     near = _candidates(one).join(one.select("class", "n", "first"), "class")
-    near = settle(near.withColumn("weight", F.col("n") + CLASS_WEIGHT), "candidates")
+    near = settle(near.withColumn("weight", F.col("n") + SET_WEIGHT), "candidates")
     weights = near.groupBy("component").agg(F.sum("weight").alias("total"))
     near = near.join(weights, "component")
 
@@ -247,14 +157,7 @@ def similar_documents(
     whole = chosen.mapInArrow(_whole_sets(width), "_id long, _null boolean, _text long, hashes binary")
     whole = settle(whole.join(wanted, KEY).drop(*KEY), "whole-sets")
 
-    bundles = max(1, (wanted.where(F.col("total") <= block).agg(F.sum("weight")).first()[0] or 0) // block)
-    small = whole.where(F.col("total") <= block).withColumn("bundle", F.pmod(F.xxhash64("component"), F.lit(bundles)))
-    found = small.groupBy("bundle").applyInArrow(_linked_classes(percent), "class long, root long")
-    large = whole.where(F.col("total") > block)
-    if not large.isEmpty():
-        found = found.unionByName(_large(large, percent, block))
-    found = settle(found, "linked")
-
+    found = links_within(whole, percent, block)
     named = found.withColumnRenamed("root", "group").join(one.select("class", F.col("first.doc_id").alias("least")), "class")
     least = named.groupBy("group").agg(F.min("least").alias("reached"))
     reached = named.join(least, "group").select("class", "reached")
@@ -268,39 +171,6 @@ def similar_documents(
     return linked.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _large(large: DataFrame, percent: int, block: int) -> DataFrame:
-    """``class, root`` of components above ``block``: blocks with the leader, then the rest against all."""
-    blocks = F.ceil(F.col("total") / block).cast("int")
-    dealt = large.withColumn("block", F.pmod(F.xxhash64("class"), blocks))
-    leaders = large.groupBy("component").agg(F.max(F.struct("score", "class")).alias("best")).select("component", "best.class")
-    leader = large.join(leaders, ["component", "class"]).withColumn("score", F.lit(1 << 62))
-    asked = dealt.unionByName(leader.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))))
-    links = settle(asked.groupBy("component", "block").applyInArrow(_linked_classes(percent), "class long, root long"), "block-links")
-
-    known = components(links).withColumnRenamed("component", "linked")
-    now = dealt.join(known.withColumnRenamed("node", "class"), "class", "left").withColumn("linked", F.coalesce("linked", "class"))
-    now = settle(now, "blocks")
-    sizes = now.groupBy("component", "linked").agg(F.sum("weight").alias("size"))
-    main = sizes.groupBy("component").agg(F.max(F.struct("size", "linked")).alias("main"), F.sum("size").alias("all"))
-    rest = now.join(main, "component").where(F.col("linked") != F.col("main.linked"))
-    pieces = F.ceil((F.col("all") - F.col("main.size")) / block).cast("int")
-    rest = rest.withColumn("piece", F.pmod(F.xxhash64("class", F.lit(1)), pieces)).drop("block")
-    left = rest.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("asks"))
-    parts = rest.groupBy("component").agg((F.max("piece") + 1).alias("pieces"))
-    right = now.join(parts, "component").select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(False).alias("asks")
-    )
-    columns = ["component", "class", "score", "hashes", "linked", "asks", "piece", "block"]
-    met = left.select(*columns).unionByName(right.select(*columns))
-    # a class that asks comes first of its two rows
-    met = met.withColumn("score", F.when(F.col("asks"), F.lit(1 << 62)).otherwise(F.col("score")))
-    across = met.groupBy("component", "piece", "block").applyInArrow(_linked_across(percent), "class long, root long")
-    final = components(settle(links.unionByName(across), "large-links")).withColumnRenamed("component", "root")
-    return large.select("class").distinct().join(final.withColumnRenamed("node", "class"), "class", "left").select(
-        "class", F.coalesce("root", "class").alias("root")
-    )
-
-
 SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -6,7 +6,8 @@ import re
 import numpy as np
 import pytest
 
-from opsflow.llm.tensor_minhash import band_keys, linked_groups, minhashes, parity_sketches, similar_documents
+from opsflow.llm.linking import linked_groups, parity_sketches
+from opsflow.llm.tensor_minhash import band_keys, minhashes, similar_documents
 from tests.llm.helpers import DOCS, awkward, frame, prose, repeated
 
 
@@ -90,5 +91,5 @@ def test_parity_never_tells_sets_further_apart_than_they_are():
 
 def test_groups_join_through_members_in_between():
     chain = [np.arange(i * 4, i * 4 + 100).astype(np.uint64) for i in range(10)]
-    assert len(set(linked_groups(chain, np.arange(10), 85))) == 1
-    assert len(set(linked_groups(chain[::3], np.arange(4), 85))) == 4
+    assert len(set(linked_groups(chain, np.full(10, 100), np.arange(10), 85))) == 1
+    assert len(set(linked_groups(chain[::3], np.full(4, 100), np.arange(4), 85))) == 4
