@@ -44,17 +44,27 @@ SHORT = 48
 REMEMBER = 64_000_000
 
 
+RUNS = re.compile(r"[^\W\d_]+")
+
+
+@cache
+def numbers() -> dict[int, str]:
+    """Characters that ``RUNS`` takes but that are no letters, such as ``½`` or ``Ⅷ``, with a blank for each."""
+    kinds = ((c, unicodedata.category(chr(c))) for c in range(sys.maxunicode + 1) if chr(c).isalnum())
+    return {c: " " for c, kind in kinds if kind[0] != "L" and kind != "Nd"}
+
+
 @cache
-def letter_runs() -> re.Pattern:
-    """Runs of letters by Unicode category. ``\\w`` has more: digits, and numbers such as ``½`` or ``Ⅷ``."""
-    kinds = ((c, unicodedata.category(c)) for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum())
-    more = [c for c, kind in kinds if kind[0] != "L" and kind != "Nd"]
-    return re.compile(f"[^\\W\\d_{''.join(more)}]+")
+def _number_characters() -> frozenset[str]:
+    return frozenset(map(chr, numbers()))
 
 
 def letters(text: str) -> list[str]:
-    """The runs of letters of a text, in lower case."""
-    return letter_runs().findall(text.lower())
+    """The runs of letters (by Unicode category) of a text, in lower case."""
+    text = text.lower()
+    if not _number_characters().isdisjoint(text):
+        text = text.translate(numbers())
+    return RUNS.findall(text)
 
 
 def pieces_of(path: str) -> list[str]:
@@ -63,8 +73,7 @@ def pieces_of(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    run = letter_runs()
-    return sorted({p for p in names if p and p == p.lower() and (p == MARK or run.fullmatch(p.removeprefix(MARK)))})
+    return sorted({p for p in names if p and p == p.lower() and (p == MARK or letters(p.removeprefix(MARK)) == [p.removeprefix(MARK)])})
 
 
 class Lattice:
