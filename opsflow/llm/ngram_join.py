@@ -193,11 +193,41 @@ def _repeated_here(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _repeats(group: pa.Table) -> pa.Table:
-    """Per class, its repeated shingles in one hash range."""
-    _, own, size, _ = _repeated_here(group)
-    classes, first, times = np.unique(own, return_index=True, return_counts=True)
-    return pa.table({"class": pa.array(classes.view(np.int64)), "n": pa.array(size[first].astype(np.int64)), "times": pa.array(times)})
+REPEATS = "bucket long, class binary, n binary, times binary"
+REPEATS_SCHEMA = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in ("class", "n", "times")])
+
+
+def _repeats(bits: int):
+    """How many shingles of one hash range each class repeats, packed per class bucket."""
+
+    def run(group: pa.Table) -> pa.Table:
+        _, own, size, _ = _repeated_here(group)
+        classes, first, times = np.unique(own, return_index=True, return_counts=True)
+        size, times = size[first], times.astype(np.uint32)
+        bucket = (classes >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(classes), np.int64)
+        out = []
+        for b in np.unique(bucket):
+            low, high = np.searchsorted(bucket, [b, b + 1])
+            out.append({"bucket": int(b), "class": classes[low:high].tobytes(), "n": size[low:high].tobytes(), "times": times[low:high].tobytes()})
+        return pa.Table.from_pylist(out, REPEATS_SCHEMA)
+
+    return run
+
+
+def _hopeful_classes(percent: int):
+    """Of one bucket, the classes that repeat enough of their first shingles."""
+
+    def run(group: pa.Table) -> pa.Table:
+        own, size, times = (
+            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(name)])
+            for name, kind in (("class", np.uint64), ("n", np.uint32), ("times", np.uint32))
+        )
+        classes, first, where = np.unique(own, return_index=True, return_inverse=True)
+        size, times = size[first].astype(np.int64), np.bincount(where, times, len(classes))
+        some = times >= hopeful_repeats(size, percent)
+        return pa.table({"class": pa.array(classes[some].view(np.int64)), "n": pa.array(size[some])})
+
+    return run
 
 
 def _repeated(bits: int):
@@ -342,10 +372,8 @@ def hopeful(
     """
     bits = max(0, (max(1, total * 2 // 5 // RANGE_SHINGLES) - 1).bit_length())
     dealt = narrow.select("text").mapInArrow(_deal(width, bits, buffer, times_often, percent), PACKET)
-    repeats = dealt.groupBy("part").applyInArrow(_repeats, "class long, n long, times long")
-    least = F.greatest(F.lit(1), F.expr(f"(n * {percent} + 99) div 100 div 10"))
-    some = repeats.groupBy("class").agg(F.max("n").alias("n"), F.sum("times").alias("times")).where(F.col("times") >= least)
-    some = settle(some.select("class", "n"), "hopeful")
+    repeats = dealt.groupBy("part").applyInArrow(_repeats(bits), REPEATS)
+    some = settle(repeats.groupBy("bucket").applyInArrow(_hopeful_classes(percent), "class long, n long"), "hopeful")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash"))
     found = sets.join(some.select("class"), "class").groupBy("class").agg(first.alias("first"))
     keys = settle(found.select(F.col("first.id").alias("_id"), F.col("first.none").alias("_null"), F.col("first.text_hash").alias("_text")), "hopeful-rows")
