@@ -630,7 +630,7 @@ def tracking_reports(t: Tables) -> DataFrame:
     point = F.struct(
         F.concat(F.lit("2026-01-01T0"), (F.col("turn") % 10).cast("string"), F.lit(":00:00+00:00")).alias("checkpoint_time"),
         F.concat(F.lit("2026-01-01T0"), (F.col("turn") % 10).cast("string"), F.lit(":30:00")).alias("created_at"),
-        F.left("text", F.lit(10)).alias("message"), F.col("role").alias("tag"), F.lit("c").alias("city"),
+        F.col("text").alias("message"), F.col("role").alias("tag"), F.lit("c").alias("city"),
         F.lit("s").alias("state"), F.lit("ups").alias("slug"),
         *[F.lit("x").alias(c) for c in ("subtag", "subtag_message", "postal_code", "raw_tag", "source")],
     )
@@ -669,7 +669,7 @@ def tracking_export(t: Tables) -> DataFrame:
 @query(
     "tracking_export_detail",
     """
-    SELECT CAST(conv_id AS VARCHAR) AS id, role AS tag, left(text, 10) AS message,
+    SELECT CAST(conv_id AS VARCHAR) AS id, role AS tag, text AS message,
            strftime(TIMESTAMP '2026-01-01' + to_hours(CAST(turn % 10 AS INT)) - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S') AS checkpoint_time,
            strftime(TIMESTAMP '2026-01-01 00:30:00' + to_hours(CAST(turn % 10 AS INT)), '%Y-%m-%d %H:%M:%S') AS created_at
     FROM conversations WHERE conv_id % 5 > 0

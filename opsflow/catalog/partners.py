@@ -362,10 +362,10 @@ PACK = f"""
     base AS (SELECT {SHIP} AS shipment_nbr, l_linenumber AS ship_line_nbr, l_suppkey AS split_line_nbr, CAST(l_partkey AS VARCHAR) AS inventory_cd, l_orderkey
              FROM lineitem WHERE l_linestatus = 'O'),
     ev AS (SELECT {SHIP} AS shipment_nbr, CAST(l_partkey AS VARCHAR) AS inventory_cd, CAST(l_quantity AS INT) AS qty, 'E' || CAST(l_suppkey % 2 AS VARCHAR) AS tracking
-           FROM lineitem WHERE l_orderkey % 4 = 0),
+           FROM lineitem WHERE l_returnflag = 'N' AND l_quantity < 20),
     cl AS (SELECT shipment_nbr, inventory_cd, qty, tracking FROM (
              SELECT {SHIP} AS shipment_nbr, CAST(l_partkey AS VARCHAR) AS inventory_cd, CAST(l_quantity AS INT) AS qty, 'Z' || CAST(l_suppkey AS VARCHAR) AS tracking,
-               row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY 'Z' || CAST(l_suppkey AS VARCHAR), CAST(l_quantity AS INT), l_returnflag) AS rn FROM lineitem WHERE l_orderkey % 6 = 0) WHERE rn = 1),
+               row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY 'Z' || CAST(l_suppkey AS VARCHAR), CAST(l_quantity AS INT), l_returnflag) AS rn FROM lineitem WHERE l_discount >= 0.05) WHERE rn = 1),
     m AS (
       SELECT b.shipment_nbr, b.ship_line_nbr, b.split_line_nbr, b.inventory_cd, ev.qty AS qty_3pl, ev.tracking, 'events' AS source
       FROM base b JOIN ev ON b.shipment_nbr = ev.shipment_nbr AND b.inventory_cd = ev.inventory_cd
@@ -383,12 +383,12 @@ def packing(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.col("l_partkey").cast("string").alias("inventory_cd"), F.col("l_quantity").cast("int").alias("ship_qty"),
         F.col("l_quantity").cast("int").alias("order_qty"),
     )
-    events = t.lineitem.where(F.col("l_orderkey") % 4 == 0).select(
+    events = t.lineitem.where((F.col("l_returnflag") == "N") & (F.col("l_quantity") < 20)).select(
         F.concat(ship_nbr(), F.lit("-1")).alias("shipment_nbr"), F.col("l_partkey").cast("string").alias("inventory_cd"),
         F.col("l_quantity").cast("int").alias("qty"), F.concat(F.lit("E"), (F.col("l_suppkey") % 2).cast("string")).alias("tracking"),
         F.col("l_linenumber").alias("order_item_qty"), F.col("l_returnflag").alias("courier"),
     )
-    shipped = t.lineitem.where(F.col("l_orderkey") % 6 == 0).select(
+    shipped = t.lineitem.where(F.col("l_discount") >= 0.05).select(
         ship_nbr().alias("rma_number"), F.col("l_partkey").cast("string").alias("inventory_cd"), F.col("l_quantity").cast("int").alias("qty_shipped"),
         F.concat(F.lit("Z"), F.col("l_suppkey").cast("string")).alias("tracking"), F.col("l_returnflag").alias("carrier_code"),
     )

@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from opsflow.functions.dates import calendar, todate_windows
+from opsflow.session import settle
 
 
 def ready_to_confirm(
@@ -139,6 +141,46 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(rows))
 
 
+def column_values(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``column, place, value, n``: the distinct values of each column, numbered in ascending order.
+
+    Numbers go by size, all else by text; nulls are left out. A row becomes one row per
+    column that collapses on the map side; the distinct values are then cut into ranges
+    of equal size, numbered within their range, and moved on by what the ranges before
+    hold. So a column of any number of values is never in one task.
+    """
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
+    pairs = [
+        F.struct(
+            F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+            (F.col(c).cast("decimal(38,9)") if c in numeric else F.lit(None).cast("decimal(38,9)")).alias("_number"),
+        )
+        for c in cols
+    ]
+    counted = df.select(F.inline(F.array(*pairs))).where("value IS NOT NULL").groupBy("column", "_number", "value").agg(F.count(F.lit(1)).alias("n"))
+    spark = df.sparkSession
+    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["column", "_number", "value"]
+    sorted_ = counted.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = settle(sorted_.withColumn("_at", F.monotonically_increasing_id()), "column-values")
+    part = F.shiftright("_at", 33).alias("_part")
+    before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("column", part).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")).select(
+        "column", "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+    )
+    # at most one row per range and one more per column
+    joined = placed.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(starts), ["column", "_part"])
+    return joined.select("column", (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias("place"), "value", "n")
+
+
+def profile_of_values(values: DataFrame) -> DataFrame:
+    """``column, n_values, n_unique, lowest, highest`` from ``column_values``."""
+    return values.groupBy("column").agg(
+        F.sum("n").alias("n_values"), F.count(F.lit(1)).alias("n_unique"),
+        F.min_by("value", "place").alias("lowest"), F.max_by("value", "place").alias("highest"),
+    )
+
+
 def timeseries_report(
     df: DataFrame,
     dims: Sequence[str],

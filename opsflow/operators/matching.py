@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,6 +24,63 @@ def match_all(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame
     return left.join(right, list(on), "inner")
 
 
+@dataclass(frozen=True)
+class Matches:
+    """All pairs with equal keys, not written out.
+
+    ``groups`` has a row per key of both sides, with ``n_left``, ``n_right`` and ``n_pairs``;
+    ``left`` and ``right`` are the rows that have a partner. A key with many rows on
+    both sides takes the sum of its rows, not their product; ``pairs`` expands.
+    """
+
+    groups: DataFrame
+    left: DataFrame
+    right: DataFrame
+    on: tuple[str, ...]
+
+    def pairs(self, where: Column | None = None) -> DataFrame:
+        """The pairs, of all groups or of those that ``where`` picks (columns of ``groups``)."""
+        if where is None:
+            return self.left.join(self.right, list(self.on))
+        chosen = self.groups.where(where).select(*self.on)
+        return self.left.join(chosen, list(self.on), "left_semi").join(self.right, list(self.on))
+
+    def one_to_one(self) -> DataFrame:
+        """Pairs of the keys that both sides have once."""
+        return self.pairs((F.col("n_left") == 1) & (F.col("n_right") == 1))
+
+
+def match_groups(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Matches:
+    """``match_all`` factorised by key. Null keys match nothing.
+
+    Counts are combined on the map side; rows are only filtered by the keys of the other
+    side, so no join makes more rows than it gets.
+    """
+    keys = list(on)
+    count = lambda side, name: side.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    groups = count(left, "n_left").join(count(right, "n_right"), keys)
+    groups = groups.withColumn("n_pairs", F.col("n_left").cast("decimal(38,0)") * F.col("n_right"))
+    matched = groups.select(*keys)
+    return Matches(groups, left.join(matched, keys, "left_semi"), right.join(matched, keys, "left_semi"), tuple(keys))
+
+
+def precedence_groups(
+    base: DataFrame,
+    ranked: Sequence[tuple[str, DataFrame, Sequence[str]]],
+    extra: Sequence[tuple[str, DataFrame, Sequence[str]]],
+    tag: str = "source",
+) -> DataFrame:
+    """``match_precedence`` without its pairs: per base row and source, the number of matches ``n``."""
+    parts, open_rows = [], base
+    for number, (name, source, on) in enumerate([*ranked, *extra]):
+        counts = source.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+        rows = open_rows if number < len(ranked) else base
+        parts.append(rows.join(counts, list(on)).withColumn(tag, F.lit(name)))
+        if number + 1 < len(ranked):
+            open_rows = open_rows.join(counts, list(on), "left_anti")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def match_first(
     left: DataFrame,
     right: DataFrame,
