@@ -62,18 +62,30 @@ def _positions(hashes: np.ndarray, bits: int) -> np.ndarray:
     return hashes.view(np.uint64) % np.uint64(bits)
 
 
+#: Positions that a task gathers before it sends them on.
+GATHER = 4_000_000
+
+
 def _segments(bits: int):
     """Each task's filter positions, packed per segment of the filter."""
 
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        at = np.sort(np.concatenate(held))
+        segments, first = np.unique(at // SEGMENT_BITS, return_index=True)
+        within = (at % SEGMENT_BITS).astype(np.uint32)
+        parts = [p.tobytes() for p in np.split(within, first[1:])] if len(at) else []
+        return pa.RecordBatch.from_arrays([pa.array(segments.astype(np.int64)), pa.array(parts, pa.binary())], names=["segment", "bits"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            at = np.sort(_positions(batch.column(0).to_numpy(), bits))
-            segments, first = np.unique(at // SEGMENT_BITS, return_index=True)
-            within = (at % SEGMENT_BITS).astype(np.uint32)
-            parts = [p.tobytes() for p in np.split(within, first[1:])] if len(at) else []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(segments.astype(np.int64)), pa.array(parts, pa.binary())], names=["segment", "bits"]
-            )
+            held.append(_positions(batch.column(0).to_numpy(), bits))
+            size += len(held[-1])
+            if size > GATHER:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
 
     return run
 
@@ -154,10 +166,12 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_all"), F.sum(F.col("kept").cast("int")).alias("_stay")
     )
     fewer = settle(counted.where("_stay < _all").drop("_all"), "fewer")
-    touched, free = split_by_keys(with_key(docs), fewer)
+    # the row travels as one value, so its columns may have any names
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text")
+    touched, free = split_by_keys(with_key(nested).drop("doc_id", "text"), fewer)
     turn = F.row_number().over(Window.partitionBy(*KEY).orderBy("_text"))
     stay = touched.withColumn("_turn", turn).join(fewer, KEY, "left").where("_stay IS NULL OR _turn <= _stay")
-    return stay.select(*docs.columns).unionByName(free.select(*docs.columns))
+    return stay.select("_row.*").unionByName(free.select("_row.*"))
 
 
 def exact_duplicates(docs: DataFrame, bits_per_row: int = 32, max_bits: int = 1 << 28) -> DataFrame:

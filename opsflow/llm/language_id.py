@@ -344,8 +344,12 @@ def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str
             langs, scores = scorer(batch.tolist())
             yield pd.DataFrame({"lang": langs, "score": scores})
 
-    found = docs.withColumn("_found", predict(F.col("text").cast("string")))
-    return found.withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")
+    # the row travels as one value, so its columns may have any names
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    found = docs.select(whole, predict(F.col("text").cast("string")).alias("_found"))
+    made = {lang: F.col("_found.lang").alias(lang), score: F.col("_found.score").alias(score)}
+    names = [*docs.columns, *[c for c in made if c not in docs.columns]]
+    return found.select(*[made.get(c, F.col(f"_row.`{c}`").alias(c)) for c in names])
 
 
 def held_out(docs: DataFrame) -> DataFrame:

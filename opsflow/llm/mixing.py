@@ -137,7 +137,7 @@ def mix(
     left, drawn = quota.copy(), []
     for shard in range(shards):
         take = int(left.sum()) // (shards - shard)
-        counts = rng.multivariate_hypergeometric(left, take, method="marginals") if take else np.zeros_like(left)
+        counts = draw(rng, left, take)
         first = quota - left
         drawn += [
             (shard, totals[i][1], int(first[i]), int(counts[i]), int(blocks[i]), int(rng_key(seed, i)))
@@ -177,6 +177,27 @@ def mix(
     return Mix(documents, pieces, slots)
 
 
+#: Blocks that one hypergeometric draw can be made from.
+LARGEST = 900_000_000
+
+
+def draw(rng: np.random.Generator, left: np.ndarray, take: int, largest: int = LARGEST) -> np.ndarray:
+    """``take`` blocks of ``left``, drawn at random without putting back, counted per source.
+
+    Beyond ``largest`` blocks in all, whole units of so many blocks are drawn that the
+    units are few enough; what is missing of ``take`` comes from the sources that have most left.
+    """
+    unit = max(1, -(-int(left.sum()) // largest))
+    units = left // unit
+    counts = unit * rng.multivariate_hypergeometric(units, min(take // unit, int(units.sum())), method="marginals")
+    missing = take - int(counts.sum())
+    for i in np.argsort(counts - left, kind="stable"):
+        more = min(missing, int(left[i] - counts[i]))
+        counts[i] += more
+        missing -= more
+    return counts
+
+
 def rng_key(seed: int, source: int) -> np.int64:
     """A permutation key per source."""
     return np.random.default_rng([seed, source]).integers(1 << 62)
@@ -202,34 +223,33 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("epoch", "from_word", "to_word"))).alias("_runs"))
     )
     same = Window.partitionBy("_id", "_text")
-    keyed = made.documents.where("size > 0").join(runs, ["_source", "start"]).select(
-        group_key("doc_id").alias("_id"), "_text", "_source", "start", "size", "_runs"
+    keyed = made.documents.where("size > 0").join(runs, ["_source", "start"], "left").select(
+        group_key("doc_id").alias("_id"), "_text", "_source", "start", F.struct("size", "_runs").alias("_take")
     )
-    copies = keyed.withColumn("_copy", F.row_number().over(same.orderBy("_source", "start"))).groupBy("_id", "_text").agg(
-        F.map_from_entries(F.collect_list(F.struct("_copy", F.struct("size", "_runs")))).alias("_copies")
-    )
-    columns = docs.columns
+    # rows that agree in id and text are dealt to one another by their number
+    copies = keyed.withColumn("_copy", F.row_number().over(same.orderBy("_source", "start"))).where("_take._runs IS NOT NULL")
     text = F.col("text").cast("string")
-    known = docs.withColumns({"_id": group_key("doc_id"), "_text": F.xxhash64(text), "_source": group_key("source")})
-    tokens = F.regexp_extract_all("text", F.lit(f"({WORD}{SPACE_CLASS}*)"), F.lit(1))
+    # the row travels as one value, so its columns may have any names
+    known = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), group_key("doc_id").alias("_id"),
+        F.xxhash64(text).alias("_text"), group_key("source").alias("_source"),
+    ).withColumn("_copy", F.row_number().over(same.orderBy("_source")))
+    whole_text = F.col("_row.text")
+    tokens = F.regexp_extract_all(whole_text, F.lit(f"({WORD}{SPACE_CLASS}*)"), F.lit(1))
 
     def stretch(parts, run):
         part = F.slice(parts, run["from_word"].cast("int") + 1, (run["to_word"] - run["from_word"]).cast("int"))
         whole = (run["from_word"] == 0) & (run["to_word"] == F.col("_take.size"))
-        return F.when(whole, F.col("text")).otherwise(F.array_join(part, ""))
+        return F.when(whole, whole_text).otherwise(F.array_join(part, ""))
 
     # words are found once per document, however many stretches it gives
     stretches = F.transform(F.array(tokens), lambda parts: F.transform("_take._runs", lambda run: stretch(parts, run)))[0]
-    out = (
-        known.withColumn("_copy", F.row_number().over(same.orderBy("_source")))
-        .join(copies, ["_id", "_text"])
-        .withColumn("_take", F.element_at("_copies", F.col("_copy")))
-        .where(F.col("_take").isNotNull())
-        .withColumn("text", F.explode(stretches))
-    )
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    taken = known.join(copies.select("_id", "_text", "_copy", "_take"), ["_id", "_text", "_copy"])
+    out = taken.select("_row", F.explode(stretches).alias("_stretch"))
+    made_anew = {"text": F.col("_stretch").alias("text")}
+    if "n_chars" in docs.columns:
+        made_anew["n_chars"] = F.char_length("_stretch").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*[made_anew.get(c, F.col(f"_row.`{c}`").alias(c)) for c in docs.columns])
 
 
 def _along():

@@ -33,14 +33,22 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\s]*([^?#\s]*)", 1)
 
 
+#: Hosts that are addresses of version 4 or 6.
+ADDRESS = r"^([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\[.*)$"
+
+
 def candidates(host: Column, path: Column) -> Column:
-    """Keys under which a capture may be listed: host, its domains down to the last label, host with every path prefix."""
+    """Keys under which a capture may be listed: host, its domains down to the last label, host with every path prefix.
+
+    An address in place of a name (``10.0.0.1``, ``[::1]``) is in no domain.
+    """
     labels = F.split(host, r"\.")
     count = F.size(labels)
     domains = F.transform(
         F.sequence(F.lit(1), count),
         lambda i: F.array_join(F.slice(labels, i, count), "."),
     )
+    domains = F.when(host.rlike(ADDRESS), F.array(host)).otherwise(domains)
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     paths = F.transform(
         segments, lambda _, i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i + 1), "/"))
@@ -194,15 +202,16 @@ x AS (
          ('0x' || substr(m, 17, 4))::INT AS q FROM h),
 l AS (SELECT *, DATE '2024-01-01' AS d0 FROM x WHERE CASE WHEN list = 'domains' THEN pick = 0 ELSE pick < 2 END),
 i AS (
-  SELECT list, lower(key) AS key, d0 + a::INT AS f, CASE WHEN q % 2 = 0 THEN d0 + (a + b)::INT ELSE DATE '9999-12-31' END AS t FROM l
-  UNION ALL SELECT list, lower(key), d0 + (a + b + r)::INT, DATE '9999-12-31' FROM l WHERE q % 4 = 0),
+  SELECT list, key, d0 + a::INT AS f, CASE WHEN q % 2 = 0 THEN d0 + (a + b)::INT ELSE DATE '9999-12-31' END AS t FROM l
+  UNION ALL SELECT list, key, d0 + (a + b + r)::INT, DATE '9999-12-31' FROM l WHERE q % 4 = 0),
 p AS (
   SELECT page_id, url, fetched_on, host, copies, seg, string_split(host, '.') AS lab FROM u),
 a AS (
   SELECT DISTINCT page_id, url, fetched_on, array_to_string(lab[n:], '.') AS key
-  FROM p, range(1, 64) AS g(n) WHERE host <> '' AND n <= greatest(len(lab) - 1, 1)
+  FROM (SELECT *, unnest(range(1, len(lab) + 1)) AS n FROM p)
+  WHERE host <> '' AND (n = 1 OR NOT regexp_matches(host, '^([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\[.*)$'))
   UNION SELECT page_id, url, fetched_on, host || '/' || array_to_string(seg[:n], '/')
-  FROM p, range(1, 3) AS g(n) WHERE host <> '' AND n <= len(seg)),
+  FROM (SELECT *, unnest(range(1, len(seg) + 1)) AS n FROM p) WHERE host <> ''),
 m AS (SELECT a.*, i.list, i.f FROM a JOIN i ON a.key = i.key AND i.f <= a.fetched_on AND a.fetched_on < i.t),
 g AS (
   SELECT page_id, url, fetched_on, count(*) AS n, array_to_string(list_sort(list(DISTINCT list)), ',') AS lists,
