@@ -38,17 +38,19 @@ def ship_nbr(key: str = "l_orderkey"):
     first AS (SELECT shipment_nbr, max(tracking) AS t FROM s WHERE ship_line_nbr = 1 GROUP BY 1),
     k AS (SELECT s.* FROM s LEFT JOIN first USING (shipment_nbr) WHERE ship_line_nbr = 1 OR tracking <> t),
     w AS (SELECT s_suppkey AS warehouse, s_name AS line1, 'c' AS city, 'US' AS country FROM supplier WHERE s_suppkey < 4),
-    ol AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_nbr, l_linenumber AS line_nbr, o_totalprice AS order_total FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    ol AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_nbr, l_linenumber AS line_nbr, o_totalprice AS order_total FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    g AS (SELECT CASE r_name WHEN 'AMERICA' THEN 'fedex' WHEN 'ASIA' THEN 'ups' ELSE lower(r_name) END AS named FROM region)
     SELECT k.shipment_nbr, ship_line_nbr, k.order_nbr, order_line_nbr, inventory_cd, p_name AS product_title, tracking,
       CASE WHEN attention <> '' THEN attention ELSE account_name END AS customer,
       CASE WHEN customer_id % 3 = 0 THEN 'Con' WHEN attention <> '' THEN 'Al' ELSE '' END AS first_name,
       CASE WHEN customer_id % 3 = 0 THEN 'Tact' WHEN attention <> '' THEN 'B' ELSE account_name END AS last_name,
       CASE WHEN k.country = 'US' THEN '+1' || phone ELSE phone END AS phone_number, k.warehouse, w.line1 AS origin_line1, w.city AS origin_city,
       w.country AS origin_country, order_total,
-      CASE WHEN tracking LIKE '%,9%' THEN 'usps' WHEN carrier = 'SmartPost' THEN 'fedex-slug'
+      CASE WHEN tracking LIKE '%,9%' THEN 'usps' WHEN named IS NOT NULL THEN named || '-slug'
            WHEN k.warehouse IN (0, 1) AND carrier IS NULL AND ship_via = 'WG' THEN 'sekologistics' ELSE '' END AS slug, carrier
     FROM k JOIN w ON k.warehouse = w.warehouse JOIN part ON inventory_cd = p_partkey
     JOIN ol ON k.order_nbr = ol.order_nbr AND order_line_nbr = ol.line_nbr
+    LEFT JOIN g ON named = CASE carrier WHEN 'SmartPost' THEN 'fedex' ELSE carrier END
     WHERE ship_date >= TIMESTAMP '2001-08-01' - INTERVAL 500 DAY AND tracking <> 'Undefined' AND tracking_created IS NOT NULL AND k.warehouse <> 3
     """,
 )
@@ -83,7 +85,9 @@ def tracked_shipments_view(t: Tables) -> DataFrame:
         F.lit(" Con Tact").alias("contact_name"), F.col("c_name").alias("account_name"),
     )
     order_lines = lines.select(order_nbr.alias("order_nbr"), F.col("l_linenumber").alias("line_nbr"), F.col("_total").alias("order_total"))
-    slugs = t.region.where(F.col("r_regionkey") == 0).select(F.lit("fedex").alias("carrier"), F.lit("fedex-slug").alias("slug"))
+    region = F.col("r_name")
+    names = F.when(region == "AMERICA", "fedex").when(region == "ASIA", "ups").otherwise(F.lower(region))
+    slugs = t.region.select(names.alias("carrier"), F.concat(names, F.lit("-slug")).alias("slug"))
     items = t.part.select(F.col("p_partkey").alias("inventory_cd"), F.col("p_name").alias("descr"))
     return warehouse.tracked_shipments_view(
         shipments, warehouses, items, customers, order_lines, slugs, AS_OF, "500 DAYS", [0, 1], ["WG"], [3]

@@ -251,10 +251,11 @@ def expand_packed_events(df: DataFrame, json: str, topic: str = "shipment:packed
     either serves all items. Events without tracking numbers, of other topics
     or with broken JSON give no row.
     """
-    packages = nf.parse_or_empty(F.get_json_object(json, "$.message.packages"), PACKAGES)
-    parsed = df.where(F.get_json_object(json, "$.topic") == topic).select(
-        F.get_json_object(json, "$.message.order_unique_id").alias("shipment_nbr"),
-        packages.alias("_packages"),
+    # an event is parsed once for topic and message, the message of a wanted topic once more
+    named = df.select(F.json_tuple(json, "topic", "message").alias("_topic", "_message"))
+    message = F.from_json("_message", f"order_unique_id STRING, packages {PACKAGES}")
+    parsed = named.where(F.col("_topic") == topic).select(message.alias("_m")).select(
+        F.col("_m.order_unique_id").alias("shipment_nbr"), F.col("_m.packages").alias("_packages")
     )
     lists = parsed.select(
         "shipment_nbr",

@@ -107,18 +107,33 @@ def sales_orders(
     changed = erp["order_header"].where(
         ~F.col("order_type").isin(*excluded) & p.changed_since(F.col("modified_at"), as_of, lookback)
     )
-    lines = enrich(
-        erp["order_line"].withColumnsRenamed({"orig_order_type": "line_orig_type", "orig_order_nbr": "line_orig_nbr"}),
-        [Lookup(changed, ORDER, {c: c for c in changed.columns if c not in ORDER}, "inner")],
+    # parties and people are facts of an order: one row each, before its lines come in
+    headers = enrich(
+        changed,
+        [
+            account(erp, "customer_id"),
+            Lookup(erp["customer"], {"customer_id": "account_id"}, {"customer_class": "class_id"}, "inner"),
+            contact(erp, "ship_contact_id", "s_"),
+            address(erp, "ship_address_id", "s_"),
+            contact(erp, "bill_contact_id", "b_"),
+            address(erp, "bill_address_id", "b_"),
+            owner(erp),
+            Lookup(erp["contact"], {"owner_id": "contact_id"}, {"owner_email": "email"}),
+            *sales_people(erp),
+            Lookup(erp["users"], {"created_by_id": "user_id"}, {"_created": "user_name"}),
+            Lookup(erp["users"], {"modified_by_id": "user_id"}, {"_modified": "user_name"}),
+        ],
     )
+    headers = joins.lookup_code(headers, erp["status_lookup"], "SOOrder", "status", "order_status", "inner")
     shipped = Lookup(
         erp["shipment_line"],
         {"order_type": "orig_order_type", "order_nbr": "orig_order_nbr", "line_nbr": "orig_line_nbr", "inventory_id": "inventory_id"},
         {"shipment_nbr": "shipment_nbr", "_ship_type": "shipment_type", "_ship_site": "site_id"},
     )
     wide = enrich(
-        lines,
+        erp["order_line"].withColumnsRenamed({"orig_order_type": "line_orig_type", "orig_order_nbr": "line_orig_nbr"}),
         [
+            Lookup(headers, ORDER, {c: c for c in headers.columns if c not in ORDER}, "inner"),
             site(erp, out="line_warehouse", how="left"),
             item(erp),
             Lookup(erp["item_replenishment"], {"inventory_id": "inventory_id"}, {"replenishment_class": "class_id"}),
@@ -126,20 +141,8 @@ def sales_orders(
             Lookup(erp["shipment"], {"shipment_nbr": "shipment_nbr", "_ship_type": "shipment_type"},
                    {"ship_date": "ship_date", "_ship_status": "status"}),
             site(erp, "_ship_site", "ship_warehouse", "left"),
-            account(erp, "customer_id"),
-            Lookup(erp["customer"], {"customer_id": "account_id"}, {"customer_class": "class_id"}, "inner"),
-            contact(erp, "ship_contact_id", "s_"),
-            address(erp, "ship_address_id", "s_"),
-            contact(erp, "bill_contact_id", "b_"),
-            address(erp, "bill_address_id", "b_"),
-            owner(erp),
-            Lookup(erp["contact"], {"owner_id": "contact_id"}, {"owner_email": "email"}),
-            *sales_people(erp),
-            Lookup(erp["users"], {"created_by_id": "user_id"}, {"_created": "user_name"}),
-            Lookup(erp["users"], {"modified_by_id": "user_id"}, {"_modified": "user_name"}),
         ],
     )
-    wide = joins.lookup_code(wide, erp["status_lookup"], "SOOrder", "status", "order_status", "inner")
     wide = joins.lookup_code(wide, erp["status_lookup"], "SOShipment", "_ship_status", "ship_status")
 
     def either(name: str) -> Column:
@@ -266,7 +269,28 @@ def tracked_shipments(
 
     Order lines join by item, so an item on several lines of an order repeats.
     """
-    shipments = erp["shipment"].where(F.col("ship_date") >= F.lit(since))
+    # what is true of a shipment is looked up once per shipment, before its lines come in
+    shipments = enrich(
+        erp["shipment"].where(F.col("ship_date") >= F.lit(since)).select(
+            "shipment_nbr", "shipment_type", "status", "ship_date", "customer_id", "ship_contact_id", "ship_address_id", "package_count", "note_id"
+        ),
+        [
+            account(erp, "customer_id"),
+            Lookup(erp["customer"], {"customer_id": "account_id"}, {"customer_class": "class_id"}, "inner"),
+            contact(erp, "ship_contact_id", "s_", "inner"),
+            address(erp, "ship_address_id", "dest_", "inner"),
+        ],
+    )
+    shipments = joins.attach_attributes(
+        shipments, erp["shipment_attributes"], {"note_id": "record_id"},
+        {
+            "courier_code": ("AttributeCOURCODE", "value_string"),
+            "courier_name": ("AttributeCOURNAME", "value_string"),
+            "carrier_name": ("AttributeCARRIER", "value_string"),
+            "_sent": ("AttributeSHP2WH", "value_numeric"),
+        },
+    )
+    shipments = joins.lookup_code(shipments, erp["status_lookup"], "SOShipment", "status", "ship_status", "inner")
     packed = enrich(
         erp["package_split"].select("shipment_nbr", "shipment_line_nbr", "inventory_id", "package_line_nbr"),
         [Lookup(erp["package"].where(F.col("track_number").isNotNull()),
@@ -277,7 +301,7 @@ def tracked_shipments(
         erp["shipment_line"].withColumnRenamed("line_nbr", "ship_line_nbr").drop("modified_at"),
         [
             Lookup(shipments, {"shipment_nbr": "shipment_nbr", "shipment_type": "shipment_type"},
-                   {c: c for c in ("status", "ship_date", "customer_id", "ship_contact_id", "ship_address_id", "package_count", "note_id")}, "inner"),
+                   {c: c for c in shipments.columns if c not in ("shipment_nbr", "shipment_type")}, "inner"),
             Lookup(packed, {"shipment_nbr": "shipment_nbr", "ship_line_nbr": "shipment_line_nbr", "inventory_id": "inventory_id"},
                    {"track_number": "track_number", "tracking_created": "tracking_created"}, "inner"),
             Lookup(erp["order_line"], {"orig_order_type": "order_type", "orig_order_nbr": "order_nbr", "inventory_id": "inventory_id"},
@@ -287,26 +311,12 @@ def tracked_shipments(
                    {"freight_amt": "freight_amt", "order_total": "order_total", "order_date": "order_date"}, "inner"),
             item(erp),
             item_class(erp),
-            account(erp, "customer_id"),
-            Lookup(erp["customer"], {"customer_id": "account_id"}, {"customer_class": "class_id"}, "inner"),
-            contact(erp, "ship_contact_id", "s_", "inner"),
-            address(erp, "ship_address_id", "dest_", "inner"),
             Lookup(erp["site"], {"site_id": "site_id"}, {"site_cd": "site_cd", "_wa": "address_id"}, "inner"),
             address(erp, "_wa", "origin_", "inner"),
         ],
     )
     if excluded_sites:
         wide = wide.where(~F.rtrim("site_cd").isin(*excluded_sites))
-    wide = joins.attach_attributes(
-        wide, erp["shipment_attributes"], {"note_id": "record_id"},
-        {
-            "courier_code": ("AttributeCOURCODE", "value_string"),
-            "courier_name": ("AttributeCOURNAME", "value_string"),
-            "carrier_name": ("AttributeCARRIER", "value_string"),
-            "_sent": ("AttributeSHP2WH", "value_numeric"),
-        },
-    )
-    wide = joins.lookup_code(wide, erp["status_lookup"], "SOShipment", "status", "ship_status", "inner")
     # packages are parts of shipments: without a hot shipment no package is hot
     hot = None if group_pieces(erp["shipment_line"], ["shipment_nbr"]) is None else FIND
     valued = with_group_total(
