@@ -41,6 +41,10 @@ HEADLINES = [
     "delete_by_keys",
     "session_counts",
     "sync_stream",
+    # whole documents in long form, a table in buckets, and keys hot on both sides
+    "order_nodes",
+    "upsert_buckets",
+    "match_groups",
 ]
 
 

@@ -55,8 +55,7 @@ def old_new(t: Tables) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-@query(
-    "metric_diff_log",
+DIFF_LOG_SQL = (
     DIFF
     + """
     SELECT n.o_orderkey, strftime(o.ts, '%Y-%m-%d') AS last_ts, strftime(n.ts, '%Y-%m-%d') AS current_ts,
@@ -64,10 +63,22 @@ def old_new(t: Tables) -> tuple[DataFrame, DataFrame]:
       CAST(o.price AS DOUBLE) AS price_last, CAST(n.price AS DOUBLE) AS price_current,
       CASE WHEN o.o_custkey <> n.o_custkey OR o.price <> n.price THEN 1 ELSE 0 END AS diff
     FROM o JOIN n USING (o_orderkey)
-    """,
+    """
 )
+
+
+@query("metric_diff_log", DIFF_LOG_SQL)
 def metric_diff_log(t: Tables) -> DataFrame:
-    log, _ = changes.metric_diff(*old_new(t), ["o_orderkey"], ["o_custkey", "price"], "ts")
+    return shown_log(changes.metric_diff(*old_new(t), ["o_orderkey"], ["o_custkey", "price"], "ts")[0])
+
+
+@query("metric_diff_tagged", DIFF_LOG_SQL)
+def metric_diff_tagged(t: Tables) -> DataFrame:
+    """The same log by a tagged union and one aggregate per key."""
+    return shown_log(changes.metric_diff(*old_new(t), ["o_orderkey"], ["o_custkey", "price"], "ts", changes.tagged_diff)[0])
+
+
+def shown_log(log: DataFrame) -> DataFrame:
     return log.withColumns(
         {
             "last_ts": day_text("last_ts"),

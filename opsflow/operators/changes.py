@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,19 +23,51 @@ def full_diff_join(
     return o.join(n, condition, "full_outer").select("old", "new")
 
 
+def tagged_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``full_diff_join`` as a tagged union and one aggregate per key.
+
+    A full outer join cannot be split on a hot key; an aggregate is combined on the map
+    side, and keys that either state has twice, if any, are paired by inner joins,
+    which can. Rows with a null in their key match nothing and stay alone.
+    """
+    keys = list(keys)
+    o = old.select(*keys, F.struct("*").alias("old"))
+    n = new.select(*keys, F.struct("*").alias("new"))
+    none = {"old": F.lit(None).cast(o.schema["old"].dataType), "new": F.lit(None).cast(n.schema["new"].dataType)}
+    tagged = o.withColumn("new", none["new"]).unionByName(n.withColumn("old", none["old"]))
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    counted = tagged.where(whole).groupBy(*keys).agg(
+        F.count("old").alias("_o"), F.count("new").alias("_n"), F.first("old", True).alias("old"), F.first("new", True).alias("new")
+    )
+    several = (F.col("_o") > 1) | (F.col("_n") > 1)
+    single = counted.where(~several).select("old", "new")
+    # narrow counts, as only keys are wanted of these
+    one = F.lit(1)
+    marks = old.select(*keys, one.alias("_o"), F.lit(0).alias("_n")).unionByName(new.select(*keys, F.lit(0).alias("_o"), one.alias("_n")))
+    twice = marks.where(whole).groupBy(*keys).agg(F.sum("_o").alias("_o"), F.sum("_n").alias("_n")).where(several)
+    in_both, one_sided = twice.where("_o > 0 AND _n > 0").select(*keys), twice.where("_o = 0 OR _n = 0").select(*keys)
+    pairs = o.join(in_both, keys, "left_semi").join(n, keys).select("old", "new")
+    lonely = tagged.join(one_sided, keys, "left_semi").select("old", "new")
+    return single.unionByName(pairs).unionByName(lonely).unionByName(tagged.where(~whole).select("old", "new"))
+
+
 def metric_diff(
     old: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
     metrics: Sequence[str],
     stamp: str,
+    diff: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = full_diff_join,
 ) -> tuple[DataFrame, DataFrame]:
     """Log of compared rows, and the new rows to write.
 
     Rows in both states are logged with old and new metrics and a flag; new rows
     and flagged ones are to be written; rows only in the old state are ignored.
+    ``diff``: ``tagged_diff`` where a key may be hot in one of the states.
     """
-    joined = full_diff_join(old.select(*keys, *metrics, stamp), new, keys)
+    joined = diff(old.select(*keys, *metrics, stamp), new, keys)
     in_both = F.col("old").isNotNull() & F.col("new").isNotNull()
     differs = F.lit(False)
     for metric in metrics:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from opsflow.operators import matching, nested
+from opsflow.operators import changes, matching, nested
 from opsflow.operators.aggregates import column_values, profile_of_values
 from tests.conftest import rows
 
@@ -80,3 +80,19 @@ def test_packed_events_with_odd_json(spark):
     ]
     found = nested.expand_packed_events(spark.createDataFrame([(t,) for t in texts], "j string"), "j")
     assert rows(found, "shipment_nbr", "inventory_cd", "tracking", "courier") == [("S1", "a", "T", "ups"), ("S2", "a", "T", "ups")]
+
+
+def test_tagged_diff_equals_the_full_outer_join(spark):
+    """Duplicate keys on either side and both, null keys, a hot key, keys of one state only."""
+    rng = random.Random(5)
+    side = lambda n: [(rng.choice([None, *range(12)]), rng.choice(["p", "q", None]), rng.randrange(3), i) for i in range(n)]
+    hot = [(50, "h", 1, i) for i in range(300)]
+    old = spark.createDataFrame([*side(12), *hot, (70, "o", 1, 1), (71, "o", 1, 1), (71, "o", 1, 2)], "k int, j string, m int, ts int")
+    new = spark.createDataFrame([*side(12), (50, "h", 2, 9), (80, "n", 1, 1), (81, "n", 1, 1), (81, "n", 1, 2)], "k int, j string, m int, ts int")
+    for keys in (["k"], ["k", "j"]):
+        assert rows(changes.tagged_diff(old, new, keys)) == rows(changes.full_diff_join(old, new, keys))
+        got = changes.metric_diff(old, new, keys, ["m"], "ts", changes.tagged_diff)
+        want = changes.metric_diff(old, new, keys, ["m"], "ts")
+        assert [rows(df) for df in got] == [rows(df) for df in want]
+    empty = old.where("false")
+    assert rows(changes.tagged_diff(empty, empty, ["k"])) == []
