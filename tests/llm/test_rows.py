@@ -211,5 +211,5 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert "pipeline" in names
