@@ -44,11 +44,11 @@ from opsflow.llm.textbytes import U, mix64, pack_ascending, shingle_sets, sums_b
 from opsflow.session import settle
 
 HASH_BITS = 56
-BUFFER = 1_000_000
+BUFFER = 500_000
 #: Times in one buffer from which a shingle is spread over all ranges.
 OFTEN = 32
 FREQUENT = 63
-RANGE_SHINGLES = 1_500_000
+RANGE_SHINGLES = 600_000
 #: Work of a class's segment besides its shingles.
 SEGMENT_WEIGHT = 60
 
@@ -117,31 +117,37 @@ def hopeful_repeats(n: np.ndarray, percent: int) -> np.ndarray:
 def _deal(width: int, bits: int, buffer: int, times_often: int, percent: int | None = None):
     """Every task's shingles, packed per range of the hash; with ``percent``, the hopeful length of each set."""
 
-    def flush(held: list) -> Iterator[dict]:
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
         own, count, taken, value = (np.concatenate(x) for x in zip(*held))
+        held.clear()
         classes, first = np.unique(own, return_index=True)
         keep = np.zeros(len(own), bool)
         keep[first] = True  # one of each class
-        at = np.repeat(np.arange(len(own)), taken)
+        at = np.repeat(np.arange(len(own), dtype=np.uint32), taken)
         kept = keep[at]
-        value, at = value[kept] >> U(64 - HASH_BITS), at[kept]
+        value, at = value[kept], at[kept]
+        value >>= U(64 - HASH_BITS)
         order = np.argsort(value, kind="stable")
         value, at = value[order], at[order]
+        del kept, order
         runs = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.zeros(0, int)
         times = np.diff(np.append(runs, len(value)))
         often = np.repeat(times >= times_often, times)
-        part = (value >> U(HASH_BITS - bits)).astype(np.int64) if bits else np.zeros(len(value), np.int64)
         # a frequent shingle is announced to its range by one occurrence
         told = np.zeros(len(value), bool)
         told[runs[times >= times_often]] = True
-        plain = ~often | told
-        for p in np.unique(part[plain]):
-            low, high = np.searchsorted(part, [p, p + 1])
-            here = np.flatnonzero(plain[low:high]) + low
-            yield _packet(int(p), False, value[here], at[here], own, count, value[here][told[here]])
+        del runs, times
+        edges = np.searchsorted(value, np.arange(1 << bits, dtype=np.uint64) << U(HASH_BITS - bits))
+        for p, (low, high) in enumerate(zip(edges, np.append(edges[1:], len(value)))):
+            here = np.flatnonzero(~often[low:high] | told[low:high]) + low
+            if len(here):
+                yield sent(_packet(p, False, value[here], at[here], own, count, value[here][told[here]]))
         spread = np.flatnonzero(often & ~told)
         if len(spread):
-            yield _packet(int(own[0] % U(1 << bits)), True, value[spread], at[spread], own, count, value[:0])
+            yield sent(_packet(int(own[0] % U(1 << bits)), True, value[spread], at[spread], own, count, value[:0]))
+
+    def sent(packet: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([packet], PACKET_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -155,10 +161,10 @@ def _deal(width: int, bits: int, buffer: int, times_often: int, percent: int | N
                 held.append((own, count, taken, value))
                 size += len(value)
                 if size > buffer:
-                    yield pa.RecordBatch.from_pylist(list(flush(held)), PACKET_SCHEMA)
-                    held, size = [], 0
+                    yield from flush(held)
+                    size = 0
         if held:
-            yield pa.RecordBatch.from_pylist(list(flush(held)), PACKET_SCHEMA)
+            yield from flush(held)
 
     return run
 
@@ -171,19 +177,23 @@ REPEATED_SCHEMA = pa.schema(
 
 def _repeated_here(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``hash, class, n, level`` of the shingles of one range that two classes or more have."""
-    rows = group.to_pylist()
-    plain = [_open(r) for r in rows if not r["often"]]
-    spread = [_open(r) for r in rows if r["often"]]
+    plain, spread, announced = [], [], [np.zeros(0, np.uint64)]
+    for i in range(len(group)):
+        r = group.slice(i, 1).to_pylist()[0]
+        (spread if r["often"] else plain).append(_open(r))
+        announced.append(unpack_ascending(r["told"]))
     value, own, size = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (zip(*plain) if plain else ((), (), ())))
-    size = size.astype(np.uint32)
+    plain.clear()
+    size = size.astype(np.uint32, copy=False)
     order = np.lexsort((own, value))
     value, own, size = value[order], own[order], size[order]
+    del order
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (own[1:] != own[:-1])
     value, own, size = value[new], own[new], size[new]
     runs = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.zeros(0, int)
     times = np.diff(np.append(runs, len(value)))
-    told = np.unique(np.concatenate([np.zeros(0, np.uint64), *(unpack_ascending(r["told"]) for r in rows)]))
+    told = np.unique(np.concatenate(announced))
     frequent = np.isin(value[runs], told)
     kept = np.repeat((times >= 2) | frequent, times)
     level = np.floor(np.log2(np.maximum(times, 1))).astype(np.uint8)

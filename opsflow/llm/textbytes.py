@@ -47,13 +47,47 @@ def byte_slices(column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarra
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, A-Z lowered, and the row it is in."""
-    size = len(data)
-    if not size:
+    """Hash of every word, A-Z lowered, and the row it is in.
+
+    Long texts are handled in stretches that end between words, so memory beyond the
+    words themselves is bounded unless a single word is long.
+    """
+    parts = [(begin, *_words(data[begin:end], offsets, begin)) for begin, end in _stretches(data)]
+    if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    hashes = np.concatenate([part[1] for part in parts])
+    starts = np.concatenate([part[2] + part[0] for part in parts])
+    return hashes, np.searchsorted(offsets, starts, "right") - 1
+
+
+def _space(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def _stretches(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of stretches of ``SLICE`` bytes, each prolonged to the next space."""
+    begin = 0
+    while begin < len(data):
+        end = begin + 2 * SLICE
+        if end < len(data):
+            end = begin + SLICE
+            while end < len(data):
+                spaces = _space(data[end : end + SLICE])
+                if spaces.any():
+                    end += int(spaces.argmax())
+                    break
+                end += SLICE
+        end = min(end, len(data))
+        yield begin, end
+        begin = end
+
+
+def _words(data: np.ndarray, offsets: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word of a stretch that begins at ``begin``."""
+    size = len(data)
+    solid = ~_space(data)
     edge = np.zeros(size + 1, bool)
-    edge[offsets] = True
+    edge[offsets[(offsets >= begin) & (offsets <= begin + size)] - begin] = True
     before = np.empty(size, bool)
     before[0] = False
     before[1:] = solid[:-1]
@@ -72,7 +106,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     terms = (lower + U(1)) * table[np.minimum(inside, len(table) - 1)]
     terms[~solid] = 0
     hashes = mix64(np.add.reduceat(terms, starts) + (ends - starts).astype(np.uint64) * U(0xD6E8FEB86659FD93))
-    return hashes, np.searchsorted(offsets, starts, "right") - 1
+    return hashes, starts
 
 
 def _start_of(starts: np.ndarray, size: int) -> np.ndarray:
