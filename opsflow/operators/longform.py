@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsflow.functions import nested as nf, text
 from opsflow.operators.nested import LINE_COLUMNS, SHIPMENT_COLUMNS, sort_key
-from opsflow.operators.skew import Order
+from opsflow.operators.skew import FIND, Order, finer, group_pieces
 from opsflow.operators.windows import last_unless_default, with_sequence
 
 ROOT = "$"
@@ -28,7 +29,8 @@ class Level:
 
     ``rows`` has one row per node. ``link``: columns that tell its parent (of a root
     document: its keys). ``own``: columns that nodes of deeper levels link to.
-    ``order_by`` tells the nodes of one parent apart.
+    ``order_by`` tells the nodes of one parent apart. ``once``: equal rows are one node.
+    ``hot`` is what ``group_pieces`` found for ``link``, searched in ``rows`` if not given.
     """
 
     path: str
@@ -38,6 +40,13 @@ class Level:
     leaves: Mapping[str, Column]
     parent: str = ROOT
     own: Sequence[str] = ()
+    once: bool = False
+    hot: DataFrame | None | object = FIND
+
+
+def _link_key(columns: Sequence[str]) -> Column:
+    """Columns as one value that is never null, so that nulls in it equal nulls."""
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
 
 def leaf_map(leaves: Mapping[str, Column]) -> Column:
@@ -46,6 +55,36 @@ def leaf_map(leaves: Mapping[str, Column]) -> Column:
     return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
 
 
+def _numbered(level: Level) -> DataFrame:
+    """``_key, _own0 .., _place, _leaves`` per node: its place among those of one parent.
+
+    Without a hot parent one shuffle by the parent serves equal rows, places and the join
+    to the parents.
+    """
+    link, rows = list(level.link), level.rows
+    hot = group_pieces(rows, link) if level.hot is FIND else level.hot
+    if hot is None:
+        rest = [c for c in rows.columns if c not in link]
+        rows = rows.select(_link_key(link).alias("_key"), *rest).repartition("_key")
+        rows = rows.distinct() if level.once else rows
+        rows = rows.select("*", *[F.col("_key")[f"k{i}"].alias(c) for i, c in enumerate(link)])
+        numbered = with_sequence(rows, ["_key"], level.order_by, "_place", hot=None)
+    else:
+        rows = rows.distinct() if level.once else rows
+        numbered = with_sequence(rows, link, level.order_by, "_place", hot=hot).withColumn("_key", _link_key(link))
+    return numbered.select(
+        "_key", *[F.col(c).alias(f"_own{i}") for i, c in enumerate(level.own)], "_place", leaf_map(level.leaves).alias("_leaves")
+    )
+
+
+def _linked(mine: DataFrame, above: DataFrame) -> Column:
+    key, link = mine.schema["_key"].dataType, above.schema["_link"].dataType
+    if key.simpleString() == link.simpleString():
+        return F.col("_key") == F.col("_link")
+    pairs = [F.col("_key")[n].eqNullSafe(F.col("_link")[n]) for n in key.fieldNames()]
+    return reduce(Column.__and__, pairs)
+
+
 def document_nodes(docs: DataFrame, keys: Sequence[str], head: Mapping[str, Column], levels: Sequence[Level]) -> DataFrame:
     """``keys, path, at, leaves`` of every node of every document.
 
@@ -56,19 +95,14 @@ def document_nodes(docs: DataFrame, keys: Sequence[str], head: Mapping[str, Colu
     keys = list(keys)
     none = F.array().cast("array<bigint>")
     nodes = docs.select(*keys, F.lit(ROOT).alias("path"), none.alias("at"), leaf_map(head).alias("leaves"))
-    places = {ROOT: docs.select(*keys, *[F.col(k).alias(f"_link{i}") for i, k in enumerate(keys)], none.alias("_above"))}
+    places = {ROOT: docs.select(*keys, _link_key(keys).alias("_link"), none.alias("_above"))}
     for level in levels:
-        mine = with_sequence(level.rows, level.link, level.order_by, "_place").select(
-            *[F.col(c).alias(f"_mine{i}") for i, c in enumerate(level.link)],
-            *[F.col(c).alias(f"_own{i}") for i, c in enumerate(level.own)],
-            "_place", leaf_map(level.leaves).alias("_leaves"),
-        )
-        match = [F.col(f"_mine{i}").eqNullSafe(F.col(f"_link{i}")) for i in range(len(level.link))]
+        mine, above = _numbered(level), places[level.parent]
         at = F.concat("_above", F.array("_place"))
-        joined = mine.join(places[level.parent], match)
+        joined = mine.join(above, _linked(mine, above))
         nodes = nodes.unionByName(joined.select(*keys, F.lit(level.path).alias("path"), at.alias("at"), F.col("_leaves").alias("leaves")))
-        links = [F.col(f"_own{i}").alias(f"_link{i}") for i in range(len(level.own))]
-        places[level.path] = joined.select(*keys, *links, at.alias("_above"))
+        own = _link_key([f"_own{i}" for i in range(len(level.own))])
+        places[level.path] = joined.select(*keys, own.alias("_link"), at.alias("_above"))
     return nodes
 
 
@@ -157,22 +191,24 @@ def order_nodes(orders: DataFrame, detail: DataFrame, head: Mapping[str, Column]
     shipped have one empty shipment; packages belong to (order, shipment).
     """
     line_key, ship_key = ["order_nbr", "line_nbr"], ["order_nbr", "shipment_nbr"]
-    packages = detail.where(F.col("shipment_nbr").isNotNull()).select(*ship_key, "tracking", "tracking_created").distinct()
+    packages = detail.where(F.col("shipment_nbr").isNotNull()).select(*ship_key, "tracking", "tracking_created")
+    # lines, shipments and packages are parts of orders: without a hot order none of them is hot
+    hot = finer(group_pieces(detail, ["order_nbr"]))
     column = lambda names: {n: F.col(n) for n in names}
     return document_nodes(
         orders, ["order_nbr"], head,
         [
             Level(
-                "line_items", detail.select(*LINE_COLUMNS).distinct(), ["order_nbr"], LINE_COLUMNS[1:],
-                column(LINE_COLUMNS[1:]), own=line_key,
+                "line_items", detail.select(*LINE_COLUMNS), ["order_nbr"], LINE_COLUMNS[1:],
+                column(LINE_COLUMNS[1:]), own=line_key, once=True, hot=hot,
             ),
             Level(
-                "line_items.shipments", detail.select(*SHIPMENT_COLUMNS).distinct(), line_key, SHIPMENT_COLUMNS[2:],
-                column(SHIPMENT_COLUMNS[2:]), parent="line_items", own=ship_key,
+                "line_items.shipments", detail.select(*SHIPMENT_COLUMNS), line_key, SHIPMENT_COLUMNS[2:],
+                column(SHIPMENT_COLUMNS[2:]), parent="line_items", own=ship_key, once=True, hot=hot,
             ),
             Level(
                 "line_items.shipments.packages", packages, ship_key, ["tracking", "tracking_created"],
-                column(["tracking", "tracking_created"]), parent="line_items.shipments",
+                column(["tracking", "tracking_created"]), parent="line_items.shipments", once=True, hot=hot,
             ),
         ],
     )

@@ -12,9 +12,11 @@ A group is cut once it holds more than ``1 / Skew.pieces`` of all rows, so there
 are at most ``Skew.pieces`` of them, and at most twice as many pieces in total.
 That bound, not a guess, is what lets their list be broadcast.
 
-The search is a job of its own: a count, then a map-side combined count per key
-over the key columns. Only its tiny result is kept, as a written table. Where it
-finds nothing, the operators use the plain Spark plan (one window, one join).
+The search is a job of its own over the key columns: rows per bucket of key hashes,
+at most ``_buckets`` small rows a task, so nothing grows with the number of keys. A
+group to cut fills its bucket beyond the limit; only where a bucket is that full are
+the keys in it counted one by one. Only these tiny results are kept, as written tables.
+Where the search finds nothing, the operators use the plain Spark plan (one window, one join).
 Where the frame at hand is costly, operators take a ``basis``: a plain scan with
 the same keys to search in, or ``hot``, the result of an earlier search.
 """
@@ -76,17 +78,26 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "l
 FIND = object()
 
 
+def _buckets(skew: Skew) -> int:
+    """Buckets of the search: enough that an even spread fills none beyond the limit."""
+    return max(1 << 16, 8 * skew.pieces)
+
+
 def group_pieces(
     df: DataFrame, keys: Sequence[str], skew: Skew = DEFAULT
 ) -> DataFrame | None:
     """``keys, _rows, _pieces`` of the groups to cut, or None if there are none."""
-    narrow = df.select(*keys)
-    total = narrow.count()
+    narrow = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(_buckets(skew))).alias("_bucket"))
+    filled = settle(narrow.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_filled")), "filled")
+    total, most = filled.agg(F.coalesce(F.sum("_filled"), F.lit(0)), F.coalesce(F.max("_filled"), F.lit(0))).first()
     limit = max(float(skew.min_rows), total / skew.pieces)
-    if total <= limit:
+    if most <= limit:
         return None
+    # fewer than Skew.pieces buckets hold more than the limit
+    full = F.broadcast(filled.where(F.col("_filled") > limit).select("_bucket"))
     hot = (
-        narrow.groupBy(*keys)
+        narrow.join(full, "_bucket", "left_semi")
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > limit)
         .withColumn("_pieces", F.ceil(F.col("_rows") / F.lit(limit)).cast("int"))

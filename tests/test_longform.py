@@ -143,3 +143,24 @@ def test_only_confirmed_documents_enter_the_ledger(spark, nodes):
     due = digests(nodes, ["order_nbr"])
     replies = spark.createDataFrame([("s", True), ("s", True), ("big", False)], "order_nbr string, ok boolean")
     assert rows(sending.sent_rows(due, replies, ["order_nbr"], F.lit("now")), "order_nbr", "sent_at") == [("s", "now")]
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_one_shuffle_by_the_parent_per_level(nodes):
+    # root; lines; shipments and the places of lines; packages and the places of shipments, each in every branch above it
+    assert shuffles(nodes) <= 14
+
+
+def test_documents_and_links_without_a_key(spark):
+    """Null keys link to null keys, equal rows are one node, numbers follow the order."""
+    detail = spark.createDataFrame(
+        [(None, 2, 5, 1, 0, "S", 2, None, "Done", 1, 7, None)] * 2 + [(None, None, 6, 1, 0, None, None, None, None, None, None, None)], DETAIL
+    )
+    docs = spark.createDataFrame([(None, "F"), ("x", "O")], "order_nbr string, status string")
+    got = order_nodes(docs, detail, {"status": F.col("status")})
+    assert rows(got, "order_nbr", "path", "at") == sorted(
+        [(None, "$", []), ("x", "$", []), (None, "line_items", [1]), (None, "line_items", [2]), (None, "line_items.shipments", [1, 1]),
+         (None, "line_items.shipments", [2, 1]), (None, "line_items.shipments.packages", [2, 1, 1])], key=repr)

@@ -33,6 +33,15 @@ def test_group_pieces_is_bounded(skewed):
     assert sum(p for _, p in pieces.values()) <= 2 * SKEW.pieces
 
 
+def test_search_without_hot_groups_never_counts_single_keys(spark, monkeypatch):
+    from opsflow.operators import skew
+
+    written, settle = [], skew.settle
+    monkeypatch.setattr(skew, "settle", lambda df, name: (written.append(df.columns), settle(df, name))[1])
+    assert group_pieces(spark.range(5000).withColumnRenamed("id", "k"), ["k"], SKEW) is None
+    assert written == [["_bucket", "_filled"]]
+
+
 def test_no_hot_groups_means_plain_plan(skewed):
     assert group_pieces(skewed, ["k"]) is None
     assert range_pieces(skewed, ["k"], ORDER)[1] is None
