@@ -19,6 +19,7 @@ from opsflow.functions import nested as nf, text
 from opsflow.operators.nested import LINE_COLUMNS, SHIPMENT_COLUMNS, sort_key
 from opsflow.operators.skew import FIND, Order, finer, group_pieces
 from opsflow.operators.windows import last_unless_default, with_sequence
+from opsflow.session import settle
 
 ROOT = "$"
 
@@ -116,9 +117,11 @@ def pages(nodes: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
     """``keys, page, nodes``: each document cut into arrays of ``size`` nodes, in document order.
 
     A node comes before those below it. The cut is at exact places, so it depends on the
-    document alone.
+    document alone. The search for hot documents and the cut both read the nodes, so these are
+    written once.
     """
     keys = list(keys)
+    nodes = settle(nodes, "nodes")
     placed = with_sequence(nodes, keys, ["at", "path"], "_n")
     page = F.floor((F.col("_n") - 1) / size).alias("page")
     node = F.struct("_n", "path", "at", "leaves")

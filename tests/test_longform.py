@@ -164,3 +164,8 @@ def test_documents_and_links_without_a_key(spark):
     assert rows(got, "order_nbr", "path", "at") == sorted(
         [(None, "$", []), ("x", "$", []), (None, "line_items", [1]), (None, "line_items", [2]), (None, "line_items.shipments", [1, 1]),
          (None, "line_items.shipments", [2, 1]), (None, "line_items.shipments.packages", [2, 1, 1])], key=repr)
+
+
+def test_pages_do_not_build_the_nodes_twice(nodes):
+    plan = pages(nodes, ["order_nbr"], 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
