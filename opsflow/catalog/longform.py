@@ -14,6 +14,7 @@ from opsflow.functions import text
 from opsflow.operators import longform
 from opsflow.operators.joins import Lookup, enrich
 from opsflow.plans import orders, sending
+from opsflow.session import settle
 
 
 def leaves(source: str, keys: str, path: str, at: str, values: Mapping[str, str]) -> str:
@@ -195,6 +196,7 @@ def changed_orders(t: Tables) -> DataFrame:
     """Orders never sent in their status, or sent with another leaf somewhere; the ledger holds digests."""
     keys = ["order_nbr", "status"]
     now = order_nodes(t).join(t.orders.select(F.col("o_orderkey").alias("order_nbr"), F.col("o_orderstatus").alias("status")), "order_nbr")
+    now = settle(now, "nodes")  # read by both digests and by the documents to send
     qty = F.element_at("leaves", "line_qty")
     older = F.when(
         (F.col("status") == "O") & (F.col("path") == "line_items") & (qty.cast("bigint") >= 45),

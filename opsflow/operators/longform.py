@@ -137,8 +137,11 @@ def digests(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
     side, and page cuts cannot change it. Equal leaves count each.
     """
     one = F.xxhash64("path", F.array_join(F.transform("at", lambda n: n.cast("string")), "."), "name", "value")
-    each = nodes.select(*keys, "path", "at", F.explode("leaves").alias("name", "value"))
-    return each.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_leaves"), F.sum(one.cast("decimal(38,0)")).alias("digest"))
+    each = nodes.select(*keys, "path", "at", F.explode("leaves").alias("name", "value")).select(*keys, one.alias("_hash"))
+    # upper and lower halves are summed as whole numbers: decimals come in once per document
+    upper, lower = F.sum(F.shiftright("_hash", 32)), F.sum(F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF)))
+    digest = upper.cast("decimal(28,0)") * F.lit(1 << 32).cast("decimal(10,0)") + lower.cast("decimal(20,0)")
+    return each.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_leaves"), digest.cast("decimal(38,0)").alias("digest"))
 
 
 def changed_documents(nodes: DataFrame, keys: Sequence[str], ledger: DataFrame) -> DataFrame:

@@ -169,3 +169,10 @@ def test_documents_and_links_without_a_key(spark):
 def test_pages_do_not_build_the_nodes_twice(nodes):
     plan = pages(nodes, ["order_nbr"], 1000)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_digest_is_the_sum_of_the_hashes(nodes):
+    one = F.xxhash64("path", "at", "name", "value").cast("decimal(38,0)")
+    plain = leaves_of(nodes, ["order_nbr"]).groupBy("order_nbr").agg(F.count(F.lit(1)).alias("n_leaves"), F.sum(one).alias("digest"))
+    assert rows(digests(nodes, ["order_nbr"]), "order_nbr", "n_leaves", "digest") == rows(plain, "order_nbr", "n_leaves", "digest")
+    assert digests(nodes, ["order_nbr"]).schema["digest"].dataType.simpleString() == "decimal(38,0)"
