@@ -318,6 +318,11 @@ def flatten_shipment_reply(df: DataFrame) -> DataFrame:
 # -- assembling ------------------------------------------------------------
 
 
+def _once(rows: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Distinct rows; without hot groups dealt by ``keys``, so that the next step needs no shuffle."""
+    return (rows.repartition(*keys) if hot is None else rows).distinct()
+
+
 def nest_orders(
     orders: DataFrame,
     detail: DataFrame,
@@ -335,9 +340,7 @@ def nest_orders(
     hot_shipments = hot if hot is None else group_pieces(detail, ship_key, skew)
     hot_lines = hot if hot is None else group_pieces(detail, line_key, skew)
     packages = collect_parts(
-        detail.where(F.col("shipment_nbr").isNotNull())
-        .select(*ship_key, "tracking", "tracking_created")
-        .distinct(),
+        _once(detail.where(F.col("shipment_nbr").isNotNull()).select(*ship_key, "tracking", "tracking_created"), ship_key, hot),
         ship_key,
         ["tracking", "tracking_created"],
         F.struct("tracking", "tracking_created"),
@@ -349,7 +352,7 @@ def nest_orders(
     ).drop("weight")
     package_type = packages.schema["packages"].dataType.simpleString()
     shipments = spread_join(
-        detail.select(*SHIPMENT_COLUMNS).distinct(),
+        _once(detail.select(*SHIPMENT_COLUMNS), ship_key, hot),
         packages,
         ship_key,
         "left",
@@ -375,7 +378,7 @@ def nest_orders(
         hot=hot_lines,
     ).withColumnsRenamed({"piece": "_piece_of", "part": "_part_of", "weight": "_leaves"})
     lines = spread_join(
-        detail.select(*LINE_COLUMNS).distinct(),
+        _once(detail.select(*LINE_COLUMNS), line_key, hot),
         by_line,
         line_key,
         "left",
