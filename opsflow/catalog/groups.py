@@ -163,7 +163,7 @@ def package_numbers(t: Tables) -> DataFrame:
     hot = group_pieces(lines, shipment)
     hot_package = None if hot is None else group_pieces(lines, package)
     count = F.count(F.lit(1))
-    result = windows.with_sequence(lines, package, order, "num", hot=hot_package)
+    result = windows.with_sequence(windows.dealt(lines, shipment, t.lineitem, hot), package, order, "num", hot=hot_package)
     result = windows.with_group_total(result, package, {"items_on_package": count}, basis=lines, hot=hot_package)
     result = windows.with_sequence(result, shipment, order, "package_num", basis=lines, hot=hot)
     return windows.with_group_total(result, shipment, {"max_package_num": count}, basis=lines, hot=hot)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,6 +22,18 @@ from opsflow.operators.skew import (
 )
 
 
+def dealt(df: DataFrame, keys: Sequence[str], basis: DataFrame, hot: DataFrame | None, most: int = 250_000) -> DataFrame:
+    """``df`` in so many partitions by ``keys`` that one has about ``most`` rows of ``basis``.
+
+    A task's memory then stays as it is while the input grows. Nothing changes where the
+    session's shuffle partitions are enough or groups have to be cut (``hot``).
+    """
+    if hot is not None:
+        return df
+    count = math.ceil(basis.count() / most)
+    return df.repartition(count, *keys) if count > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def top1(df: DataFrame, keys: Sequence[str], order_by: Sequence[Order]) -> DataFrame:
     """First row of each group. ``order_by`` needs a unique tie-breaker."""
     return top_n_per_key(df, keys, order_by, 1)
