@@ -173,11 +173,9 @@ def completion_label(
     hot = group_pieces(df, [group], skew)
     pending = F.col(pending_status).isNull()
     status = F.when(pending, F.col(source_status))
-    with_total = with_group_total(
-        df, [group, item], {"_item_total": F.sum(qty)}, skew, hot=finer(hot)
-    )
+    # the wider group first: rows dealt by it are dealt for its items as well
     with_pending = with_group_total(
-        with_total,
+        df,
         [group],
         {
             "_unknown": F.count_if(pending & F.col(source_status).isNull()),
@@ -185,9 +183,11 @@ def completion_label(
             "_highest": F.max(status),
         },
         skew,
-        basis=df,
         hot=hot,
     )
+    with_total = with_group_total(
+        with_pending, [group, item], {"_item_total": F.sum(qty)}, skew, basis=df, hot=finer(hot)
+    )
     own = F.col(source_status)
     other = (F.col("_unknown") > 0) | F.coalesce(
         (own != F.col("_lowest")) | (own != F.col("_highest")), F.lit(False)
@@ -196,6 +196,6 @@ def completion_label(
     label = (
         F.when(full & other, "Partially Complete").when(full, "Complete").otherwise("Not")
     )
-    return with_pending.withColumn(out, label).drop(
+    return with_total.withColumn(out, label).drop(
         "_item_total", "_unknown", "_lowest", "_highest"
     )
