@@ -107,21 +107,22 @@ def sales_orders(
     changed = erp["order_header"].where(
         ~F.col("order_type").isin(*excluded) & p.changed_since(F.col("modified_at"), as_of, lookback)
     )
-    # parties and people are facts of an order: one row each, before its lines come in
+    # parties and people are facts of an order: one row each, before its lines come in; short
+    # values and equal keys first, so that few shuffles carry contacts and addresses
     headers = enrich(
         changed,
         [
             account(erp, "customer_id"),
             Lookup(erp["customer"], {"customer_id": "account_id"}, {"customer_class": "class_id"}, "inner"),
-            contact(erp, "ship_contact_id", "s_"),
-            address(erp, "ship_address_id", "s_"),
-            contact(erp, "bill_contact_id", "b_"),
-            address(erp, "bill_address_id", "b_"),
-            owner(erp),
-            Lookup(erp["contact"], {"owner_id": "contact_id"}, {"owner_email": "email"}),
             *sales_people(erp),
             Lookup(erp["users"], {"created_by_id": "user_id"}, {"_created": "user_name"}),
             Lookup(erp["users"], {"modified_by_id": "user_id"}, {"_modified": "user_name"}),
+            owner(erp),
+            Lookup(erp["contact"], {"owner_id": "contact_id"}, {"owner_email": "email"}),
+            contact(erp, "ship_contact_id", "s_"),
+            contact(erp, "bill_contact_id", "b_"),
+            address(erp, "ship_address_id", "s_"),
+            address(erp, "bill_address_id", "b_"),
         ],
     )
     headers = joins.lookup_code(headers, erp["status_lookup"], "SOOrder", "status", "order_status", "inner")
@@ -130,17 +131,19 @@ def sales_orders(
         {"order_type": "orig_order_type", "order_nbr": "orig_order_nbr", "line_nbr": "orig_line_nbr", "inventory_id": "inventory_id"},
         {"shipment_nbr": "shipment_nbr", "_ship_type": "shipment_type", "_ship_site": "site_id"},
     )
+    lines = erp["order_line"].withColumnsRenamed({"orig_order_type": "line_orig_type", "orig_order_nbr": "line_orig_nbr"})
+    # what is true of a line is looked up without the columns of its order, which come in last
     wide = enrich(
-        erp["order_line"].withColumnsRenamed({"orig_order_type": "line_orig_type", "orig_order_nbr": "line_orig_nbr"}),
+        lines.join(changed.select(*ORDER), list(ORDER), "left_semi"),
         [
-            Lookup(headers, ORDER, {c: c for c in headers.columns if c not in ORDER}, "inner"),
-            site(erp, out="line_warehouse", how="left"),
-            item(erp),
-            Lookup(erp["item_replenishment"], {"inventory_id": "inventory_id"}, {"replenishment_class": "class_id"}),
             shipped,
             Lookup(erp["shipment"], {"shipment_nbr": "shipment_nbr", "_ship_type": "shipment_type"},
                    {"ship_date": "ship_date", "_ship_status": "status"}),
+            site(erp, out="line_warehouse", how="left"),
             site(erp, "_ship_site", "ship_warehouse", "left"),
+            Lookup(erp["item_replenishment"], {"inventory_id": "inventory_id"}, {"replenishment_class": "class_id"}),
+            item(erp),
+            Lookup(headers, ORDER, {c: c for c in headers.columns if c not in ORDER}, "inner"),
         ],
     )
     wide = joins.lookup_code(wide, erp["status_lookup"], "SOShipment", "_ship_status", "ship_status")
