@@ -363,7 +363,6 @@ def order_shipment_detail(
         [
             Lookup(headers, ORDER, {"order_date": "order_date", "status": "status"}, "inner"),
             Lookup(erp["order_line_split"], {**ORDER, "line_nbr": "line_nbr"}, {"split_line_nbr": "split_line_nbr"}, "inner"),
-            item(erp),
             Lookup(erp["shipment_line"],
                    {"order_nbr": "orig_order_nbr", "line_nbr": "orig_line_nbr", "split_line_nbr": "orig_split_line_nbr"},
                    {"shipment_nbr": "shipment_nbr", "_type": "shipment_type", "ship_line_nbr": "line_nbr", "_qty": "shipped_qty"}, "inner"),
@@ -376,6 +375,7 @@ def order_shipment_detail(
                    {"_package": "package_line_nbr", "tracking_created": "created_at"}),
             Lookup(erp["package"], {"shipment_nbr": "shipment_nbr", "_package": "line_nbr"}, {"tracking": "track_number"}),
             site(erp, out="warehouse", how="left"),
+            item(erp),  # last: no other shuffle carries its texts
         ],
     )
     wide = joins.lookup_code(wide, erp["status_lookup"], "SOOrder", "status", "order_status", "inner")
