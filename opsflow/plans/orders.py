@@ -626,15 +626,16 @@ def orders_with_lines(
             Lookup(erp["account"], {"customer_id": "account_id"},
                    {"acct_cd": "acct_cd", "acct_name": "acct_name", "_account_note": "note_id", "_since": "created_at"}, "inner"),
             Lookup(erp["customer"], {"customer_id": "account_id"}, {"customer_class": "class_id"}, "inner"),
-            address(erp, "bill_address_id", "billing_", "inner"),
-            address(erp, "ship_address_id", "shipping_", "inner"),
-            contact(erp, "bill_contact_id", "b_", "inner"),
-            contact(erp, "ship_contact_id", "s_", "inner"),
             owner(erp),
             Lookup(erp["sales_person"], {"sales_person_id": "sales_person_id"}, {"_sp_cd": "sales_person_cd", "_sp": "descr"}),
             Lookup(erp["account_answers"], {"_account_note": "note_id"}, {"crm_link": "value"}, where=F.col("attribute_id") == answer),
             Lookup(erp["invoice"], {"order_nbr": "order_nbr", "order_type": "order_type"}, {"_ref": "ref_nbr"}),
             Lookup(erp["pay_link"], {"_ref": "ref_nbr"}, {"payment_link": "url"}),
+            # contacts and addresses are the widest: after the others, so that few shuffles carry them
+            address(erp, "bill_address_id", "billing_", "inner"),
+            address(erp, "ship_address_id", "shipping_", "inner"),
+            contact(erp, "bill_contact_id", "b_", "inner"),
+            contact(erp, "ship_contact_id", "s_", "inner"),
         ],
     )
     wide = joins.lookup_code(wide, erp["status_lookup"], "SOOrder", "status", "order_status", "inner")
