@@ -1,6 +1,7 @@
 """Datasets fit the contracts of the tables they are written to."""
 
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -143,3 +144,21 @@ def test_newest_orders_are_chosen_after_the_joins(spark, t):
     source["order_header"] = source["order_header"].unionByName(newer)
     got = [r[0] for r in rows(orders.orders_to_send(source, sent, *args), "order_nbr")]
     assert len(want) == 3 and got == want
+
+
+@pytest.mark.parametrize("build, column, most", [
+    (lambda t: orders.sales_orders(erp(t), AS_OF, "900 DAYS"), "s_line1", 5),
+    (lambda t: orders.order_shipment_detail(erp(t), "x/"), "item_descr", 4),
+    (lambda t: orders.orders_to_resend(erp(t), AS_OF, "900 DAYS", "c/", "o/", "CRMID"), "billing_line1", 6),
+])
+def test_few_shuffles_carry_wide_columns(t, build, column, most):
+    """With every dimension shuffled, the widest columns come in after the other lookups."""
+    threshold = t.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    t.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = build(t)
+        plan = t.spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        t.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    carried = [x for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan) if re.search(rf"\b{column}#", x)]
+    assert len(carried) <= most, len(carried)

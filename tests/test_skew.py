@@ -206,3 +206,34 @@ def test_size_shuffles_never_lowers(spark):
         assert size_shuffles(spark, 100 << 30) == 800
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_one_shuffle_serves_both_windows_of_a_label(spark):
+    lines = spark.range(50).selectExpr("id % 9 AS o", "id % 4 AS i", "id AS own", "id AS q", "'x' AS s", "CAST(NULL AS STRING) AS p")
+    assert shuffles(windows.completion_label(lines.repartition(3), "o", "i", "own", "q", "s", "p")) == 1
+
+
+def test_partitions_grow_with_the_rows(spark):
+    lines = spark.range(1000).selectExpr("id % 100 AS k")
+    assert windows.dealt(lines, ["k"], lines, None, most=10).rdd.getNumPartitions() == 100
+    assert windows.dealt(lines, ["k"], lines, None) is lines
+    assert windows.dealt(lines, ["k"], lines, lines, most=10) is lines
+
+
+def test_nested_orders_deal_distinct_rows_where_they_are_joined(spark):
+    detail = spark.createDataFrame(
+        [("o", 1, 5, 1, 0, "S", 1, None, "Done", 1, 7, None)],
+        "order_nbr string, line_nbr int, inventory_cd int, line_qty int, warehouse int, shipment_nbr string, ship_line_nbr int,"
+        " ship_date date, ship_status string, ship_line_qty int, tracking int, tracking_created date",
+    )
+    docs = spark.createDataFrame([("o", "F")], "order_nbr string, status string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(nested.nest_orders(docs, detail)) <= 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
