@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsflow.functions import text
 from opsflow.operators.joins import Lookup, enrich
-from opsflow.operators.skew import DEFAULT, FIND, Skew, group_pieces, spread_join
+from opsflow.operators.skew import DEFAULT, FIND, Skew, group_pieces, join_in_place, spread_join
+from opsflow.operators.windows import Deal
 
 
 def full_diff_join(
@@ -118,25 +119,24 @@ def changed_payloads(
     payload: str,
     skew: Skew = DEFAULT,
     hot: DataFrame | None | object = FIND,
+    deal: Deal | None = None,
 ) -> DataFrame:
     """Rows never sent, or sent with another payload. Digests are compared, so
     the ledger's payload text never crosses the network.
 
     Without a ledger row everything is sent. With several, one that differs is
-    enough to send. Pass ``hot=None`` where ``keys`` are unique in ``df``.
+    enough to send. Pass ``hot=None`` where ``keys`` are unique in ``df``. Where ``df`` is
+    dealt by some of ``keys``, pass that ``deal``: the digests come to it, it is not shuffled.
     """
     digests = (
         ledger.select(*keys, F.sha2(payload, 256).alias("_sent"))
         .groupBy(*keys)
         .agg(F.min("_sent").alias("_low"), F.max("_sent").alias("_high"), F.lit(True).alias("_known"))
     )
-    own = F.sha2(payload, 256)
-    differs = (own != F.col("_low")) | (own != F.col("_high"))
-    return (
-        spread_join(df, digests, keys, "left", hot, skew=skew)
-        .where(F.col("_known").isNull() | differs)
-        .drop("_low", "_high", "_known")
-    )
+    own = df.withColumn("_own", F.sha2(payload, 256))
+    joined = spread_join(own, digests, keys, "left", hot, skew=skew) if deal is None else join_in_place(own, deal(digests), keys)
+    differs = (F.col("_own") != F.col("_low")) | (F.col("_own") != F.col("_high"))
+    return joined.where(F.col("_known").isNull() | differs).drop("_own", "_low", "_high", "_known")
 
 
 def resolve_status_conflicts(

@@ -21,11 +21,12 @@ from opsflow.operators.skew import (
     Skew,
     finer,
     group_pieces,
+    join_in_place,
     range_pieces,
     sort_columns,
     spread_join,
 )
-from opsflow.operators.windows import last_unless_default, with_sequence
+from opsflow.operators.windows import Deal, dealer, last_unless_default, with_sequence
 
 PART_ROWS = 10_000
 LINE_COLUMNS = ["order_nbr", "line_nbr", "inventory_cd", "line_qty", "warehouse"]
@@ -318,29 +319,37 @@ def flatten_shipment_reply(df: DataFrame) -> DataFrame:
 # -- assembling ------------------------------------------------------------
 
 
-def _once(rows: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
-    """Distinct rows; without hot groups dealt by ``keys``, so that the next step needs no shuffle."""
-    return (rows.repartition(*keys) if hot is None else rows).distinct()
-
-
 def nest_orders(
     orders: DataFrame,
     detail: DataFrame,
     part_rows: int = PART_ROWS,
     skew: Skew = DEFAULT,
+    deal: Deal | None = None,
 ) -> DataFrame:
     """Orders with their lines, the shipments of each line and their packages.
 
     ``detail`` has one row per order, line, shipment line and package. Packages
     belong to (order, shipment), so all lines of a shipment repeat them.
     Orders without detail keep an empty list.
+
+    Without a hot order ``deal`` (by ``order_nbr``, found for ``detail`` if not given) puts all
+    rows of an order into one partition, once; no later step shuffles and documents never
+    cross the network.
     """
     ship_key, line_key = ["order_nbr", "shipment_nbr"], ["order_nbr", "line_nbr"]
     hot = group_pieces(detail, ["order_nbr"], skew)
     hot_shipments = hot if hot is None else group_pieces(detail, ship_key, skew)
     hot_lines = hot if hot is None else group_pieces(detail, line_key, skew)
+    if hot is not None:
+        deal = lambda rows: rows
+    elif deal is None:
+        deal = dealer(["order_nbr"], detail)
+
+    def join(left: DataFrame, right: DataFrame, keys: Sequence[str], few: DataFrame | None) -> DataFrame:
+        return join_in_place(left, right, keys) if hot is None else spread_join(left, right, keys, "left", few)
+
     packages = collect_parts(
-        _once(detail.where(F.col("shipment_nbr").isNotNull()).select(*ship_key, "tracking", "tracking_created"), ship_key, hot),
+        deal(detail.where(F.col("shipment_nbr").isNotNull()).select(*ship_key, "tracking", "tracking_created")).distinct(),
         ship_key,
         ["tracking", "tracking_created"],
         F.struct("tracking", "tracking_created"),
@@ -351,13 +360,7 @@ def nest_orders(
         hot=hot_shipments,
     ).drop("weight")
     package_type = packages.schema["packages"].dataType.simpleString()
-    shipments = spread_join(
-        _once(detail.select(*SHIPMENT_COLUMNS), ship_key, hot),
-        packages,
-        ship_key,
-        "left",
-        hot_shipments,
-    ).withColumns(
+    shipments = join(deal(detail.select(*SHIPMENT_COLUMNS)).distinct(), packages, ship_key, hot_shipments).withColumns(
         {
             "packages": F.coalesce("packages", F.array().cast(package_type)),
             "_piece_of": F.col("piece"),
@@ -377,13 +380,7 @@ def nest_orders(
         cut_by=SHIPMENT_COLUMNS[2:],
         hot=hot_lines,
     ).withColumnsRenamed({"piece": "_piece_of", "part": "_part_of", "weight": "_leaves"})
-    lines = spread_join(
-        _once(detail.select(*LINE_COLUMNS), line_key, hot),
-        by_line,
-        line_key,
-        "left",
-        hot_lines,
-    )
+    lines = join(deal(detail.select(*LINE_COLUMNS)).distinct(), by_line, line_key, hot_lines)
     by_order = collect_parts(
         lines,
         ["order_nbr"],
@@ -398,6 +395,15 @@ def nest_orders(
         hot=hot,
     ).drop("weight")
     line_type = by_order.schema["line_items"].dataType.simpleString()
+    if hot is None:
+        # documents are wide, however few: they are not to be broadcast
+        docs = deal(orders).join(by_order.hint("merge"), "order_nbr", "left")
+        found = {"piece": F.lit(0), "part": F.lit(0).cast("bigint"), "line_items": F.array().cast(line_type)}
+        return docs.select(
+            "order_nbr",
+            *[F.coalesce(name, none).alias(name) for name, none in found.items()],
+            *[c for c in orders.columns if c != "order_nbr"],
+        )
     filled = spread_join(by_order, orders, ["order_nbr"], "inner", hot)
     empty = orders.join(detail.select("order_nbr").distinct(), "order_nbr", "left_anti").withColumns(
         {

@@ -6,6 +6,7 @@ the data in one task. The helpers here find such groups and cut them into pieces
 
 * ``group_pieces``  finds the groups to cut and into how many pieces;
 * ``spread_join``   joins a fact with a small-per-key side, salting only them;
+* ``join_in_place`` joins where there are none and both sides are dealt already;
 * ``range_pieces``  cuts them along an order, so sequence numbers stay exact.
 
 A group is cut once it holds more than ``1 / Skew.pieces`` of all rows, so there
@@ -147,6 +148,28 @@ def spread_join(
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def join_in_place(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of frames that are dealt alike by some of ``keys``, ``right`` few rows per key.
+
+    A join by more keys than rows are dealt by would shuffle both sides again. A union leaves
+    them where they are, and a window brings the right rows of a key to its left ones.
+    """
+    keys = list(keys)
+    mine, found = (F.struct(*[c for c in side.columns if c not in keys]) for side in (left, right))
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    l = left.select(*keys, mine.alias("_left"))
+    r = right.where(whole).select(*keys, found.alias("_right"))
+    both = l.unionByName(r, allowMissingColumns=True)
+    return (
+        both.withColumn("_found", F.collect_list("_right").over(Window.partitionBy(*keys)))
+        .where(F.col("_left").isNotNull())
+        .select(*keys, "_left", F.explode_outer("_found").alias("_right"))
+        .select(*keys, "_left.*", "_right.*")
+    )
+
+
 def _not_after(bound: Column, order_by: Sequence[Order]) -> Column:
     """True where ``bound`` (a struct of the order columns) is at or before the row."""
     result = F.lit(True)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -21,6 +21,8 @@ from opsflow.operators.skew import (
     with_piece,
 )
 
+Deal = Callable[[DataFrame], DataFrame]
+
 
 def dealt(df: DataFrame, keys: Sequence[str], basis: DataFrame, hot: DataFrame | None, most: int = 250_000) -> DataFrame:
     """``df`` in so many partitions by ``keys`` that one has about ``most`` rows of ``basis``.
@@ -34,6 +36,18 @@ def dealt(df: DataFrame, keys: Sequence[str], basis: DataFrame, hot: DataFrame |
     return df.repartition(count, *keys) if count > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
+def dealer(keys: Sequence[str], basis: DataFrame, most: int = 250_000) -> Deal:
+    """Deals every frame by ``keys`` into one number of partitions, at most about ``most`` rows of ``basis`` in each.
+
+    Frames dealt alike join on ``keys`` and any further columns without another shuffle. The
+    number is given, as AQE would merge partitions by their shuffled bytes, which say little
+    about the documents that a task makes of them; small inputs get as few as suits them.
+    """
+    rows, usual = basis.count(), int(basis.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = max(2, math.ceil(rows / most), min(usual, math.ceil(8 * rows / most)))
+    return lambda df: df.repartition(count, *keys)
+
+
 def top1(df: DataFrame, keys: Sequence[str], order_by: Sequence[Order]) -> DataFrame:
     """First row of each group. ``order_by`` needs a unique tie-breaker."""
     return top_n_per_key(df, keys, order_by, 1)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opsflow import sources
 from opsflow.functions import dates, fixed, nested as nf, predicates as p, text
-from opsflow.operators import aggregates, changes, joins, nested, rows
+from opsflow.operators import aggregates, changes, joins, nested, rows, windows
 from opsflow.operators.joins import Lookup, enrich
 
 
@@ -147,11 +147,12 @@ def order_documents(orders: DataFrame, detail: DataFrame, ledger: DataFrame, par
         }
     )
     key = [c for c in named.columns if c not in ("line_items", "piece", "part")]
-    docs = nested.nest_orders(named.select(*key).distinct(), detail, part_rows)
+    deal = windows.dealer(["order_nbr"], detail)
+    docs = nested.nest_orders(named.select(*key).distinct(), detail, part_rows, deal=deal)
     payload = F.to_json(F.struct(*[c for c in docs.columns if c not in ("piece", "part")]))
     return changes.changed_payloads(
         docs.withColumn("payload", payload).withColumn("decoded_status", F.col("order_status")),
-        ledger, ["order_nbr", "decoded_status", "piece", "part"], "payload", hot=None,
+        ledger, ["order_nbr", "decoded_status", "piece", "part"], "payload", hot=None, deal=deal,
     )
 
 

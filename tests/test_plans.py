@@ -162,3 +162,29 @@ def test_few_shuffles_carry_wide_columns(t, build, column, most):
         t.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     carried = [x for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan) if re.search(rf"\b{column}#", x)]
     assert len(carried) <= most, len(carried)
+
+
+def test_order_documents_never_shuffle_documents(spark):
+    """Digests of the ledger come to the documents, which stay where their rows were dealt."""
+    base = spark.createDataFrame(
+        [(1, "F", "NY", "US"), (2, "O", "NJ", "US"), (3, "O", "NJ", "US")],
+        "order_nbr bigint, order_status string, billing_state string, billing_country string",
+    )
+    detail = spark.createDataFrame(
+        [(1, 1, 5, 1, 0, "S", 1, None, "Done", 1, 7, None), (1, 1, 5, 1, 0, "S", 1, None, "Done", 1, 8, None), (2, 1, 5, 1, 0, *[None] * 7)],
+        "order_nbr bigint, line_nbr int, inventory_cd int, line_qty int, warehouse int, shipment_nbr string, ship_line_nbr int,"
+        " ship_date date, ship_status string, ship_line_qty int, tracking int, tracking_created date",
+    )
+    ledger = spark.createDataFrame([], "order_nbr bigint, decoded_status string, piece int, part bigint, payload string")
+    everything = feeds.order_documents(base, detail, ledger)
+    sent = everything.select(*ledger.columns).collect()
+    ledger = spark.createDataFrame([(*r[:4], "old" if r[0] == 2 else r[4]) for r in sent if r[0] < 3], ledger.schema)
+    docs = feeds.order_documents(base, detail, ledger)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    # lines, shipments, packages; orders: distinct, dealt; digests: combined, dealt
+    assert plan.count("Exchange hashpartitioning") == 7
+    assert rows(docs, "order_nbr") == [(2,), (3,)]
+    again = feeds.order_documents(base, detail, everything.select(*ledger.columns))
+    # a ledger made by the same flow is dealt already
+    assert again._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 12
+    assert again.count() == 0

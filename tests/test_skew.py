@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from opsflow.operators import joins, nested, windows
-from opsflow.operators.skew import Skew, group_pieces, range_pieces, sort_columns, spread_join
+from opsflow.operators.skew import Skew, group_pieces, join_in_place, range_pieces, sort_columns, spread_join
 from tests.conftest import rows
 
 SKEW = Skew(pieces=12, min_rows=20)
@@ -237,3 +237,36 @@ def test_nested_orders_deal_distinct_rows_where_they_are_joined(spark):
         assert shuffles(nested.nest_orders(docs, detail)) <= 8
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_join_in_place_is_a_left_join_without_shuffle(spark):
+    left = spark.createDataFrame([(1, 1, "a"), (1, 1, "a"), (1, 2, "b"), (1, None, "c"), (None, 1, "d"), (2, 1, None)], "o int, l int, v string")
+    right = spark.createDataFrame([(1, 1, 10), (1, 1, 11), (1, None, 12), (None, 1, 13), (2, 1, None), (3, 1, 14)], "o int, l int, w int")
+    joined = join_in_place(left.repartition("o"), right.repartition("o"), ["o", "l"])
+    assert joined.columns == ["o", "l", "v", "w"]
+    assert shuffles(joined) == 2
+    assert rows(joined) == rows(left.join(right, ["o", "l"], "left"))
+
+
+def test_nested_orders_shuffle_their_rows_once(spark):
+    """Lines, shipments, packages and orders: no shuffle of a step after these, so none of nested rows."""
+    detail = spark.createDataFrame(
+        [("o", 1, 5, 1, 0, "S", 1, None, "Done", 1, 7, None)],
+        "order_nbr string, line_nbr int, inventory_cd int, line_qty int, warehouse int, shipment_nbr string, ship_line_nbr int,"
+        " ship_date date, ship_status string, ship_line_qty int, tracking int, tracking_created date",
+    )
+    docs = spark.createDataFrame([("o", "F"), ("none", "F")], "order_nbr string, status string")
+    nest = nested.nest_orders(docs, detail)
+    assert shuffles(nest) == 4
+    found = {r["order_nbr"]: r for r in nest.collect()}
+    assert [len(found[o]["line_items"]) for o in ("o", "none")] == [1, 0]
+    assert [(found[o]["piece"], found[o]["part"]) for o in ("o", "none")] == [(0, 0), (0, 0)]
+
+
+def test_dealt_frames_share_partitions_that_grow_with_the_rows(spark):
+    lines = spark.range(1000).selectExpr("id % 100 AS k", "id AS v")
+    deal = windows.dealer(["k"], lines, most=10)
+    joined = join_in_place(deal(lines), deal(lines.selectExpr("k", "v", "v AS w")), ["k", "v"])
+    assert joined.rdd.getNumPartitions() == 100
+    assert joined.where("v = w").count() == 1000
+    assert windows.dealer(["k"], lines)(lines).rdd.getNumPartitions() == 2
