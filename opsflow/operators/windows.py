@@ -36,7 +36,7 @@ def dealt(df: DataFrame, keys: Sequence[str], basis: DataFrame, hot: DataFrame |
     return df.repartition(count, *keys) if count > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
-def dealer(keys: Sequence[str], basis: DataFrame, most: int = 250_000) -> Deal:
+def dealer(keys: Sequence[str], basis: DataFrame, most: int = 100_000) -> Deal:
     """Deals every frame by ``keys`` into one number of partitions, at most about ``most`` rows of ``basis`` in each.
 
     Frames dealt alike join on ``keys`` and any further columns without another shuffle. The
